@@ -44,22 +44,30 @@ def quad_size(level: int) -> float:
     return 360.0 / (1 << level)
 
 
-def quad_row(lat: Column, level: int) -> Column:
-    return F.floor((lat + F.lit(90.0)) / F.lit(quad_size(level))).cast("bigint")
+def _size_of(level) -> Column:
+    """Cell edge of a literal level or of a level column; powers of two are exact."""
+    if isinstance(level, int):
+        return F.lit(quad_size(level))
+    return F.lit(360.0) / F.pow(F.lit(2.0), level.cast("double"))
 
 
-def quad_column(lon: Column, level: int) -> Column:
+def quad_row(lat: Column, level) -> Column:
+    return F.floor((lat + F.lit(90.0)) / _size_of(level)).cast("bigint")
+
+
+def quad_column(lon: Column, level) -> Column:
     """Column number, not yet wrapped."""
-    return F.floor((lon + F.lit(180.0)) / F.lit(quad_size(level))).cast("bigint")
+    return F.floor((lon + F.lit(180.0)) / _size_of(level)).cast("bigint")
 
 
-def pack(column: Column, row: Column, level: int) -> Column:
+def pack(column: Column, row: Column, level) -> Column:
     """One bigint per cell; columns wrap around the globe."""
-    wrapped = F.pmod(column, F.lit(1 << level).cast("bigint"))
-    return F.shiftleft(row, level).bitwiseOR(wrapped)
+    level = F.lit(level) if isinstance(level, int) else level
+    count = F.call_function("shiftleft", F.lit(1).cast("bigint"), level)
+    return F.call_function("shiftleft", row, level).bitwiseOR(F.pmod(column, count))
 
 
-def quad_cell(lon, lat, level: int) -> Column:
+def quad_cell(lon, lat, level) -> Column:
     lon, lat = _col(lon), _col(lat)
     return pack(quad_column(lon, level), quad_row(lat, level), level)
 

@@ -11,6 +11,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from terrahaz.session import scratch
+
 MAX_BROADCAST_BYTES = 64 * 1024 * 1024
 ROWS_PER_TASK = 2_000_000
 
@@ -34,6 +36,17 @@ def measure(df: DataFrame) -> Size:
     return Size(int(row["rows"]), int(row["bytes"]))
 
 
+def materialize(df: DataFrame, label: str) -> DataFrame:
+    """Write ``df`` as a table under the shared folder and read it back.
+
+    Cuts lineage in a way that survives the loss of an executor, and keeps the plan that
+    uses the table small.
+    """
+    path = scratch(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def fits_broadcast(df: DataFrame, max_bytes: int | None = None) -> bool:
     limit = MAX_BROADCAST_BYTES if max_bytes is None else max_bytes
     return limit > 0 and measure(df).bytes <= limit

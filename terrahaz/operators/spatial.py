@@ -24,7 +24,14 @@ from pyspark.sql import functions as F
 
 from terrahaz.functions import geometry as G
 from terrahaz.functions import grid
-from terrahaz.operators.sizing import MAX_BROADCAST_BYTES, ROWS_PER_TASK, fits_broadcast, skew_join
+from terrahaz.operators.sizing import (
+    MAX_BROADCAST_BYTES,
+    ROWS_PER_TASK,
+    fits_broadcast,
+    materialize,
+    row_bytes,
+    skew_join,
+)
 
 #: Levels a polygon may be filed under; it takes the finest where its box spans at
 #: most ``MAX_SPAN`` cells each way, so large polygons do not explode.
@@ -53,44 +60,36 @@ def _level_of_box(box: Column) -> Column:
     return choice
 
 
-def _by_level(level: Column, make) -> Column:
-    """``make(level)`` for the row's own level, over the fixed list of levels."""
-    out = make(POLYGON_LEVELS[-1])
-    for known in reversed(POLYGON_LEVELS[:-1]):
-        out = F.when(level == known, make(known)).otherwise(out)
-    return out
-
-
 def polygon_entries(
-    polygons: DataFrame, key: str, geom: str, attrs: tuple[str, ...] = (), predicate: str = "within"
+    polygons: DataFrame, key: str, geom: str, attrs: tuple[str, ...] = ()
 ) -> DataFrame:
     """One row per polygon and covered cell; cells wholly outside are dropped."""
     item = F.struct(F.col(key), *[F.col(a) for a in attrs])
-    base = polygons.select(item.alias("item"), G.polygon_edges(geom).alias("edges")).where(
-        F.size("edges") > 0
-    )
+    base = polygons.select(item.alias("item"), G.polygon_edges(geom).alias("edges"))
+    # a polygon without edges has no box, hence no cells
     base = base.withColumn("box", G.edges_envelope(F.col("edges")))
-    box = F.col("box")
+    box, level = F.col("box"), F.col("level")
     in_range = (
         (box["min_x"] >= -180) & (box["max_x"] <= 180) & (box["min_y"] >= -90) & (box["max_y"] <= 90)
     )
     refused = F.raise_error(F.lit("polygon leaves the WGS84 range; split it at the antimeridian"))
-    base = base.withColumn("level", F.when(in_range, _level_of_box(box)).otherwise(refused.cast("int")))
+    filed = F.when(box.isNull(), F.lit(None).cast("int")).when(in_range, _level_of_box(box))
+    base = base.withColumn("level", filed.otherwise(refused.cast("int")))
 
     def span(lo: Column, hi: Column, number) -> Column:
-        return _by_level(F.col("level"), lambda n: F.sequence(number(lo, n), number(hi, n)))
+        return F.explode(F.sequence(number(lo, level), number(hi, level)))
 
-    base = base.withColumn("cx", F.explode(span(box["min_x"], box["max_x"], grid.quad_column)))
-    base = base.withColumn("cy", F.explode(span(box["min_y"], box["max_y"], grid.quad_row)))
-    size = _by_level(F.col("level"), lambda n: F.lit(grid.quad_size(n)))
+    base = base.withColumn("cx", span(box["min_x"], box["max_x"], grid.quad_column))
+    base = base.withColumn("cy", span(box["min_y"], box["max_y"], grid.quad_row))
+    base = base.withColumn("size", F.lit(360.0) / F.pow(F.lit(2.0), level.cast("double")))
     base = base.select(
         "item",
         "edges",
         "level",
-        _by_level(F.col("level"), lambda n: grid.pack(F.col("cx"), F.col("cy"), n)).alias("cell"),
-        (F.col("cx") * size - 180.0).alias("west"),
-        (F.col("cy") * size - 90.0).alias("south"),
-        size.alias("size"),
+        "size",
+        grid.pack(F.col("cx"), F.col("cy"), level).alias("cell"),
+        (F.col("cx") * F.col("size") - 180.0).alias("west"),
+        (F.col("cy") * F.col("size") - 90.0).alias("south"),
     )
     west, south = F.col("west") - _SLACK, F.col("south") - _SLACK
     east, north = F.col("west") + F.col("size") + _SLACK, F.col("south") + F.col("size") + _SLACK
@@ -126,8 +125,12 @@ def polygon_index(
     attrs: tuple[str, ...] = (),
     max_bytes: int | None = None,
 ) -> PolygonIndex:
-    """Build the entries and measure them: which levels occur, and do they fit a broadcast."""
-    entries = polygon_entries(polygons, key, geom, attrs)
+    """Build the index table and measure it: which levels occur, and does it fit a broadcast.
+
+    The table is written once under the shared folder, so measuring it, using it at
+    every level and running a lost task again never parse the geometry a second time.
+    """
+    entries = materialize(polygon_entries(polygons, key, geom, attrs), "polygon-index")
     width = F.lit(64) + F.size("edges") * 40 + F.length(F.to_json("item"))
     row = entries.agg(
         F.sort_array(F.collect_set("level")).alias("levels"),
@@ -162,7 +165,6 @@ def _lookup(points: DataFrame, index: PolygonIndex, lon: str, lat: str, predicat
     if not found:
         item = index.entries.schema["item"].dataType
         return out.withColumn("__hits", F.array().cast(f"array<{item.simpleString()}>"))
-    empty = F.slice(found[0], 1, 0)
     hits = reduce(lambda a, b: F.concat(a, b), [F.coalesce(f, F.array()) for f in found])
     out = out.withColumn("__hits", hits)
     return out.drop(*[f"__{part}_{n}" for part in ("cell", "entries") for n in index.levels])
@@ -185,10 +187,6 @@ def _pairs(
     )
 
 
-def _prepare(points, polygons, key, geom, attrs, max_bytes):
-    return points, polygon_index(polygons, key, geom, attrs, max_bytes)
-
-
 def land_mask(
     points: DataFrame,
     polygons: DataFrame,
@@ -299,16 +297,22 @@ def distinct_sites(facilities: DataFrame, key: str, lon: str, lat: str) -> DataF
     return located.groupBy(F.col(lon).alias("fx"), F.col(lat).alias("fy")).agg(F.min(key).alias("fid"))
 
 
-def _start_level(sites: DataFrame) -> tuple[int, int, int]:
-    """Rows, bytes and the coarsest level with about four sites per occupied cell."""
-    aggs = [F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(F.length(F.to_json(F.struct("*")))), F.lit(0)).alias("b")]
+def _search_plan(sites: DataFrame) -> tuple[int, list[int]]:
+    """Bytes of the sites and the levels to search, fine to coarse.
+
+    The search starts at the coarsest level with at most about four sites per occupied
+    cell. Levels at which the sites occupy a handful of cells would show every site
+    anyway, so the globe takes their place.
+    """
     searched = [n for n in NEAREST_LEVELS if n > 0]
-    aggs += [F.approx_count_distinct(grid.quad_cell("fx", "fy", n)).alias(f"c{n}") for n in searched]
-    row = sites.agg(*aggs).first()
-    for level in reversed(searched):
-        if row["n"] <= 4 * max(row[f"c{level}"], 1):
-            return int(row["n"]), int(row["b"]), level
-    return int(row["n"]), int(row["b"]), searched[0]
+    row = sites.agg(
+        F.count(F.lit(1)).alias("n"),
+        F.coalesce(F.sum(row_bytes(sites.columns)), F.lit(0)).alias("bytes"),
+        *[F.approx_count_distinct(grid.quad_cell("fx", "fy", n)).alias(f"c{n}") for n in searched],
+    ).first()
+    fine_enough = [n for n in searched if row["n"] <= 4 * row[f"c{n}"]]
+    start = min(fine_enough, default=searched[0])
+    return int(row["bytes"]), [n for n in searched if n <= start and row[f"c{n}"] > 9] + [0]
 
 
 def nearest_facility(
@@ -332,10 +336,9 @@ def nearest_facility(
     surely cover, the point is settled and asks no coarser level. The last level is the
     globe, so every located point is settled if any facility exists.
     """
-    sites = distinct_sites(facilities, key, f_lon, f_lat)
-    count, size, start = _start_level(sites)
+    sites = materialize(distinct_sites(facilities, key, f_lon, f_lat), "sites")
+    size, levels = _search_plan(sites)
     limit = MAX_BROADCAST_BYTES if max_bytes is None else max_bytes
-    levels = [n for n in NEAREST_LEVELS if n <= start]
     # each facility is filed under nine cells per level and once under the globe
     small = limit > 0 and size * 9 * len(levels) <= limit
     best = _nearest_small(points, sites, levels, lon, lat) if small else _nearest_large(
@@ -456,6 +459,7 @@ def within_distance(
         F.min(key).alias("fid"), F.count(F.lit(1)).alias("k")
     )
     filed = sites.withColumn("cell", F.explode(_disc_cells(F.col("fx"), F.col("fy"), radius_m, level)))
+    filed = materialize(filed, "discs")
     x, y = F.col(lon), F.col(lat)
     names = ["facilities_within", "nearest_id", "nearest_m"]
     if fits_broadcast(filed, max_bytes):
