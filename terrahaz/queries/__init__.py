@@ -3,7 +3,7 @@
 from importlib import import_module
 
 _MODULES = [
-    "spatial", "gold", "rollups", "ordered", "scalar",
+    "bronze", "silver", "spatial", "gold", "rollups", "ordered", "scalar", "enrichment", "streams", "learning",
 ]
 
 

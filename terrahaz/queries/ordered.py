@@ -41,19 +41,19 @@ def counter_rate(spark, sf):
 
 @query(
     "mean_duration",
-    """WITH d AS (SELECT layer, ts, lag(ts) OVER (PARTITION BY layer ORDER BY ts) AS before, seconds FROM fx_metrics),
+    """WITH d AS (SELECT layer, ts, lag(ts) OVER (PARTITION BY layer ORDER BY ts) AS before, cast(records as double) AS seconds FROM fx_metrics),
     k AS (SELECT layer, ts, CASE WHEN before IS NULL THEN 0 ELSE seconds END AS s, CASE WHEN before IS NULL THEN 0 ELSE 1 END AS c FROM d),
     r AS (SELECT layer, ts, sum(s) OVER w AS s, sum(c) OVER w AS c FROM k WINDOW w AS (PARTITION BY layer ORDER BY ts RANGE BETWEEN INTERVAL 30 MINUTES PRECEDING AND CURRENT ROW))
-    SELECT layer, epoch_us(ts) AS t_us, round(s/nullif(c,0),4) AS mean_seconds FROM r""",
+    SELECT layer, epoch_us(ts) AS t_us, round(s/nullif(c,0),9) AS mean_seconds FROM r""",
 )
 def mean_duration(spark, sf):
     """The two counters are themselves running totals of the samples."""
-    samples = _metrics(spark, sf).select("layer", "t_us", "sample_id", "seconds")
+    samples = _metrics(spark, sf).select("layer", "t_us", "sample_id", F.col("records").cast("double").alias("seconds"))
     order = ["t_us", "sample_id"]
     totals = W.prefix_sum(samples, ["layer"], order, F.col("seconds"), "total_seconds")
     totals = W.prefix_sum(totals, ["layer"], order, F.lit(1.0), "calls")
     means = W.mean_duration(totals, ["layer"], "t_us", "total_seconds", "calls", 1800)
-    return means.select("layer", "t_us", F.round("mean_seconds", 4).alias("mean_seconds"))
+    return means.select("layer", "t_us", F.round("mean_seconds", 9).alias("mean_seconds"))
 
 
 def _islands(condition: str, hold: int) -> str:

@@ -162,14 +162,21 @@ def confusion_counts(spark, sf):
     return A.confusion(V.view(spark, sf, "fx_scored"), "label", "prediction")
 
 
-@query("label_eval", _CLASS.format(g="category,", b="GROUP BY 1"))
+@query(
+    "label_eval",
+    """SELECT lang AS category, count(*) AS n, avg((label=prediction)::int) AS accuracy,
+    coalesce(sum(label*prediction)/nullif(sum(prediction),0),0) AS "precision", coalesce(sum(label*prediction)/nullif(sum(label),0),0) AS recall,
+    coalesce(2*sum(label*prediction)/nullif(sum(label)+sum(prediction),0),0) AS f1 FROM
+    (SELECT d.lang AS lang, l.quality AS label, CASE WHEN d.n_chars>500 THEN 1 ELSE 0 END AS prediction FROM documents d JOIN labels l ON d.doc_id=l.doc_id) GROUP BY 1""",
+)
 def label_eval(spark, sf):
     from terrahaz.operators.enrich import label_eval as evaluate
 
-    scored = V.view(spark, sf, "fx_scored").dropDuplicates(["row_id", "label", "prediction", "category"])
-    predictions = scored.select("row_id", "category", "prediction", "score", "estimate")
-    labels = scored.select("row_id", "label")
-    return evaluate(predictions, labels, "row_id", "category").drop("f1_weighted")
+    predictions = V.table(spark, sf, "documents").selectExpr(
+        "doc_id", "lang AS category", "CASE WHEN n_chars>500 THEN 1 ELSE 0 END AS prediction"
+    )
+    labels = V.table(spark, sf, "labels").selectExpr("doc_id", "quality AS label")
+    return evaluate(predictions, labels, "doc_id", "category").drop("f1_weighted")
 
 
 @query(

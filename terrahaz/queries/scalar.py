@@ -197,7 +197,7 @@ def clip(spark, sf):
 
 @query(
     "text_prep",
-    """SELECT doc_id, lower(trim(source)) AS source, len(list_filter(regexp_split_to_array(text,'\\s+'), x -> x<>'')) AS n_tokens,
+    """SELECT doc_id, lower(trim(source)) AS source, len(list_filter(regexp_split_to_array(text,'\\s+'), lambda x: x<>'')) AS n_tokens,
     substr(trim(lang),1,1) AS initial, upper(lang[1])||substr(lang,2) AS capitalized FROM documents""",
 )
 def text_prep(spark, sf):

@@ -129,7 +129,7 @@ def export_geojson(features: DataFrame, path: str, mode: str = "overwrite") -> N
 
 
 def export_collections(features: DataFrame, path: str, mode: str = "overwrite") -> None:
-    """Self-contained FeatureCollections: each Arrow batch becomes one document line.
+    """Self-contained FeatureCollection files: each Arrow batch becomes one document.
 
     A document holds at most ``spark.sql.execution.arrow.maxRecordsPerBatch`` features;
     nothing is gathered in one task.
@@ -141,7 +141,8 @@ def export_collections(features: DataFrame, path: str, mode: str = "overwrite")
             body = ",".join(batch["value"])
             yield pd.DataFrame({"value": [f'{{"type":"FeatureCollection","features":[{body}]}}']})
 
-    features.select("value").mapInPandas(wrap, "value string").write.mode(mode).text(path)
+    documents = features.select("value").mapInPandas(wrap, "value string")
+    documents.write.mode(mode).option("maxRecordsPerFile", 1).text(path)
 
 
 # ----------------------------------------------------- quarantine and metrics
