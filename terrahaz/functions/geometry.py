@@ -132,6 +132,10 @@ def _on_edge(e: Column, x: Column, y: Column) -> Column:
     )
 
 
+def is_number(c: Column) -> Column:
+    return ~F.isnan(c)
+
+
 def edges_parity(edges: Column, x: Column, y: Column) -> Column:
     """Even-odd rule over all rings, so holes need no special case."""
     return F.aggregate(edges, F.lit(False), lambda inside, e: inside != _crosses(e, x, y))
@@ -142,13 +146,13 @@ def edges_boundary(edges: Column, x: Column, y: Column) -> Column:
 
 
 def edges_within(edges: Column, x: Column, y: Column) -> Column:
-    """Strict interior."""
-    return edges_parity(edges, x, y) & ~edges_boundary(edges, x, y)
+    """Strict interior; NaN, which orders above every number, is nowhere."""
+    return is_number(x) & is_number(y) & edges_parity(edges, x, y) & ~edges_boundary(edges, x, y)
 
 
 def edges_intersects(edges: Column, x: Column, y: Column) -> Column:
     """Interior or boundary."""
-    return edges_parity(edges, x, y) | edges_boundary(edges, x, y)
+    return is_number(x) & is_number(y) & (edges_parity(edges, x, y) | edges_boundary(edges, x, y))
 
 
 def st_within(point, polygons) -> Column:

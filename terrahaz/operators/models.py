@@ -79,7 +79,10 @@ class Trained:
 
 def fit(spec: Spec, train: DataFrame, trees: int | None = None, depth: int | None = None) -> PipelineModel:
     assembler = VectorAssembler(inputCols=list(spec.features), outputCol="features", handleInvalid="keep")
-    return Pipeline(stages=[assembler, estimator(spec, trees, depth)]).fit(train)
+    fitted = Pipeline(stages=[assembler, estimator(spec, trees, depth)]).fit(train)
+    # a copy leaves the training summary behind, which holds the session and so cannot
+    # travel to the executors once the session has observed a query
+    return fitted.copy()
 
 
 def predict(spec: Spec, model: PipelineModel, df: DataFrame) -> DataFrame:

@@ -19,6 +19,8 @@ import json
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from terrahaz.operators.sizing import join_dim
+
 ROWS_PER_RANGE = 20_000_000
 MAX_RANGES = 8192
 _SAMPLES_PER_RANGE = 20
@@ -388,7 +390,7 @@ def stratified_split(
             F.min_by(F.col("__want") - (F.col("__upto") - F.col("__n")), F.col("__b")).alias("__take"),
         )
     )
-    marked = hashed.join(cut, label, "left")
+    marked = join_dim(hashed, cut, [label], "left")
     at_cut = F.col("__b") == F.col("__cut")
     inside = Window.partitionBy(label, "__b").orderBy("__d", key)
     ranked = marked.where(at_cut).withColumn("__rank", F.row_number().over(inside))

@@ -140,6 +140,10 @@ def polygon_index(
     return PolygonIndex(entries, tuple(row["levels"]), limit > 0 and int(row["bytes"]) <= limit)
 
 
+def _located(x: Column, y: Column) -> Column:
+    return x.isNotNull() & y.isNotNull() & G.is_number(x) & G.is_number(y)
+
+
 def _hit(full: Column, edges: Column, x: Column, y: Column, predicate: str) -> Column:
     test = {"within": G.edges_within, "intersects": G.edges_intersects}[predicate]
     return full | test(edges, x, y)
@@ -154,7 +158,7 @@ def _lookup(points: DataFrame, index: PolygonIndex, lon: str, lat: str, predicat
         dictionary = at_level.groupBy(F.col("cell").alias(f"__cell_{level}")).agg(
             F.collect_list(F.struct("item", "full", "edges")).alias(f"__entries_{level}")
         )
-        probe = F.when(x.isNotNull() & y.isNotNull(), grid.quad_cell(x, y, level))
+        probe = F.when(_located(x, y), grid.quad_cell(x, y, level))
         out = out.withColumn(f"__cell_{level}", probe).join(
             F.broadcast(dictionary), f"__cell_{level}", "left"
         )
@@ -174,7 +178,7 @@ def _pairs(
     points: DataFrame, index: PolygonIndex, lon: str, lat: str, predicate: str, rows_per_task: int
 ) -> DataFrame:
     """Large index: distinct locations joined to their items, ``lon, lat, item``."""
-    located = points.where(F.col(lon).isNotNull() & F.col(lat).isNotNull())
+    located = points.where(_located(F.col(lon), F.col(lat)))
     places = located.select(F.col(lon).alias("__x"), F.col(lat).alias("__y")).distinct()
     x, y = F.col("__x"), F.col("__y")
     probes = F.array(
@@ -293,26 +297,37 @@ def _safe_radius(lat: Column, level: int) -> Column:
 
 def distinct_sites(facilities: DataFrame, key: str, lon: str, lat: str) -> DataFrame:
     """Facilities at one location answer alike: keep the smallest id of each."""
-    located = facilities.where(F.col(lon).isNotNull() & F.col(lat).isNotNull())
+    located = facilities.where(_located(F.col(lon), F.col(lat)))
     return located.groupBy(F.col(lon).alias("fx"), F.col(lat).alias("fy")).agg(F.min(key).alias("fid"))
 
 
+#: A search starts where no cell holds more sites than this.
+MAX_SITES_PER_CELL = 32
+
+
 def _search_plan(sites: DataFrame) -> tuple[int, list[int]]:
     """Bytes of the sites and the levels to search, fine to coarse.
 
-    The search starts at the coarsest level with at most about four sites per occupied
-    cell. Levels at which the sites occupy a handful of cells would show every site
-    anyway, so the globe takes their place.
+    The search starts at the coarsest level at which even the densest cell is small, so a
+    crowded corner costs its callers no more than any other place. Levels at which the
+    sites occupy a handful of cells would show every site anyway; the globe stands in.
     """
     searched = [n for n in NEAREST_LEVELS if n > 0]
-    row = sites.agg(
-        F.count(F.lit(1)).alias("n"),
-        F.coalesce(F.sum(row_bytes(sites.columns)), F.lit(0)).alias("bytes"),
-        *[F.approx_count_distinct(grid.quad_cell("fx", "fy", n)).alias(f"c{n}") for n in searched],
-    ).first()
-    fine_enough = [n for n in searched if row["n"] <= 4 * row[f"c{n}"]]
-    start = min(fine_enough, default=searched[0])
-    return int(row["bytes"]), [n for n in searched if n <= start and row[f"c{n}"] > 9] + [0]
+    cells = F.array(*[F.struct(F.lit(n).alias("n"), grid.quad_cell("fx", "fy", n).alias("c")) for n in searched])
+    occupied = (
+        sites.select(F.explode(cells).alias("at"), row_bytes(sites.columns).alias("w"))
+        .groupBy("at")
+        .agg(F.count(F.lit(1)).alias("k"), F.sum("w").alias("w"))
+        .groupBy("at.n")
+        .agg(F.max("k").alias("densest"), F.count(F.lit(1)).alias("cells"), F.sum("w").alias("bytes"))
+        .collect()  # one row per level
+    )
+    if not occupied:
+        return 0, [0]
+    seen = {r["n"]: r for r in occupied}
+    calm = [n for n in searched if seen[n]["densest"] <= MAX_SITES_PER_CELL]
+    start = min(calm, default=searched[0])
+    return int(occupied[0]["bytes"]), [n for n in searched if n <= start and seen[n]["cells"] > 9] + [0]
 
 
 def nearest_facility(
@@ -358,7 +373,7 @@ def _nearest_small(points, sites, levels, lon, lat) -> DataFrame:
     x, y = F.col(lon), F.col(lat)
     id_type = sites.schema["fid"].dataType.simpleString()
     out = points.withColumn("__best", F.lit(None).cast(f"struct<m:double,fid:{id_type}>"))
-    out = out.withColumn("__open", x.isNotNull() & y.isNotNull())
+    out = out.withColumn("__open", _located(x, y))
     for level in levels:
         dictionary = (
             _filed(sites, level)
@@ -383,7 +398,7 @@ def _nearest_small(points, sites, levels, lon, lat) -> DataFrame:
 
 
 def _nearest_large(points, sites, levels, lon, lat, rows_per_task) -> DataFrame:
-    located = points.where(F.col(lon).isNotNull() & F.col(lat).isNotNull())
+    located = points.where(_located(F.col(lon), F.col(lat)))
     still_open = located.select(F.col(lon).alias("__x"), F.col(lat).alias("__y")).distinct()
     x, y = F.col("__x"), F.col("__y")
     settled = []
@@ -454,7 +469,7 @@ def within_distance(
     location are counted through their number.
     """
     level = _disc_level(radius_m)
-    located = facilities.where(F.col(f_lon).isNotNull() & F.col(f_lat).isNotNull())
+    located = facilities.where(_located(F.col(f_lon), F.col(f_lat)))
     sites = located.groupBy(F.col(f_lon).alias("fx"), F.col(f_lat).alias("fy")).agg(
         F.min(key).alias("fid"), F.count(F.lit(1)).alias("k")
     )
@@ -466,7 +481,8 @@ def within_distance(
         dictionary = filed.groupBy(F.col("cell").alias("__cell")).agg(
             F.collect_list(F.struct("fx", "fy", "fid", "k")).alias("__near")
         )
-        out = points.withColumn("__cell", grid.quad_cell(x, y, level)).join(
+        located_points = points.where(_located(x, y))
+        out = located_points.withColumn("__cell", grid.quad_cell(x, y, level)).join(
             F.broadcast(dictionary), "__cell", "inner"
         )
         measured = F.transform(
@@ -481,7 +497,7 @@ def within_distance(
         out = out.where(F.size("__in") > 0).withColumn("__best", F.array_min("__in"))
         total = F.aggregate("__in", F.lit(0).cast("bigint"), lambda s, f: s + f["k"])
     else:
-        places = points.where(x.isNotNull() & y.isNotNull()).select(lon, lat).distinct()
+        places = points.where(_located(x, y)).select(lon, lat).distinct()
         metres = F.round(G.haversine_m(x, y, F.col("fx"), F.col("fy")), 3)
         probing = places.withColumn("cell", grid.quad_cell(x, y, level))
         reach = (

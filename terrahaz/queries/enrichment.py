@@ -13,7 +13,7 @@ _SEVERITY = "try_cast(CASE WHEN json_valid(reply) THEN json_extract_string(reply
 
 @query(
     "parse_ai_enrichment",
-    f"""SELECT reply_id, cast(coalesce(trunc(least(greatest({_SEVERITY},1),10)),5) as int) AS ai_severity,
+    f"""SELECT reply_id, cast(CASE WHEN {_SEVERITY} IS NULL THEN 5 ELSE trunc(least(greatest({_SEVERITY},1),10)) END as int) AS ai_severity,
     coalesce(CASE WHEN json_valid(reply) THEN json_extract_string(reply,'$.hazard_type') END,'unknown') AS ai_hazard_type FROM fx_replies""",
 )
 def parse_ai_enrichment(spark, sf):

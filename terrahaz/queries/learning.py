@@ -137,11 +137,11 @@ def train_binary_pair(spark, sf):
     "score_delays",
     """SELECT flight_id, callsign, latitude, longitude, p AS delay_probability, cast(trunc(p*120) as int) AS estimated_delay_mins,
     CASE WHEN p<0.15::double THEN 'none' WHEN p<0.30::double THEN 'low' WHEN p<0.50::double THEN 'medium' WHEN p<0.70::double THEN 'high' ELSE 'severe' END AS delay_severity
-    FROM (SELECT *, round(1/(1+exp(-(velocity_mps-20)/10)),6) AS p FROM fx_flights)""",
+    FROM (SELECT *, floor(1000/(1+exp(-(velocity_mps-20)/10)))/1000 AS p FROM fx_flights)""",
 )
 def score_delays(spark, sf):
     """A fixed logistic scorer in the model's place."""
-    p = F.round(F.lit(1.0) / (F.lit(1.0) + F.exp(-(F.col("velocity_mps") - 20) / 10)), 6)
+    p = F.floor(F.lit(1000.0) / (F.lit(1.0) + F.exp(-(F.col("velocity_mps") - 20) / 10))) / F.lit(1000.0)
     return T.score_delays(V.view(spark, sf, "fx_flights"), p)
 
 
@@ -168,7 +168,7 @@ def run_log(spark, sf):
 
 @query(
     "delay_geojson",
-    """SELECT flight_id, round(p,3) AS delay_probability, cast(trunc(p*120) as bigint) AS minutes FROM (SELECT flight_id, round(1/(1+exp(-(velocity_mps-20)/10)),6) AS p FROM fx_flights)""",
+    """SELECT flight_id, round(p,3) AS delay_probability, cast(trunc(p*120) as bigint) AS minutes FROM (SELECT flight_id, floor(1000/(1+exp(-(velocity_mps-20)/10)))/1000 AS p FROM fx_flights)""",
 )
 def delay_geojson(spark, sf):
     from terrahaz.sources.sinks import delay_features as as_features
