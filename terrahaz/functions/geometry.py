@@ -241,6 +241,19 @@ def haversine_m(lon1, lat1, lon2, lat2) -> Column:
     return F.lit(2 * EARTH_RADIUS_M) * F.asin(F.sqrt(F.least(h, F.lit(1.0))))
 
 
+def unit_vector(lon, lat) -> Column:
+    """Point on the unit sphere. Cosines between such vectors order like distances."""
+    lam, phi = F.radians(_col(lon)), F.radians(_col(lat))
+    return F.struct(
+        (F.cos(phi) * F.cos(lam)).alias("ux"), (F.cos(phi) * F.sin(lam)).alias("uy"), F.sin(phi).alias("uz")
+    )
+
+
+def cosine(a: Column, b: Column) -> Column:
+    """Cosine of the angle between two unit vectors."""
+    return a["ux"] * b["ux"] + a["uy"] * b["uy"] + a["uz"] * b["uz"]
+
+
 def st_distance_m(a, b) -> Column:
     a, b = _col(a), _col(b)
     return haversine_m(a["lon"], a["lat"], b["lon"], b["lat"])

@@ -161,18 +161,21 @@ EXTRACTION = (
 
 def extract_native(df: DataFrame, text: str) -> DataFrame:
     """Extraction with the keyword extractor: same columns as ``batch_extract``, no Python."""
-    hazards = keyword_hazards(text)
     empty = F.coalesce(F.trim(text), F.lit("")) == ""
-    tokens = C.token_count(text).cast("bigint")
-    reply = F.when(empty, "[]").otherwise(F.to_json(hazards))
-    return df.withColumns(
-        {
-            "extracted_hazards": reply,
-            "status": F.when(empty, "skipped").otherwise("success"),
-            "prompt_tokens": F.when(~empty, tokens),
-            "completion_tokens": F.when(~empty, C.token_count(reply).cast("bigint")),
-            "num_hazards": F.when(empty, 0).otherwise(F.size(hazards)),
-        }
+    found = df.withColumn("__hazards", F.when(~empty, keyword_hazards(text)))
+    skipped = F.col("__hazards").isNull()
+    reply = F.when(skipped, "[]").otherwise(F.to_json("__hazards"))
+    return (
+        found.withColumn("extracted_hazards", reply)
+        .withColumns(
+            {
+                "status": F.when(skipped, "skipped").otherwise("success"),
+                "prompt_tokens": F.when(~skipped, C.token_count(text).cast("bigint")),
+                "completion_tokens": F.when(~skipped, C.token_count("extracted_hazards").cast("bigint")),
+                "num_hazards": F.when(skipped, 0).otherwise(F.size("__hazards")),
+            }
+        )
+        .drop("__hazards")
     )
 
 

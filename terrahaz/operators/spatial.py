@@ -283,7 +283,7 @@ def attach_polygon(
 # ------------------------------------------------------------------- nearest
 
 #: Search levels from fine to coarse; level 0 is the whole globe.
-NEAREST_LEVELS = (18, 15, 12, 9, 6, 3, 0)
+NEAREST_LEVELS = tuple(range(18, -1, -1))
 
 
 def _safe_radius(lat: Column, level: int) -> Column:
@@ -301,8 +301,48 @@ def distinct_sites(facilities: DataFrame, key: str, lon: str, lat: str) -> DataF
     return located.groupBy(F.col(lon).alias("fx"), F.col(lat).alias("fy")).agg(F.min(key).alias("fid"))
 
 
+#: Contenders are picked by cosine and then measured. The cut lies below the best cosine by
+#: more than its rounding error and by more than two millimetres of distance, so rounding to
+#: millimetres decides ties exactly as if every candidate had been measured.
+_COSINE_ERROR = 4e-15
+_TWO_MM = 0.002 / G.EARTH_RADIUS_M
+
+
+def _bind(value: Column, use) -> Column:
+    """Evaluate ``value`` once per row and use it inside other lambdas."""
+    return F.get(F.transform(F.array(value), use), 0)
+
+
+def _measured(f: Column, x: Column, y: Column, *more: str) -> Column:
+    metres = F.round(G.haversine_m(x, y, f["fx"], f["fy"]), 3)
+    return F.struct(metres.alias("m"), f["fid"].alias("fid"), *[f[c].alias(c) for c in more])
+
+
+def _best_of(near: Column, x: Column, y: Column) -> Column:
+    """Smallest (metres, id): cheap cosines pick the contenders, only those are measured."""
+
+    def from_here(u):
+        def cut(best):
+            sine = F.sqrt(F.greatest(F.lit(2.0) - F.lit(2.0) * best, F.lit(0.0)))
+            return best - F.lit(_COSINE_ERROR) - F.lit(_TWO_MM) * sine
+
+        def contenders(limit):
+            close = F.filter(near, lambda f: G.cosine(f, u) >= limit)
+            return F.array_min(F.transform(close, lambda f: _measured(f, x, y)))
+
+        highest = F.array_max(F.transform(near, lambda f: G.cosine(f, u)))
+        return _bind(_bind(highest, cut), contenders)
+
+    return _bind(G.unit_vector(x, y), from_here)
+
+
+def _with_vectors(sites: DataFrame) -> DataFrame:
+    u = G.unit_vector("fx", "fy")
+    return sites.withColumns({c: u[c] for c in ("ux", "uy", "uz")})
+
+
 #: A search starts where no cell holds more sites than this.
-MAX_SITES_PER_CELL = 32
+MAX_SITES_PER_CELL = 8
 
 
 def _search_plan(sites: DataFrame) -> tuple[int, list[int]]:
@@ -327,7 +367,10 @@ def _search_plan(sites: DataFrame) -> tuple[int, list[int]]:
     seen = {r["n"]: r for r in occupied}
     calm = [n for n in searched if seen[n]["densest"] <= MAX_SITES_PER_CELL]
     start = min(calm, default=searched[0])
-    return int(occupied[0]["bytes"]), [n for n in searched if n <= start and seen[n]["cells"] > 9] + [0]
+    # most callers settle at once, so the first steps are small and the later ones large
+    steps = {start, start - 1, start - 2, *range(start - 4, 0, -2)}
+    levels = [n for n in searched if n in steps and seen[n]["cells"] > 9]
+    return int(occupied[0]["bytes"]), levels + [0]
 
 
 def nearest_facility(
@@ -351,7 +394,7 @@ def nearest_facility(
     surely cover, the point is settled and asks no coarser level. The last level is the
     globe, so every located point is settled if any facility exists.
     """
-    sites = materialize(distinct_sites(facilities, key, f_lon, f_lat), "sites")
+    sites = materialize(_with_vectors(distinct_sites(facilities, key, f_lon, f_lat)), "sites")
     size, levels = _search_plan(sites)
     limit = MAX_BROADCAST_BYTES if max_bytes is None else max_bytes
     # each facility is filed under nine cells per level and once under the globe
@@ -378,19 +421,12 @@ def _nearest_small(points, sites, levels, lon, lat) -> DataFrame:
         dictionary = (
             _filed(sites, level)
             .groupBy(F.col("cell").alias("__cell"))
-            .agg(F.collect_list(F.struct("fx", "fy", "fid")).alias("__near"))
+            .agg(F.collect_list(F.struct("fx", "fy", "fid", "ux", "uy", "uz")).alias("__near"))
         )
         # a settled point asks with a null key and so carries no candidates along
         out = out.withColumn("__cell", F.when(F.col("__open"), grid.quad_cell(x, y, level)))
         out = out.join(F.broadcast(dictionary), "__cell", "left")
-        here = F.array_min(
-            F.transform(
-                "__near",
-                lambda f: F.struct(
-                    F.round(G.haversine_m(x, y, f["fx"], f["fy"]), 3).alias("m"), f["fid"].alias("fid")
-                ),
-            )
-        )
+        here = _best_of(F.col("__near"), x, y)
         out = out.withColumn("__best", F.when(F.col("__open"), here).otherwise(F.col("__best")))
         settled = F.coalesce(F.col("__best")["m"] <= _safe_radius(y, level), F.lit(False))
         out = out.withColumn("__open", F.col("__open") & ~settled).drop("__cell", "__near")
@@ -473,29 +509,33 @@ def within_distance(
     sites = located.groupBy(F.col(f_lon).alias("fx"), F.col(f_lat).alias("fy")).agg(
         F.min(key).alias("fid"), F.count(F.lit(1)).alias("k")
     )
-    filed = sites.withColumn("cell", F.explode(_disc_cells(F.col("fx"), F.col("fy"), radius_m, level)))
+    filed = _with_vectors(sites).withColumn("cell", F.explode(_disc_cells(F.col("fx"), F.col("fy"), radius_m, level)))
     filed = materialize(filed, "discs")
     x, y = F.col(lon), F.col(lat)
     names = ["facilities_within", "nearest_id", "nearest_m"]
     if fits_broadcast(filed, max_bytes):
         dictionary = filed.groupBy(F.col("cell").alias("__cell")).agg(
-            F.collect_list(F.struct("fx", "fy", "fid", "k")).alias("__near")
+            F.collect_list(F.struct("fx", "fy", "fid", "k", "ux", "uy", "uz")).alias("__near")
         )
         located_points = points.where(_located(x, y))
         out = located_points.withColumn("__cell", grid.quad_cell(x, y, level)).join(
             F.broadcast(dictionary), "__cell", "inner"
         )
-        measured = F.transform(
-            "__near",
-            lambda f: F.struct(
-                F.round(G.haversine_m(x, y, f["fx"], f["fy"]), 3).alias("m"),
-                f["fid"].alias("fid"),
-                f["k"].alias("k"),
-            ),
-        )
-        out = out.withColumn("__in", F.filter(measured, lambda f: f["m"] <= radius_m))
-        out = out.where(F.size("__in") > 0).withColumn("__best", F.array_min("__in"))
-        total = F.aggregate("__in", F.lit(0).cast("bigint"), lambda s, f: s + f["k"])
+        angle = min(radius_m / G.EARTH_RADIUS_M, math.pi)
+        limit = math.cos(angle) - _COSINE_ERROR - 2 * _TWO_MM * math.sin(angle / 2)
+
+        def in_reach(u):
+            contenders = F.filter("__near", lambda f: G.cosine(f, u) >= F.lit(limit))
+            measured = F.transform(contenders, lambda f: _measured(f, x, y, "k"))
+            return F.filter(measured, lambda f: f["m"] <= radius_m)
+
+        def summed(found):
+            total = F.aggregate(found, F.lit(0).cast("bigint"), lambda s, f: s + f["k"])
+            return F.struct(total.alias("__k"), F.array_min(found).alias("__best"))
+
+        found = F.array(_bind(G.unit_vector(x, y), in_reach))
+        rows = F.transform(F.filter(found, lambda a: F.size(a) > 0), summed)
+        out = out.select(*points.columns, F.inline(rows))
     else:
         places = points.where(_located(x, y)).select(lon, lat).distinct()
         metres = F.round(G.haversine_m(x, y, F.col("fx"), F.col("fy")), 3)
@@ -508,6 +548,5 @@ def within_distance(
             .agg(F.sum("k").alias("__k"), F.min(F.struct("m", "fid")).alias("__best"))
         )
         out = skew_join(points, reach, [lon, lat], "inner", rows_per_task)
-        total = F.col("__k")
-    values = [total, F.col("__best")["fid"], F.col("__best")["m"]]
+    values = [F.col("__k"), F.col("__best")["fid"], F.col("__best")["m"]]
     return out.select(*points.columns, *[v.alias(n) for v, n in zip(values, names)])
