@@ -342,7 +342,7 @@ def _with_vectors(sites: DataFrame) -> DataFrame:
 
 
 #: A search starts where no cell holds more sites than this.
-MAX_SITES_PER_CELL = 8
+MAX_SITES_PER_CELL = 4
 
 
 def _search_plan(sites: DataFrame) -> tuple[int, list[int]]:
@@ -367,9 +367,7 @@ def _search_plan(sites: DataFrame) -> tuple[int, list[int]]:
     seen = {r["n"]: r for r in occupied}
     calm = [n for n in searched if seen[n]["densest"] <= MAX_SITES_PER_CELL]
     start = min(calm, default=searched[0])
-    # most callers settle at once, so the first steps are small and the later ones large
-    steps = {start, start - 1, start - 2, *range(start - 4, 0, -2)}
-    levels = [n for n in searched if n in steps and seen[n]["cells"] > 9]
+    levels = [n for n in range(start, 0, -2) if seen[n]["cells"] > 4 * 9]
     return int(occupied[0]["bytes"]), levels + [0]
 
 
