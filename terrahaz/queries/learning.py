@@ -66,7 +66,7 @@ def hazard_labels(spark, sf):
 
 
 def _training(spark, sf):
-    """Features with labels; the two targets the reference draws at random come from data."""
+    """Features with labels; bed demand and ambulance calls are computed from the rows."""
     df = M.hazard_labels(M.hazard_features(stacked(spark, sf)), noise_key="row_key")
     bed = C.clip(F.lit(30.0) + F.col("earthquake_magnitude") * 10 + F.col("complaint_severity") * 4, 10.0, 80.0)
     calls = C.clip(F.lit(8.0) + F.col("wind_normalized") * 6 + F.col("is_311") * 3, 2.0, 30.0)

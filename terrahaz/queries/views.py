@@ -235,7 +235,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def haversine_sql(lon1: str, lat1: str, lon2: str, lat2: str) -> str:
-    """Distance by the oracle, from the angle between unit vectors' chord."""
+    """Great-circle metres, rounded to millimetres, as SQL text."""
     a = (
         f"power(sin(radians({lat2}-{lat1})/2),2)"
         f"+cos(radians({lat1}))*cos(radians({lat2}))*power(sin(radians({lon2}-{lon1})/2),2)"
