@@ -17,7 +17,6 @@ as they come; strings of special tokens follow the tokenizer file; no rows give
 
 from __future__ import annotations
 
-import base64
 import os
 from functools import lru_cache
 
@@ -27,6 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from terrahaz.llm import tables
+from terrahaz.llm.bpe_monoid import codec
 
 WINDOW = 1024
 CHUNK = 512
@@ -37,9 +37,16 @@ PACKED = 1 << 61
 _PIECES = "seq long, id {id}, start long, doc_tokens long, whole boolean, sig long, ids binary"
 
 
+#: Stretches remembered per worker before the memory is emptied.
+REMEMBERED = 1 << 19
+
+
 class Encoder:
-    """Ids of ``tokenizer_file``. Where the same vocabulary is also given as ranks with its split
-    pattern, texts without special tokens are encoded by those: the same ids, sooner."""
+    """Ids of ``tokenizer_file`` as little-endian unsigned 32-bit bytes. Where the same vocabulary is
+    also given as ranks with its split pattern, texts without special tokens are encoded by those:
+    the same ids, sooner. Merges never cross a place between a visible character and a space
+    (``bpe_monoid``), so a text is the concatenation of the stretches between such places, and
+    stretches seen before are looked up."""
 
     def __init__(self, tokenizer_file: str, ranks_file: str | None = None, pattern: str | None = None):
         from tokenizers import Tokenizer
@@ -48,18 +55,33 @@ class Encoder:
         self.slow = Tokenizer.from_file(tokenizer_file)
         self.special = [t.content for t in self.slow.get_added_tokens_decoder().values()]
         self.size = self.slow.get_vocab_size()
-        self.fast = None
-        if ranks_file:
-            import tiktoken
-
-            with open(ranks_file, "rb") as f:
-                ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
-            self.fast = tiktoken.Encoding("ranks", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
-
-    def __call__(self, text: str) -> np.ndarray:
+        self.fast = codec(ranks_file, pattern).encode_ordinary if ranks_file else None
+        self.known: dict[str, bytes] = {}
+
+    def _stretch(self, word: str) -> bytes:
+        """Ids of a blank and ``word``; LookupError where the next blank may be part of a piece."""
+        if not word or word[-1].isspace():
+            raise LookupError
+        if len(self.known) >= REMEMBERED:
+            self.known.clear()
+        ids = np.array(self.fast(" " + word), dtype="<u4").tobytes()
+        if len(word) < 64:
+            self.known[word] = ids
+        return ids
+
+    def __call__(self, text: str) -> bytes:
         if self.fast is None or any(s in text for s in self.special):
-            return np.array(self.slow.encode(text, add_special_tokens=False).ids, dtype=np.uint32)
-        return np.array(self.fast.encode_ordinary(text), dtype=np.uint32)
+            return np.array(self.slow.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
+        first, *words = text.split(" ")
+        if words and first and not first[-1].isspace():
+            get, make, last = self.known.get, self._stretch, words.pop()  # what ends the text may end in blanks
+            try:
+                middle = [get(w) or make(w) for w in words]
+                ends = [np.array(self.fast(x), dtype="<u4").tobytes() for x in (first, " " + last)]
+                return b"".join([ends[0], *middle, ends[1]])
+            except LookupError:
+                pass
+        return np.array(self.fast(text), dtype="<u4").tobytes()
 
 
 def signature(ids: np.ndarray) -> int:
@@ -71,11 +93,11 @@ def pieces(df: DataFrame, encoder, id_col: str, text_col: str, window: int, end_
     id_type = df.schema[id_col].dataType.simpleString()
 
     def run(batches):
-        encode, n = encoder(), TaskContext.get().partitionId() << 33
+        encode, n, closing = encoder(), TaskContext.get().partitionId() << 33, end_id.to_bytes(4, "little")
         for b in batches:
             out = {c: [] for c in ("seq", "id", "start", "doc_tokens", "whole", "sig", "ids")}
             for key, body in zip(b["id"].to_pylist(), b["body"].to_pylist(), strict=True):
-                ids = np.append(encode(body.decode("utf-8", "replace")), np.uint32(end_id)).astype("<u4")
+                ids = np.frombuffer(encode(body.decode("utf-8", "replace")) + closing, dtype="<u4")
                 for start in range(0, len(ids), window):
                     part = ids[start : start + window]
                     whole = len(part) == window
@@ -91,10 +113,10 @@ def token_frequencies(units: DataFrame, vocabulary: int) -> np.ndarray:
     """In how many units each token occurs, over all units: one number per vocabulary entry."""
 
     def run(batches):
-        seen = np.zeros(vocabulary, dtype=np.int64)
+        seen, last = np.zeros(vocabulary, dtype=np.int64), np.zeros(vocabulary, dtype=np.int64)
         for b in batches:
             for raw in b["ids"].to_pylist():
-                seen[np.unique(np.frombuffer(raw, "<u4"))] += 1
+                seen[distinct(np.frombuffer(raw, "<u4"), last)] += 1
         at = np.flatnonzero(seen)
         yield {"token": at, "n": seen[at]}
 
@@ -104,28 +126,33 @@ def token_frequencies(units: DataFrame, vocabulary: int) -> np.ndarray:
     return total
 
 
+def distinct(ids: np.ndarray, last: np.ndarray) -> np.ndarray:
+    """The different ids, each once; ``last`` is working space as long as the vocabulary."""
+    at = np.arange(len(ids))
+    last[ids] = at
+    return ids[last[ids] == at]
+
+
 class Index:
     """BM25 inverted index over the units of one chunk."""
 
     def __init__(self, units: list[np.ndarray], idf: np.ndarray, mean_length: float):
+        self.last = np.zeros(len(idf), dtype=np.int64)
         lengths = np.array([len(u) for u in units])
         unit = np.repeat(np.arange(len(units)), lengths)
         pair, count = np.unique((np.concatenate(units).astype(np.int64) << 20) | unit, return_counts=True)
         token, self.unit = pair >> 20, pair & 0xFFFFF
         self.weight = idf[token] * count * (K1 + 1) / (count + K1 * (1 - B + B * lengths[self.unit] / mean_length))
-        self.tokens, first = np.unique(token, return_index=True)
-        self.first, self.last = first, np.append(first[1:], len(token))
-        self.n = len(units)
+        size = np.bincount(token, minlength=len(idf))
+        self.size, self.first, self.n = size, np.cumsum(size) - size, len(units)
 
     def scores(self, seed: np.ndarray) -> np.ndarray:
-        terms = np.unique(seed)
-        at = np.searchsorted(self.tokens, terms)
-        at = at[at < len(self.tokens)]
-        at = at[np.isin(self.tokens[at], terms)]
-        size = self.last[at] - self.first[at]
-        if not size.sum():
+        terms = distinct(seed, self.last)
+        size = self.size[terms]
+        ends = np.cumsum(size)
+        if not len(ends) or not ends[-1]:
             return np.zeros(self.n)
-        where = np.arange(size.sum()) + np.repeat(self.first[at] - np.cumsum(size) + size, size)
+        where = np.arange(ends[-1]) + np.repeat(self.first[terms] - ends + size, size)
         return np.bincount(self.unit[where], weights=self.weight[where], minlength=self.n)
 
 
