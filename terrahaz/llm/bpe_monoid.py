@@ -33,6 +33,8 @@ from terrahaz.llm import tables
 LEAF_CHARS = 8192
 SEGMENT_CHARS = 1 << 20
 WINDOW = 64
+#: Rows a task turns into ids at a time.
+ROWS = 256
 BOUNDARY = re.compile(r"\S(?=[ \n])")
 
 
@@ -94,17 +96,20 @@ def decode_tree(codec_, ids, leaf_ids: int = 4096) -> bytes:
     return decode_tree(codec_, ids[:half], leaf_ids) + decode_tree(codec_, ids[half:], leaf_ids)
 
 
-def _encode_batches(batches, ranks_file, pattern, leaf_chars):
-    c = codec(ranks_file, pattern)
-    for b in batches:
-        ids = [encode_tree(c, x.decode("utf-8", "replace"), leaf_chars) for x in b["body"].to_pylist()]
-        yield {n: a for n, a in b.items()} | {"ids": _lists(ids)}
+def _slices(batch: dict, rows: int = ROWS):
+    """A batch in parts of at most ``rows`` rows: ids take several times the room of their text."""
+    n = len(next(iter(batch.values())))
+    for i in range(0, n, rows):
+        yield {name: column.slice(i, rows) for name, column in batch.items()}
 
 
-def _lists(ids: list[list[int]]) -> pa.Array:
-    ends = np.cumsum([0, *map(len, ids)], dtype=np.int32)
-    flat = np.fromiter((i for x in ids for i in x), dtype=np.int32, count=int(ends[-1]))
-    return pa.ListArray.from_arrays(pa.array(ends, type=pa.int32()), pa.array(flat))
+def _encode_batches(batches, ranks_file, pattern, leaf_chars):
+    c = codec(ranks_file, pattern)
+    for batch in batches:
+        for b in _slices(batch):
+            ids = [np.array(encode_tree(c, x.decode("utf-8", "replace"), leaf_chars), dtype=np.int32) for x in b["body"].to_pylist()]
+            ends = np.cumsum([0, *map(len, ids)], dtype=np.int32)
+            yield b | {"ids": pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(ids)))}
 
 
 def _join_groups(rows: pa.Table, ranks_file, pattern) -> pa.Table:
@@ -161,7 +166,12 @@ def decode(df: DataFrame, ranks_file: str, pattern: str, ids_col: str = "ids", o
 
     def run(batches):
         c = codec(ranks_file, pattern)
-        for b in batches:
-            yield dict(b) | {out_col: [decode_tree(c, x or []) for x in b[ids_col].to_pylist()]}
+        for batch in batches:
+            for b in _slices(batch):
+                ids = b[ids_col]
+                flat, ends = ids.values.to_numpy(zero_copy_only=False), ids.offsets.to_numpy()
+                null = ids.is_null().to_numpy(zero_copy_only=False)
+                texts = [b"" if z else decode_tree(c, flat[i:j].tolist()) for i, j, z in zip(ends[:-1], ends[1:], null, strict=True)]
+                yield b | {out_col: texts}
 
     return tables.map_batches(df, f"{types}, `{out_col}` binary", run)
