@@ -87,8 +87,10 @@ def add_lineage(df: DataFrame, source: str, crs: str = "EPSG:4326") -> DataFrame
 
 
 def surrogate_uuid(*columns) -> Column:
-    """Stable row identity from the natural key; the same after a retry."""
-    return F.sha2(F.concat_ws("|", *[F.col(c).cast("string") if isinstance(c, str) else c for c in columns]), 256)
+    """Stable row identity from the natural key; the same after a retry. Parts are written with
+    their length and nulls as a dash, so different keys never read alike."""
+    parts = [(F.col(c) if isinstance(c, str) else c).cast("string") for c in columns]
+    return F.sha2(F.concat(*[F.coalesce(F.concat(F.length(p).cast("string"), F.lit(":"), p), F.lit("-")) for p in parts]), 256)
 
 
 def flag_quality(df: DataFrame, lat: str = "latitude", lon: str = "longitude") -> DataFrame:

@@ -179,6 +179,19 @@ def extract_native(df: DataFrame, text: str) -> DataFrame:
     )
 
 
+def _answer(replies: list, at: int, failed: str | None) -> tuple:
+    """(reply, prompt tokens, completion tokens, error) of one prompt; a reply that is missing or
+    malformed gets the default and says so, and costs no other prompt anything."""
+    if failed is None:
+        try:
+            reply = replies[at]
+            text, counts = reply.get("response"), [int(reply.get(f) or 0) for f in ("prompt_tokens", "completion_tokens")]
+            return ("[]" if text is None else str(text)), *counts, None
+        except Exception as e:  # noqa: BLE001 - whatever the model sent becomes data
+            failed = f"malformed reply: {type(e).__name__}: {e}"
+    return "[]", 0, 0, failed
+
+
 def batch_extract(
     df: DataFrame, text: str, call: Callable[[list[str]], list[dict]], key: str
 ) -> DataFrame:
@@ -202,15 +215,14 @@ def batch_extract(
             if filled.any():
                 prompts, started = batch.loc[filled, "prompt"].tolist(), time.time()
                 try:
-                    answers, error = call(prompts), None
+                    got, failed = list(call(prompts)), None
                 except Exception as failure:  # noqa: BLE001 - any model failure becomes data
-                    answers, error = [{"response": "[]"} for _ in prompts], str(failure)
+                    got, failed = [], str(failure)
+                answers = [_answer(got, i, failed) for i in range(len(prompts))]
                 out.loc[filled, "latency"] = (time.time() - started) / len(prompts)
-                out.loc[filled, "status"] = "success" if error is None else "error"
-                out.loc[filled, "error"] = error
-                out.loc[filled, "reply"] = [a.get("response", "[]") for a in answers]
-                for field in ("prompt_tokens", "completion_tokens"):
-                    out.loc[filled, field] = [int(a.get(field, 0)) for a in answers]
+                for at, field in enumerate(("reply", "prompt_tokens", "completion_tokens", "error")):
+                    out.loc[filled, field] = [a[at] for a in answers]
+                out.loc[filled, "status"] = ["success" if a[3] is None else "error" for a in answers]
             yield out
 
     asked = df.select(key, F.col(text).alias("prompt"))

@@ -6,6 +6,7 @@ no row on the driver: Spark ML aggregates split statistics.
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass, field
 
 from pyspark.ml import Pipeline, PipelineModel
@@ -167,8 +168,9 @@ def run_log(spark: SparkSession, trained: Trained, path: str, model_path: str |
     if model_path is not None:
         trained.model.write().overwrite().save(model_path)
     values = trained.metrics.drop("model").first().asDict()
-    rows = [(trained.spec.name, "param", k, str(v), None) for k, v in trained.params.items()]
-    rows += [(trained.spec.name, "metric", k, None, None if v is None else float(v)) for k, v in values.items()]
-    table = spark.createDataFrame(rows, "model string, kind string, name string, text string, value double")
+    run = uuid.uuid4().hex
+    rows = [(run, trained.spec.name, "param", k, str(v), None) for k, v in trained.params.items()]
+    rows += [(run, trained.spec.name, "metric", k, None, None if v is None else float(v)) for k, v in values.items()]
+    table = spark.createDataFrame(rows, "run_id string, model string, kind string, name string, text string, value double")
     table.withColumn("logged_at", F.current_timestamp()).coalesce(1).write.mode("append").parquet(path)
     return table

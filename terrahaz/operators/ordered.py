@@ -14,6 +14,9 @@ it never decides which rows take part.
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
+
 import json
 
 from pyspark.sql import Column, DataFrame, Window
@@ -292,9 +295,11 @@ def mean_duration(
     """rate(sum) / rate(count): mean duration over the trailing window; null without calls."""
     sums = counter_rate(df, keys, time_us, total, window_seconds, rows_per_range)
     counts = counter_rate(df, keys, time_us, count, window_seconds, rows_per_range)
-    joined = sums.withColumnRenamed("rate", "__sum").join(
-        counts.withColumnRenamed("rate", "__count"), [*keys, time_us]
-    )
+    # null keys are a series like any other
+    names = {k: f"__{i}" for i, k in enumerate([*keys, time_us])}
+    counts = counts.select(*[F.col(k).alias(n) for k, n in names.items()], F.col("rate").alias("__count"))
+    same = reduce(and_, [F.col(k).eqNullSafe(F.col(n)) for k, n in names.items()])
+    joined = sums.withColumnRenamed("rate", "__sum").join(counts, same)
     mean = F.try_divide(F.col("__sum"), F.col("__count"))
     return joined.select(*keys, time_us, mean.alias("mean_seconds"))
 
@@ -312,7 +317,9 @@ def alert_intervals(
     A stretch is named by the last sample before it that was not firing, so finding it
     takes one scan and the stretches themselves are a plain aggregate.
     """
-    state = df.withColumn("__on", F.coalesce(firing, F.lit(False)))
+    # samples at one time count as one: it fires if all of them do
+    state = df.withColumn("__on", F.coalesce(firing, F.lit(False))).groupBy(*keys, time_us).agg(
+        F.bool_and("__on").alias("__on"), F.count(F.lit(1)).alias("__samples"))
     scanned = last_known(
         state, keys, [time_us], F.when(~F.col("__on"), F.col(time_us)), "__off",
         rows_per_range=rows_per_range,
@@ -323,7 +330,7 @@ def alert_intervals(
         .agg(
             F.min(time_us).alias("start_us"),
             F.max(time_us).alias("end_us"),
-            F.count(F.lit(1)).alias("samples"),
+            F.sum("__samples").alias("samples"),
         )
         .drop("__off")
     )
@@ -361,7 +368,7 @@ def hash_bucket(key: Column, seed: int, buckets: int) -> Column:
 
 def split_by_hash(df: DataFrame, key: str, seed: int = 42, test_percent: int = 20) -> DataFrame:
     """Add ``is_test``; the same key always lands on the same side."""
-    return df.withColumn("is_test", hash_bucket(F.col(key), seed, 100) < F.lit(test_percent))
+    return df.withColumn("is_test", F.coalesce(hash_bucket(F.col(key), seed, 100) < F.lit(test_percent), F.lit(False)))
 
 
 def stratified_split(
@@ -370,30 +377,31 @@ def stratified_split(
     """Exactly ``floor(test_fraction * n)`` test rows per label, by hash order of the key.
 
     The cut is found from a histogram of hash buckets per label. Buckets below it are
-    in, buckets above are out, and only rows of the cut bucket itself are ranked.
+    in, buckets above are out, and only rows of the cut bucket itself are ranked. A null
+    label is a label; a null key is hashed as an empty one.
     """
-    digest = F.sha2(F.concat(F.col(key).cast("string"), F.lit(f"|{seed}")), 256)
+    digest = F.sha2(F.concat(F.coalesce(F.col(key).cast("string"), F.lit("")), F.lit(f"|{seed}")), 256)
     bucket = F.conv(F.substring(digest, 1, 8), 16, 10).cast("bigint") % F.lit(grain)
     # order inside the cut bucket continues with the digest itself
-    hashed = df.withColumn("__b", bucket).withColumn("__d", digest)
-    counts = hashed.groupBy(label, "__b").agg(F.count(F.lit(1)).alias("__n"))
+    hashed = df.withColumn("__b", bucket).withColumn("__d", digest).withColumn("__l", F.to_json(F.struct(label)))
+    counts = hashed.groupBy("__l", "__b").agg(F.count(F.lit(1)).alias("__n"))
     # at most grain rows per label from here on
-    upto = Window.partitionBy(label).orderBy("__b").rowsBetween(Window.unboundedPreceding, 0)
-    whole = Window.partitionBy(label)
+    upto = Window.partitionBy("__l").orderBy("__b").rowsBetween(Window.unboundedPreceding, 0)
+    whole = Window.partitionBy("__l")
     cut = (
         counts.withColumn("__upto", F.sum("__n").over(upto))
         .withColumn("__want", F.floor(F.sum("__n").over(whole) * F.lit(test_fraction)))
         .where(F.col("__upto") > F.col("__want"))
-        .groupBy(label)
+        .groupBy("__l")
         .agg(
             F.min("__b").alias("__cut"),
             F.min_by(F.col("__want") - (F.col("__upto") - F.col("__n")), F.col("__b")).alias("__take"),
         )
     )
-    marked = join_dim(hashed, cut, [label], "left")
-    at_cut = F.col("__b") == F.col("__cut")
-    inside = Window.partitionBy(label, "__b").orderBy("__d", key)
+    marked = join_dim(hashed, cut, ["__l"], "left")
+    at_cut = F.coalesce(F.col("__b") == F.col("__cut"), F.lit(False))
+    inside = Window.partitionBy("__l", "__b").orderBy("__d", key)
     ranked = marked.where(at_cut).withColumn("__rank", F.row_number().over(inside))
-    decided = marked.where(~at_cut).withColumn("is_test", F.col("__b") < F.col("__cut"))
+    decided = marked.where(~at_cut).withColumn("is_test", F.coalesce(F.col("__b") < F.col("__cut"), F.lit(True)))  # no cut: all are test rows
     picked = ranked.withColumn("is_test", F.col("__rank") <= F.col("__take")).drop("__rank")
-    return decided.unionByName(picked).drop("__b", "__d", "__cut", "__take")
+    return decided.unionByName(picked).drop("__b", "__d", "__l", "__cut", "__take")

@@ -130,7 +130,10 @@ def polygon_index(
     The table is written once under the shared folder, so measuring it, using it at
     every level and running a lost task again never parse the geometry a second time.
     """
-    entries = materialize(polygon_entries(polygons, key, geom, attrs), "polygon-index")
+    # a polygon becomes up to hundreds of rows: spread them before, a small file is one partition
+    conf = polygons.sparkSession.conf.get("spark.sql.shuffle.partitions")
+    spread = polygons.repartition(max(int(conf), polygons.sparkSession.sparkContext.defaultParallelism), key)
+    entries = materialize(polygon_entries(spread, key, geom, attrs), "polygon-index")
     width = F.lit(64) + F.size("edges") * 40 + F.length(F.to_json("item"))
     row = entries.agg(
         F.sort_array(F.collect_set("level")).alias("levels"),

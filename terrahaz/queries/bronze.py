@@ -246,21 +246,20 @@ def write_partitioned(spark, sf):
 def write_versioned(spark, sf):
     path = scratch(spark, "versioned")
     osm = V.view(spark, sf, "fx_osm").select("osm_id", "facility_type")
-    sinks.write_versioned(osm.limit(0), path)
+    sinks.write_versioned(osm, path)
     sinks.write_versioned(osm, path)
     return sinks.read_version(spark, path)
 
 
 @query(
     "export_gold_parquet",
-    "SELECT hazard_type, count(*) AS n FROM (SELECT CASE facility_type WHEN 'fire_station' THEN 'fire' WHEN 'hospital' THEN 'medical' WHEN 'clinic' THEN 'hazmat' ELSE 'medical' END AS hazard_type FROM fx_osm UNION ALL SELECT 'fire' FROM fx_quakes) GROUP BY 1",
+    "SELECT hazard_type, count(*) AS n FROM (SELECT CASE facility_type WHEN 'fire_station' THEN 'fire' WHEN 'hospital' THEN 'medical' WHEN 'clinic' THEN 'hazmat' ELSE 'medical' END AS hazard_type FROM fx_osm UNION ALL SELECT 'fire' FROM fx_quakes UNION ALL SELECT CASE WHEN contains(complaint_type,'Noise') THEN 'medical' WHEN contains(complaint_type,'Parking') THEN 'rescue' WHEN contains(complaint_type,'Condition') THEN 'hazmat' ELSE 'rescue' END FROM fx_311 WHERE latitude IS NOT NULL) GROUP BY 1",
 )
 def export_gold_parquet(spark, sf):
     from terrahaz.operators.aggregate import fact_union
 
     path = scratch(spark, "gold")
-    nothing = V.view(spark, sf, "fx_311").where("false")
-    fact = fact_union(gold.silver_quakes(V.view(spark, sf, "fx_quakes")), gold.silver_311(nothing), gold.silver_osm(V.view(spark, sf, "fx_osm")))
+    fact = fact_union(gold.silver_quakes(V.view(spark, sf, "fx_quakes")), gold.silver_311(V.view(spark, sf, "fx_311")), gold.silver_osm(V.view(spark, sf, "fx_osm")))
     sinks.write_table(fact, path)
     return spark.read.parquet(path).groupBy("hazard_type").agg(F.count("*").alias("n"))
 

@@ -104,7 +104,7 @@ V.SQL_VIEWS["fx_fact"] = f"""SELECT 'us_accidents' AS source_system, ID AS event
  FROM fx_311 WHERE latitude IS NOT NULL"""
 V.SQL_VIEWS["fx_fact_hits"] = (
     "SELECT f.source_system AS source_system, f.event_id AS event_id, min(n.neighborhood_id) AS neighborhood_id FROM fx_fact f JOIN fx_nbhd n ON "
-    + V.inside_sql("f.longitude", "f.latitude", "n.x0", "n.y0") + " GROUP BY 1,2"
+    + V.inside_sql("f.longitude", "f.latitude", "n") + " GROUP BY 1,2"
 )
 _HAV = V.haversine_sql("f.longitude", "f.latitude", "o.longitude", "o.latitude")
 for _kind in gold.DIM_CATEGORIES:
@@ -200,12 +200,12 @@ def sparse_tables(spark, sf):
     "merge_records",
     """SELECT coalesce(n.k,o.k) AS k, coalesce(n.v,o.v) AS v, coalesce(n.t,o.t) AS t FROM
     (SELECT c_custkey AS k, c_acctbal AS v, c_mktsegment AS t FROM customer WHERE c_custkey%3<>0) o FULL OUTER JOIN
-    (SELECT c_custkey AS k, CASE WHEN c_custkey%4=0 THEN NULL ELSE c_acctbal+1 END AS v, 'new' AS t FROM customer WHERE c_custkey%2=0) n ON o.k=n.k""",
+    (SELECT c_custkey AS k, CASE WHEN c_custkey%4=0 THEN NULL ELSE c_acctbal+1 END AS v, 'new' AS t FROM customer WHERE c_custkey%2=0 OR c_custkey%3=0) n ON o.k=n.k""",
 )
 def merge_records(spark, sf):
     customer = V.table(spark, sf, "customer")
     old = customer.where("c_custkey%3<>0").selectExpr("c_custkey AS k", "c_acctbal AS v", "c_mktsegment AS t")
-    new = customer.where("c_custkey%2=0").selectExpr(
+    new = customer.where("c_custkey%2=0 or c_custkey%3=0").selectExpr(
         "c_custkey AS k", "CASE WHEN c_custkey%4=0 THEN NULL ELSE c_acctbal+1 END AS v", "'new' AS t"
     )
     return A.merge_records(old, new, ["k"])

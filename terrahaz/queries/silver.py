@@ -107,7 +107,7 @@ def add_lineage(spark, sf):
     return P.add_lineage(V.view(spark, sf, "fx_311"), "nyc_311").select("request_id", "source", "data_quality_flag", "crs")
 
 
-@query("surrogate_uuid", "SELECT request_id, sha256('nyc_311|'||request_id) AS uid FROM fx_311")
+@query("surrogate_uuid", "SELECT request_id, sha256('7:nyc_311'||length(request_id)||':'||request_id) AS uid FROM fx_311")
 def surrogate_uuid(spark, sf):
     return V.view(spark, sf, "fx_311").select("request_id", P.surrogate_uuid(F.lit("nyc_311"), "request_id").alias("uid"))
 
@@ -185,7 +185,7 @@ def silver_osm(spark, sf):
     return df.select("osm_id", "geometry.lat", "ai_severity", "ai_hazard_type")
 
 
-@query("silver_neighborhoods", "SELECT neighborhood_id, name, x0+cast(0.04 as double) AS third_x, y0+cast(0.04 as double) AS third_y FROM fx_nbhd")
+@query("silver_neighborhoods", "SELECT neighborhood_id, name, x0+cast(0.04 as double)*sz AS third_x, y0+cast(0.04 as double)*sz AS third_y FROM fx_nbhd")
 def silver_neighborhoods(spark, sf):
     df = gold.silver_neighborhoods(V.neighborhoods(spark, sf))
     corner = F.col("geometry")[0][0][2]
@@ -204,7 +204,7 @@ def silver_flow(spark, sf):
 
 
 def _masked_sql(name: str, fx: str, lon: str, lat: str) -> str:
-    inside = V.inside_sql(f"p.{lon}", f"p.{lat}", "n.x0", "n.y0", strict=False)
+    inside = V.inside_sql(f"p.{lon}", f"p.{lat}", "n", strict=False)
     return f"SELECT '{name}' AS source, count(*) AS n FROM {fx} p WHERE EXISTS (SELECT 1 FROM fx_nbhd n WHERE {inside})"
 
 

@@ -73,8 +73,8 @@ def _candidate_sql(columns: str) -> str:
     )
 
 
-_IN = V.inside_sql("a.Start_Lng", "a.Start_Lat", "n.x0", "n.y0")
-_TOUCH = V.inside_sql("a.Start_Lng", "a.Start_Lat", "n.x0", "n.y0", strict=False)
+_IN = V.inside_sql("a.Start_Lng", "a.Start_Lat", "n")
+_TOUCH = V.inside_sql("a.Start_Lng", "a.Start_Lat", "n", strict=False)
 
 
 @query("st_within", _candidate_sql(f"{_IN} AS is_within"))
@@ -176,9 +176,8 @@ def st_as_geojson(spark, sf):
 
 @query(
     "st_area",
-    # the shape is one parallelogram-like quad with constant offsets: its area is fixed
-    """SELECT neighborhood_id, round(abs((0.04*0.03-0.01*0.01)+(0.05-0.0)*(0.04-0.01)*0+((0.05*0.04-0.04*0.01)+(0.04*0.03-0.01*0.04))*1
-    -(0.04*0.03-0.01*0.01))/2,9)::double AS area FROM fx_nbhd""",
+    # shoelace sum of the corners (0,0) (5,1) (4,4) (1,3) in hundredths, times the polygon's size
+    """SELECT neighborhood_id, round((5*4-4*1+4*3-1*4)/2/10000.0::double*sz*sz,9)::double AS area FROM fx_nbhd""",
 )
 def st_area(spark, sf):
     return V.land(spark, sf).select("neighborhood_id", F.round(G.st_area("geometry"), 9).alias("area"))
@@ -191,7 +190,7 @@ def st_is_valid(spark, sf):
 
 @query(
     "st_envelope",
-    "SELECT neighborhood_id, x0 AS min_x, y0 AS min_y, x0+cast(0.05 as double) AS max_x, y0+cast(0.04 as double) AS max_y FROM fx_nbhd",
+    "SELECT neighborhood_id, x0 AS min_x, y0 AS min_y, x0+cast(0.05 as double)*sz AS max_x, y0+cast(0.04 as double)*sz AS max_y FROM fx_nbhd",
 )
 def st_envelope(spark, sf):
     df = V.land(spark, sf).withColumn("b", G.st_envelope("geometry"))
@@ -210,8 +209,8 @@ def grid_cell(spark, sf):
 
 @query(
     "grid_cover",
-    """WITH b AS (SELECT neighborhood_id, floor(x0/cast(0.02 as double)) AS a, floor((x0+cast(0.05 as double))/cast(0.02 as double)) AS b,
-    floor(y0/cast(0.02 as double)) AS c, floor((y0+cast(0.04 as double))/cast(0.02 as double)) AS d FROM fx_nbhd)
+    """WITH b AS (SELECT neighborhood_id, floor(x0/cast(0.02 as double)) AS a, floor((x0+cast(0.05 as double)*sz)/cast(0.02 as double)) AS b,
+    floor(y0/cast(0.02 as double)) AS c, floor((y0+cast(0.04 as double)*sz)/cast(0.02 as double)) AS d FROM fx_nbhd)
     SELECT neighborhood_id, cast((b-a+1)*(d-c+1) as bigint) AS cells FROM b""",
 )
 def grid_cover(spark, sf):

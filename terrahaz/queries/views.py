@@ -76,11 +76,14 @@ VIEWS: dict[str, tuple[str, str | None, list[tuple[str, str]]]] = {
         ("longitude", _lon("c_custkey", 37)),
         ("operator", "c_mktsegment"),
     ]),
-    "fx_nbhd": ("part", "p_partkey<195", [
+    # one overlapping polygon per part, every fortieth ten times as wide; corners lie off the grid of
+    # the points, so no point falls on an edge by rounding
+    "fx_nbhd": ("part", None, [
         ("neighborhood_id", "p_partkey"),
         ("name", "p_name"),
-        ("x0", f"{_d(-74.3)}+(p_partkey%15)*{_d(0.04)}"),
-        ("y0", f"{_d(40.5)}+floor(p_partkey/{_d(15)})*{_d(0.0385)}"),
+        ("x0", f"{_d(-74.29997)}+((p_partkey*7919)%6000)/{_d(10000)}"),
+        ("y0", f"{_d(40.50007)}+((p_partkey*104729)%5000)/{_d(10000)}"),
+        ("sz", f"case when p_partkey%40=0 then {_d(1)} else {_d(0.1)} end"),
     ]),
     "fx_weather": ("events", "event_type='signup'", [
         ("obs_id", "event_id"),
@@ -187,25 +190,26 @@ def _sql(name: str) -> str:
 
 SQL_VIEWS: dict[str, str] = {name: _sql(name) for name in VIEWS}
 
-# corners of a neighborhood polygon, as offsets from (x0, y0)
+# corners of a neighborhood polygon, as offsets from (x0, y0) in units of sz
 CORNERS = [(0.0, 0.0), (0.05, 0.01), (0.04, 0.04), (0.01, 0.03)]
 
 
-def _corner(x0: str, y0: str, i: int) -> tuple[str, str]:
+def _corner(shape: str, i: int) -> tuple[str, str]:
     dx, dy = CORNERS[i % 4]
-    x = x0 if dx == 0 else f"({x0}+{_d(dx)})"
-    y = y0 if dy == 0 else f"({y0}+{_d(dy)})"
+    x = f"{shape}x0" if dx == 0 else f"({shape}x0+{_d(dx)}*{shape}sz)"
+    y = f"{shape}y0" if dy == 0 else f"({shape}y0+{_d(dy)}*{shape}sz)"
     return x, y
 
 
-def inside_sql(px: str, py: str, x0: str, y0: str, strict: bool = True) -> str:
+def inside_sql(px: str, py: str, alias: str, strict: bool = True) -> str:
     """The corners run counter-clockwise and the shape is convex, so inside means left of
     every edge. This is the oracle's own formulation, not the ray cast."""
     tests = []
     for i in range(4):
-        (x1, y1), (x2, y2) = _corner(x0, y0, i), _corner(x0, y0, i + 1)
+        (x1, y1), (x2, y2) = _corner(f"{alias}.", i), _corner(f"{alias}.", i + 1)
         tests.append(f"({x2}-{x1})*({py}-{y1})-({px}-{x1})*({y2}-{y1}) {'>' if strict else '>='} 0")
-    box = f"{px} between {x0} and {x0}+{_d(0.05)} and {py} between {y0} and {y0}+{_d(0.04)}"
+    n = alias
+    box = (f"{px} between {n}.x0 and {n}.x0+{_d(0.05)}*{n}.sz and {py} between {n}.y0 and {n}.y0+{_d(0.04)}*{n}.sz")
     return f"({box} and {' and '.join(tests)})"
 
 
@@ -213,7 +217,7 @@ def geojson_sql() -> str:
     """Polygon text of a neighborhood, for Spark."""
     spots = []
     for i in range(5):
-        x, y = _corner("x0", "y0", i)
+        x, y = _corner("", i)
         spots.append(f"'[', {x}, ',', {y}, ']'")
     body = ", ',', ".join(spots)
     return f"concat('{{\"type\":\"Polygon\",\"coordinates\":[[', {body}, ']]}}')"
@@ -250,11 +254,11 @@ def micros(c: str):
 # located pairs for the oracles: accident or 311 request inside a neighborhood
 SQL_VIEWS["fx_hits"] = (
     "SELECT a.ID AS ID, n.neighborhood_id AS neighborhood_id FROM fx_accidents a JOIN fx_nbhd n ON "
-    + inside_sql("a.Start_Lng", "a.Start_Lat", "n.x0", "n.y0")
+    + inside_sql("a.Start_Lng", "a.Start_Lat", "n")
 )
 SQL_VIEWS["fx_hits_311"] = (
     "SELECT a.request_id AS request_id, n.neighborhood_id AS neighborhood_id FROM fx_311 a JOIN fx_nbhd n ON "
-    + inside_sql("a.longitude", "a.latitude", "n.x0", "n.y0")
+    + inside_sql("a.longitude", "a.latitude", "n")
 )
 SQL_VIEWS["fx_first_311"] = "SELECT request_id, min(neighborhood_id) AS neighborhood_id FROM fx_hits_311 GROUP BY request_id"
 SQL_VIEWS["fx_first"] = "SELECT ID, min(neighborhood_id) AS neighborhood_id FROM fx_hits GROUP BY ID"

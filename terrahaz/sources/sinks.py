@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -23,7 +24,7 @@ def write_partitioned(df: DataFrame, path: str, by: list[str], mode: str = "over
     The table is replaced as a whole (its schema may change). The rows going in are
     counted by the write itself; the rows found are counted from file footers.
     """
-    before = df.sparkSession.read.parquet(path).count() if mode == "append" else 0
+    before = _rows_at(df.sparkSession, path) if mode == "append" else 0
     seen = Observation()
     counted = df.observe(seen, F.count(F.lit(1)).alias("rows"))
     writer = counted.write.mode(mode).partitionBy(*by).option("compression", "snappy")
@@ -34,6 +35,16 @@ def write_partitioned(df: DataFrame, path: str, by: list[str], mode: str = "over
     return written
 
 
+def _rows_at(spark: SparkSession, path: str) -> int:
+    """Rows of a Parquet table, 0 where there is none yet."""
+    try:
+        return spark.read.parquet(path).count()
+    except AnalysisException as e:
+        if e.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            raise
+        return 0
+
+
 def write_versioned(df: DataFrame, path: str, fmt: str = "parquet") -> int:
     """Keep history. Formats with their own log (``delta``) are passed through; plain
     Parquet gets one ``_v=N`` directory per version."""
@@ -158,7 +169,8 @@ def write_quarantine(df: DataFrame, path: str, score: str, limit: float = 3.0) -
     """Both sides from one evaluation: a single write partitioned by the verdict."""
     good = F.coalesce(F.col(score) >= limit, F.lit(False))
     verdict = F.when(good, "passed").otherwise("quarantined")
-    df.withColumn("verdict", verdict).write.mode("overwrite").partitionBy("verdict").parquet(path)
+    writer = df.withColumn("verdict", verdict).write.mode("overwrite").partitionBy("verdict")
+    writer.option("partitionOverwriteMode", "static").parquet(path)  # no side of an earlier run stays
 
 
 def write_run_metrics(
@@ -173,10 +185,17 @@ def write_run_metrics(
         F.count(F.lit(1)).alias("records"),
         F.coalesce(F.sum(F.when(is_error, 1).otherwise(0)), F.lit(0)).alias("errors"),
     )
-    observed.write.mode(mode).parquet(path)
+
+    def record(figures: dict) -> dict:
+        rows = [(layer, name, value) for name, value in figures.items()]
+        table = spark.createDataFrame(rows, "layer string, name string, value double")
+        table.withColumn("ts", F.current_timestamp()).coalesce(1).write.mode("append").parquet(metrics_path)
+        return figures
+
+    try:
+        observed.write.mode(mode).parquet(path)
+    except Exception:
+        record({"failed": 1.0, "seconds": time.time() - started})
+        raise
     figures = {"records": float(seen.get["records"]), "errors": float(seen.get["errors"])}
-    figures["seconds"] = time.time() - started
-    rows = [(layer, name, value) for name, value in figures.items()]
-    table = spark.createDataFrame(rows, "layer string, name string, value double")
-    table.withColumn("ts", F.current_timestamp()).coalesce(1).write.mode("append").parquet(metrics_path)
-    return figures
+    return record(figures | {"seconds": time.time() - started})
