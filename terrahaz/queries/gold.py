@@ -115,7 +115,7 @@ for _kind in gold.DIM_CATEGORIES:
 
 @query(
     "fact_hazard_events",
-    """SELECT sha256(f.source_system||'|'||f.event_id) AS event_sk, f.source_system AS source_system, f.event_id AS event_id,
+    """SELECT sha256(length(f.source_system)||':'||f.source_system||length(f.event_id)||':'||f.event_id) AS event_sk, f.source_system AS source_system, f.event_id AS event_id,
     f.event_time AS event_time, f.hazard_type AS hazard_type, f.severity AS severity,
     cast(f.severity as int) AS final_severity, h.neighborhood_id AS neighborhood_id,
     a.osm_id AS nearest_hospital_id, a.m AS nearest_hospital_distance_meters,
