@@ -3,57 +3,76 @@
 A window partitioned by layer or borough puts a third of the table into one task.
 Here the rows are cut into ranges of the sort order instead (keys first, then the
 order columns), so a range holds about ``rows_per_range`` rows whatever the keys look
-like. A range is computed on its own, and what earlier ranges of the same key hand over
-comes from one small row per (range, key).
+like. A range is computed on its own; what earlier ranges of the same key hand over is
+one extra row that leads each (range, key).
 
 The cut points come from a bounded sample and are then constants of the plan: which
 range a row belongs to is a pure function of the row, so a task that runs again, or a
 second use of the same input, sees the same ranges. The sample only balances the work;
-it never decides which rows take part.
+it never decides which rows take part. Every orderable type may be a key or an order
+column; nulls sort first.
+
+Beyond one range the input is written once to the shared folder and every step of a
+chain reads that table: the input itself is evaluated twice, to count and to write.
 """
 
 from __future__ import annotations
 
-from functools import reduce
-from operator import and_
-
-import json
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType
 
 from terrahaz.operators.sizing import join_dim
+from terrahaz.session import scratch
 
 ROWS_PER_RANGE = 20_000_000
 MAX_RANGES = 8192
 _SAMPLES_PER_RANGE = 20
 
 RANGE = "__range"
+_LEAD = "__lead"
+
+
+def lay_out(df: DataFrame, rows_per_range: int, rows: int | None = None) -> tuple[DataFrame, int]:
+    """``df`` and its number of rows; written to the shared folder first if it needs ranges."""
+    rows = df.count() if rows is None else rows
+    if rows <= rows_per_range:
+        return df, rows
+    path = scratch(df.sparkSession, "ordered")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path), rows
 
 
 def assign_ranges(
-    df: DataFrame, keys: list[str], order: list[str], rows_per_range: int = ROWS_PER_RANGE
+    df: DataFrame,
+    keys: list[str],
+    order: list[str],
+    rows_per_range: int = ROWS_PER_RANGE,
+    rows: int | None = None,
+    max_ranges: int = MAX_RANGES,
 ) -> tuple[DataFrame, bool]:
-    """Add ``__range``; the flag tells whether there is more than one."""
-    columns = [*keys, *order]
-    rows = df.count()
-    ranges = min(MAX_RANGES, -(-rows // rows_per_range))
+    """Add ``__range``; the flag tells whether there is more than one.
+
+    ``rows`` is the count of a table that is laid out already. About
+    ``_SAMPLES_PER_RANGE * max_ranges`` narrow rows at most reach the driver; beyond
+    ``max_ranges`` ranges they grow instead of their number.
+    """
+    if rows is None:
+        df, rows = lay_out(df, rows_per_range)
+    ranges = min(max_ranges, -(-rows // rows_per_range))
     if ranges <= 1:
         return df.withColumn(RANGE, F.lit(0)), False
+    here = F.struct(*dict.fromkeys([*keys, *order]))
+    places = df.select(here.alias("h"))
     fraction = min(1.0, _SAMPLES_PER_RANGE * ranges / rows)
-    # at most about _SAMPLES_PER_RANGE * MAX_RANGES narrow rows reach the driver
-    sampled = df.select(*columns).sample(fraction=fraction, seed=17).orderBy(*columns).collect()
+    sampled = places.sample(fraction=fraction, seed=17).orderBy("h").select(F.to_json("h")).collect()
     step = max(1, len(sampled) // ranges)
-    cuts = [r.asDict() for r in sampled[step::step]]
+    cuts = [r[0] for r in sampled[step::step]]
     if not cuts:
         return df.withColumn(RANGE, F.lit(0)), False
-    types = {f.name: f.dataType.simpleString() for f in df.select(*columns).schema.fields}
-    if not set(types.values()) <= {"bigint", "int", "double", "string"}:
-        raise ValueError(f"order columns must be numbers or strings, got {types}")
-    shape = ",".join(f"`{c}`:{types[c]}" for c in columns)
-    boundaries = F.from_json(F.lit(json.dumps(cuts)), f"array<struct<{shape}>>")
-    here = F.struct(*[F.col(c).alias(c) for c in columns])
-    return df.withColumn(RANGE, _rank_among(boundaries, len(cuts), here)), True
+    # a cut need not be an exact value of the data, so what JSON rounds off is harmless
+    boundaries = F.from_json(F.lit(f"[{','.join(cuts)}]"), ArrayType(places.schema["h"].dataType))
+    return df.withColumn(RANGE, _rank_among(F.array_sort(boundaries), len(cuts), here)), True
 
 
 def _rank_among(boundaries: Column, count: int, value: Column) -> Column:
@@ -68,23 +87,52 @@ def _rank_among(boundaries: Column, count: int, value: Column) -> Column:
     return F.aggregate(F.array(*steps), F.lit(0), advance)
 
 
-def _window(keys: list[str], order: list[str]):
-    return Window.partitionBy(RANGE, *keys).orderBy(*order)
-
-
-def _hand_over(df: DataFrame, summary: DataFrame, keys: list[str]) -> DataFrame:
-    """Join one row per (range, key) back to the rows of that range and key.
+def _scan(
+    df: DataFrame,
+    keys: list[str],
+    order: list[str],
+    values: dict[str, Column],
+    over,
+    total,
+    earlier_of,
+    end: int,
+    rows_per_range: int,
+    rows: int | None,
+) -> DataFrame:
+    """Window functions ``over`` running up to ``end`` within a key, range by range.
 
-    Both sides are hashed on the same columns, so only the small summary moves.
+    ``total`` reduces a value per (range, key), ``earlier_of`` reduces such totals.
     """
-    right = summary.select(
-        *[F.col(c).alias(f"__k_{c}") for c in (RANGE, *keys)],
-        *[c for c in summary.columns if c not in (RANGE, *keys)],
+    names = {out: f"__v{i}" for i, out in enumerate(values)}
+    valued = df.withColumns({names[out]: v for out, v in values.items()})
+    ranged, several = assign_ranges(valued, keys, order, rows_per_range, rows)
+    within = Window.partitionBy(RANGE, *keys).rowsBetween(Window.unboundedPreceding, end)
+    plain = ranged.withColumns({out: over(n).over(within.orderBy(*order)) for out, n in names.items()})
+    if not several:
+        return plain.drop(RANGE, *names.values())
+    earlier = Window.partitionBy(*keys).orderBy(RANGE).rowsBetween(Window.unboundedPreceding, -1)
+    totals = ranged.groupBy(RANGE, *keys).agg(*[total(n).alias(n) for n in names.values()])
+    lead = totals.select(
+        RANGE, *keys, *[earlier_of(n).over(earlier).alias(n) for n in names.values()], F.lit(0).alias(_LEAD)
+    )
+    stacked = ranged.withColumn(_LEAD, F.lit(1)).unionByName(lead, allowMissingColumns=True)
+    led = within.orderBy(_LEAD, *order)
+    whole = stacked.withColumns(
+        {out: over(n).over(led).cast(plain.schema[out].dataType) for out, n in names.items()}
     )
-    condition = F.lit(True)
-    for c in (RANGE, *keys):
-        condition = condition & df[c].eqNullSafe(right[f"__k_{c}"])
-    return df.join(right, condition, "left").drop(*[f"__k_{c}" for c in (RANGE, *keys)])
+    return whole.where(F.col(_LEAD) == 1).drop(RANGE, _LEAD, *names.values())
+
+
+def prefix_sums(
+    df: DataFrame,
+    keys: list[str],
+    order: list[str],
+    values: dict[str, Column],
+    rows_per_range: int = ROWS_PER_RANGE,
+    rows: int | None = None,
+) -> DataFrame:
+    """Running totals per key, current row included: a column per entry of ``values``."""
+    return _scan(df, keys, order, values, F.sum, F.sum, F.sum, 0, rows_per_range, rows)
 
 
 def prefix_sum(
@@ -96,19 +144,29 @@ def prefix_sum(
     rows_per_range: int = ROWS_PER_RANGE,
 ) -> DataFrame:
     """Running total of ``value`` per key, current row included."""
-    ranged, several = assign_ranges(df.withColumn("__v", value), keys, order, rows_per_range)
-    frame = _window(keys, order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    local = ranged.withColumn(out, F.sum("__v").over(frame))
-    if not several:
-        return local.drop(RANGE, "__v")
-    earlier = Window.partitionBy(*keys).orderBy(RANGE).rowsBetween(Window.unboundedPreceding, -1)
-    totals = ranged.groupBy(RANGE, *keys).agg(F.sum("__v").alias("__t"))
-    carry = totals.select(RANGE, *keys, F.sum("__t").over(earlier).alias("__carry"))
-    whole = _hand_over(local, carry, keys)
-    both = F.when(F.col(out).isNull(), F.col("__carry")).otherwise(
-        F.col(out) + F.coalesce(F.col("__carry"), F.lit(0))
-    )
-    return whole.withColumn(out, both.cast(local.schema[out].dataType)).drop(RANGE, "__v", "__carry")
+    return prefix_sums(df, keys, order, {out: value}, rows_per_range)
+
+
+def last_knowns(
+    df: DataFrame,
+    keys: list[str],
+    order: list[str],
+    values: dict[str, Column],
+    *,
+    include_current: bool = True,
+    rows_per_range: int = ROWS_PER_RANGE,
+    rows: int | None = None,
+) -> DataFrame:
+    """Latest non-null value per key up to the row (or strictly before it), for each entry."""
+
+    def newest(n):
+        return F.max_by(n, F.when(F.col(n).isNotNull(), F.struct(*order)))
+
+    def last(n):
+        return F.last(n, ignorenulls=True)
+
+    end = 0 if include_current else -1
+    return _scan(df, keys, order, values, last, newest, last, end, rows_per_range, rows)
 
 
 def last_known(
@@ -122,23 +180,9 @@ def last_known(
     rows_per_range: int = ROWS_PER_RANGE,
 ) -> DataFrame:
     """Latest non-null ``value`` per key up to the row (or strictly before it)."""
-    ranged, several = assign_ranges(df.withColumn("__v", value), keys, order, rows_per_range)
-    end = Window.currentRow if include_current else -1
-    frame = _window(keys, order).rowsBetween(Window.unboundedPreceding, end)
-    local = ranged.withColumn(out, F.last("__v", ignorenulls=True).over(frame))
-    if not several:
-        return local.drop(RANGE, "__v")
-    earlier = Window.partitionBy(*keys).orderBy(RANGE).rowsBetween(Window.unboundedPreceding, -1)
-    known = ranged.where(F.col("__v").isNotNull())
-    newest = known.groupBy(RANGE, *keys).agg(F.max_by("__v", F.struct(*order)).alias("__t"))
-    # a range without a known value still needs what came before it
-    places = ranged.groupBy(RANGE, *keys).agg(F.count(F.lit(1)).alias("__n"))
-    filled = _hand_over(places, newest, keys)
-    carry = filled.select(
-        RANGE, *keys, F.last("__t", ignorenulls=True).over(earlier).alias("__carry")
+    return last_knowns(
+        df, keys, order, {out: value}, include_current=include_current, rows_per_range=rows_per_range
     )
-    whole = _hand_over(local, carry, keys)
-    return whole.withColumn(out, F.coalesce(out, "__carry")).drop(RANGE, "__v", "__carry")
 
 
 def surrogate_key(
@@ -148,48 +192,45 @@ def surrogate_key(
     return prefix_sum(df, [], order, F.lit(1).cast("bigint"), out, rows_per_range)
 
 
-def trailing_sum(
+def trailing_sums(
     df: DataFrame,
     keys: list[str],
     time_us: str,
-    value: str,
+    values: dict[str, Column],
     window_us: int,
-    out: str,
     rows_per_range: int = ROWS_PER_RANGE,
+    rows: int | None = None,
 ) -> DataFrame:
-    """Sum of ``value`` over [t - window, t] per key; (keys, time) must be unique.
+    """Sums over [t - window, t] per key; (keys, time) must be unique, nulls being values.
 
-    With one range it is a plain range window. With several, the sum is the running
-    total at t minus the running total just before t - window, where the second is read
-    off a marker row placed at that time. The totals are decimals, so subtracting two
-    large ones loses nothing beyond 9 decimals.
+    Time is cut into blocks one window long, so the window of a row is the beginning of
+    its own block up to t and the end of the block before from t - window on. Both are
+    running totals within a block, forwards and backwards; nothing is subtracted, so no
+    digit is lost, and every size is computed in the same way.
     """
-    if -(-df.count() // rows_per_range) <= 1:
-        w = Window.partitionBy(*keys).orderBy(time_us).rangeBetween(-window_us, 0)
-        return df.withColumn(out, F.sum(value).over(w))
-    exact = F.col(value).cast("decimal(28,9)")
-    samples = df.select(*keys, F.col(time_us).alias("__t"), F.lit(1).alias("__kind"), exact.alias("__x"))
-    markers = df.select(
-        *keys,
-        (F.col(time_us) - F.lit(window_us)).alias("__t"),
-        F.lit(0).alias("__kind"),
-        F.lit(None).cast("decimal(28,9)").alias("__x"),
-    )
-    running = prefix_sum(
-        samples.unionByName(markers),
-        keys,
-        ["__t", "__kind"],
-        F.coalesce(F.col("__x"), F.lit(0).cast("decimal(28,9)")),
-        "__total",
-        rows_per_range,
+    t, width = F.col(time_us), F.lit(window_us)
+    names = {out: f"__x{i}" for i, out in enumerate(values)}
+    blocks = df.withColumns({names[out]: v for out, v in values.items()}).withColumn("__block", t - F.pmod(t, width))
+    blocks, rows = lay_out(blocks, rows_per_range, rows)
+    within = [*keys, "__block"]
+    forwards = {f"__upto{i}": F.col(n) for i, n in enumerate(names.values())}
+    upto = prefix_sums(blocks, within, [time_us], forwards, rows_per_range, rows)
+    markers = upto.select(
+        *keys, (F.col("__block") - width).alias("__block"), (width - t).alias("__back"), F.lit(1).alias("__kind"),
+        F.struct(*df.columns).alias("__row"), *forwards,
     )
-    at = F.when(F.col("__kind") == 1, F.col("__t")).otherwise(F.col("__t") + F.lit(window_us))
-    ends = running.groupBy(*keys, at.alias(time_us)).agg(
-        F.max(F.when(F.col("__kind") == 1, F.col("__total"))).alias("__upto"),
-        F.max(F.when(F.col("__kind") == 0, F.col("__total"))).alias("__before"),
+    samples = blocks.where(t.isNotNull()).select(*within, (-t).alias("__back"), F.lit(0).alias("__kind"), *names.values())
+    both = samples.unionByName(markers, allowMissingColumns=True)
+    backwards = {f"__from{i}": F.col(n) for i, n in enumerate(names.values())}
+    ended = prefix_sums(both, within, ["__back", "__kind"], backwards, rows_per_range, 2 * rows)
+
+    def added(i):
+        a, b = F.col(f"__upto{i}"), F.col(f"__from{i}")
+        return F.when(a.isNull(), b).when(b.isNull(), a).otherwise(a + b)
+
+    return ended.where(F.col("__kind") == 1).select(
+        "__row.*", *[added(i).alias(out) for i, out in enumerate(names)]
     )
-    sums = ends.select(*keys, time_us, (F.col("__upto") - F.col("__before")).cast("double").alias(out))
-    return df.join(sums, [*keys, time_us], "left")
 
 
 # ------------------------------------------------------------------ operators
@@ -207,11 +248,12 @@ def asof_join(
     """Attach to each left row the latest right row of its key at or before its time.
 
     Both sides are stacked and scanned in time order; there is no inequality join. Of
-    right rows with equal key and time the largest value tuple wins.
+    right rows with equal key and time the largest value tuple wins. Right rows with a
+    null key match nothing, as in an equality join.
     """
     carried = F.struct(*values)
     rights = (
-        right.where(F.col(right_ts).isNotNull())
+        right.dropna(subset=[*keys, right_ts])
         .groupBy(*keys, F.unix_micros(F.col(right_ts).cast("timestamp")).alias("__t"))
         .agg(F.max(carried).alias("__r"))
     )
@@ -256,14 +298,40 @@ def counter_deltas(
 
     Samples repeated at one time keep the larger value. The first sample has no delta.
     """
-    samples = df.groupBy(*keys, time_us).agg(F.max(counter).alias(counter))
-    seen = last_known(
-        samples, keys, [time_us], F.col(counter), "__previous",
-        include_current=False, rows_per_range=rows_per_range,
+    return _deltas(df, keys, time_us, {"delta": counter}, rows_per_range)[0]
+
+
+def _deltas(df, keys, time_us, counters: dict[str, str], rows_per_range) -> tuple[DataFrame, int]:
+    wanted = list(dict.fromkeys(counters.values()))
+    samples = df.groupBy(*keys, time_us).agg(*[F.max(c).alias(c) for c in wanted])
+    samples, rows = lay_out(samples, rows_per_range)
+    before = {c: f"__before{i}" for i, c in enumerate(wanted)}
+    seen = last_knowns(
+        samples, keys, [time_us], {before[c]: F.col(c) for c in wanted},
+        include_current=False, rows_per_range=rows_per_range, rows=rows,
     )
-    previous, now = F.col("__previous"), F.col(counter)
-    delta = F.when(previous.isNull(), None).when(now >= previous, now - previous).otherwise(now)
-    return seen.withColumn("delta", delta).drop("__previous")
+
+    def delta(c):
+        previous, now = F.col(before[c]), F.col(c)
+        return F.when(previous.isNull(), None).when(now >= previous, now - previous).otherwise(now)
+
+    return seen.withColumns({out: delta(c) for out, c in counters.items()}).drop(*before.values()), rows
+
+
+def counter_rates(
+    df: DataFrame,
+    keys: list[str],
+    time_us: str,
+    counters: dict[str, str],
+    window_seconds: int = 300,
+    rows_per_range: int = ROWS_PER_RANGE,
+) -> DataFrame:
+    """As ``counter_rate`` for several counters in one go: ``{output column: counter}``."""
+    deltas = {out: f"__d{i}" for i, out in enumerate(counters)}
+    known, rows = _deltas(df, keys, time_us, {deltas[out]: c for out, c in counters.items()}, rows_per_range)
+    increases = {out: F.coalesce(F.col(d).cast("double"), F.lit(0.0)) for out, d in deltas.items()}
+    summed = trailing_sums(known, keys, time_us, increases, window_seconds * 1_000_000, rows_per_range, rows)
+    return summed.withColumns({out: F.col(out) / F.lit(float(window_seconds)) for out in counters}).drop(*deltas.values())
 
 
 def counter_rate(
@@ -275,12 +343,7 @@ def counter_rate(
     rows_per_range: int = ROWS_PER_RANGE,
 ) -> DataFrame:
     """Per-second increase over the trailing window (no extrapolation at its edges)."""
-    deltas = counter_deltas(df, keys, time_us, counter, rows_per_range)
-    known = deltas.withColumn("delta", F.coalesce("delta", F.lit(0.0)))
-    summed = trailing_sum(
-        known, keys, time_us, "delta", window_seconds * 1_000_000, "__sum", rows_per_range
-    )
-    return summed.withColumn("rate", F.col("__sum") / F.lit(float(window_seconds))).drop("__sum", "delta")
+    return counter_rates(df, keys, time_us, {"rate": counter}, window_seconds, rows_per_range)
 
 
 def mean_duration(
@@ -293,15 +356,8 @@ def mean_duration(
     rows_per_range: int = ROWS_PER_RANGE,
 ) -> DataFrame:
     """rate(sum) / rate(count): mean duration over the trailing window; null without calls."""
-    sums = counter_rate(df, keys, time_us, total, window_seconds, rows_per_range)
-    counts = counter_rate(df, keys, time_us, count, window_seconds, rows_per_range)
-    # null keys are a series like any other
-    names = {k: f"__{i}" for i, k in enumerate([*keys, time_us])}
-    counts = counts.select(*[F.col(k).alias(n) for k, n in names.items()], F.col("rate").alias("__count"))
-    same = reduce(and_, [F.col(k).eqNullSafe(F.col(n)) for k, n in names.items()])
-    joined = sums.withColumnRenamed("rate", "__sum").join(counts, same)
-    mean = F.try_divide(F.col("__sum"), F.col("__count"))
-    return joined.select(*keys, time_us, mean.alias("mean_seconds"))
+    rates = counter_rates(df, keys, time_us, {"__sum": total, "__count": count}, window_seconds, rows_per_range)
+    return rates.select(*keys, time_us, F.try_divide(F.col("__sum"), F.col("__count")).alias("mean_seconds"))
 
 
 def alert_intervals(

@@ -135,3 +135,62 @@ def test_join_dim_both_ways(spark):
     dim = spark.createDataFrame([(k, f"n{k}") for k in range(4)], "k int, name string")
     small = rows(sizing.join_dim(fact, dim, ["k"], "left"), "id", "name")
     assert small == rows(sizing.join_dim(fact, dim, ["k"], "left", max_bytes=0, rows_per_task=5), "id", "name")
+
+
+@RANGES
+def test_every_orderable_type_and_null_keys(spark, per_range):
+    """Dates, timestamps, decimals and null keys and times order the same at every size."""
+    df = spark.range(240).selectExpr(
+        "id", "if(id % 5 = 0, null, id % 2) AS k", "date_add(DATE'2024-01-01', cast(id % 9 AS int)) AS d",
+        "timestamp_micros(id * 1234567) AS ts", "cast(id * 1.37 AS decimal(20,6)) AS x",
+        "if(id % 17 = 0, null, id % 31) AS some", "unhex(lpad(hex(id), 4, '0')) AS b", "id % 3 = 0 AS flag",
+    )
+    for order in (["d", "id"], ["ts"], ["x"], ["some", "b"], ["flag", "d", "id"]):
+        w = Window.partitionBy("k").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+        want = rows(df.select("id", F.sum("id").over(w).alias("s")))
+        assert rows(W.prefix_sum(df, ["k"], order, F.col("id"), "s", per_range), "id", "s") == want, order
+
+
+@RANGES
+def test_trailing_sums_keep_every_digit(spark, per_range):
+    values = [1.12345678949, 1e20, 3.5, None, 1e-12, 7.25]
+    data = [(None if i % 7 == 0 else i % 3, i * 1_500_000, values[i % 6], i) for i in range(200)]
+    data += [(9, None, 2.5, 900), (None, None, 4.5, 901)]
+    df = spark.createDataFrame(data, "k int, t bigint, v double, id int")
+    got = {r.id: r.s for r in W.trailing_sums(df, ["k"], "t", {"s": F.col("v")}, 10_000_000, per_range).collect()}
+    for k, t, v, i in data:
+        near = [x for q, u, x, _ in data if q == k and (u is None if t is None else u is not None and t - 10_000_000 <= u <= t) and x is not None]
+        if near:
+            assert got[i] == pytest.approx(sum(near), rel=1e-14)
+        else:
+            assert got[i] is None
+    assert len(got) == len(data)
+
+
+def test_chains_evaluate_their_input_twice(spark):
+    """However many ranges there are: once to count, once to write."""
+    seen = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for b in batches:
+            seen.add(b.num_rows)
+            yield b
+
+    source = spark.range(500).selectExpr("id % 3 AS k", "id * 1000000 AS t", "double(id) AS total", "double(id) AS calls")
+    for run in (
+        lambda df, n: W.counter_rate(df, ["k"], "t", "total", 60, n),
+        lambda df, n: W.mean_duration(df, ["k"], "t", "total", "calls", 60, n),
+    ):
+        results = []
+        for per_range in (10_000_000, 20):
+            before = seen.value
+            results.append(rows(run(source.mapInArrow(count, source.schema), per_range)))
+            assert seen.value - before <= 1000
+        assert [r[:2] for r in results[0]] == [r[:2] for r in results[1]]
+        assert all(a[-1] == pytest.approx(b[-1]) for a, b in zip(*results))
+
+
+def test_null_keys_match_nothing_as_of(spark):
+    left = spark.createDataFrame([(1, None, 5), (2, "a", 5)], "id int, k string, t int").withColumn("t", F.timestamp_seconds("t"))
+    right = spark.createDataFrame([(None, 1, "n"), ("a", 1, "v")], "k string, u int, v string").withColumn("u", F.timestamp_seconds("u"))
+    assert rows(W.asof_join(left, right, ["k"], "t", "u", ["v"]), "id", "v") == [(1, None), (2, "v")]
