@@ -393,6 +393,49 @@ def alert_intervals(
     return spans.where(F.col("end_us") - F.col("start_us") >= F.lit(hold_seconds * 1_000_000))
 
 
+def _on_counters(df: DataFrame, keys: list[str], time_us: str, counters: list[str]) -> DataFrame:
+    """One row per (key, time) with the newest value of each counter; ``samples`` of an alert counts these rows."""
+    return df.groupBy(*keys, time_us).agg(*[F.max(c).alias(c) for c in counters])
+
+
+def alert_error_rate(
+    df: DataFrame, keys: list[str], time_us: str, errors: str, records: str, limit: float = 0.05,
+    hold_seconds: int = 300, rows_per_range: int = ROWS_PER_RANGE,
+) -> DataFrame:
+    """Stretches with errors / records (both counters) above ``limit``."""
+    state = _on_counters(df, keys, time_us, [errors, records])
+    firing = F.col(errors) > F.col(records) * F.lit(limit)
+    return alert_intervals(state, keys, time_us, firing, hold_seconds, rows_per_range)
+
+
+def alert_quality(
+    df: DataFrame, keys: list[str], time_us: str, errors: str, records: str, percent: float = 90.0,
+    hold_seconds: int = 300, rows_per_range: int = ROWS_PER_RANGE,
+) -> DataFrame:
+    """Stretches with less than ``percent`` of the records (a counter) free of errors."""
+    state = _on_counters(df, keys, time_us, [errors, records])
+    firing = F.col(records) - F.col(errors) < F.col(records) * F.lit(percent / 100)
+    return alert_intervals(state, keys, time_us, firing, hold_seconds, rows_per_range)
+
+
+def alert_no_data(
+    df: DataFrame, keys: list[str], time_us: str, records: str, window_seconds: int = 300,
+    hold_seconds: int = 600, rows_per_range: int = ROWS_PER_RANGE,
+) -> DataFrame:
+    """Stretches in which the counter did not grow over the trailing window."""
+    rates = counter_rates(df, keys, time_us, {"__rate": records}, window_seconds, rows_per_range)
+    return alert_intervals(rates, keys, time_us, F.col("__rate") == 0, hold_seconds, rows_per_range)
+
+
+def alert_mean_latency(
+    df: DataFrame, keys: list[str], time_us: str, seconds: str, calls: str, limit: float = 30.0,
+    window_seconds: int = 300, hold_seconds: int = 300, rows_per_range: int = ROWS_PER_RANGE,
+) -> DataFrame:
+    """Stretches with rate(seconds) / rate(calls) above ``limit``."""
+    means = mean_duration(df, keys, time_us, seconds, calls, window_seconds, rows_per_range)
+    return alert_intervals(means, keys, time_us, F.col("mean_seconds") > limit, hold_seconds, rows_per_range)
+
+
 def layer_status(df: DataFrame, key: str, time_us: str, value: str) -> DataFrame:
     """Last gauge value per layer, read as a state."""
     last = df.groupBy(key).agg(F.max_by(value, F.col(time_us)).alias("last_value"))

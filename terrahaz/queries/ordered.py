@@ -74,6 +74,66 @@ def alert_latency(spark, sf):
     return W.alert_intervals(_metrics(spark, sf), ["layer"], "t_us", F.col("seconds") > 3, 300)
 
 
+def _totals(spark, sf):
+    """The exporters' counters: running totals of records, errors, seconds and calls per layer."""
+    counters = {"records_total": F.col("records"), "errors_total": F.col("errors"),
+                "seconds_total": F.col("records").cast("double"), "calls_total": F.lit(1.0)}
+    totals = W.prefix_sums(_metrics(spark, sf), ["layer"], ["t_us", "sample_id"], counters)
+    return totals.select("layer", "t_us", *counters)
+
+
+_TOTALS = """totals AS (SELECT layer, epoch_us(ts) AS t_us, records, errors, sum(records) OVER w AS r, sum(errors) OVER w AS e FROM fx_metrics
+    WINDOW w AS (PARTITION BY layer ORDER BY ts, sample_id ROWS UNBOUNDED PRECEDING)),
+    pt AS (SELECT layer, t_us, max(r) AS r, max(e) AS e, 1 AS samples FROM totals GROUP BY 1, 2)"""
+#: As text: islands of ``up`` over (layer, t_us, samples), held for some seconds.
+_HELD = """g AS (SELECT *, sum(CASE WHEN up THEN 0 ELSE 1 END) OVER (PARTITION BY layer ORDER BY t_us) AS island FROM s)
+    SELECT layer, min(t_us) AS start_us, max(t_us) AS end_us, cast(sum(samples) as bigint) AS samples FROM g WHERE up GROUP BY layer, island
+    HAVING max(t_us)-min(t_us) >= {hold}*1000000"""
+
+
+@query(
+    "alert_error_rate",
+    f"WITH {_TOTALS}, s AS (SELECT layer, t_us, samples, coalesce(e > r*0.016::double, false) AS up FROM pt), {_HELD.format(hold=300)}",
+)
+def alert_error_rate(spark, sf):
+    """Errors over records, both as counters; with a limit these tables do cross (the default is 0.05)."""
+    return W.alert_error_rate(_totals(spark, sf), ["layer"], "t_us", "errors_total", "records_total", 0.016)
+
+
+@query(
+    "alert_quality",
+    f"WITH {_TOTALS}, s AS (SELECT layer, t_us, samples, coalesce(r - e < r*{98.5 / 100!r}::double, false) AS up FROM pt), {_HELD.format(hold=300)}",
+)
+def alert_quality(spark, sf):
+    """Share of good records below a limit these tables do cross (the default is 90 %)."""
+    return W.alert_quality(_totals(spark, sf), ["layer"], "t_us", "errors_total", "records_total", 98.5)
+
+
+_PACE = """p AS (SELECT layer, t_us, samples, r - lag(r) OVER (PARTITION BY layer ORDER BY t_us) AS d, e - lag(e) OVER (PARTITION BY layer ORDER BY t_us) AS de FROM pt)"""
+
+
+@query(
+    "alert_no_data",
+    f"""WITH {_TOTALS}, {_PACE}, f AS (SELECT *, sum(coalesce(de, 0)) OVER (PARTITION BY layer ORDER BY t_us RANGE BETWEEN 300000000 PRECEDING AND CURRENT ROW) AS x FROM p),
+    s AS (SELECT layer, t_us, samples, x = 0 AS up FROM f), {_HELD.format(hold=600)}""",
+)
+def alert_no_data(spark, sf):
+    """A counter (here that of errors, which does stand still) without increase over five minutes."""
+    return W.alert_no_data(_totals(spark, sf), ["layer"], "t_us", "errors_total")
+
+
+@query(
+    "alert_mean_latency",
+    f"""WITH {_TOTALS}, c AS (SELECT layer, t_us, count(*) AS n FROM totals GROUP BY 1, 2), q AS (SELECT pt.*, n FROM pt JOIN c USING (layer, t_us)),
+    k AS (SELECT layer, t_us, samples, r - lag(r) OVER (PARTITION BY layer ORDER BY t_us) AS d, CASE WHEN lag(r) OVER (PARTITION BY layer ORDER BY t_us) IS NOT NULL THEN n END AS m FROM q),
+    f AS (SELECT *, sum(coalesce(d, 0)) OVER w AS x, sum(coalesce(m, 0)) OVER w AS y FROM k WINDOW w AS (PARTITION BY layer ORDER BY t_us RANGE BETWEEN 300000000 PRECEDING AND CURRENT ROW)),
+    s AS (SELECT layer, t_us, samples, coalesce(x > y*30, false) AS up FROM f), {_HELD.format(hold=300)}""",
+)
+def alert_mean_latency(spark, sf):
+    """Mean duration from the counters of seconds and calls, above 30 seconds for five minutes."""
+    return W.alert_mean_latency(_totals(spark, sf), ["layer"], "t_us", "seconds_total", "calls_total")
+
+
 @query(
     "alert_down",
     _islands("up=0 OR errors>0", 120),
