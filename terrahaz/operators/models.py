@@ -21,6 +21,7 @@ from terrahaz.functions import classify as C
 from terrahaz.operators import aggregate as A
 from terrahaz.operators.features import DELAY_FEATURES, HAZARD_FEATURES
 from terrahaz.operators.ordered import auc_roc, split_by_hash, stratified_split
+from terrahaz.operators.sizing import materialize
 
 
 @dataclass(frozen=True)
@@ -75,6 +76,7 @@ class Trained:
     spec: Spec
     model: PipelineModel
     metrics: DataFrame
+    rows: DataFrame
     params: dict = field(default_factory=dict)
 
 
@@ -104,14 +106,44 @@ def evaluate(spec: Spec, scored: DataFrame) -> DataFrame:
 def train(
     spec: Spec, df: DataFrame, key: str, trees: int | None = None, depth: int | None = None
 ) -> Trained:
-    """Hash split, fit, evaluate on the held-out rows."""
+    """Hash split, fit, evaluate on the held-out rows.
+
+    The marked rows are written to the shared folder once: every round of the fit, the
+    scoring and the counts read that table.
+    """
     filled = df.fillna(0, subset=list(spec.features)).where(F.col(spec.label).isNotNull())
-    marked = split_by_hash(filled, key)
-    columns = [key, spec.label, *spec.features]
-    model = fit(spec, marked.where(~F.col("is_test")).select(*columns), trees, depth)
-    scored = predict(spec, model, marked.where("is_test").select(*columns))
+    marked = split_by_hash(filled, key).select(key, spec.label, *spec.features, "is_test")
+    return _trained(spec, materialize(marked, "training"), trees, depth)
+
+
+def _trained(spec: Spec, marked: DataFrame, trees: int | None, depth: int | None) -> Trained:
+    model = fit(spec, marked.where(~F.col("is_test")).drop("is_test"), trees, depth)
+    scored = predict(spec, model, marked.where("is_test").drop("is_test"))
     params = {"kind": spec.kind, "trees": trees or spec.trees, "depth": depth or spec.depth}
-    return Trained(spec, model, evaluate(spec, scored), params)
+    return Trained(spec, model, evaluate(spec, scored), marked.select(spec.label, "is_test"), params)
+
+
+def report(trained: Trained) -> DataFrame:
+    """One row: size of the model as fitted, rows of both sides, held-out positives (null for
+    a regressor) and whether the model does at least as well on the held-out rows as the
+    constant that suits them best (the commoner class, or their mean)."""
+    spec, ensemble = trained.spec, trained.model.stages[-1]
+    y, held = F.col(spec.label).cast("double"), F.col("is_test")
+    counts = trained.rows.agg(
+        F.count_if(~held).alias("train_rows"), F.count_if(held).alias("test_rows"),
+        F.count_if(held & (y == 1)).alias("positives"), F.var_pop(F.when(held, y)).alias("spread"),
+    )
+    both = counts.crossJoin(trained.metrics)  # one row each
+    if spec.is_classifier:
+        commoner = F.greatest(F.col("positives"), F.col("test_rows") - F.col("positives"))
+        good, positives = F.col("accuracy") * F.col("test_rows") > commoner - 0.5, F.col("positives")
+    else:
+        good, positives = F.col("mse") <= F.col("spread"), F.lit(None).cast("bigint")
+    return both.select(
+        F.lit(spec.name).alias("model"), F.lit(len(ensemble.trees)).alias("trees"),
+        F.lit(ensemble.getMaxDepth()).alias("depth"), "train_rows", "test_rows",
+        positives.alias("test_positives"), good.alias("beats_constant"),
+    )
 
 
 def train_delay_minutes(df: DataFrame, key: str, features: list[str], trees=None, depth=None) -> tuple[list[Trained], DataFrame]:
@@ -126,20 +158,16 @@ def train_delay_minutes(df: DataFrame, key: str, features: list[str], trees=None
 
 def train_binary_pair(
     df: DataFrame, key: str, features: list[str], label: str | None = None, trees=None
-) -> DataFrame:
+) -> list[Trained]:
     """Two classifiers on a generic table with a stratified split.
 
     The label is ``target`` if present, else the last column.
     """
     label = label or ("target" if "target" in df.columns else df.columns[-1])
     marked = stratified_split(df.fillna(0, subset=features), key, label)
-    tables = []
-    for base in (PAIR_FOREST, PAIR_BOOSTED):
-        spec = Spec(base.name, base.kind, label, base.trees, base.depth, tuple(features))
-        columns = [key, label, *features]
-        model = fit(spec, marked.where(~F.col("is_test")).select(*columns), trees)
-        tables.append(evaluate(spec, predict(spec, model, marked.where("is_test").select(*columns))))
-    return tables[0].unionByName(tables[1])
+    marked = materialize(marked.select(key, label, *features, "is_test"), "training")
+    specs = [Spec(b.name, b.kind, label, b.trees, b.depth, tuple(features)) for b in (PAIR_FOREST, PAIR_BOOSTED)]
+    return [_trained(spec, marked, trees, None) for spec in specs]
 
 
 def score_delays(flights: DataFrame, probability) -> DataFrame:

@@ -1,4 +1,4 @@
-"""Features, labels, training and scoring. Trees are fewer here than by default."""
+"""Features, labels, training at the published sizes, and scoring."""
 
 from __future__ import annotations
 
@@ -12,10 +12,9 @@ from terrahaz.operators import ordered as W
 from terrahaz.queries import views as V
 from terrahaz.queries.gold import sparse_tables
 from terrahaz.queries.registry import query
+from terrahaz.queries.rollups import hash_sql
 from terrahaz.session import scratch
 
-TREES, DEPTH = 5, 4
-
 
 def _key():
     return F.coalesce(
@@ -75,12 +74,25 @@ def _training(spark, sf):
     )
 
 
+def _report_sql(spec: T.Spec, source: str, key: str, label: str, split: str | None = None) -> str:
+    """Rows of both sides and held-out positives, from the definition of label and split."""
+    positives = f"count_if(is_test AND {label}=1)" if spec.is_classifier else "NULL::bigint"
+    return f"""SELECT '{spec.name}' AS model, {spec.trees}::int AS trees, {spec.depth}::int AS depth, count_if(NOT is_test)::bigint AS train_rows,
+    count_if(is_test)::bigint AS test_rows, {positives}::bigint AS test_positives, true AS beats_constant
+    FROM (SELECT *, {split or f"coalesce({hash_sql(key)}%100<20, false)"} AS is_test FROM ({source})) WHERE {label} IS NOT NULL"""
+
+
+_LABELED = f"""SELECT row_key, ((coalesce(temperature_f,60)>80)::int+(coalesce(temperature_f,60)>75 AND coalesce(humidity_pct,50)<40)::int
+ +(coalesce(wind_speed_mph,5)>15)::int+coalesce(facility_type='hospital',false)::int*0.5>=2)::int AS fire_risk,
+ ((data_source='311_requests')::int+({_BOROUGH})/4.0+({_COMPLAINT})/4.0>=1)::int AS hospital_overpop, latitude AS response_time, 1 AS bed_demand, 1 AS ambulance_calls FROM fx_stack"""
+
+
 def _train_query(name: str, spec: T.Spec) -> None:
     def run(spark, sf):
-        return T.train(spec, _training(spark, sf), "row_key", TREES, DEPTH).metrics
+        return T.report(T.train(spec, _training(spark, sf), "row_key"))
 
     run.__name__ = name
-    query(name)(run)
+    query(name, _report_sql(spec, _LABELED, "row_key", spec.label))(run)
 
 
 _train_query("train_fire_risk", T.FIRE_RISK)
@@ -108,9 +120,14 @@ def delay_features(spark, sf):
     return delay_table(spark, sf).select("flight_id", "temperature_f", "ceiling_ft", "route_distance_nm", "is_night", "delay_score")
 
 
-@query("train_delay")
+_FLIGHT_DELAY = """SELECT flight_id, (coalesce((w.wind_speed_mph>20)::int,0)*0.3::double+coalesce((w.visibility_miles<3)::int,0)*0.3::double
+ +coalesce((w.precipitation_in>0.1::double)::int,0)*0.25::double+coalesce((w.temperature_f<32)::int,0)*0.15::double>0.3::double)::int AS delay, 1 AS total_delay_minutes
+ FROM fx_flights f ASOF LEFT JOIN fx_weather w ON f.borough=w.borough AND f.ts>=w.ts"""
+
+
+@query("train_delay", _report_sql(T.DELAY, _FLIGHT_DELAY, "flight_id", "delay"))
 def train_delay(spark, sf):
-    return T.train(T.DELAY, delay_table(spark, sf), "flight_id", TREES, DEPTH).metrics
+    return T.report(T.train(T.DELAY, delay_table(spark, sf), "flight_id"))
 
 
 def _minutes_table(spark, sf):
@@ -118,19 +135,35 @@ def _minutes_table(spark, sf):
     return delay_table(spark, sf).withColumn("total_delay_minutes", minutes)
 
 
-@query("train_delay_minutes")
+@query(
+    "train_delay_minutes",
+    f"""SELECT *, true AS one_is_best FROM ({_report_sql(T.DELAY_MINUTES_FOREST, _FLIGHT_DELAY, "flight_id", "total_delay_minutes")}
+    UNION ALL {_report_sql(T.DELAY_MINUTES_BOOSTED, _FLIGHT_DELAY, "flight_id", "total_delay_minutes")})""",
+)
 def train_delay_minutes(spark, sf):
-    runs, best = T.train_delay_minutes(_minutes_table(spark, sf), "flight_id", M.DELAY_FEATURES, TREES, DEPTH)
-    table = runs[0].metrics.unionByName(runs[1].metrics)
-    return table.join(F.broadcast(best.select("model").withColumn("is_best", F.lit(True))), "model", "left")
+    runs, best = T.train_delay_minutes(_minutes_table(spark, sf), "flight_id", M.DELAY_FEATURES)
+    both = T.report(runs[0]).unionByName(T.report(runs[1]))
+    names = [F.lit(r.spec.name) for r in runs]
+    return both.crossJoin(best.agg((F.count_if(F.col("model").isin(*names)) == 1).alias("one_is_best")))  # one row
+
 
+_LINES = "SELECT cast(l_quantity>25 as int) AS target FROM lineitem"
+#: The stratified split takes floor(0.2 n) rows of each label, whichever they are.
+_CUT = "row_number() OVER (PARTITION BY target) <= floor(count(*) OVER (PARTITION BY target)*0.2)"
 
-@query("train_binary_pair")
+
+@query(
+    "train_binary_pair",
+    f"""SELECT * EXCLUDE (beats_constant) FROM ({_report_sql(T.PAIR_FOREST, _LINES, '', 'target', _CUT)}
+    UNION ALL {_report_sql(T.PAIR_BOOSTED, _LINES, '', 'target', _CUT)})""",
+)
 def train_binary_pair(spark, sf):
+    """No comparison with the constant: these columns do not tell the quantity, so neither model need win."""
     df = V.table(spark, sf, "lineitem").selectExpr(
         "xxhash64(*) AS k", "l_extendedprice", "l_discount", "l_tax", "cast(l_quantity>25 as int) AS target"
     )
-    return T.train_binary_pair(df, "k", ["l_extendedprice", "l_discount", "l_tax"], trees=TREES)
+    forest, boosted = T.train_binary_pair(df, "k", ["l_extendedprice", "l_discount", "l_tax"])
+    return T.report(forest).unionByName(T.report(boosted)).drop("beats_constant")
 
 
 @query(
@@ -148,20 +181,20 @@ def score_delays(spark, sf):
 @query("score_delays_model")
 def score_delays_model(spark, sf):
     table = delay_table(spark, sf).fillna(0, subset=M.DELAY_FEATURES)
-    model = T.fit(T.DELAY, table, TREES, DEPTH)
+    model = T.fit(T.DELAY, table)
     scored = T.predict(T.DELAY, model, table)
     return T.score_delays(scored, "probability")
 
 
 @query("feature_importance")
 def feature_importance(spark, sf):
-    return T.feature_importance(spark, T.train(T.DELAY, delay_table(spark, sf), "flight_id", TREES, DEPTH))
+    return T.feature_importance(spark, T.train(T.DELAY, delay_table(spark, sf), "flight_id"))
 
 
 @query("run_log")
 def run_log(spark, sf):
     path, model_path = scratch(spark, "runs"), scratch(spark, "model")
-    trained = T.train(T.RESPONSE, _training(spark, sf), "row_key", 3, 3)
+    trained = T.train(T.RESPONSE, _training(spark, sf), "row_key")
     T.run_log(spark, trained, path, model_path)
     return spark.read.parquet(path).select("model", "kind", "name", "text", "value")
 
