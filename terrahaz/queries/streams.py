@@ -93,26 +93,30 @@ def stream_land_mask(spark, sf):
     return _drain(spark, masked, "stream-mask").select("request_id", "borough")
 
 
-@query("late_data")
+@query(
+    "late_data",
+    f"""WITH q AS (SELECT ts, min(epoch_us(ts)) OVER () AS a, max(epoch_us(ts)) OVER () AS b FROM events)
+    SELECT count(*) AS offered, count_if(epoch_us(ts) >= a+3*((b-a)//4)
+      OR epoch_us(time_bucket(INTERVAL 1 HOUR, ts))+3600000000 > b-600000000) AS kept,
+    count_if(NOT (epoch_us(ts) >= a+3*((b-a)//4) OR epoch_us(time_bucket(INTERVAL 1 HOUR, ts))+3600000000 > b-600000000)) AS late FROM q""",
+)
 def late_data(spark, sf):
-    """Four files, newest events first, one a batch: later files are past the watermark.
-
-    What the stream keeps and what it reports as dropped together are the input.
-    """
-    staged = scratch(spark, "late-input")
+    """Events in four arrivals, the newest quarter of their time first: what an arrival brings
+    for hours the watermark has closed by then is late."""
+    staged, path, checkpoint = (scratch(spark, f"late-{x}") for x in ("input", "counts", "checkpoint"))
     events = spark.read.parquet(f"{sf}/events.parquet")
-    bounds = events.agg(F.min("ts").alias("a"), F.max("ts").alias("b")).first()
-    span = (bounds["b"] - bounds["a"]) / 4
+    us = V.micros("ts")
+    low, high = events.agg(F.min(us), F.max(us)).first()
+    if low is None:
+        low = high = 0
+    quarter = F.least(F.floor((us - F.lit(low)) / F.lit(max(1, (high - low) // 4))), F.lit(3))
     for i in reversed(range(4)):
-        low, high = bounds["a"] + span * i, bounds["a"] + span * (i + 1)
-        last = F.col("ts") <= F.lit(bounds["b"]) if i == 3 else F.col("ts") < F.lit(high)
-        events.where((F.col("ts") >= F.lit(low)) & last).coalesce(1).write.mode("append").parquet(staged)
-    stream = jobs.with_event_time(jobs.file_stream(spark, staged, events.schema, files_per_batch=1), delay=DELAY)
-    counts = stream.groupBy(F.window("ts", "1 hour").alias("w")).agg(F.count("*").alias("n"))
-    path = scratch(spark, "late")
-    run = jobs.run_available(counts, path, scratch(spark, "late-checkpoint"))
-    kept = spark.read.schema(counts.schema).parquet(path).agg(F.sum("n").alias("emitted"))
-    return kept.withColumn("dropped_groups", F.lit(jobs.count_late(run)).cast("bigint"))
+        events.where(quarter == i).write.mode("append").parquet(staged)
+        # all files of an arrival are one batch; the watermark goes on from the checkpoint
+        stream = jobs.with_event_time(jobs.file_stream(spark, staged, events.schema), delay=DELAY)
+        counts = stream.groupBy(F.window("ts", "1 hour").alias("w")).agg(F.count("*").alias("n"))
+        jobs.run_counts(counts, path, checkpoint)
+    return jobs.late_events(spark, events, path, ["w"])
 
 
 @query("stream_gold", "SELECT layer, cast(sum(records) as bigint) AS records, cast(sum(errors) as bigint) AS errors FROM fx_metrics GROUP BY 1")

@@ -109,7 +109,9 @@ def stream_land_mask(points: DataFrame, polygons: DataFrame) -> DataFrame:
 
 
 def count_late(query) -> int:
-    """Rows a finished query dropped as later than its watermark."""
+    """State rows the last progress reports of a query count as later than the watermark: a
+    monitoring figure. Spark keeps few reports and counts after partial aggregation, so
+    ``run_counts`` and ``late_events`` are the way to an exact number of events."""
     dropped = 0
     for progress in query.recentProgress:
         for operator in progress["stateOperators"]:
@@ -117,6 +119,39 @@ def count_late(query) -> int:
     return dropped
 
 
+def run_counts(counts: DataFrame, path: str, checkpoint: str):
+    """Drain grouped counts in update mode: each batch writes the groups it changed.
+
+    A batch overwrites its own ``batch=N`` directory, so a repeated batch changes nothing.
+    """
+
+    def write(batch: DataFrame, number: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{path}/batch={number}")
+
+    query = (
+        counts.writeStream.outputMode("update").foreachBatch(write)
+        .option("checkpointLocation", checkpoint)
+        .trigger(availableNow=True)
+        .start()
+    )
+    query.awaitTermination()
+    return query
+
+
+def newest_counts(spark: SparkSession, path: str, keys: list[str], n: str = "n") -> DataFrame:
+    """What ``run_counts`` wrote, at its newest: a row per group, open groups included."""
+    written = spark.read.option("basePath", path).parquet(path)
+    return written.groupBy(*keys).agg(F.max_by(n, "batch").alias(n))
+
+
+def late_events(spark: SparkSession, offered: DataFrame, path: str, keys: list[str], n: str = "n") -> DataFrame:
+    """One row: events offered, counted in time, and dropped as late, however long the run was."""
+    kept = newest_counts(spark, path, keys, n).agg(F.coalesce(F.sum(n), F.lit(0)).alias("kept"))
+    return offered.agg(F.count(F.lit(1)).alias("offered")).crossJoin(kept).withColumn(  # one row each
+        "late", F.col("offered") - F.col("kept")
+    )
+
+
 def stream_gold(
     metrics: DataFrame, keys: list[str], values: list[str], path: str, checkpoint: str,
     merge: Callable[[DataFrame], DataFrame] | None = None,
