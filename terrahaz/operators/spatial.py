@@ -205,9 +205,13 @@ def land_mask(
     predicate: str = "within",
     max_bytes: int | None = None,
     rows_per_task: int = ROWS_PER_TASK,
+    index: PolygonIndex | None = None,
 ) -> DataFrame:
-    """Keep points inside at least one polygon; never multiplies rows."""
-    index = polygon_index(polygons, key, geom, (), max_bytes)
+    """Keep points inside at least one polygon; never multiplies rows.
+
+    ``index`` is one built before from these polygons, for callers that mask repeatedly.
+    """
+    index = index or polygon_index(polygons, key, geom, (), max_bytes)
     if index.small:
         return _lookup(points, index, lon, lat, predicate).where(F.size("__hits") > 0).drop("__hits")
     inside = _pairs(points, index, lon, lat, predicate, rows_per_task).select(lon, lat).distinct()

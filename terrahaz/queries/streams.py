@@ -89,8 +89,9 @@ def stream_sessions(spark, sf):
 @query("stream_land_mask", "SELECT request_id, borough FROM fx_311 WHERE request_id IN (SELECT request_id FROM fx_hits_311)")
 def stream_land_mask(spark, sf):
     points = _derive(_events(spark, sf), "fx_311")
-    masked = jobs.stream_land_mask(points, V.land(spark, sf))
-    return _drain(spark, masked, "stream-mask").select("request_id", "borough")
+    path = scratch(spark, "stream-mask")
+    jobs.drain_land_mask(points, V.land(spark, sf), path, scratch(spark, "stream-mask-checkpoint"))
+    return spark.read.schema(points.schema).option("basePath", path).parquet(path).select("request_id", "borough")
 
 
 @query(

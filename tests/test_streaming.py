@@ -58,3 +58,30 @@ def test_large_mask_is_refused(spark, monkeypatch):
     shapes = spark.createDataFrame([(1, square)], "neighborhood_id int, t string").withColumn("geometry", G.polygon_from_geojson("t"))
     with pytest.raises(ValueError, match="broadcast"):
         jobs.stream_land_mask(spark.range(1), shapes)
+
+
+def test_late_events_are_counted_as_events(spark):
+    """Two late events of one closed hour are two, and a batch that runs again changes nothing."""
+    folder, out, check = scratch(spark, "t-in"), scratch(spark, "t-counts"), scratch(spark, "t-check")
+    hours = [["10:00", "14:00", "14:30"], ["10:10", "10:20", "13:55", "15:00"]]
+    for part in hours:
+        _file(spark, folder, [(i, f"2024-01-01 {t}:00", "a", 1, 0) for i, t in enumerate(part)])
+        events = jobs.with_event_time(jobs.file_stream(spark, folder, SCHEMA), delay="10 minutes")
+        jobs.run_counts(events.groupBy(F.window("ts", "1 hour").alias("w")).agg(F.count("*").alias("n")), out, check)
+    got = jobs.late_events(spark, spark.read.schema(SCHEMA).parquet(folder), out, ["w"]).first()
+    assert (got.offered, got.kept, got.late) == (7, 4, 3)
+
+
+@pytest.mark.parametrize("max_bytes", [None, 0])
+def test_land_mask_of_any_size(spark, sf, max_bytes):
+    from terrahaz.operators import spatial
+    from terrahaz.queries import views as V
+
+    batch, land = V.view(spark, sf, "fx_311"), V.land(spark, sf)
+    folder = scratch(spark, "t-points")
+    batch.write.parquet(folder)
+    points = spark.readStream.schema(spark.read.parquet(folder).schema).parquet(folder)
+    out = scratch(spark, "t-masked")
+    jobs.drain_land_mask(points, land, out, scratch(spark, "t-check"), max_bytes)
+    want = rows(spatial.land_mask(batch, land), "request_id")
+    assert want and rows(spark.read.parquet(out), "request_id") == want
