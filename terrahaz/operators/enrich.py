@@ -14,7 +14,10 @@ from pyspark.sql import functions as F
 
 from terrahaz.functions import classify as C
 
-HAZARDS = "array<struct<hazard_type string, description string, severity string>>"
+HAZARD_FIELDS = ("hazard_type", "description", "severity", "location", "timestamp")
+#: Fields every hazard must have; the other two only where the text mentions them.
+REQUIRED_FIELDS = HAZARD_FIELDS[:3]
+HAZARDS = "array<struct<" + ", ".join(f"{f} string" for f in HAZARD_FIELDS) + ">>"
 
 # Defaults of the reply parser and the words of the default extractor.
 DEFAULT_SEVERITY = 5
@@ -62,7 +65,7 @@ def explode_hazards(df: DataFrame, hazards: str) -> DataFrame:
     """One row per hazard (rows without any stay), with their number."""
     numbered = df.withColumn("num_hazards", F.size(hazards))
     exploded = numbered.withColumn("__h", F.explode_outer(hazards)).drop(hazards)
-    fields = [F.col(f"__h.{n}").alias(n) for n in ("hazard_type", "description", "severity")]
+    fields = [F.col(f"__h.{n}").alias(n) for n in HAZARD_FIELDS]
     return exploded.select(*[c for c in exploded.columns if c != "__h"], *fields)
 
 
@@ -93,7 +96,8 @@ TEMPLATES = [
     (
         "hazard_extraction", "1", "{{input_text}}",
         "Extract every hazard in the report as a JSON array of objects with the fields "
-        "hazard_type, description and severity. Reply [] if there is none.\n\nReport:\n{{input_text}}",
+        "hazard_type, description and severity, and location and timestamp where the report "
+        "names them. Reply [] if there is none.\n\nReport:\n{{input_text}}",
         "structured_extraction",
     ),
     (
@@ -173,6 +177,8 @@ def extract_native(df: DataFrame, text: str) -> DataFrame:
                 "prompt_tokens": F.when(~skipped, C.token_count(text).cast("bigint")),
                 "completion_tokens": F.when(~skipped, C.token_count("extracted_hazards").cast("bigint")),
                 "num_hazards": F.when(skipped, 0).otherwise(F.size("__hazards")),
+                "latency": F.lit(None).cast("double"),
+                "error": F.lit(None).cast("string"),
             }
         )
         .drop("__hazards")
@@ -192,14 +198,13 @@ def _answer(replies: list, at: int, failed: str | None) -> tuple:
     return "[]", 0, 0, failed
 
 
-def batch_extract(
-    df: DataFrame, text: str, call: Callable[[list[str]], list[dict]], key: str
+def batch_call(
+    df: DataFrame, key: str, prompt: Column, asked: Column, call: Callable[[list[str]], list[dict]]
 ) -> DataFrame:
-    """Call a model once per Arrow batch: ``call(prompts)`` returns one dict per prompt with
-    ``response`` and optionally ``prompt_tokens`` and ``completion_tokens``.
+    """``key, reply, status, latency, prompt_tokens, completion_tokens, error``: the model is called
+    once per Arrow batch with the prompts of the rows where ``asked`` holds; the others are skipped.
 
-    Empty text is skipped. A failing call costs its batch the default reply and notes the
-    error; it does not fail the job. Hazards are parsed from the replies natively.
+    A failing call costs its batch the default reply and notes the error; it does not fail the job.
     """
     reply_type = "reply string, status string, latency double, prompt_tokens bigint, completion_tokens bigint, error string"
     key_type = df.schema[key].dataType.simpleString()
@@ -207,7 +212,7 @@ def batch_extract(
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             out = pd.DataFrame({key: batch[key]})
-            filled = batch["prompt"].notna() & (batch["prompt"].str.strip() != "")
+            filled = batch["prompt"].notna()
             out["reply"], out["status"], out["error"] = "[]", "skipped", None
             out["latency"] = float("nan")
             out["prompt_tokens"] = pd.array([None] * len(out), dtype="Int64")
@@ -225,14 +230,30 @@ def batch_extract(
                 out.loc[filled, "status"] = ["success" if a[3] is None else "error" for a in answers]
             yield out
 
-    asked = df.select(key, F.col(text).alias("prompt"))
-    replies = asked.mapInPandas(run, f"{key} {key_type}, {reply_type}")
+    rows = df.select(key, F.when(asked, prompt).alias("prompt"))
+    replies = rows.mapInPandas(run, f"{key} {key_type}, {reply_type}")
+    return replies.withColumn("latency", F.nanvl("latency", F.lit(None).cast("double")))
+
+
+def batch_extract(
+    df: DataFrame, text: str, call: Callable[[list[str]], list[dict]], key: str,
+    template: str | None = None, placeholder: str = "input_text",
+) -> DataFrame:
+    """Fill the extraction template with each text and call a model once per Arrow batch:
+    ``call(prompts)`` returns one dict per prompt with ``response`` and optionally
+    ``prompt_tokens`` and ``completion_tokens``.
+
+    Empty text is skipped. A failing call is data (``batch_call``). Hazards are parsed from the
+    replies natively. ``template`` defaults to ``hazard_extraction``; it must hold ``{{placeholder}}``.
+    """
+    prompt = render_prompt(template or template_text("hazard_extraction"), {placeholder: F.col(text)})
+    replies = batch_call(df, key, prompt, F.coalesce(F.trim(text), F.lit("")) != "", call)
     hazards = parse_hazard_array("reply")
     return replies.select(
         key,
         F.to_json(hazards).alias("extracted_hazards"),
         "status",
-        F.nanvl("latency", F.lit(None).cast("double")).alias("latency"),
+        "latency",
         "prompt_tokens",
         "completion_tokens",
         F.size(hazards).alias("num_hazards"),
@@ -251,6 +272,7 @@ def make_enrichment_udf(call: Callable[[list[str]], list[str]]):
 
 
 def extraction_summary(df: DataFrame) -> DataFrame:
+    """Figures of an extraction; latency over the rows that were asked (null elsewhere)."""
     total = F.count(F.lit(1))
     tokens = F.coalesce("prompt_tokens", F.lit(0)) + F.coalesce("completion_tokens", F.lit(0))
     return df.agg(
@@ -260,6 +282,8 @@ def extraction_summary(df: DataFrame) -> DataFrame:
         F.sum(tokens).alias("total_tokens"),
         F.try_divide(F.sum(tokens), total).alias("avg_tokens"),
         F.sum("num_hazards").alias("hazards"),
+        F.coalesce(F.sum("latency"), F.lit(0.0)).alias("total_latency"),
+        F.avg("latency").alias("avg_latency"),
     )
 
 
@@ -282,6 +306,37 @@ def judge_rows(df: DataFrame, extracted: str, reply: str) -> DataFrame:
     )
 
 
+def judge_batch(
+    df: DataFrame, source: str, extracted: str, call: Callable[[list[str]], list[dict]], key: str,
+    template: str | None = None,
+) -> DataFrame:
+    """``key, judge_score, judge_reason``: the judge is called once per Arrow batch with the filled
+    template. A prediction that is not JSON is not sent and scores 0, like a reply that is not."""
+    prompt = render_prompt(
+        template or template_text("extraction_judge"),
+        {"source_text": F.col(source), "extracted_json": F.col(extracted)})
+    ok = F.col(extracted).isNotNull() & F.try_parse_json(F.col(extracted)).isNotNull()
+    asked = df.withColumn("__sent", ok)
+    replies = batch_call(asked, key, prompt, F.col("__sent"), call)
+    sent = F.when(F.col("status") != "skipped", F.lit("[]")).otherwise(F.lit("[{"))
+    reply = F.when(F.col("status") == "success", F.col("reply"))
+    return judge_rows(replies.select(key, sent.alias("__sent"), reply.alias("__reply")), "__sent", "__reply").select(
+        key, "judge_score", "judge_reason")
+
+
+def audit(
+    df: DataFrame, source: str, extracted: str, call: Callable[[list[str]], list[dict]], key: str,
+    percent: int = 5, seed: int = 42, below: float = QUARANTINE_BELOW,
+) -> DataFrame:
+    """Audit of an extraction: a repeatable sample, judged in batches, with the score on the 1..5
+    scale of the quarantine limit. ``key, judge_score, score, judge_reason, quarantined``."""
+    from terrahaz.operators.aggregate import audit_sample
+
+    judged = judge_batch(audit_sample(df, key, percent, seed), source, extracted, call, key)
+    scaled = judged.withColumn("score", to_five_point("judge_score"))
+    return scaled.select(key, "judge_score", "score", "judge_reason", (F.col("score") < below).alias("quarantined"))
+
+
 def judge_summary(df: DataFrame, score: str, below: float = QUARANTINE_BELOW) -> DataFrame:
     return df.agg(
         F.avg(score).alias("mean_score"),
@@ -309,6 +364,29 @@ def faithfulness(source, claim) -> Column:
     return F.struct(share.alias("faithfulness_score"), unsupported.alias("unsupported_claims"))
 
 
+def extraction_checks(source, reply) -> Column:
+    """What a judge looks for besides accuracy: ``valid_json`` (the reply is a JSON array),
+    ``complete`` (every hazard has the required fields filled), ``faithfulness_score`` and
+    ``unsupported_claims`` of all descriptions, and ``is_accurate``, all three together."""
+    reply = _col(reply)
+    valid = F.coalesce(F.trim(reply).startswith("[") & F.try_parse_json(reply).isNotNull(), F.lit(False))
+    hazards = parse_hazard_array(reply)
+
+    def filled(h) -> Column:
+        full = F.lit(True)
+        for field in REQUIRED_FIELDS:
+            full = full & (F.coalesce(F.trim(h[field]), F.lit("")) != "")
+        return full
+
+    complete = valid & F.forall(hazards, filled)
+    said = F.array_join(F.transform(hazards, lambda h: F.coalesce(h["description"], F.lit(""))), " ")
+    faith = faithfulness(source, said)
+    none_wrong = F.size(faith["unsupported_claims"]) == 0
+    return F.struct(
+        valid.alias("valid_json"), complete.alias("complete"), faith["faithfulness_score"].alias("faithfulness_score"),
+        faith["unsupported_claims"].alias("unsupported_claims"), (complete & none_wrong).alias("is_accurate"))
+
+
 def label_eval(predictions: DataFrame, labels: DataFrame, key: str, category: str) -> DataFrame:
     """Predictions against labels, per category: both sides are reduced to one aggregate."""
     from terrahaz.operators.aggregate import classification_metrics

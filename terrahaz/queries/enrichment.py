@@ -7,6 +7,9 @@ from pyspark.sql import functions as F
 from terrahaz.operators import enrich as E
 from terrahaz.queries import views as V
 from terrahaz.queries.registry import query
+from terrahaz.queries.rollups import hash_sql
+from terrahaz.session import scratch
+from terrahaz.sources import sinks
 
 _SEVERITY = "try_cast(CASE WHEN json_valid(reply) THEN json_extract_string(reply,'$.severity') END AS double)"
 
@@ -21,9 +24,9 @@ def parse_ai_enrichment(spark, sf):
     return df.select("reply_id", "p.ai_severity", "p.ai_hazard_type")
 
 
-V.SQL_VIEWS["fx_hazards"] = """SELECT reply_id, CASE reply_id%8 WHEN 0 THEN [{'t':'weather','d':'d'||reply_id,'s':'high'}]
- WHEN 1 THEN [{'t':'fire','d':'x'||reply_id,'s':'low'},{'t':'crime','d':'y','s':'low'}]
- WHEN 7 THEN [{'t':'medical','d':'m','s':'medium'},{'t':'weather','d':'w','s':'low'}] ELSE [] END AS h FROM fx_replies"""
+V.SQL_VIEWS["fx_hazards"] = """SELECT reply_id, CASE reply_id%8 WHEN 0 THEN [{'t':'weather','d':'d'||reply_id,'s':'high','l':NULL,'w':NULL}]
+ WHEN 1 THEN [{'t':'fire','d':'x'||reply_id,'s':'low','l':NULL,'w':NULL},{'t':'crime','d':'y','s':'low','l':NULL,'w':NULL}]
+ WHEN 7 THEN [{'t':'medical','d':'m','s':'medium','l':'gate 3','w':'09:30'},{'t':'weather','d':'w','s':'low','l':NULL,'w':NULL}] ELSE [] END AS h FROM fx_replies"""
 
 
 @query(
@@ -38,7 +41,8 @@ def parse_hazard_array(spark, sf):
 
 @query(
     "explode_hazards",
-    """SELECT reply_id, len(h) AS num_hazards, e.t AS hazard_type, e.d AS description, e.s AS severity FROM
+    """SELECT reply_id, len(h) AS num_hazards, e.t AS hazard_type, e.d AS description, e.s AS severity,
+    e.l AS location, e.w AS timestamp FROM
     (SELECT reply_id, h, unnest(CASE WHEN len(h)=0 THEN [NULL] ELSE h END) AS e FROM fx_hazards)""",
 )
 def explode_hazards(spark, sf):
@@ -95,8 +99,8 @@ def batch_extract(spark, sf):
         import json
 
         answers = []
-        for text in prompts:
-            low = text.lower()
+        for prompt in prompts:
+            low = prompt.partition("Report:\n")[2].lower()
             found = [{"hazard_type": k, "description": k, "severity": "medium"} for k, ws in table.items() if any(w in low for w in ws)]
             answers.append({"response": json.dumps(found), "prompt_tokens": len(low.split())})
         return answers
@@ -105,6 +109,69 @@ def batch_extract(spark, sf):
     return rows.select("doc_id", "status", F.col("num_hazards").cast("bigint").alias("num_hazards"))
 
 
+def _words(column: str) -> str:
+    return f"list_distinct(list_filter(string_split(regexp_replace(lower(coalesce({column},'')), '[^\\p{{L}}\\p{{N}}]+', ' ', 'g'),' '), lambda x: x<>''))"
+
+
+@query(
+    "extraction_checks",
+    f"""WITH p AS (SELECT reply_id, 'd'||reply_id||' Y; m and W' AS src, array_reply AS r, h, coalesce(array_reply LIKE '[%', false) AS ok,
+    array_to_string(list_transform(h, lambda x: x.d),' ') AS claim FROM fx_replies JOIN fx_hazards USING (reply_id)),
+    q AS (SELECT *, {_words('claim')} AS said, {_words('src')} AS have FROM p)
+    SELECT reply_id, ok AS valid_json, ok AS complete,
+    CASE WHEN len(said)>0 THEN len(list_filter(said, lambda x: list_contains(have,x)))::double/len(said) END AS faithfulness_score,
+    ok AND len(list_filter(said, lambda x: NOT list_contains(have,x)))=0 AS is_accurate FROM q""",
+)
+def extraction_checks(spark, sf):
+    source = F.concat(F.lit("d"), F.col("reply_id").cast("string"), F.lit(" Y; m and W"))
+    df = V.view(spark, sf, "fx_replies").withColumn("c", E.extraction_checks(source, "array_reply"))
+    return df.select("reply_id", "c.valid_json", "c.complete", "c.faithfulness_score", "c.is_accurate")
+
+
+def _judge(prompts):
+    """A stand-in judge: trusts an extraction by the length of what it was made from."""
+    answers = []
+    for prompt in prompts:
+        text = prompt.partition("Text:\n")[2].rpartition("\n\nExtraction:\n")[0]
+        n = len(text)
+        score = "soon" if n % 7 == 0 else f"{n % 11 / 10}"
+        reply = f'{{"score": {score}, "reasoning": "{n} characters"}}'
+        answers.append({"response": reply})
+    return answers
+
+
+_AUDITED = f"""WITH s AS (SELECT doc_id, length(coalesce(text,'')) AS n FROM documents WHERE {hash_sql('doc_id')}%100<5),
+ j AS (SELECT doc_id, CASE WHEN n%7=0 THEN 0 ELSE (n%11)/10 END AS judge_score,
+ CASE WHEN n%7=0 THEN 'judge reply is not JSON' ELSE n||' characters' END AS judge_reason FROM s),
+ a AS (SELECT *, round(1+4*judge_score,6) AS score FROM j)"""
+
+
+def _audited(spark, sf):
+    """Extract, sample, judge, scale, write both sides in one pass and read them back."""
+    texts = V.table(spark, sf, "documents").select("doc_id", "text")
+    extracted = E.extract_native(texts, "text").select("doc_id", "text", "extracted_hazards")
+    path = scratch(spark, "audit")
+    sinks.write_quarantine(E.audit(extracted, "text", "extracted_hazards", _judge, "doc_id"), path, "score")
+    return spark.read.parquet(path)
+
+
+@query(
+    "audit_flow",
+    f"""{_AUDITED} SELECT doc_id, cast(judge_score as double) AS judge_score, score, judge_reason,
+    CASE WHEN score<3 THEN 'quarantined' ELSE 'passed' END AS verdict FROM a""",
+)
+def audit_flow(spark, sf):
+    return _audited(spark, sf).select("doc_id", "judge_score", F.round("score", 6).alias("score"), "judge_reason", "verdict")
+
+
+@query(
+    "audit_summary",
+    f"{_AUDITED} SELECT round(avg(score),6) AS mean_score, count(*) AS evaluated, count(*) FILTER (score<3) AS below_threshold FROM a",
+)
+def audit_summary(spark, sf):
+    return E.judge_summary(_audited(spark, sf), "score").withColumn("mean_score", F.round("mean_score", 6))
+
+
 @query("enrichment_udf", "SELECT doc_id, '{\"severity\": '||(1+length(text)%10)||'}' AS reply FROM documents")
 def enrichment_udf(spark, sf):
     udf = E.make_enrichment_udf(lambda texts: [f'{{"severity": {1 + len(t) % 10}}}' for t in texts])
@@ -141,10 +208,6 @@ def judge_rows(spark, sf):
     return E.judge_rows(df, "extracted", "judge_reply").select("reply_id", "judge_score", "judge_reason")
 
 
-def _words(column: str) -> str:
-    return f"list_distinct(list_filter(string_split(regexp_replace(lower(coalesce({column},'')), '[^\\p{{L}}\\p{{N}}]+', ' ', 'g'),' '), lambda x: x<>''))"
-
-
 @query(
     "faithfulness",
     f"""WITH p AS (SELECT a.conv_id AS conv_id, a.turn AS turn, {_words('b.text')} AS said, {_words('a.text')} AS have FROM conversations a JOIN conversations b

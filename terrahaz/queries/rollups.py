@@ -111,16 +111,19 @@ def layer_quality(spark, sf):
     count(*) FILTER (reply IS NULL OR trim(reply)='') AS skipped,
     cast(sum(coalesce(prompt_tokens,0)+coalesce(completion_tokens,0)) as bigint) AS total_tokens,
     sum(coalesce(prompt_tokens,0)+coalesce(completion_tokens,0))/count(*) AS avg_tokens,
-    cast(sum(reply_id%4) as bigint) AS hazards FROM fx_replies""",
+    cast(sum(reply_id%4) as bigint) AS hazards,
+    sum((reply_id%8)/8::double) FILTER (reply IS NOT NULL AND trim(reply)<>'') AS total_latency,
+    round(avg((reply_id%8)/8::double) FILTER (reply IS NOT NULL AND trim(reply)<>''),9) AS avg_latency FROM fx_replies""",
 )
 def extraction_summary(spark, sf):
     from terrahaz.operators.enrich import extraction_summary as summary
 
     empty = F.coalesce(F.trim("reply"), F.lit("")) == ""
     df = V.view(spark, sf, "fx_replies").withColumns(
-        {"status": F.when(empty, "skipped").otherwise("success"), "num_hazards": F.col("reply_id") % 4}
+        {"status": F.when(empty, "skipped").otherwise("success"), "num_hazards": F.col("reply_id") % 4,
+         "latency": F.when(~empty, (F.col("reply_id") % 8) / F.lit(8.0))}
     )
-    return summary(df)
+    return summary(df).withColumn("avg_latency", F.round("avg_latency", 9))
 
 
 @query(

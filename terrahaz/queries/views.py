@@ -147,7 +147,7 @@ VIEWS: dict[str, tuple[str, str | None, list[tuple[str, str]]]] = {
                         " when 4 then null"
                         " when 5 then 'nothing found'"
                         " when 6 then ''"
-                        " else '[{\"hazard_type\": \"medical\", \"description\": \"m\", \"severity\": \"medium\"}, {\"hazard_type\": \"weather\", \"description\": \"w\", \"severity\": \"low\"}]' end"),
+                        " else '[{\"hazard_type\": \"medical\", \"description\": \"m\", \"severity\": \"medium\", \"location\": \"gate 3\", \"timestamp\": \"09:30\"}, {\"hazard_type\": \"weather\", \"description\": \"w\", \"severity\": \"low\"}]' end"),
         ("judge_reply", "case o_orderkey%5"
                         " when 0 then concat('{\"score\": ', cast(o_orderkey%6 as varchar(20)), ', \"reasoning\": \"because\"}')"
                         " when 1 then concat('I say \"score\": 0.', cast(o_orderkey%10 as varchar(20)), ' overall')"

@@ -174,6 +174,36 @@ def test_failing_model_is_data(spark):
     assert got[2].status == got[3].status == "skipped"
 
 
+def test_template_and_bad_replies(spark):
+    def model(prompts):
+        assert all(p.startswith("about: ") for p in prompts)
+        return [None, {"response": "[]", "prompt_tokens": None}, {"response": '[{"hazard_type": "a", "location": "b"}]'}][: len(prompts)]
+
+    df = spark.createDataFrame([(1, "t"), (2, "u"), (3, "v"), (4, "w"), (5, "  ")], "id int, t string").coalesce(1)
+    got = {r.id: r for r in E.batch_extract(df, "t", model, "id", "about: {{x}}", "x").collect()}
+    assert [got[i].status for i in (1, 2, 3, 4, 5)] == ["error", "success", "success", "error", "skipped"]
+    assert json.loads(got[3].extracted_hazards) == [{"hazard_type": "a", "location": "b"}] and got[3].latency >= 0
+
+
+def test_audit(spark):
+    def judge(prompts):
+        return [{"response": "nope" if "third" in p else '{"score": 0.25, "reasoning": "thin"}'} for p in prompts]
+
+    df = spark.createDataFrame([(1, "first", "[]"), (2, "second", "[{"), (3, "third", "[]"), (4, "fourth", None)], "id int, t string, x string")
+    got = {r.id: (r.judge_score, r.score, r.judge_reason, r.quarantined) for r in E.audit(df, "t", "x", judge, "id", percent=100).collect()}
+    assert got == {
+        1: (0.25, 2.0, "thin", True), 2: (0.0, 1.0, "prediction is not JSON", True),
+        3: (0.0, 1.0, "judge reply is not JSON", True), 4: (0.0, 1.0, "prediction is not JSON", True)}
+
+
+def test_extraction_checks(spark):
+    full = '[{"hazard_type": "fire", "description": "smoke seen", "severity": "low"}]'
+    part = '[{"hazard_type": "fire", "description": "smoke seen"}]'
+    df = spark.createDataFrame([(1, "smoke was seen", full), (2, "smoke was seen", part), (3, "nothing", full), (4, "x", None), (5, "x", "[{")], "id int, s string, r string")
+    got = {r.id: (r.c.valid_json, r.c.complete, r.c.is_accurate) for r in df.select("id", E.extraction_checks("s", "r").alias("c")).collect()}
+    assert got == {1: (True, True, True), 2: (True, False, False), 3: (True, True, False), 4: (False, False, False), 5: (False, False, False)}
+
+
 def test_judge_and_faithfulness(spark):
     df = spark.createDataFrame([("[]", '{"score": 4, "reasoning": "ok"}'), ("[{", '{"score": 4}'), ("[]", "nope")], "x string, r string")
     got = [(r.judge_score, r.judge_reason) for r in E.judge_rows(df, "x", "r").collect()]

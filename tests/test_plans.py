@@ -10,7 +10,7 @@ from terrahaz.queries import views as V
 
 QUERIES = entry.queries()
 SPATIAL = ["land_mask", "land_mask_inner", "off_land", "event_neighborhood", "nearest_facility", "near_facility", "fact_hazard_events", "top_hazards", "fact_dim"]
-PYTHON = {"batch_extract", "enrichment_udf", "export_collections"}
+PYTHON = {"batch_extract", "audit_flow", "audit_summary", "enrichment_udf", "export_collections"}
 
 
 def plan(df) -> str:
