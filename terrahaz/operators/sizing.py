@@ -52,6 +52,13 @@ def fits_broadcast(df: DataFrame, max_bytes: int | None = None) -> bool:
     return limit > 0 and measure(df).bytes <= limit
 
 
+def _hot_keys(df: DataFrame, on: list[str], rows_per_task: int, salts: str) -> DataFrame:
+    """Keys of more than ``rows_per_task`` rows and into how many parts to split them."""
+    counted = df.groupBy(*on).agg(F.count(F.lit(1)).alias("__n"))
+    hot = counted.where(F.col("__n") > rows_per_task)
+    return hot.select(*on, F.ceil(F.col("__n") / F.lit(rows_per_task)).cast("int").alias(salts))
+
+
 def skew_join(
     left: DataFrame,
     right: DataFrame,
@@ -59,37 +66,43 @@ def skew_join(
     how: str = "inner",
     rows_per_task: int = ROWS_PER_TASK,
 ) -> DataFrame:
-    """Shuffle join with hot keys of the left side split over several tasks.
-
-    Left keys with more than ``rows_per_task`` rows get ``ceil(n / rows_per_task)``
-    salts; left rows take one by hash of their content, right rows are repeated once
-    per salt, so every pair still meets exactly once. The hot-key table has at most
-    rows / ``rows_per_task`` entries, which is what bounds its broadcast. Copies of
-    one whole row share a salt; AQE's skew join splits those by map output.
+    """Shuffle join with hot keys split over several tasks.
+
+    Keys with more than ``rows_per_task`` rows get ``ceil(n / rows_per_task)`` salts. A row takes
+    one salt of its own side by hash of its content and is repeated for every salt of the other
+    side, so every pair still meets exactly once. An inner join splits both sides; the other types
+    need all of a key's right rows together and split the left. Hot keys are counted once and
+    written to the shared folder; without any the join is a plain one. Copies of one whole row
+    share a salt; AQE's skew join splits those by map output.
     """
     if how not in {"inner", "left", "left_semi", "left_anti"}:
         raise ValueError(f"join type {how} cannot be salted on the left side")
+    hot = _hot_keys(left, on, rows_per_task, "__l")
+    if how == "inner":
+        hot = hot.join(_hot_keys(right, on, rows_per_task, "__r"), on, "full").dropna(subset=on)
+    else:
+        hot = hot.withColumn("__r", F.lit(None).cast("int"))
+    hot = materialize(hot, "hot-keys")
+    if hot.isEmpty():
+        return left.join(right, on, how)
     renamed = [f"__hot_{i}" for i in range(len(on))]
-    counted = left.groupBy(*on).agg(F.count(F.lit(1)).alias("__n"))
-    hot = counted.where(F.col("__n") > rows_per_task).select(
-        *[F.col(c).alias(r) for c, r in zip(on, renamed)],
-        F.ceil(F.col("__n") / F.lit(rows_per_task)).cast("int").alias("__salts"),
-    )
+    named = hot.select(*[F.col(c).alias(r) for c, r in zip(on, renamed)], "__l", "__r")
+    # a handful of keys in practice; beyond the limit the planner shuffles
+    table = F.broadcast(named) if fits_broadcast(named) else named
 
-    def with_salts(df: DataFrame) -> DataFrame:
+    def salted(df: DataFrame, own: str, other: str) -> DataFrame:
         condition = F.lit(True)
         for c, r in zip(on, renamed):
-            condition = condition & (df[c] == F.col(r))
-        return df.join(F.broadcast(hot), condition, "left").drop(*renamed)
-
-    row_hash = F.xxhash64(*[F.col(c) for c in left.columns])
-    salted_left = with_salts(left).withColumn(
-        "__salt", F.coalesce(F.pmod(row_hash, F.col("__salts")).cast("int"), F.lit(0))
-    )
-    every_salt = F.sequence(F.lit(0), F.coalesce(F.col("__salts"), F.lit(1)) - 1)
-    salted_right = with_salts(right).withColumn("__salt", F.explode(every_salt)).drop("__salts")
-    joined = salted_left.drop("__salts").join(salted_right, [*on, "__salt"], how)
-    return joined.drop("__salt")
+            condition = condition & df[c].eqNullSafe(F.col(r))  # rows without a key are spread too
+        content = F.xxhash64(*[F.col(c) for c in df.columns])
+        mine = F.coalesce(F.pmod(content, F.col(own)).cast("int"), F.lit(0))
+        out = df.join(table, condition, "left").withColumns({f"__salt{own}": mine, f"__n{other}": F.coalesce(other, F.lit(1))})
+        out = out.drop(*renamed, "__l", "__r")
+        return out.withColumn(f"__salt{other}", F.explode(F.sequence(F.lit(0), F.col(f"__n{other}") - 1))).drop(f"__n{other}")
+
+    keys = [*on, "__salt__l", "__salt__r"]
+    joined = salted(left, "__l", "__r").join(salted(right, "__r", "__l"), keys, how)
+    return joined.drop("__salt__l", "__salt__r")
 
 
 def join_dim(

@@ -19,7 +19,7 @@ import math
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from terrahaz.functions import geometry as G
@@ -289,14 +289,12 @@ def attach_polygon(
 
 # ------------------------------------------------------------------- nearest
 
-#: Search levels from fine to coarse; level 0 is the whole globe.
-NEAREST_LEVELS = tuple(range(18, -1, -1))
+#: Search levels from fine to coarse.
+NEAREST_LEVELS = tuple(range(18, 0, -1))
 
 
 def _safe_radius(lat: Column, level: int) -> Column:
     """Metres within which every facility lies in the 3 x 3 cells around a point."""
-    if level == 0:
-        return F.lit(math.inf)
     step = min(grid.quad_size(level), 90.0)
     across = F.asin(F.greatest(F.cos(F.radians(lat)), F.lit(0.0)) * F.lit(math.sin(math.radians(step))))
     return across * F.lit(G.EARTH_RADIUS_M * (1 - 1e-9)) - F.lit(0.001)
@@ -352,30 +350,72 @@ def _with_vectors(sites: DataFrame) -> DataFrame:
 MAX_SITES_PER_CELL = 4
 
 
-def _search_plan(sites: DataFrame) -> tuple[int, list[int]]:
-    """Bytes of the sites and the levels to search, fine to coarse.
+@dataclass(frozen=True)
+class SearchPlan:
+    """``size``: bytes of the sites; ``levels``: fine to coarse; ``leaf``: where no cell is crowded
+    (or the finest); ``coarse``: where the sites occupy about as many cells as each holds sites."""
+
+    size: int
+    levels: list[int]
+    leaf: int
+    coarse: int
+
+
+def _search_plan(sites: DataFrame) -> SearchPlan | None:
+    """Where to search; None without sites.
 
     The search starts at the coarsest level at which even the densest cell is small, so a
     crowded corner costs its callers no more than any other place. Levels at which the
-    sites occupy a handful of cells would show every site anyway; the globe stands in.
+    sites occupy a handful of cells would show every site anyway and are left out.
     """
-    searched = [n for n in NEAREST_LEVELS if n > 0]
-    cells = F.array(*[F.struct(F.lit(n).alias("n"), grid.quad_cell("fx", "fy", n).alias("c")) for n in searched])
+    cells = F.array(*[F.struct(F.lit(n).alias("n"), grid.quad_cell("fx", "fy", n).alias("c")) for n in NEAREST_LEVELS])
     occupied = (
         sites.select(F.explode(cells).alias("at"), row_bytes(sites.columns).alias("w"))
         .groupBy("at")
         .agg(F.count(F.lit(1)).alias("k"), F.sum("w").alias("w"))
         .groupBy("at.n")
-        .agg(F.max("k").alias("densest"), F.count(F.lit(1)).alias("cells"), F.sum("w").alias("bytes"))
+        .agg(F.max("k").alias("densest"), F.count(F.lit(1)).alias("cells"), F.sum("k").alias("sites"), F.sum("w").alias("bytes"))
         .collect()  # one row per level
     )
     if not occupied:
-        return 0, [0]
+        return None
     seen = {r["n"]: r for r in occupied}
-    calm = [n for n in searched if seen[n]["densest"] <= MAX_SITES_PER_CELL]
-    start = min(calm, default=searched[0])
-    levels = [n for n in range(start, 0, -2) if seen[n]["cells"] > 4 * 9]
-    return int(occupied[0]["bytes"]), levels + [0]
+    calm = [n for n in NEAREST_LEVELS if seen[n]["densest"] <= MAX_SITES_PER_CELL]
+    leaf = min(calm, default=NEAREST_LEVELS[0])
+    levels = [n for n in range(leaf, 0, -2) if seen[n]["cells"] > 4 * 9]
+    coarse = min(NEAREST_LEVELS, key=lambda n: (abs(seen[n]["cells"] ** 2 - seen[n]["sites"]), n))
+    return SearchPlan(int(occupied[0]["bytes"]), levels, leaf, coarse)
+
+
+#: Metres added to bounds on distances through a cell's centre: far above their rounding, also for
+#: points on the other side of the globe.
+_BOUND_SLACK_M = 1.0
+
+
+def _centre(level: int) -> tuple[Column, Column]:
+    """Longitude and latitude of the centre of a site's cell."""
+    x, y = F.col("fx"), F.col("fy")
+    step = grid.quad_size(level)
+    lon = (grid.quad_column(x, level) + F.lit(0.5)) * F.lit(step) - F.lit(180.0)
+    lat = (grid.quad_row(y, level) + F.lit(0.5)) * F.lit(step) - F.lit(90.0)
+    return lon, F.least(lat, F.lit(90.0))
+
+
+def _boxes(sites: DataFrame, above: int, level: int, label: str, *sums: Column) -> DataFrame:
+    """``cell`` (at ``above``), ``inner`` (at ``level``), centre ``bx, by`` and ``r``, the metres
+    from there within which all its sites lie: a row per occupied inner cell."""
+    bx, by = _centre(level)
+    outer = F.lit(0).cast("bigint") if above == 0 else grid.quad_cell("fx", "fy", above)
+    filed = sites.withColumns({"cell": outer, "inner": grid.quad_cell("fx", "fy", level), "bx": bx, "by": by})
+    reach = F.max(G.haversine_m(F.col("bx"), F.col("by"), F.col("fx"), F.col("fy")))
+    return materialize(filed.groupBy("cell", "inner").agg(F.min("bx").alias("bx"), F.min("by").alias("by"), reach.alias("r"), *sums), label)
+
+
+def _meet(asking: DataFrame, cells: DataFrame, max_bytes: int | None, rows_per_task: int) -> DataFrame:
+    """Inner join on ``cell``: look small tables up in place, else split hot cells of both sides."""
+    if fits_broadcast(cells, max_bytes):
+        return asking.join(F.broadcast(cells), "cell")
+    return skew_join(materialize(asking, "asking"), cells, ["cell"], "inner", rows_per_task)
 
 
 def nearest_facility(
@@ -396,17 +436,22 @@ def nearest_facility(
 
     Levels go from fine to coarse. At a level a point sees the facilities of the 3 x 3
     cells around it; once the best of them is no farther than the radius those cells
-    surely cover, the point is settled and asks no coarser level. The last level is the
-    globe, so every located point is settled if any facility exists.
+    surely cover, the point is settled and asks no coarser level. The few points left lie far
+    from all facilities. They go through occupied cells from the coarse end and keep, by upper
+    and lower bounds of distance, only cells that can hold the answer; no point ever meets
+    all facilities.
     """
     sites = materialize(_with_vectors(distinct_sites(facilities, key, f_lon, f_lat)), "sites")
-    size, levels = _search_plan(sites)
+    plan = _search_plan(sites)
     limit = MAX_BROADCAST_BYTES if max_bytes is None else max_bytes
-    # each facility is filed under nine cells per level and once under the globe
-    small = limit > 0 and size * 9 * len(levels) <= limit
-    best = _nearest_small(points, sites, levels, lon, lat) if small else _nearest_large(
-        points, sites, levels, lon, lat, rows_per_task
-    )
+    if plan is None:
+        none = F.lit(None).cast(f"struct<m:double,fid:{sites.schema['fid'].dataType.simpleString()}>")
+        best = points.withColumn("__best", none)
+    # each facility is filed under nine cells per level and once under its coarse cell
+    elif limit > 0 and plan.size * 9 * (len(plan.levels) + 1) <= limit:
+        best = _nearest_small(points, sites, plan, lon, lat)
+    else:
+        best = _nearest_large(points, sites, plan, lon, lat, max_bytes, rows_per_task)
     return best.select(
         *points.columns, F.col("__best")["fid"].alias(out_id), F.col("__best")["m"].alias(out_m)
     )
@@ -417,16 +462,17 @@ def _filed(sites: DataFrame, level: int) -> DataFrame:
     return sites.withColumn("cell", F.explode(grid.quad_neighbourhood("fx", "fy", level)))
 
 
-def _nearest_small(points, sites, levels, lon, lat) -> DataFrame:
+def _nearest_small(points, sites, plan, lon, lat) -> DataFrame:
     x, y = F.col(lon), F.col(lat)
     id_type = sites.schema["fid"].dataType.simpleString()
     out = points.withColumn("__best", F.lit(None).cast(f"struct<m:double,fid:{id_type}>"))
     out = out.withColumn("__open", _located(x, y))
-    for level in levels:
+    site = F.struct("fx", "fy", "fid", "ux", "uy", "uz")
+    for level in plan.levels:
         dictionary = (
             _filed(sites, level)
             .groupBy(F.col("cell").alias("__cell"))
-            .agg(F.collect_list(F.struct("fx", "fy", "fid", "ux", "uy", "uz")).alias("__near"))
+            .agg(F.collect_list(site).alias("__near"))
         )
         # a settled point asks with a null key and so carries no candidates along
         out = out.withColumn("__cell", F.when(F.col("__open"), grid.quad_cell(x, y, level)))
@@ -435,29 +481,62 @@ def _nearest_small(points, sites, levels, lon, lat) -> DataFrame:
         out = out.withColumn("__best", F.when(F.col("__open"), here).otherwise(F.col("__best")))
         settled = F.coalesce(F.col("__best")["m"] <= _safe_radius(y, level), F.lit(False))
         out = out.withColumn("__open", F.col("__open") & ~settled).drop("__cell", "__near")
-    return out.drop("__open")
+    # the rest: one row of all occupied coarse cells with their sites; sites are looked at only in
+    # cells not farther than the nearest cell surely is
+    bx, by = _centre(plan.coarse)
+    boxes = sites.withColumns({"bx": bx, "by": by, "c": grid.quad_cell("fx", "fy", plan.coarse)}).groupBy("c").agg(
+        F.min("bx").alias("bx"), F.min("by").alias("by"), F.collect_list(site).alias("near"),
+        F.max(G.haversine_m(F.col("bx"), F.col("by"), F.col("fx"), F.col("fy"))).alias("r"))
+    globe = boxes.groupBy(grid.quad_cell("bx", "by", 0).alias("__cell")).agg(F.collect_list(F.struct("bx", "by", "r", "near")).alias("__boxes"))
+    out = out.withColumn("__cell", F.when(F.col("__open"), grid.quad_cell(x, y, 0))).join(F.broadcast(globe), "__cell", "left")
+
+    def away(b):
+        return G.haversine_m(x, y, b["bx"], b["by"])
+
+    def inside(limit):
+        return F.flatten(F.transform(F.filter("__boxes", lambda b: away(b) - b["r"] <= limit), lambda b: b["near"]))
 
+    nearest_cell = F.array_min(F.transform("__boxes", lambda b: away(b) + b["r"])) + F.lit(_BOUND_SLACK_M)
+    far = _bind(_bind(nearest_cell, inside), lambda near: _best_of(near, x, y))
+    return out.withColumn("__best", F.when(F.col("__open"), far).otherwise(F.col("__best"))).drop("__cell", "__boxes", "__open")
 
-def _nearest_large(points, sites, levels, lon, lat, rows_per_task) -> DataFrame:
+
+def _nearest_large(points, sites, plan, lon, lat, max_bytes, rows_per_task) -> DataFrame:
     located = points.where(_located(F.col(lon), F.col(lat)))
-    still_open = located.select(F.col(lon).alias("__x"), F.col(lat).alias("__y")).distinct()
+    places = located.select(F.col(lon).alias("__x"), F.col(lat).alias("__y")).distinct()
+    answers = _nearest_of_places(materialize(places, "places"), sites, plan, max_bytes, rows_per_task)
+    answers = answers.select(F.col("__x").alias(lon), F.col("__y").alias(lat), "__best")
+    return skew_join(points, answers, [lon, lat], "left", rows_per_task)
+
+
+def _nearest_of_places(places, sites, plan, max_bytes, rows_per_task) -> DataFrame:
+    """``__x, __y, __best`` of every place of a written table."""
     x, y = F.col("__x"), F.col("__y")
-    settled = []
-    for level in levels:
+    metres = F.round(G.haversine_m(x, y, F.col("fx"), F.col("fy")), 3)
+    best = F.min(F.struct(metres.alias("m"), F.col("fid"))).alias("__best")
+    settled, still_open = [], places
+    for level in plan.levels:
         probing = still_open.withColumn("cell", grid.quad_cell(x, y, level))
-        metres = F.round(G.haversine_m(x, y, F.col("fx"), F.col("fy")), 3)
         found = (
             skew_join(probing, _filed(sites, level), ["cell"], "inner", rows_per_task)
             .groupBy("__x", "__y")
-            .agg(F.min(F.struct(metres.alias("m"), F.col("fid"))).alias("__best"))
+            .agg(best)
             .where(F.col("__best")["m"] <= _safe_radius(y, level))
-            .checkpoint()
         )
+        found = materialize(found, "settled")
         settled.append(found)
-        still_open = still_open.join(found.select("__x", "__y"), ["__x", "__y"], "left_anti")
-    answers = reduce(DataFrame.unionByName, settled)
-    answers = answers.select(x.alias(lon), y.alias(lat), "__best")
-    return skew_join(points, answers, [lon, lat], "left", rows_per_task)
+        still_open = materialize(still_open.join(found.select("__x", "__y"), ["__x", "__y"], "left_anti"), "open")
+    # the rest, from the globe down: a cell is kept while its lower bound is within the least upper bound
+    candidates, above = still_open.withColumn("cell", F.lit(0).cast("bigint")), 0
+    for level in sorted(range(plan.leaf, 0, -2)):
+        met = _meet(candidates, _boxes(sites, above, level, "cells"), max_bytes, rows_per_task)
+        met = met.withColumn("d", G.haversine_m(x, y, F.col("bx"), F.col("by")))
+        met = met.withColumn("top", F.min(F.col("d") + F.col("r")).over(Window.partitionBy("__x", "__y")))
+        kept = F.col("d") - F.col("r") <= F.col("top") + F.lit(_BOUND_SLACK_M)
+        candidates, above = met.where(kept).select("__x", "__y", F.col("inner").alias("cell")), level
+    at_leaf = sites.withColumn("cell", grid.quad_cell("fx", "fy", plan.leaf))
+    settled.append(_meet(candidates, at_leaf, max_bytes, rows_per_task).groupBy("__x", "__y").agg(best))
+    return reduce(DataFrame.unionByName, settled)
 
 
 # ----------------------------------------------------------- within a distance
@@ -507,18 +586,20 @@ def within_distance(
     """Points with at least one facility in reach: how many, which is nearest, how far.
 
     One row per point, so a dense area yields no pair list. Facilities sharing a
-    location are counted through their number.
+    location are counted through their number. Beyond the broadcast limit, cells wholly in reach
+    count by their total; only sites of cells on the rim are measured.
     """
     level = _disc_level(radius_m)
     located = facilities.where(_located(F.col(f_lon), F.col(f_lat)))
     sites = located.groupBy(F.col(f_lon).alias("fx"), F.col(f_lat).alias("fy")).agg(
         F.min(key).alias("fid"), F.count(F.lit(1)).alias("k")
     )
-    filed = _with_vectors(sites).withColumn("cell", F.explode(_disc_cells(F.col("fx"), F.col("fy"), radius_m, level)))
-    filed = materialize(filed, "discs")
+    sites = materialize(_with_vectors(sites), "sites")
+    filed = sites.withColumn("cell", F.explode(_disc_cells(F.col("fx"), F.col("fy"), radius_m, level)))
     x, y = F.col(lon), F.col(lat)
     names = ["facilities_within", "nearest_id", "nearest_m"]
     if fits_broadcast(filed, max_bytes):
+        filed = materialize(filed, "discs")
         dictionary = filed.groupBy(F.col("cell").alias("__cell")).agg(
             F.collect_list(F.struct("fx", "fy", "fid", "k", "ux", "uy", "uz")).alias("__near")
         )
@@ -542,16 +623,31 @@ def within_distance(
         rows = F.transform(F.filter(found, lambda a: F.size(a) > 0), summed)
         out = out.select(*points.columns, F.inline(rows))
     else:
-        places = points.where(_located(x, y)).select(lon, lat).distinct()
-        metres = F.round(G.haversine_m(x, y, F.col("fx"), F.col("fy")), 3)
-        probing = places.withColumn("cell", grid.quad_cell(x, y, level))
-        reach = (
-            skew_join(probing, filed, ["cell"], "inner", rows_per_task)
-            .withColumn("m", metres)
-            .where(F.col("m") <= radius_m)
-            .groupBy(lon, lat)
-            .agg(F.sum("k").alias("__k"), F.min(F.struct("m", "fid")).alias("__best"))
-        )
+        places = points.where(_located(x, y)).select(x.alias("__x"), y.alias("__y")).distinct()
+        reach = _reach_of_places(materialize(places, "places"), sites, radius_m, level, max_bytes, rows_per_task)
+        reach = reach.select(F.col("__x").alias(lon), F.col("__y").alias(lat), "__k", "__best")
         out = skew_join(points, reach, [lon, lat], "inner", rows_per_task)
     values = [F.col("__k"), F.col("__best")["fid"], F.col("__best")["m"]]
     return out.select(*points.columns, *[v.alias(n) for v, n in zip(values, names)])
+
+
+def _reach_of_places(places, sites, radius_m, level, max_bytes, rows_per_task) -> DataFrame:
+    """``__x, __y, __k, __best`` of the places of a written table with a site in reach."""
+    plan = _search_plan(sites)
+    x, y, d, r = F.col("__x"), F.col("__y"), F.col("d"), F.col("r")
+    metres = F.round(G.haversine_m(x, y, F.col("fx"), F.col("fy")), 3)
+    if plan is None:
+        none = sites.join(places, F.lit(False))
+        return none.groupBy("__x", "__y").agg(F.sum("k").alias("__k"), F.min(F.struct(metres.alias("m"), "fid")).alias("__best"))
+    candidates, above, parts = places.withColumn("cell", F.explode(_disc_cells(x, y, radius_m, level))), level, []
+    for inner in range(level + 2, plan.leaf + 1, 2):
+        met = _meet(candidates, _boxes(sites, above, inner, "cells", F.sum("k").alias("k")), max_bytes, rows_per_task)
+        met = materialize(met.withColumn("d", G.haversine_m(x, y, F.col("bx"), F.col("by"))).where(
+            d - r <= radius_m + _BOUND_SLACK_M).withColumn("whole", d + r <= radius_m - _BOUND_SLACK_M), "reach")
+        parts.append(met.where("whole").select("__x", "__y", "k"))
+        candidates, above = met.where("not whole").select("__x", "__y", F.col("inner").alias("cell")), inner
+    rim = _meet(candidates, sites.withColumn("cell", grid.quad_cell("fx", "fy", above)), max_bytes, rows_per_task)
+    parts.append(rim.where(metres <= radius_m).select("__x", "__y", "k"))
+    counted = materialize(reduce(DataFrame.unionByName, parts).groupBy("__x", "__y").agg(F.sum("k").alias("__k")), "counts")
+    best = _nearest_of_places(counted.select("__x", "__y"), sites, plan, max_bytes, rows_per_task)
+    return counted.join(best, ["__x", "__y"])

@@ -130,6 +130,15 @@ def test_skew_join_equals_plain_join(spark, how):
     assert rows(got, "id", *(["v"] if how in ("inner", "left") else [])) == want
 
 
+@pytest.mark.parametrize("how", ["inner", "left", "left_semi", "left_anti"])
+def test_skew_join_hot_right_and_null_keys(spark, how):
+    left = spark.createDataFrame([(i, None if i % 3 == 0 else i % 4) for i in range(200)], "id int, k int")
+    right = spark.createDataFrame([(None if j % 5 == 0 else 1, f"v{j}") for j in range(150)], "k int, v string")
+    kept = ["v"] if how in ("inner", "left") else []
+    want = rows(left.join(right, ["k"], how), "id", *kept)
+    assert rows(sizing.skew_join(left, right, ["k"], how, rows_per_task=20), "id", *kept) == want
+
+
 def test_join_dim_both_ways(spark):
     fact = spark.createDataFrame([(i, i % 5) for i in range(100)], "id int, k int")
     dim = spark.createDataFrame([(k, f"n{k}") for k in range(4)], "k int, name string")

@@ -130,6 +130,47 @@ def test_nearest(callers, facilities, max_bytes):
     assert got[2000][0] == 500 and got[3000][0] == 2
 
 
+@pytest.fixture(scope="module")
+def city(spark):
+    """Crowded sites of one city and callers all over the world."""
+    rng = random.Random(11)
+    sites = [(i, -74.0 + rng.gauss(0, 0.05), 40.7 + rng.gauss(0, 0.05)) for i in range(3000)]
+    calls = [(i, rng.uniform(-180, 180), rng.uniform(-90, 90)) for i in range(300)] + [(300, 106.0, -40.7), (301, -74.0, 40.7)]
+    return (spark.createDataFrame(calls, "id int, longitude double, latitude double").cache(),
+            spark.createDataFrame(sites, "infrastructure_id int, longitude double, latitude double").cache())
+
+
+@BOTH
+def test_far_callers_do_not_meet_every_site(city, max_bytes, monkeypatch):
+    callers, sites = city
+    met = []
+    plain = S._meet
+
+    def counted(asking, cells, *more):
+        out = plain(asking, cells, *more)
+        met.append(out.count())
+        return out
+
+    monkeypatch.setattr(S, "_meet", counted)
+    want = {r.id: (r.b.infrastructure_id, r.b.m) for r in _distances(callers, sites).groupBy("id").agg(
+        F.min(F.struct("m", "infrastructure_id")).alias("b")).collect()}
+    found = S.nearest_facility(callers, sites, max_bytes=max_bytes)
+    assert {r.id: (r.nearest_id, r.nearest_m) for r in found.collect()} == want
+    assert sum(met) < 302 * 3000 / 10  # all levels together, against all pairs
+
+
+def test_dense_discs_count_by_cell(city, monkeypatch):
+    callers, sites = city
+    met = []
+    plain = S._meet
+    monkeypatch.setattr(S, "_meet", lambda *a: met.append(plain(*a)) or met[-1])
+    near = _distances(callers.where("id = 301"), sites).where(F.col("m") <= 12_000)
+    want = near.count()
+    got = S.within_distance(callers, sites, 12_000.0, max_bytes=0).collect()
+    assert [(r.id, r.facilities_within) for r in got if r.id == 301] == [(301, want)]
+    assert max(m.count() for m in met) < want
+
+
 @BOTH
 def test_nearest_without_facilities(callers, facilities, max_bytes):
     found = S.nearest_facility(callers, facilities.where("false"), max_bytes=max_bytes)
