@@ -170,14 +170,18 @@ def spatial_density(
     df: DataFrame, size: float, ts: str, lon: str = "longitude", lat: str = "latitude",
     max_bytes: int | None = None,
 ) -> DataFrame:
-    """Events in the row's cell, and in its cell on its day, added to every row."""
+    """Events in the row's cell, and in its cell on its day, added to every row. A row without a
+    place has neither, one without a time has the first."""
     cell = grid.grid_cell(lon, lat, size)
-    marked = df.withColumns({"cx": cell["cx"], "cy": cell["cy"], "day": F.to_date(ts)})
+    # a day no calendar of events reaches stands for none, so that such rows find their cell
+    day = F.coalesce(F.to_date(ts), F.lit("0001-01-01").cast("date"))
+    marked = df.withColumns({"cx": cell["cx"], "cy": cell["cy"], "day": day})
     daily = marked.groupBy("cx", "cy", "day").agg(F.count(F.lit(1)).alias("event_frequency"))
     # the per-cell count comes from the daily counts, not from another pass
     total = daily.groupBy("cx", "cy").agg(F.sum("event_frequency").alias("spatial_density"))
     figures = daily.join(total, ["cx", "cy"])
-    return join_dim(marked, figures, ["cx", "cy", "day"], "left", max_bytes=max_bytes)
+    joined = join_dim(marked, figures, ["cx", "cy", "day"], "left", max_bytes=max_bytes)
+    return joined.withColumns({"event_frequency": F.when(F.to_date(ts).isNotNull(), F.col("event_frequency")), "day": F.to_date(ts)})
 
 
 # -------------------------------------------------------------- model metrics

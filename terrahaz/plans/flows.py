@@ -5,9 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from terrahaz.functions import geometry as G
+from terrahaz.operators import aggregate as A
 from terrahaz.operators import clean as P
 from terrahaz.operators import spatial as S
-from terrahaz.sources import readers, sinks
+from terrahaz.plans import gold
+from terrahaz.sources import feeds, readers, sinks
 
 
 def silver_flow(
@@ -17,12 +19,14 @@ def silver_flow(
     source: str,
     out_path: str | None = None,
     land: DataFrame | None = None,
+    schema: str | None = None,
 ) -> DataFrame:
     """Read, resolve columns, cast, validate, add the point, mask, add lineage, write.
 
-    One scan of the input and no count jobs. Returns the silver table.
+    One scan of the input and no count jobs, given a schema (CSV and JSON without one are read
+    once more to infer it). Returns the silver table.
     """
-    raw = readers.read_layer(spark, input_format, input_path)
+    raw = readers.read_layer(spark, input_format, input_path, schema=schema)
     lat, lon = P.resolve_column(raw.columns, "latitude"), P.resolve_column(raw.columns, "longitude")
     located = P.valid_wgs84(P.cast_coordinates(raw, lat, lon))
     located = located.withColumn("geometry", G.st_point("longitude", "latitude"))
@@ -59,6 +63,24 @@ def heatmap_export(fact: DataFrame, path: str | None = None) -> DataFrame:
     return features
 
 
+def bronze_to_map(
+    quakes: DataFrame, requests: DataFrame, elements: DataFrame, land: DataFrame | None = None, path: str | None = None
+) -> DataFrame:
+    """Raw payloads of the three event feeds to map features: flatten, silver, mask, fact, GeoJSON.
+
+    One plan from the payloads to the features; written by all tasks if a path is given.
+    """
+    silver = {
+        "usgs_earthquakes": gold.silver_quakes(feeds.flatten_quakes(quakes)),
+        "nyc_311": gold.silver_311(feeds.flatten_311(requests)),
+        "osm_infrastructure": gold.silver_osm(feeds.flatten_osm(elements)),
+    }
+    if land is not None:
+        silver = silver_masked(silver, land)
+    fact = A.fact_union(silver["usgs_earthquakes"], silver["nyc_311"], silver["osm_infrastructure"])
+    return heatmap_export(fact, path)
+
+
 def sql_views(tables: dict[str, DataFrame]) -> None:
     """Every layer table as a temporary view."""
     for name, df in tables.items():

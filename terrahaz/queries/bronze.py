@@ -101,6 +101,11 @@ def read_layer(spark, sf):
     FROM fx_quakes WHERE magnitude IS NOT NULL AND cast(substr(earthquake_id,2) as bigint)%7<>0""",
 )
 def flatten_quakes(spark, sf):
+    rows = feeds.flatten_quakes(quake_payloads(spark, sf))
+    return rows.drop("url").withColumn("time", F.col("time").cast("timestamp_ntz"))
+
+
+def quake_payloads(spark, sf):
     q = V.view(spark, sf, "fx_quakes").withColumn("n", F.substring("earthquake_id", 2, 20).cast("bigint"))
     xyz = (
         F.when(F.col("n") % 7 == 0, F.array("longitude"))
@@ -113,9 +118,7 @@ def flatten_quakes(spark, sf):
     feature = F.struct(
         F.col("earthquake_id").alias("id"), props.alias("properties"), F.struct(xyz.alias("coordinates")).alias("geometry")
     )
-    docs = _collections(q.select("n", feature.alias("f")), "n", 500)
-    rows = feeds.flatten_quakes(docs)
-    return rows.drop("url").withColumn("time", F.col("time").cast("timestamp_ntz"))
+    return _collections(q.select("n", feature.alias("f")), "n", 500)
 
 
 @query(
@@ -124,6 +127,10 @@ def flatten_quakes(spark, sf):
     FROM fx_311 WHERE latitude BETWEEN 40.5 AND 41.0 AND longitude BETWEEN -74.3 AND -73.7""",
 )
 def flatten_311(spark, sf):
+    return feeds.flatten_311(request_payloads(spark, sf)).drop("created_date")
+
+
+def request_payloads(spark, sf):
     r = V.view(spark, sf, "fx_311")
     row = F.struct(
         F.col("request_id").alias("unique_key"), "complaint_type", "descriptor",
@@ -131,7 +138,7 @@ def flatten_311(spark, sf):
         F.nullif(F.col("borough"), F.lit("UNKNOWN")).alias("borough"), F.col("created_date").cast("string").alias("created_date"),
     )
     grouped = r.select(F.floor(F.col("request_id").cast("bigint") / 250).alias("doc"), row.alias("r")).groupBy("doc").agg(F.collect_list("r").alias("rows"))
-    return feeds.flatten_311(grouped.select(F.to_json("rows").alias("payload"))).drop("created_date")
+    return grouped.select(F.to_json("rows").alias("payload"))
 
 
 @query(
@@ -139,6 +146,10 @@ def flatten_311(spark, sf):
     """SELECT osm_id, facility_type, name, latitude, longitude, operator, 'osm' AS source FROM fx_osm WHERE osm_id%11<>0 AND NOT (osm_id%3=1 AND osm_id%13=0)""",
 )
 def flatten_osm(spark, sf):
+    return feeds.flatten_osm(element_payloads(spark, sf))
+
+
+def element_payloads(spark, sf):
     o = V.view(spark, sf, "fx_osm")
     kind = F.when(F.col("osm_id") % 11 == 0, "relation").when(F.col("osm_id") % 3 == 1, "way").otherwise("node")
     is_node, no_center = F.col("type") == "node", F.col("osm_id") % 13 == 0
@@ -156,7 +167,7 @@ def flatten_osm(spark, sf):
         F.when(~is_node & ~no_center, F.struct(F.col("latitude").alias("lat"), F.col("longitude").alias("lon"))).alias("center"), tags.alias("tags"),
     )
     grouped = o.select(F.floor(F.col("osm_id") / 100).alias("doc"), element.alias("e")).groupBy("doc").agg(F.collect_list("e").alias("elements"))
-    return feeds.flatten_osm(grouped.select(F.to_json(F.struct("elements")).alias("payload")))
+    return grouped.select(F.to_json(F.struct("elements")).alias("payload"))
 
 
 @query(

@@ -10,6 +10,7 @@ from terrahaz.operators import spatial as S
 from terrahaz.plans import flows, gold
 from terrahaz.queries import views as V
 from terrahaz.queries.registry import query
+from terrahaz.session import scratch
 
 _HAZARD = """CASE WHEN complaint_type LIKE '%Noise%' THEN 'medical' WHEN complaint_type LIKE '%Parking%' THEN 'rescue'
  WHEN complaint_type LIKE '%Condition%' THEN 'hazmat' ELSE 'rescue' END"""
@@ -245,3 +246,35 @@ def heatmap_export(spark, sf):
         F.col("geometry").alias("event_geometry"), F.col("ai_severity").alias("severity"), F.col("ai_hazard_type").alias("hazard_type"),
     )
     return flows.heatmap_export(fact)
+
+
+def _on_land(alias: str) -> str:
+    inside = V.inside_sql(f"{alias}.longitude", f"{alias}.latitude", "n", strict=False)
+    return f"EXISTS (SELECT 1 FROM fx_nbhd n WHERE {inside})"
+
+
+@query(
+    "pipeline_to_map",
+    f"""WITH m AS (
+    SELECT earthquake_id AS id, 'fire' AS category, 0.5 AS weight, place AS description, longitude, latitude FROM fx_quakes
+    WHERE magnitude IS NOT NULL AND cast(substr(earthquake_id,2) as bigint)%7<>0
+    UNION ALL SELECT request_id, {_HAZARD}, 0.5, complaint_type, longitude, latitude FROM fx_311 r
+    WHERE latitude BETWEEN 40.5 AND 41.0 AND longitude BETWEEN -74.3 AND -73.7 AND {_on_land('r')}
+    UNION ALL SELECT cast(osm_id as varchar), CASE facility_type WHEN 'fire_station' THEN 'fire' WHEN 'clinic' THEN 'hazmat' ELSE 'medical' END,
+    0.7, name, longitude, latitude FROM fx_osm o WHERE osm_id%11<>0 AND NOT (osm_id%3=1 AND osm_id%13=0) AND {_on_land('o')})
+    SELECT id, category, upper(category[1])||substr(category,2) AS label, cast(weight as double) AS weight, description,
+    longitude, latitude FROM m""",
+)
+def pipeline_to_map(spark, sf):
+    """Raw payloads to the written map file, read back as features."""
+    from terrahaz.queries import bronze
+    from terrahaz.sources import readers
+
+    path = scratch(spark, "map")
+    payloads = [make(spark, sf) for make in (bronze.quake_payloads, bronze.request_payloads, bronze.element_payloads)]
+    flows.bronze_to_map(*payloads, land=V.land(spark, sf), path=path)
+    place = [F.get_json_object("geometry", f"$.coordinates[{i}]").cast("double") for i in (0, 1)]
+    read = F.col("properties")
+    return readers.scan_geojson_seq(spark, path).select(
+        *[read[c].alias(c) for c in ("id", "category", "label")], read["weight"].cast("double").alias("weight"),
+        read["description"].alias("description"), place[0].alias("longitude"), place[1].alias("latitude"))

@@ -23,16 +23,22 @@ def _key():
     ).alias("row_key")
 
 
+#: Cell size of the density features, in degrees.
+DENSITY_CELL = 0.05
+
+
 def stacked(spark, sf):
-    return A.union_sparse(sparse_tables(spark, sf)).select("*", _key())
+    """All sources in one table, with the events in each row's cell and in its cell on its day."""
+    rows = A.union_sparse(sparse_tables(spark, sf)).select("*", _key(), F.coalesce("time", "created_date", "ts").alias("at"))
+    return A.spatial_density(rows, DENSITY_CELL, "at").drop("cx", "cy", "day")
 
 
 V.SQL_VIEWS["fx_stack"] = """SELECT earthquake_id AS row_key, 'usgs_earthquakes' AS data_source, latitude, longitude, magnitude, NULL::varchar AS complaint_type, NULL::varchar AS borough,
- NULL::varchar AS facility_type, NULL::double AS temperature_f, NULL::double AS humidity_pct, NULL::double AS wind_speed_mph, NULL::double AS velocity_mps FROM fx_quakes
- UNION ALL SELECT 'r'||request_id, '311_requests', latitude, longitude, NULL, complaint_type, borough, NULL, NULL, NULL, NULL, NULL FROM fx_311
- UNION ALL SELECT 'o'||osm_id, 'osm', latitude, longitude, NULL, NULL, NULL, facility_type, NULL, NULL, NULL, NULL FROM fx_osm
- UNION ALL SELECT 'w'||obs_id, 'nyc_weather', NULL, NULL, NULL, NULL, borough, NULL, temperature_f, humidity_pct, wind_speed_mph, NULL FROM fx_weather
- UNION ALL SELECT 'f'||flight_id, 'nyc_flights', latitude, longitude, NULL, NULL, borough, NULL, NULL, NULL, NULL, velocity_mps FROM fx_flights"""
+ NULL::varchar AS facility_type, NULL::double AS temperature_f, NULL::double AS humidity_pct, NULL::double AS wind_speed_mph, NULL::double AS velocity_mps, longitude, time AS moment FROM fx_quakes
+ UNION ALL SELECT 'r'||request_id, '311_requests', latitude, longitude, NULL, complaint_type, borough, NULL, NULL, NULL, NULL, NULL, longitude, created_date FROM fx_311
+ UNION ALL SELECT 'o'||osm_id, 'osm', latitude, longitude, NULL, NULL, NULL, facility_type, NULL, NULL, NULL, NULL, longitude, NULL FROM fx_osm
+ UNION ALL SELECT 'w'||obs_id, 'nyc_weather', NULL, NULL, NULL, NULL, borough, NULL, temperature_f, humidity_pct, wind_speed_mph, NULL, NULL, ts FROM fx_weather
+ UNION ALL SELECT 'f'||flight_id, 'nyc_flights', latitude, longitude, NULL, NULL, borough, NULL, NULL, NULL, NULL, velocity_mps, longitude, ts FROM fx_flights"""
 _BOROUGH = "CASE upper(borough) WHEN 'BROOKLYN' THEN 1 WHEN 'QUEENS' THEN 2 WHEN 'BRONX' THEN 3 WHEN 'STATEN ISLAND' THEN 4 ELSE 0 END"
 _COMPLAINT = """CASE WHEN regexp_matches(lower(coalesce(complaint_type,'')),'fire|safety|emergency') THEN 4
  WHEN regexp_matches(lower(coalesce(complaint_type,'')),'noise|construction') THEN 3 ELSE 2 END"""
@@ -44,12 +50,15 @@ _COMPLAINT = """CASE WHEN regexp_matches(lower(coalesce(complaint_type,'')),'fir
     coalesce(magnitude,0) AS earthquake_magnitude, round(coalesce((temperature_f-50)/30,0),9) AS temperature_normalized, coalesce(humidity_pct,50)/100 AS humidity_normalized,
     coalesce(wind_speed_mph,5)/20 AS wind_normalized, coalesce(velocity_mps,200)/500 AS flight_velocity, (data_source='311_requests')::int AS is_311,
     coalesce(facility_type='hospital',false)::int AS is_hospital, (data_source='usgs_earthquakes')::int AS is_earthquake, (data_source='nyc_flights')::int AS is_flight,
-    (data_source='nyc_weather')::int AS is_weather, {_COMPLAINT} AS complaint_severity, {_BOROUGH} AS borough_encoded FROM fx_stack""",
+    (data_source='nyc_weather')::int AS is_weather, {_COMPLAINT} AS complaint_severity, {_BOROUGH} AS borough_encoded,
+    CASE WHEN latitude IS NULL THEN 1.0::double ELSE count(*) OVER (PARTITION BY floor(longitude/0.05::double), floor(latitude/0.05::double)) END AS spatial_density,
+    CASE WHEN latitude IS NULL OR moment IS NULL THEN 1.0::double
+    ELSE count(*) OVER (PARTITION BY floor(longitude/0.05::double), floor(latitude/0.05::double), moment::date) END AS event_frequency FROM fx_stack""",
 )
 def hazard_features(spark, sf):
     df = M.hazard_features(stacked(spark, sf))
     rounded = {c: F.round(c, 9) for c in ("lat_normalized", "lon_normalized", "temperature_normalized")}
-    return df.withColumns(rounded).select("row_key", *[c for c in M.HAZARD_FEATURES if c not in ("spatial_density", "event_frequency")])
+    return df.withColumns(rounded).select("row_key", *M.HAZARD_FEATURES)
 
 
 @query(

@@ -30,6 +30,24 @@ def _parsed(df: DataFrame, schema: str, path: str | None) -> DataFrame:
     return df.select(F.explode(doc if path is None else doc[path]).alias("r"))
 
 
+#: What a document of each feed must hold: schema and the list in it (None: the document is the list).
+SHAPES = {"quakes": (_QUAKES, "features"), "requests": (_REQUESTS, None), "osm": (_ELEMENTS, "elements"),
+          "boundaries": (_BOUNDARIES, "features"), "states": (_STATES, "states")}
+
+
+def rejected(df: DataFrame, feed: str) -> DataFrame:
+    """The documents the flattener of ``feed`` can make nothing of, as they came, with a reason: the
+    reject table that goes with its rows. An empty list is a good document."""
+    schema, path = SHAPES[feed]
+    doc = F.from_json("payload", schema)
+    reason = (
+        F.when(F.col("payload").isNull(), "no payload")
+        .when(F.try_parse_json("payload").isNull(), "not JSON")
+        .when((doc if path is None else doc[path]).isNull(), f"no list of {path or feed}")
+    )
+    return df.withColumn("reason", reason).where("reason is not null")
+
+
 def flatten_quakes(df: DataFrame) -> DataFrame:
     r = _parsed(df, _QUAKES, "features")
     xyz = F.col("r.geometry.coordinates")

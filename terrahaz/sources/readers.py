@@ -46,6 +46,20 @@ def scan_geojson_seq(spark: SparkSession, path: str) -> DataFrame:
     return lines.where(F.col("f.type") == "Feature").select(*_feature_columns("f"))
 
 
+def geojson_seq_rejects(spark: SparkSession, path: str) -> DataFrame:
+    """The lines ``scan_geojson_seq`` makes no feature of, with their file; blank lines are none."""
+    lines = spark.read.text(path).select(F.input_file_name().alias("file"), F.col("value").alias("line"))
+    kind = F.from_json("line", _FEATURE[7:-1])["type"]
+    return lines.where((F.trim("line") != "") & (F.coalesce(kind, F.lit("")) != "Feature"))
+
+
+def geojson_rejects(spark: SparkSession, path: str) -> DataFrame:
+    """The files ``scan_geojson`` finds no list of features in."""
+    schema = f"type string, features array<{_FEATURE}>"
+    docs = spark.read.schema(schema).option("multiLine", "true").json(path)
+    return docs.where("features is null").select(F.input_file_name().alias("file"))
+
+
 def scan_parquet(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
@@ -60,12 +74,16 @@ READERS = {
 
 
 def read_layer(
-    spark: SparkSession, input_format: str, path: str, observation: Observation | None = None
+    spark: SparkSession, input_format: str, path: str, observation: Observation | None = None,
+    schema: T.StructType | str | None = None,
 ) -> DataFrame:
-    """Read by format name. Rows are counted by the action that uses the table, if asked."""
+    """Read by format name. Rows are counted by the action that uses the table, if asked. A schema
+    saves CSV and JSON the pass that infers one; the other formats carry theirs."""
     if input_format not in READERS:
         raise ValueError(f"unsupported format {input_format}; one of {sorted(READERS)}")
-    df = READERS[input_format](spark, path)
+    if schema is not None and input_format not in ("csv", "json"):
+        raise ValueError(f"{input_format} carries its own schema")
+    df = READERS[input_format](spark, path) if schema is None else READERS[input_format](spark, path, schema)
     if observation is not None:
         df = df.observe(observation, F.count(F.lit(1)).alias("rows"))
     return df

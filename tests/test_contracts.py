@@ -243,6 +243,34 @@ def test_read_layer_rejects_unknown_format(spark):
         readers.read_layer(spark, "shp", "/nowhere")
 
 
+def test_rejects(spark):
+    good = '{"features": []}'
+    df = spark.createDataFrame([(good,), ("broken",), (None,), ('{"other": 1}',)], "payload string")
+    got = sorted((r.payload or "", r.reason) for r in feeds.rejected(df, "quakes").collect())
+    assert got == [("", "no payload"), ("broken", "not JSON"), ('{"other": 1}', "no list of features")]
+    path = scratch(spark, "t-lines")
+    lines = ['{"type": "Feature", "properties": {"a": "b"}, "geometry": {"type": "Point"}}', "broken", "", '{"type": "Point"}']
+    spark.createDataFrame([(x,) for x in lines], "value string").write.text(path)
+    assert readers.scan_geojson_seq(spark, path).count() == 1
+    assert sorted(r.line for r in readers.geojson_seq_rejects(spark, path).collect()) == ["broken", '{"type": "Point"}']
+
+
+def test_layer_schema(spark):
+    path = scratch(spark, "t-csv")
+    spark.createDataFrame([("7", "x")], "a string, b string").write.option("header", "true").csv(path)
+    assert readers.read_layer(spark, "csv", path, schema="a string, b string").first().a == "7"
+    with pytest.raises(ValueError, match="own schema"):
+        readers.read_layer(spark, "parquet", path, schema="a string")
+
+
+def test_density_without_time(spark):
+    from terrahaz.operators import aggregate as A
+
+    df = spark.createDataFrame([(1, 0.1, 0.1, "2024-01-01"), (2, 0.2, 0.2, None), (3, None, 0.1, "2024-01-01")], "id int, longitude double, latitude double, t string")
+    got = {r.id: (r.spatial_density, r.event_frequency) for r in A.spatial_density(df, 1.0, "t").collect()}
+    assert got == {1: (2, 1), 2: (2, None), 3: (None, None)}
+
+
 def test_feature_text(spark):
     df = spark.createDataFrame([("e1", "d", "fire", 4), ("e2", None, None, None)], "event_id string, event_description string, hazard_type string, severity int")
     text = flows.heatmap_export(df.withColumn("event_geometry", G.st_point(F.lit(-74.0), F.lit(40.5))))
