@@ -331,3 +331,32 @@ def lookup_map(spark, sf):
 
     code = lookup(F.upper("borough"), BOROUGH_CODES, 0)
     return V.view(spark, sf, "fx_311").select("request_id", code.alias("borough_code"))
+
+
+V.SQL_VIEWS["fx_holed_hits"] = (
+    "SELECT a.ID AS ID, n.neighborhood_id AS neighborhood_id FROM fx_accidents a JOIN fx_nbhd n"
+    " ON a.Start_Lng BETWEEN n.x0 AND n.x0+0.09::double*n.sz AND a.Start_Lat BETWEEN n.y0 AND n.y0+0.04::double*n.sz"
+    " JOIN fx_hole h ON h.neighborhood_id=n.neighborhood_id JOIN fx_islet i ON i.neighborhood_id=n.neighborhood_id"
+    f" WHERE ({V.inside_sql('a.Start_Lng', 'a.Start_Lat', 'n')} AND NOT {V.inside_sql('a.Start_Lng', 'a.Start_Lat', 'h', strict=False)})"
+    f" OR {V.inside_sql('a.Start_Lng', 'a.Start_Lat', 'i')}"
+)
+
+
+@query(
+    "holed_neighborhood",
+    """SELECT a.ID AS ID, min(h.neighborhood_id) AS neighborhood_id FROM fx_accidents a
+    LEFT JOIN fx_holed_hits h ON h.ID=a.ID GROUP BY a.ID""",
+)
+def holed_neighborhood(spark, sf):
+    """Polygons with a hole and a second part, from the whole table."""
+    placed = S.attach_polygon(V.points(spark, sf), V.holed_land(spark, sf))
+    return placed.select("ID", "neighborhood_id")
+
+
+@query(
+    "holed_off_land",
+    "SELECT ID FROM fx_accidents WHERE ID NOT IN (SELECT ID FROM fx_holed_hits)",
+)
+def holed_off_land(spark, sf):
+    """The same beyond the broadcast limit, so that it shuffles on the cell."""
+    return S.off_land(V.points(spark, sf), V.holed_land(spark, sf), max_bytes=0).select("ID")

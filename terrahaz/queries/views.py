@@ -213,14 +213,40 @@ def inside_sql(px: str, py: str, alias: str, strict: bool = True) -> str:
     return f"({box} and {' and '.join(tests)})"
 
 
-def geojson_sql() -> str:
-    """Polygon text of a neighborhood, for Spark."""
+def ring_sql() -> str:
+    """Closed ring of a shape as JSON text, for Spark."""
     spots = []
     for i in range(5):
         x, y = _corner("", i)
         spots.append(f"'[', {x}, ',', {y}, ']'")
     body = ", ',', ".join(spots)
-    return f"concat('{{\"type\":\"Polygon\",\"coordinates\":[[', {body}, ']]}}')"
+    return f"concat('[', {body}, ']')"
+
+
+def geojson_sql() -> str:
+    """Polygon text of a neighborhood, for Spark."""
+    return f"concat('{{\"type\":\"Polygon\",\"coordinates\":[', {ring_sql()}, ']}}')"
+
+
+#: Shapes that go with a neighborhood: a hole about its centre and a second part beside it.
+COMPANIONS = {
+    "fx_hole": [f"x0+{_d(0.0175)}*sz AS x0", f"y0+{_d(0.014)}*sz AS y0", f"{_d(0.3)}*sz AS sz"],
+    "fx_islet": [f"x0+{_d(0.0601)}*sz AS x0", f"y0+{_d(0.0103)}*sz AS y0", f"{_d(0.5)}*sz AS sz"],
+}
+for _name, _columns in COMPANIONS.items():
+    SQL_VIEWS[_name] = f"SELECT neighborhood_id, {', '.join(_columns)} FROM fx_nbhd"
+
+
+def holed_land(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every neighborhood as a MultiPolygon: its own shape with a hole, and the second part."""
+    df = view(spark, sf_dir, "fx_nbhd").selectExpr("*", f"{ring_sql()} AS outer_ring")
+    df = df.withColumnsRenamed({"x0": "ox", "y0": "oy", "sz": "oz"})
+    for name, columns in COMPANIONS.items():
+        moved = df.selectExpr("*", "ox AS x0", "oy AS y0", "oz AS sz").selectExpr(*df.columns, *columns)
+        df = moved.selectExpr(*df.columns, f"{ring_sql()} AS {name}_ring")
+    text = F.concat(F.lit('{"type":"MultiPolygon","coordinates":[['), "outer_ring", F.lit(","), "fx_hole_ring", F.lit("],["),
+                    "fx_islet_ring", F.lit("]]}"))
+    return df.select("neighborhood_id", "name", G.polygon_from_geojson(text).alias("geometry"))
 
 
 def neighborhoods(spark: SparkSession, sf_dir: str) -> DataFrame:
