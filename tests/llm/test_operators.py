@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 import corpus_pipeline
 from tests.llm import brute
 from terrahaz.llm import (
-    bpe_monoid, chat_tree, components, compression_bands, license_join, ordinal_quality, permutation_index,
+    bpe_monoid, chat_tree, components, compression_bands, license_join, near_copies, ordinal_quality, permutation_index,
     pii_bootstrap, queries, retrieval_pack, simhash_variants, tables, warc_members,
 )
 
@@ -207,6 +207,34 @@ def test_simhash_links_are_complete(spark, bucket):
     assert got == {(a, b) for a in signed for b in signed if a < b and ((a ^ b) & mask).bit_count() <= 3}
 
 
+@pytest.mark.parametrize("sample,often", [(20_000, 500_000), (10, 3)])
+def test_near_copies_are_complete(spark, sample, often):
+    """Copies with a few words replaced, among texts that share a passage, against all pairs."""
+    rng = np.random.default_rng(8)
+    passage, rows = [f"p{i}" for i in range(60)], []
+    for i in range(60):
+        words = [f"w{x}" for x in rng.integers(0, 400, int(rng.integers(3, 300)))]
+        words += passage if i % 3 == 0 else []
+        for k in range(3):
+            copy = list(words)
+            for at in rng.integers(0, len(words), int(k * len(words) // 80)):
+                copy[at] = f"new{rng.integers(0, 99)}"
+            rows.append((i * 10 + k, " ".join(copy)))
+    sets = []
+    for d, t in rows:
+        w = t.split()
+        sets.append((d, {tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))}))
+    root = {d: d for d, _ in sets}
+    linked = [(a, b) for i, (a, x) in enumerate(sets) for b, y in sets[i + 1 :] if 5 * len(x & y) >= 4 * len(x | y)]
+    for _ in range(5):
+        for a, b in linked:
+            root[a] = root[b] = min(root[a], root[b])
+    got = near_copies.near_copies(spark.createDataFrame(rows, "doc_id long, text string"), sample=sample, often=often)
+    assert {r["doc_id"]: r["component_id"] for r in plain(got)} == root
+    fp = {d: brute.fingerprint(t) for d, t in rows}
+    assert sum((fp[a] ^ fp[b]).bit_count() > 3 for a, b in linked) > 10  # what a link at three bits would lose
+
+
 def test_components(spark):
     rng = np.random.default_rng(2)
     edges = [(i, i + 1) for i in range(40)] + [(100, 100 + i) for i in range(1, 50)] + [tuple(map(int, rng.integers(200, 260, 2))) for _ in range(40)]
