@@ -2,12 +2,12 @@
 
 Every text is encoded and closed with ``end_id``. Its whole windows are sequences as they are; the
 rest, shorter than a window, is a unit to be packed. Units are dealt to shards in the order of a
-min-hash of their tokens, so alike units meet, ties being dealt out by number. A shard is walked
-in chunks of ``chunk`` units, each with a BM25 inverted index over tokens whose document
-frequencies come from all units. The first unused unit is the seed; the index returns unused
-neighbours by falling BM25 score, and they fill the seed's window greedily. The one that does not
-fit is cut, and its rest seeds the next window. A window still open at a chunk's end goes on with
-the next chunk, so a shard pads one sequence at most.
+weighted min-hash of their tokens, in which rare shared tokens decide, so alike units meet. A shard
+(``shard_tokens``) has one BM25 inverted index over tokens whose document frequencies come from all
+units. The first unused unit is the seed; the index returns the shard's unused neighbours by falling
+BM25 score, and they fill the seed's window greedily. The one that does not fit is cut, and its rest
+seeds the next window, so a shard pads one sequence at most. Used units are left out of the index
+whenever they are over half of it.
 
 Nothing is collected but one number per vocabulary entry. Encoded pieces are staged once.
 
@@ -29,12 +29,13 @@ from terrahaz.llm import tables
 from terrahaz.llm.bpe_monoid import codec
 
 WINDOW = 1024
-CHUNK = 512
+#: A token of one in so many units is kept as a row of the matrix.
+DENSE = 8
 SHARD_TOKENS = 4_000_000
 K1, B = 1.2, 0.75
 #: Sequences of packed units are numbered from here on, whole windows below.
 PACKED = 1 << 61
-_PIECES = "seq long, id {id}, start long, doc_tokens long, whole boolean, sig long, ids binary"
+_PIECES = "seq long, id {id}, start long, doc_tokens long, whole boolean, ids binary"
 
 
 #: Stretches remembered per worker before the memory is emptied.
@@ -84,8 +85,28 @@ class Encoder:
         return np.array(self.fast(text), dtype="<u4").tobytes()
 
 
-def signature(ids: np.ndarray) -> int:
-    return int(((ids.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(16)).min())
+def sort_ranks(df: np.ndarray, idf: np.ndarray, end_id: int) -> np.ndarray:
+    """A rank per token for weighted min-hashing: the smallest of exponential clocks whose rates are
+    squared weights, so rare shared tokens decide. Tokens of one unit and ``end_id`` come last."""
+    mixed = (np.arange(len(df), dtype=np.uint64) + np.uint64(1)) * np.uint64(0x9E3779B97F4A7C15)
+    mixed ^= mixed >> np.uint64(31)
+    mixed *= np.uint64(0xBF58476D1CE4E5B9)
+    mixed ^= mixed >> np.uint64(29)
+    clock = -np.log(((mixed >> np.uint64(11)).astype(np.float64) + 0.5) / (1 << 53)) / idf**2
+    clock[df < 2] = np.inf
+    clock[end_id] = np.inf
+    rank = np.empty(len(df), dtype=np.int64)
+    rank[np.argsort(clock, kind="stable")] = np.arange(len(df))
+    rank[np.isinf(clock)] = len(df)
+    return rank
+
+
+def signature(ids: np.ndarray, rank: np.ndarray) -> int:
+    """The two smallest ranks among the tokens, the smallest one first."""
+    got = rank[ids]
+    first = got.min()
+    rest = got[got > first]
+    return int(first << 32 | (rest.min() if len(rest) else len(rank)))
 
 
 def pieces(df: DataFrame, encoder, id_col: str, text_col: str, window: int, end_id: int) -> DataFrame:
@@ -95,13 +116,13 @@ def pieces(df: DataFrame, encoder, id_col: str, text_col: str, window: int, end_
     def run(batches):
         encode, n, closing = encoder(), TaskContext.get().partitionId() << 33, end_id.to_bytes(4, "little")
         for b in batches:
-            out = {c: [] for c in ("seq", "id", "start", "doc_tokens", "whole", "sig", "ids")}
+            out = {c: [] for c in ("seq", "id", "start", "doc_tokens", "whole", "ids")}
             for key, body in zip(b["id"].to_pylist(), b["body"].to_pylist(), strict=True):
                 ids = np.frombuffer(encode(body.decode("utf-8", "replace")) + closing, dtype="<u4")
                 for start in range(0, len(ids), window):
                     part = ids[start : start + window]
                     whole = len(part) == window
-                    for c, v in zip(out, (n, key, start, len(ids), whole, 0 if whole else signature(part), part.tobytes()), strict=True):
+                    for c, v in zip(out, (n, key, start, len(ids), whole, part.tobytes()), strict=True):
                         out[c].append(v)
                     n += 1
             yield out
@@ -134,26 +155,50 @@ def distinct(ids: np.ndarray, last: np.ndarray) -> np.ndarray:
 
 
 class Index:
-    """BM25 inverted index over the units of one chunk."""
+    """BM25 inverted index over the units of a shard. Tokens of ``1 / DENSE`` of the units or more are
+    kept as a matrix (at most ``DENSE`` times as many cells as postings), the others as postings."""
 
     def __init__(self, units: list[np.ndarray], idf: np.ndarray, mean_length: float):
         self.last = np.zeros(len(idf), dtype=np.int64)
         lengths = np.array([len(u) for u in units])
-        unit = np.repeat(np.arange(len(units)), lengths)
-        pair, count = np.unique((np.concatenate(units).astype(np.int64) << 20) | unit, return_counts=True)
-        token, self.unit = pair >> 20, pair & 0xFFFFF
-        self.weight = idf[token] * count * (K1 + 1) / (count + K1 * (1 - B + B * lengths[self.unit] / mean_length))
-        size = np.bincount(token, minlength=len(idf))
-        self.size, self.first, self.n = size, np.cumsum(size) - size, len(units)
+        pair = (np.concatenate(units).astype(np.int64) << 32) | np.repeat(np.arange(len(units)), lengths)
+        pair, count = np.unique(pair, return_counts=True)
+        token, unit = pair >> 32, pair & 0xFFFFFFFF
+        weight = (idf[token] * count * (K1 + 1) / (count + K1 * (1 - B + B * lengths[unit] / mean_length))).astype(np.float32)
+        self._lay(token, unit, weight, np.arange(len(units)))
+
+    def _lay(self, token, unit, weight, alive):
+        self.token, self.unit, self.weight, self.alive = token, unit, weight, alive
+        n = len(alive)
+        size = np.bincount(token, minlength=len(self.last))
+        self.first, self.size, self.n = np.cumsum(size) - size, size.copy(), n
+        often = np.flatnonzero(size * DENSE >= max(n, 1))
+        self.row = np.full(len(size), -1)
+        self.row[often] = np.arange(len(often))
+        self.matrix = np.zeros((len(often), n), dtype=np.float32)
+        at = self.row[token] >= 0
+        self.matrix[self.row[token[at]], unit[at]] = weight[at]
+        self.size[often] = 0
+
+    def drop(self, unused: np.ndarray):
+        """Leave the used units out of the index."""
+        new = np.cumsum(unused[self.alive]) - 1
+        at = unused[self.alive[self.unit]]
+        self._lay(self.token[at], new[self.unit[at]], self.weight[at], self.alive[unused[self.alive]])
 
     def scores(self, seed: np.ndarray) -> np.ndarray:
+        """Scores of the units in ``alive``."""
         terms = distinct(seed, self.last)
+        rows = self.row[terms]
+        asked = np.zeros(len(self.matrix), dtype=np.float32)
+        asked[rows[rows >= 0]] = 1
+        total = asked @ self.matrix
         size = self.size[terms]
         ends = np.cumsum(size)
-        if not len(ends) or not ends[-1]:
-            return np.zeros(self.n)
-        where = np.arange(ends[-1]) + np.repeat(self.first[terms] - ends + size, size)
-        return np.bincount(self.unit[where], weights=self.weight[where], minlength=self.n)
+        if len(ends) and ends[-1]:
+            where = np.arange(ends[-1]) + np.repeat(self.first[terms] - ends + size, size)
+            total = total + np.bincount(self.unit[where], weights=self.weight[where], minlength=self.n)
+        return total
 
 
 class Packer:
@@ -166,7 +211,7 @@ class Packer:
         index = Index(units, self.idf, self.mean_length)
         done = np.zeros(len(units), dtype=np.int64)
         unused = np.ones(len(units), dtype=bool)
-        first, scores, cut = 0, None, None
+        first, ranked, cut, left = 0, None, None, len(units)
         while True:
             if self.filled == 0:  # a new window: the rest of a cut unit or the first unused one
                 while cut is None and first < len(units) and not unused[first]:
@@ -174,13 +219,14 @@ class Packer:
                 at = cut if cut is not None else first
                 if at == len(units):
                     return
-                self.seed, scores, cut = units[at], None, None
+                self.seed, ranked, cut = units[at], None, None
             else:
-                if not unused.any():
+                if not left:
                     return
-                if scores is None:
-                    scores = index.scores(self.seed)
-                at = int(np.argmax(np.where(unused, scores, -1.0)))
+                if ranked is None:
+                    ranked = self._ranked(index, unused)
+                at = next(ranked)
+            left -= int(unused[at])
             unused[at] = False
             take = min(self.window - self.filled, len(units[at]) - int(done[at]))
             yield at, int(done[at]), int(done[at]) + take, self.sequence, self.filled
@@ -191,9 +237,26 @@ class Packer:
                 if done[at] < len(units[at]):
                     cut = at
 
+    def _ranked(self, index: Index, unused: np.ndarray):
+        """The unused units by falling score for the seed, then by number; sorted as far as asked."""
+        if 2 * int(unused[index.alive].sum()) < index.n:
+            index.drop(unused)
+        live = unused[index.alive]
+        scores, alive = index.scores(self.seed)[live], index.alive[live]
+        more = 16
+        while len(alive):
+            if more < len(alive):
+                edge = np.partition(scores, len(scores) - more)[len(scores) - more]
+                near = scores > edge
+                near[np.flatnonzero(scores == edge)[: more - int(near.sum())]] = True
+            else:
+                near = np.ones(len(alive), dtype=bool)
+            yield from alive[near][np.argsort(-scores[near], kind="stable")].tolist()
+            scores, alive, more = scores[~near], alive[~near], more * 4
+
 
 def pack(df: DataFrame, encoder, vocabulary: int, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW,
-         end_id: int = 0, chunk: int = CHUNK, shard_tokens: int = SHARD_TOKENS) -> DataFrame:
+         end_id: int = 0, shard_tokens: int = SHARD_TOKENS) -> DataFrame:
     """A row per piece: id, ``start`` (tokens of its text before it), ``ids`` (little-endian
     unsigned 32-bit), ``doc_tokens``, ``sequence_id`` and ``offset``."""
     spark = df.sparkSession
@@ -227,14 +290,19 @@ def pack(df: DataFrame, encoder, vocabulary: int, id_col: str = "doc_id", text_c
 
         for b in batches:
             held += zip(*(b[c].to_pylist() for c in ("id", "start", "doc_tokens", "ids")), strict=True)
-            while len(held) >= chunk:
-                yield emit(held[:chunk])
-                held = held[chunk:]
         if held:
             yield emit(held)
 
+    def signed(batches):
+        rank = ranks.value
+        for b in batches:
+            yield dict(b) | {"sig": [signature(np.frombuffer(x, "<u4"), rank) for x in b["ids"].to_pylist()]}
+
+    ranks = spark.sparkContext.broadcast(sort_ranks(df_, idf, end_id))
+    units = units.select("seq", "id", "start", "doc_tokens", "ids")
+    ordered = tables.map_batches(units, f"seq long, id {id_type}, start long, doc_tokens long, ids binary, sig long", signed)
     shard = (
-        units.repartitionByRange(shards, "sig", "seq").sortWithinPartitions("sig", "seq")
+        ordered.repartitionByRange(shards, "sig", "seq").sortWithinPartitions("sig", "seq")
         .select("id", "start", "doc_tokens", "ids")
     )
     packed = tables.map_batches(

@@ -278,6 +278,25 @@ def test_packing_prefers_alike_units():
     assert all(len(w) == 1 for w in windows.values())
 
 
+def test_packing_finds_alike_units_in_large_tables(spark):
+    """1,600 units, four alike each, 400 places apart."""
+    rng = np.random.default_rng(3)
+    common, rows = [f"c{x}" for x in range(40)], []
+    for i in range(400):
+        own = [f"t{i}x{k}" for k in range(12)]
+        rows += [(i + 400 * k, " ".join([*rng.choice(common, 30), *rng.permutation(own)])) for k in range(4)]
+    names, said = {}, {}
+    for d, t in rows:
+        said[t] = np.array([names.setdefault(w, len(names) + 1) for w in t.split()], dtype="<u4").tobytes()
+    got = plain(retrieval_pack.pack(spark.createDataFrame(rows, "doc_id long, text string"), lambda: said.__getitem__,
+                                    len(names) + 1, window=128, shard_tokens=40_000))
+    where = collections.defaultdict(set)
+    for r in got:
+        where[r["doc_id"]].add(r["sequence_id"])
+    assert sum(len(r["ids"]) // 4 for r in got) == sum(len(t.split()) + 1 for _, t in rows)
+    assert np.mean([any(where[d] & where[(d + 400 * k) % 1600] for k in (1, 2, 3)) for d in range(1600)]) > 0.45
+
+
 # nearest neighbours
 
 
