@@ -1,7 +1,7 @@
 """Personal data: fixed patterns as seeds, then bootstrapped contextual extraction.
 
 The fixed patterns (email, ip, card, phone) give seed entities. What stands before a seed, its
-last two words in lower case, is a lexical pattern; the same pattern before another identifier-like
+last two words in lower case or the signs right before it with the word before those, is a lexical pattern; the same pattern before another identifier-like
 token (with a digit) makes that token an instance. On the graph of patterns and instances Spark
 alternates two scores:
 
@@ -41,7 +41,11 @@ _DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
 _IP = re.compile(r"(?<![0-9])[0-9]++(?:\.[0-9]++){3}")
 _CARD = re.compile(r"[0-9](?:[ -]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
-_TOKEN = re.compile(r"(?<![A-Za-z0-9])[A-Za-z0-9](?:[A-Za-z0-9_.-]{0,62}[A-Za-z0-9])?(?![A-Za-z0-9])")
+#: Runs of identifier characters with a digit; tried at the first character of a run only.
+_RUN = re.compile(r"(?<![A-Za-z0-9_.-])[A-Za-z_.-]*+[0-9][A-Za-z0-9_.-]*+")
+_BLANKS = " \t\n\x0b\x0c\r"
+#: Signs in front of a letter or digit of the same word, and what stands before them there.
+_CUE = re.compile(rb"(?:(?<![a-z0-9])([a-z0-9]++)|\A)([^a-z0-9 \t\n\x0b\x0c\r]++)(?=[a-z0-9])")
 _DIGIT = re.compile(r"[0-9]")
 _NOT_DIGIT = re.compile(r"[^0-9]")
 
@@ -90,10 +94,43 @@ def _small(part: str) -> bool:
     return len(part) < 4 and int(part or 0) <= 255
 
 
-def context_of(text: str, start: int, words: int = 2, reach: int = 256) -> str | None:
-    """The last words before ``start`` in lower case; None where there are too few."""
-    got = text[max(0, start - reach) : start].encode().lower().split()
-    return b" ".join(got[-words:]).decode("utf-8", "replace") if len(got) >= words else None
+def _ascii_alnum(c: str) -> bool:
+    return c.isascii() and c.isalnum()
+
+
+def _word_before(text: str, at: int) -> tuple[int, int]:
+    """The whole word that ends before ``at``, blanks between skipped; empty where there is none."""
+    end = at
+    while end > 0 and text[end - 1] in _BLANKS:
+        end -= 1
+    start = end
+    while start > 0 and text[start - 1] not in _BLANKS:
+        start -= 1
+    return start, end
+
+
+def _name(*parts: str) -> str:
+    return " ".join(p.encode().lower().decode("utf-8", "replace") for p in parts)
+
+
+def context_of(text: str, start: int) -> str | None:
+    """The pattern before ``start`` in lower case: the last two words; where a sign stands right
+    before it, a blank, the letters and digits (or the word) before the signs, and the signs.
+    None where there is too little."""
+    if start and text[start - 1] not in _BLANKS:
+        cue = start
+        while cue > 0 and text[cue - 1] not in _BLANKS and not _ascii_alnum(text[cue - 1]):
+            cue -= 1
+        if cue > 0 and text[cue - 1] not in _BLANKS:
+            a = end = cue
+            while a > 0 and _ascii_alnum(text[a - 1]):
+                a -= 1
+        else:
+            a, end = _word_before(text, cue)
+        return " " + _name(text[a:end], text[cue:start]) if a < end else None
+    a, b = _word_before(text, start)
+    c, d = _word_before(text, a)
+    return _name(text[c:d], text[a:b]) if c < d else None
 
 
 def occurrences(text: str, spans) -> list[tuple[str, str, bool, int, int]]:
@@ -120,26 +157,26 @@ def occurrences(text: str, spans) -> list[tuple[str, str, bool, int, int]]:
 
 
 def _token_runs(text: str):
-    """Identifier-like tokens: three or more characters, a digit among them."""
-    last = -1
-    for d in _DIGIT.finditer(text):
-        if d.start() < last:
-            continue
-        # a token reaches at most 63 characters back from its digit
-        a = d.start()
-        while a > 0 and d.start() - a < 63 and (text[a - 1].isascii() and text[a - 1].isalnum() or text[a - 1] in "_.-"):
-            a -= 1
-        while not text[a].isalnum():
-            a += 1
-        m = _TOKEN.match(text, a)
-        last = m.end() if m else d.end()
-        if m and m.end() > d.start() and m.end() - m.start() >= 3:
-            yield m.span()
+    """Identifier-like tokens of any length: three or more characters, a digit among them."""
+    for m in _RUN.finditer(text):
+        run = m.group()
+        a = m.start() + len(run) - len(run.lstrip("_.-"))
+        b = m.end() - len(run) + len(run.rstrip("_.-"))
+        if b - a >= 3:
+            yield a, b
 
 
 def _slots(body: bytes):
-    words = body.lower().split()
-    return zip(words, words[1:])
+    """The pattern of each place that has one, as ``context_of`` names it."""
+    before = None
+    for word in body.lower().split():
+        if before is not None:
+            yield before + b" " + word
+        for m in _CUE.finditer(word):
+            prev = m[1] or (before if not m.start() else None)
+            if prev:
+                yield b" " + prev + b" " + m[2]
+        before = word
 
 
 def pattern_totals(rows: DataFrame, patterns: DataFrame, lookup_bytes: int = LOOKUP_BYTES) -> DataFrame:
@@ -147,17 +184,17 @@ def pattern_totals(rows: DataFrame, patterns: DataFrame, lookup_bytes: int = LOO
     size = patterns.agg(F.coalesce(F.sum(F.octet_length("pattern") + 64), F.lit(0))).first()[0]
     if size <= lookup_bytes:
         wanted = rows.sparkSession.sparkContext.broadcast(
-            frozenset(tuple(r[0].encode().split()) for r in patterns.select("pattern").collect()))
+            frozenset(r[0].encode() for r in patterns.select("pattern").collect()))
 
         def count(batches):
-            seen: dict[tuple, int] = {}
+            seen: dict[bytes, int] = {}
             keys = wanted.value
             for b in batches:
                 for body in b["body"].to_pylist():
                     for pair in _slots(body):
                         if pair in keys:
                             seen[pair] = seen.get(pair, 0) + 1
-            yield {"pattern": [b" ".join(p).decode("utf-8", "replace") for p in seen], "n": list(seen.values())}
+            yield {"pattern": [p.decode("utf-8", "replace") for p in seen], "n": list(seen.values())}
 
         counted = tables.map_batches(rows.select("body"), "pattern string, n long", count)
     else:
@@ -165,10 +202,10 @@ def pattern_totals(rows: DataFrame, patterns: DataFrame, lookup_bytes: int = LOO
         def every(batches):
             for b in batches:
                 for body in b["body"].to_pylist():
-                    seen: dict[tuple, int] = {}
+                    seen: dict[bytes, int] = {}
                     for pair in _slots(body):
                         seen[pair] = seen.get(pair, 0) + 1
-                    yield {"pattern": [b" ".join(p).decode("utf-8", "replace") for p in seen], "n": list(seen.values())}
+                    yield {"pattern": [p.decode("utf-8", "replace") for p in seen], "n": list(seen.values())}
 
         counted = tables.map_batches(rows.select("body"), "pattern string, n long", every).join(patterns, "pattern", "left_semi")
     return counted.groupBy("pattern").agg(F.sum("n").alias("total"))
@@ -177,7 +214,7 @@ def pattern_totals(rows: DataFrame, patterns: DataFrame, lookup_bytes: int = LOO
 def confident_patterns(edges: DataFrame, totals: DataFrame, rounds: int, min_instances: int, confidence: float) -> DataFrame:
     """``pattern, score`` of the patterns that end at ``confidence`` or more. ``edges``: ``pattern,
     instance, n, seed``; rounds are staged, so lineage stays short."""
-    edges = tables.staged(edges.join(totals, "pattern").where(F.col("total") > 0), "pii-edges")
+    edges = tables.staged(edges.join(totals, "pattern"), "pii-edges")
     instances = edges.groupBy("instance").agg(F.max(F.col("seed").cast("double")).alias("score"))
     scored = None
     for _ in range(rounds):
@@ -220,7 +257,9 @@ def extract(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", round
     supported = edges.groupBy("pattern").agg(F.count("*").alias("k"), F.max("seed").alias("seed")).where(
         F.col("k") >= min_instances).select("pattern")
     supported = tables.staged(supported, "pii-supported")
-    good = confident_patterns(edges, pattern_totals(rows, supported, lookup_bytes), rounds, min_instances, confidence)
+    # a place that is not cut the same way everywhere (a seed that starts with a sign) counts as often as it was met
+    totals = supported.join(pattern_totals(rows, supported, lookup_bytes), "pattern", "left").na.fill(0, ["total"])
+    good = confident_patterns(edges, totals, rounds, min_instances, confidence)
     found = (
         each.where("not seed").join(good.select("pattern"), "pattern")
         .groupBy("row").agg(F.array_sort(F.array_distinct(F.collect_list(F.struct(

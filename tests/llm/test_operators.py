@@ -105,6 +105,22 @@ def test_pii_discovers_context(spark, lookup):
     assert not any(got[200 + i] for i in range(4))
 
 
+@pytest.mark.parametrize("lookup", [1 << 20, 0])
+def test_pii_discovers_behind_signs_and_long(spark, lookup):
+    """Quoted, bracketed and key=value identifiers, and ones of 65 and 5,000 characters."""
+    cues = ['their user ("', "write to <", "see contact=", 'the key = "']
+    rows = [(100 * c + i, f"{cue}user{i}@example.org> soon") for c, cue in enumerate(cues) for i in range(20)]
+    names = ["ZK-1177-Q", "k7" * 32 + "z", "ab12-" * 1000 + "z", "ab12-" * 16 + "zz"]
+    want = {}
+    for c, cue in enumerate(cues):
+        for k, n in enumerate(names):
+            rows.append((100 * c + 50 + k, f'{cue}{n}" soon'))
+            want[100 * c + 50 + k] = [("context", len(cue), len(cue) + len(n))]
+    got = {r["doc_id"]: [tuple(s) for s in r["spans"]] for r in plain(
+        pii_bootstrap.extract(spark.createDataFrame(rows, "doc_id long, text string"), lookup_bytes=lookup))}
+    assert {d: got[d] for d in want} == want
+
+
 def test_redact():
     assert pii_bootstrap.redact("ab cd ef", [("ip", 3, 5)]) == "ab <IP> ef"
     assert pii_bootstrap.redact("abcdef", [("card", 0, 4), ("ip", 2, 5)]) == "<CARD>f"
