@@ -25,7 +25,8 @@ BANDS = [
     (4096, 1.25, 2.7), (16384, 1.3, 3.0), (131072, 1.3, 3.5),
 ]
 CHUNK_BYTES = 4096
-MIN_CHUNK = 1024
+#: A last chunk is judged from the first band on, as a text of that length alone is.
+MIN_CHUNK = BANDS[0][0]
 LEVEL = 3
 BLANK = b" \t\n\x0b\x0c\r"
 SYMBOLS = b"#*$%&|<>"

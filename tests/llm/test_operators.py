@@ -71,6 +71,9 @@ def test_compression_verdicts():
     assert judge(" ".join(words).encode())[6]
     assert judge(b" ".join(f"{i} but the rest is as it was".encode() for i in range(400)))[10] == "repetitive"
     assert judge(rng.bytes(6000))[10] == "incompressible"
+    # a last chunk is judged like a text of its length
+    prose = " ".join(words + words[::-1] + words)[: 4096 * 2].encode()
+    assert judge(prose)[10] == "ok" and judge(prose + b" spam" * 60)[10] == "repetitive"
     # a repetitive stretch inside a long text is found by its chunk
     assert judge((" ".join(words) + " spam spam" * 900 + " " + " ".join(words[::-1])).encode())[6] is False
 
