@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from terrahaz.llm import (
     bpe_monoid, chat_tree, compression_bands, license_join, ordinal_quality, permutation_index, pii_bootstrap,
-    retrieval_pack, simhash_variants, warc_members,
+    retrieval_pack, simhash_variants, warc_members, window_join,
 )
 from terrahaz.llm.tables import table
 
@@ -213,3 +213,43 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
         return F.expr(f"try_cast(regexp_extract({c}, '<urn:page:(-?[0-9]+)>', 1) as bigint)")
 
     return found.select(page("record_id").alias("page_id"), "payload_bytes", "payload_digest", "record_type", page("refers_to").alias("refers_to"))
+
+
+OP13_SQL = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS r, doc_id,
+    regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+      '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+  FROM documents
+), i AS (
+  SELECT item_id,
+    regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+      '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+  FROM benchmark
+), windows AS (
+  SELECT DISTINCT item_id, array_to_string(w[k + 1 : k + 10], ' ') AS win, least(10, len(w)) AS size
+  FROM (SELECT item_id, w, unnest(range(0, greatest(1, len(w) - 9))) AS k FROM i WHERE len(w) > 0)
+), stretches AS (
+  SELECT r, k, size, array_to_string(w[k + 1 : k + size], ' ') AS win
+  FROM (SELECT r, w, size, unnest(range(0, greatest(0, len(w) - size + 1))) AS k
+        FROM d, (SELECT DISTINCT size FROM windows))
+), met AS (
+  SELECT DISTINCT r, k, size, item_id FROM stretches JOIN windows USING (win, size)
+), hit AS (
+  SELECT r, count(DISTINCT p) AS n FROM (SELECT r, unnest(range(k, k + size)) AS p FROM met) GROUP BY r
+), named AS (
+  SELECT r, count(*) AS n, string_agg(item, ',' ORDER BY item) AS ids
+  FROM (SELECT DISTINCT r, CAST(item_id AS VARCHAR) AS item FROM met WHERE item_id IS NOT NULL) GROUP BY r
+)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(hit.n, 0) AS n_hit, coalesce(named.n, 0) AS n_items,
+  sha256(coalesce(ids, '')) AS items_sha256, coalesce(hit.n, 0) > 0 AS contaminated
+FROM d LEFT JOIN hit USING (r) LEFT JOIN named USING (r)
+"""
+
+
+@query("op13_decontaminate", OP13_SQL)
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = window_join.decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select(
+        "doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ",").cast("binary"), 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"))
