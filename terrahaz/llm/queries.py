@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from terrahaz.llm import (
     bpe_monoid, chat_tree, compression_bands, license_join, ordinal_quality, permutation_index, pii_bootstrap,
-    retrieval_pack, simhash_variants, warc_members, window_join,
+    retrieval_pack, simhash_variants, spelling_groups, warc_members, window_join,
 )
 from terrahaz.llm.tables import table
 
@@ -215,6 +215,53 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(page("record_id").alias("page_id"), "payload_bytes", "payload_digest", "record_type", page("refers_to").alias("refers_to"))
 
 
+#: CRC-32 of the UTF-8 bytes of ``{key}``, bit by bit from the least.
+_CRC_SQL = """xor(4294967295, list_reduce(list_prepend(4294967295::BIGINT,
+  list_transform(range(0, 4 * len(hex(encode({key})))),
+    lambda k: (CAST('0x' || substr(hex(encode({key})), 2 * (k // 8) + 1, 2) AS BIGINT) >> CAST(k % 8 AS BIGINT)) & 1)),
+  lambda c, b: xor(c >> 1, 3988292384 * (xor(c, b) & 1))))"""
+
+OP12_SQL = r"""
+WITH RECURSIVE runs AS (
+  SELECT coalesce(CAST(doc_id AS VARCHAR), '') AS d, unnest(regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[A-Za-zÀ-ÿ]+')) AS run
+  FROM documents
+), keyed AS (
+  SELECT d || ':' || run AS key, run, count(*) AS n FROM runs WHERE length(run) >= 7 GROUP BY ALL
+), hashed AS (
+  SELECT run, n, {crc} AS h FROM keyed
+), v AS (
+  SELECT word, CAST(sum(n) AS BIGINT) AS n FROM (
+    SELECT CASE WHEN h % 31 = 0 THEN left(run, h % length(run)) || substr(run, h % length(run) + 2) ELSE run END AS word, n FROM hashed)
+  WHERE length(word) >= 7 GROUP BY word HAVING sum(n) >= 2
+), cut AS (
+  SELECT word, unnest(range(0, length(word))) AS i FROM v
+), pairs AS (
+  SELECT DISTINCT a.word AS a, b.word AS b FROM cut a JOIN cut b
+    ON left(a.word, a.i) || chr(1) || substr(a.word, a.i + 2) = left(b.word, b.i) || chr(1) || substr(b.word, b.i + 2)
+    AND a.word <> b.word
+  UNION SELECT a.word, v.word FROM cut a JOIN v ON left(a.word, a.i) || substr(a.word, a.i + 2) = v.word
+  UNION SELECT v.word, a.word FROM cut a JOIN v ON left(a.word, a.i) || substr(a.word, a.i + 2) = v.word
+), near AS (
+  SELECT v.word, v.n, count(o.word) AS n_near, arg_min(o.word, (-o.n, o.word)) AS top, max(o.n) AS top_n
+  FROM v LEFT JOIN pairs p ON p.a = v.word LEFT JOIN v o ON o.word = p.b GROUP BY ALL
+), formed AS (
+  SELECT word, n, n_near, CASE WHEN top_n >= 10 * n THEN top END AS form, CASE WHEN top_n >= 10 * n THEN top_n END AS form_n FROM near
+), chain(word, top, step) AS (
+  SELECT word, word, 0 FROM formed
+  UNION ALL SELECT c.word, f.form, step + 1 FROM chain c JOIN formed f ON f.word = c.top WHERE f.form IS NOT NULL
+)
+SELECT f.word, f.form, r.root, f.n, f.n_near, f.form_n
+FROM formed f JOIN (SELECT word, arg_max(top, step) AS root FROM chain GROUP BY word) r USING (word)
+""".replace("{crc}", _CRC_SQL.format(key="key"))
+
+
+@query("op12_spelling_groups", OP12_SQL)
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    words = spelling_groups.vocabulary(table(spark, sf_dir, "documents"), change=spelling_groups.dropped_letter)
+    return spelling_groups.group(words).select("word", "form", "root", "n", "n_near", "form_n")
+
+
 OP13_SQL = r"""
 WITH d AS (
   SELECT row_number() OVER () AS r, doc_id,
