@@ -9,8 +9,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from terrahaz.llm import (
-    bpe_monoid, chat_tree, compression_bands, license_join, ordinal_quality, permutation_index, pii_bootstrap,
-    retrieval_pack, simhash_variants, spelling_groups, warc_members, window_join,
+    bpe_monoid, chat_tree, compression_bands, license_join, ordinal_quality, permutation_index, pii_bootstrap, prefix_trie,
+    retrieval_pack, simhash_variants, spelling_groups, tables, warc_members, window_join,
 )
 from terrahaz.llm.tables import table
 
@@ -215,12 +215,66 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(page("record_id").alias("page_id"), "payload_bytes", "payload_digest", "record_type", page("refers_to").alias("refers_to"))
 
 
+
 #: CRC-32 of the UTF-8 bytes of ``{key}``, bit by bit from the least.
 _CRC_SQL = """xor(4294967295, list_reduce(list_prepend(4294967295::BIGINT,
   list_transform(range(0, 4 * len(hex(encode({key})))),
     lambda k: (CAST('0x' || substr(hex(encode({key})), 2 * (k // 8) + 1, 2) AS BIGINT) >> CAST(k % 8 AS BIGINT)) & 1)),
   lambda c, b: xor(c >> 1, 3988292384 * (xor(c, b) & 1))))"""
 
+OP11_SQL = r"""
+WITH c AS (
+  SELECT conv_id, conv_id - conv_id % 20 AS base, {crc} % 4 AS h FROM (SELECT DISTINCT conv_id, CAST(conv_id AS VARCHAR) AS key FROM conversations)
+), t AS (
+  SELECT conv_id, md5(strlen(role) || ':' || role || text) AS digest, len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')) AS words,
+    row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, md5(strlen(role) || ':' || role || text)) AS d
+  FROM (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations)
+), r AS (
+  SELECT c.conv_id, 0 AS part, d, digest, words FROM c JOIN t ON t.conv_id = c.base WHERE d <= h
+  UNION ALL SELECT c.conv_id, 1, d, digest, words FROM c JOIN t ON t.conv_id = c.conv_id WHERE d > h
+), p AS (
+  SELECT conv_id, words, row_number() OVER w AS depth, string_agg(digest, '') OVER w AS key
+  FROM r WINDOW w AS (PARTITION BY conv_id ORDER BY part, d ROWS UNBOUNDED PRECEDING)
+  UNION ALL SELECT conv_id, 0, 0, '' FROM c
+), nodes AS (
+  SELECT key, depth, min(conv_id) AS conv_id, count(*) AS n, (count(*) - 1) * any_value(words) AS saved FROM p GROUP BY key, depth
+), kids AS (
+  SELECT left(key, len(key) - 32) AS key, count(*) AS n FROM nodes WHERE depth > 0 GROUP BY 1
+), below AS (
+  SELECT p.key, count(*) FILTER (k.n IS NULL) AS leaves, sum(x.saved) AS saved
+  FROM nodes x LEFT JOIN kids k USING (key) JOIN p ON p.conv_id = x.conv_id AND p.depth <= x.depth GROUP BY p.key
+), ends AS (
+  SELECT key, string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) AS ids
+  FROM (SELECT conv_id, arg_max(key, depth) AS key FROM p GROUP BY conv_id) GROUP BY key
+)
+SELECT x.conv_id, x.depth, up.conv_id AS parent_conv_id, x.n AS n_convs, coalesce(kids.n, 0) AS n_children, below.leaves AS n_leaves,
+  CAST(below.saved AS BIGINT) AS saved_tokens, sha256(coalesce(ids, '')) AS ends_sha256
+FROM nodes x JOIN below ON below.key = x.key LEFT JOIN kids ON kids.key = x.key LEFT JOIN ends ON ends.key = x.key
+LEFT JOIN nodes up ON x.depth > 0 AND up.key = left(x.key, len(x.key) - 32)
+""".replace("{crc}", _CRC_SQL.format(key="key"))
+
+
+def rebuilt(conversations: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Turns of the rebuilt conversations and all conversation ids: the first h turns of conversation
+    c - c % 20, then c's own turns after its first h, h being crc32(c) % 4."""
+    own = tables.staged(prefix_trie.along(prefix_trie.turns_of(conversations)), "rebuilt-turns")
+    convs = own.select("conv").distinct()
+    h = F.coalesce(F.crc32(F.col("conv").cast("string").cast("binary")) % 4, F.lit(0))
+    heads = own.where("depth <= 3 and conv % 20 = 0").select(F.col("conv").alias("base"), F.col("depth").alias("turn"), "digest", "words")
+    begun = convs.withColumns({"h": h, "base": F.col("conv") - F.col("conv") % 20}).where("h > 0").join(heads, "base").where("turn <= h")
+    turns = begun.select("conv", "turn", "digest", "words").unionByName(
+        own.where(F.col("depth") > h).select("conv", F.col("depth").alias("turn"), "digest", "words"))
+    return turns, convs
+
+
+@query("op11_prefix_peeling", OP11_SQL)
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    trie = prefix_trie.build(*rebuilt(table(spark, sf_dir, "conversations")))
+    return trie.nodes.join(prefix_trie.member_digests(trie.ends), "key", "left").select(
+        F.col("conv").alias("conv_id"), "depth", F.col("parent_conv").alias("parent_conv_id"), "n_convs", "n_children", "n_leaves", "saved_tokens",
+        F.coalesce("ends_sha256", F.sha2(F.lit("").cast("binary"), 256)).alias("ends_sha256"))
+
+
 OP12_SQL = r"""
 WITH RECURSIVE runs AS (
   SELECT coalesce(CAST(doc_id AS VARCHAR), '') AS d, unnest(regexp_extract_all(
