@@ -121,3 +121,73 @@ def check_packing(rows, ids_of: dict, window=1024):
         assert at <= window
         padding += window - at
     return padding, sum(map(len, ids_of.values()))
+
+
+PLAIN_WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
+
+
+def leaks(docs, items, window=10):
+    """(n_words, words hit, item ids met) of each text."""
+    wanted = {}
+    for item, text in items:
+        w = PLAIN_WORD.findall(lower_ascii(text))
+        for i in range(max(1, len(w) - window + 1) if w else 0):
+            wanted.setdefault(tuple(w[i : i + window]), set()).add(item)
+    sizes = {len(k) for k in wanted}
+    out = []
+    for text in docs:
+        w, hit, met = PLAIN_WORD.findall(lower_ascii(text)), set(), set()
+        for n in sizes:
+            for i in range(len(w) - n + 1):
+                found = wanted.get(tuple(w[i : i + n]))
+                if found:
+                    hit |= set(range(i, i + n))
+                    met |= found
+        out.append((len(w), len(hit), sorted(str(x) for x in met if x is not None)))
+    return out
+
+
+def one_edit(a, b):
+    if abs(len(a) - len(b)) > 1 or a == b:
+        return False
+    if len(a) > len(b):
+        a, b = b, a
+    i = next((k for k in range(len(a)) if a[k] != b[k]), len(a))
+    return a[i + (len(a) == len(b)) :] == b[i + 1 :]
+
+
+def spelling(counts: dict, ratio=10):
+    """word -> (n_near, form, form_n, root)."""
+    near = {w: [v for v in counts if one_edit(w, v)] for w in counts}
+    form = {}
+    for w, others in near.items():
+        if others:
+            top = min(others, key=lambda v: (-counts[v], v))
+            if counts[top] >= ratio * counts[w]:
+                form[w] = top
+    out = {}
+    for w in counts:
+        root = w
+        while root in form:
+            root = form[root]
+        out[w] = (len(near[w]), form.get(w), counts[form[w]] if w in form else None, root)
+    return out
+
+
+def trie(conversations: dict):
+    """(turns so far) -> (smallest member, its parent's, members, children, leaves, saved, ids that end there);
+    conversations: id -> list of (role, text)."""
+    members = {}
+    for c, turns in conversations.items():
+        for d in range(len(turns) + 1):
+            members.setdefault(tuple(turns[:d]), []).append(c)
+    least = {k: min((c for c in m if c is not None), default=None) for k, m in members.items()}
+    out = {}
+    for k, m in members.items():
+        below = [x for x in members if x[: len(k)] == k]
+        kids = {x for x in below if len(x) == len(k) + 1}
+        leaves = sum(not any(len(y) == len(x) + 1 and y[: len(x)] == x for y in below) for x in below)
+        saved = sum((len(members[x]) - 1) * len(WORD.findall(x[-1][1])) for x in below if x)
+        ends = sorted(c for c in m if c is not None and len(conversations[c]) == len(k))
+        out[k] = (least[k], least[k[:-1]] if k else None, len(m), len(kids), leaves, saved, ends)
+    return out
