@@ -113,20 +113,26 @@ def polygon_edges(polygons) -> Column:
     return F.flatten(per_ring)
 
 
-def _side(e: Column, x: Column, y: Column) -> Column:
+def side(e: Column, x: Column, y: Column) -> Column:
     """Sign tells which side of the edge the point is on; zero is on its line."""
     return (e["x2"] - e["x1"]) * (y - e["y1"]) - (x - e["x1"]) * (e["y2"] - e["y1"])
 
 
-def _crosses(e: Column, x: Column, y: Column) -> Column:
+def crosses_right(e: Column, x: Column, y: Column) -> Column:
     """Does a ray from the point towards +x cross the edge? Division-free."""
     straddles = (e["y1"] > y) != (e["y2"] > y)
-    return straddles & ((_side(e, x, y) > 0) == (e["y2"] > e["y1"]))
+    return straddles & ((side(e, x, y) > 0) == (e["y2"] > e["y1"]))
+
+
+def crosses_up(e: Column, x: Column, y: Column) -> Column:
+    """Does a ray from the point towards +y cross the edge?"""
+    straddles = (e["x1"] > x) != (e["x2"] > x)
+    return straddles & ((side(e, x, y) < 0) == (e["x2"] > e["x1"]))
 
 
 def _on_edge(e: Column, x: Column, y: Column) -> Column:
     return (
-        (_side(e, x, y) == 0)
+        (side(e, x, y) == 0)
         & x.between(F.least(e["x1"], e["x2"]), F.greatest(e["x1"], e["x2"]))
         & y.between(F.least(e["y1"], e["y2"]), F.greatest(e["y1"], e["y2"]))
     )
@@ -138,7 +144,7 @@ def is_number(c: Column) -> Column:
 
 def edges_parity(edges: Column, x: Column, y: Column) -> Column:
     """Even-odd rule over all rings, so holes need no special case."""
-    return F.aggregate(edges, F.lit(False), lambda inside, e: inside != _crosses(e, x, y))
+    return F.aggregate(edges, F.lit(False), lambda inside, e: inside != crosses_right(e, x, y))
 
 
 def edges_boundary(edges: Column, x: Column, y: Column) -> Column:

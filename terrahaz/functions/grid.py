@@ -44,7 +44,7 @@ def quad_size(level: int) -> float:
     return 360.0 / (1 << level)
 
 
-def _size_of(level) -> Column:
+def size_of(level) -> Column:
     """Cell edge of a literal level or of a level column; powers of two are exact."""
     if isinstance(level, int):
         return F.lit(quad_size(level))
@@ -52,12 +52,12 @@ def _size_of(level) -> Column:
 
 
 def quad_row(lat: Column, level) -> Column:
-    return F.floor((lat + F.lit(90.0)) / _size_of(level)).cast("bigint")
+    return F.floor((lat + F.lit(90.0)) / size_of(level)).cast("bigint")
 
 
 def quad_column(lon: Column, level) -> Column:
     """Column number, not yet wrapped."""
-    return F.floor((lon + F.lit(180.0)) / _size_of(level)).cast("bigint")
+    return F.floor((lon + F.lit(180.0)) / size_of(level)).cast("bigint")
 
 
 def pack(column: Column, row: Column, level) -> Column:

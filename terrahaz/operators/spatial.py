@@ -9,18 +9,24 @@ All of them turn the spatial predicate into an equi-join on a quad-grid cell:
   locations, hot cells are split (``skew_join``), and results return to the rows by an
   equi-join on the location.
 
-A polygon's cells know whether they lie wholly inside it (then no geometry is looked
-at) and otherwise keep only the edges a ray from that cell can meet.
+Polygons become an index table that is written once and opened by every join that asks for the
+same polygons. A cell wholly inside a polygon needs no geometry. Any other cell keeps the edges that
+touch it, and whether its reference point is inside: a point of the cell is inside if the way
+from there to it crosses edges an even number of times, else the other way round. So a cell
+never needs edges from elsewhere, and cells are divided until they hold few.
 """
 
 from __future__ import annotations
 
+import json
 import math
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from terrahaz.functions import geometry as G
 from terrahaz.functions import grid
@@ -32,12 +38,20 @@ from terrahaz.operators.sizing import (
     row_bytes,
     skew_join,
 )
-
-#: Levels a polygon may be filed under; it takes the finest where its box spans at
-#: most ``MAX_SPAN`` cells each way, so large polygons do not explode.
-POLYGON_LEVELS = (18, 15, 12, 9, 6, 3, 0)
-MAX_SPAN = 15
+from terrahaz.session import scratch, shared_folder
+
+#: Levels of cells. A polygon starts at the finest of ``START_LEVELS`` at which its box spans at most
+#: ``MAX_SPAN`` cells each way; a cell with more than ``MAX_EDGES`` edges is divided into the cells of the
+#: next level, ``STEP`` finer.
+STEP = 3
+START_LEVELS = (18, 15, 12, 9, 6, 3, 0)
+FINEST = 24
+MAX_SPAN = 7
+MAX_EDGES = 32
 _SLACK = 1e-9
+#: The reference point of a cell, in parts of its size. Odd parts, so that round coordinates and their
+#: lines do not run through it.
+_REF_X, _REF_Y = 0.38196601125010515, 0.6180339887498949
 
 
 # ------------------------------------------------------------- polygon index
@@ -45,77 +59,210 @@ _SLACK = 1e-9
 
 @dataclass(frozen=True)
 class PolygonIndex:
-    """Cell entries of a polygon table: ``level, cell, item, full, edges``."""
+    """A written index. ``entries``: ``level, cell, item, full, base, edges``; ``dictionary``: the same
+    grouped by cell (none for a large one); ``largest``: most edges in an entry."""
 
+    path: str
     entries: DataFrame
+    dictionary: DataFrame | None
     levels: tuple[int, ...]
+    rows: int
+    bytes: int
+    largest: int
     small: bool
 
 
 def _level_of_box(box: Column) -> Column:
     width = F.greatest(box["max_x"] - box["min_x"], box["max_y"] - box["min_y"])
     choice = F.lit(0)
-    for level in reversed(POLYGON_LEVELS):
+    for level in reversed(START_LEVELS):
         choice = F.when(width <= F.lit(MAX_SPAN * grid.quad_size(level)), F.lit(level)).otherwise(choice)
     return choice
 
 
+def _reference(cx: Column, cy: Column, level) -> tuple[Column, Column]:
+    size = grid.size_of(level)
+    return (cx + F.lit(_REF_X)) * size - F.lit(180.0), (cy + F.lit(_REF_Y)) * size - F.lit(90.0)
+
+
+def _down_or_across(e: Column, x: Column, y: Column, corner_x: Column) -> Column:
+    """Is the way from (x, y) level to (corner_x, y), then straight up without end, crossed oddly?"""
+    return G.crosses_right(e, x, y) != (G.crosses_right(e, corner_x, y) != G.crosses_up(e, corner_x, y))
+
+
+def _touching_cells(e: Column, level: Column, inside: tuple[Column, Column, Column, Column] | None = None) -> Column:
+    """``cx, cy`` of the cells that a segment touches, to within ``_SLACK``; ``inside`` limits them to a
+    range of columns and rows."""
+    size, slack = grid.size_of(level), F.lit(_SLACK)
+    west, east = F.least(e["x1"], e["x2"]) - slack, F.greatest(e["x1"], e["x2"]) + slack
+    south, north = F.least(e["y1"], e["y2"]) - slack, F.greatest(e["y1"], e["y2"]) + slack
+    x0, x1 = grid.quad_column(west, level), grid.quad_column(east, level)
+    y0, y1 = grid.quad_row(south, level), grid.quad_row(north, level)
+    if inside is not None:
+        x0, x1, y0, y1 = F.greatest(x0, inside[0]), F.least(x1, inside[1]), F.greatest(y0, inside[2]), F.least(y1, inside[3])
+
+    def touches(c: Column) -> Column:
+        """Not all corners on one side of the segment's line."""
+        left, low = c["cx"] * size - F.lit(180.0) - slack, c["cy"] * size - F.lit(90.0) - slack
+        sides = [G.side(e, x, y) for x in (left, left + size + 2 * slack) for y in (low, low + size + 2 * slack)]
+        return (F.least(*sides) <= 0) & (F.greatest(*sides) >= 0)
+
+    cells = F.flatten(F.transform(F.sequence(x0, x1), lambda cx: F.transform(
+        F.sequence(y0, y1), lambda cy: F.struct(cx.alias("cx"), cy.alias("cy")))))
+    none = F.array().cast("array<struct<cx:bigint,cy:bigint>>")
+    return F.when((x0 <= x1) & (y0 <= y1), F.filter(cells, touches)).otherwise(none)
+
+
+_CELL = ["pid", "level", "cx", "cy"]
+
+
+def _odd(c: Column) -> Column:
+    return F.coalesce(F.sum(c.cast("long")), F.lit(0)) % 2 == 1
+
+
+def _first_round(shapes: DataFrame, edges: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The cells of each polygon's box with the parity of their reference points, and the edges in them."""
+    level, e = F.col("level"), F.col("e")
+    ranges = {n: f(b, level) for n, f, b in (
+        ("x0", grid.quad_column, F.col("box.min_x")), ("x1", grid.quad_column, F.col("box.max_x")),
+        ("y0", grid.quad_row, F.col("box.min_y")), ("y1", grid.quad_row, F.col("box.max_y")))}
+    boxes = shapes.select("pid", "level", *[c.alias(n) for n, c in ranges.items()])
+    cells = boxes.select("pid", "level", F.explode(F.sequence("x0", "x1")).alias("cx"), "y0", "y1").select(
+        "pid", "level", "cx", F.explode(F.sequence("y0", "y1")).alias("cy"))
+    # rows of cells whose reference line an edge crosses, one more on either side against rounding
+    low, high = F.least(e["y1"], e["y2"]), F.greatest(e["y1"], e["y2"])
+    rows = F.sequence(F.greatest(grid.quad_row(low, level) - 1, F.col("y0")), F.least(grid.quad_row(high, level) + 1, F.col("y1")))
+    columns = F.sequence(F.col("x0"), F.least(grid.quad_column(F.greatest(e["x1"], e["x2"]), level) + 1, F.col("x1")))
+    ray = edges.select("pid", "level", "e", "x0", "x1", F.explode(rows).alias("cy"))
+    _, ref_y = _reference(F.lit(0).cast("bigint"), F.col("cy"), level)
+    ray = ray.where((e["y1"] > ref_y) != (e["y2"] > ref_y)).select("pid", "level", "e", F.explode(columns).alias("cx"), "cy")
+    ref_x, ref_y = _reference(F.col("cx"), F.col("cy"), level)
+    parity = ray.groupBy(*_CELL).agg(_odd(G.crosses_right(e, ref_x, ref_y)).alias("odd"))
+    cells = cells.join(parity, _CELL, "left").withColumn("odd", F.coalesce("odd", F.lit(False)))
+    inside = (F.col("x0"), F.col("x1"), F.col("y0"), F.col("y1"))
+    local = edges.select("pid", "level", "e", F.explode(_touching_cells(e, level, inside)).alias("c")).select(
+        "pid", "level", "c.cx", "c.cy", "e")
+    return cells, local
+
+
+def _next_round(heavy: DataFrame, local: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The cells into which heavy cells (``_CELL, odd``) are divided, and the edges in them."""
+    e, parts = F.col("e"), 1 << STEP
+    crowded = local.join(heavy.select(*_CELL), _CELL)
+    finer = F.col("level") + STEP
+    first_x, first_y = F.col("cx") * parts, F.col("cy") * parts
+    steps = F.sequence(F.lit(0), F.lit(parts - 1))
+    children = F.flatten(F.transform(steps, lambda i: F.transform(steps, lambda j: F.struct((first_x + i).alias("cx"), (first_y + j).alias("cy")))))
+    # from the parent's reference point straight to the child's height, then across
+    from_x, from_y = _reference(F.col("cx"), F.col("cy"), F.col("level"))
+    at = crowded.select("pid", finer.alias("finer"), "e", from_x.alias("from_x"), from_y.alias("from_y"), F.explode(children).alias("c"))
+    at = at.withColumnRenamed("finer", "level")
+    ref_x, ref_y = _reference(F.col("c.cx"), F.col("c.cy"), F.col("level"))
+    turned = G.crosses_up(e, F.col("from_x"), F.col("from_y")) != _down_or_across(e, ref_x, ref_y, F.col("from_x"))
+    changed = at.groupBy("pid", "level", F.col("c.cx").alias("cx"), F.col("c.cy").alias("cy")).agg(_odd(turned).alias("changed"))
+    cells = heavy.select("pid", finer.alias("finer"), "odd", F.explode(children).alias("c")).select(
+        "pid", F.col("finer").alias("level"), "c.cx", "c.cy", "odd")
+    cells = cells.join(changed, _CELL).withColumn("odd", F.col("odd") != F.col("changed")).drop("changed")
+    inside = (first_x, first_x + (parts - 1), first_y, first_y + (parts - 1))
+    touched = crowded.select("pid", finer.alias("finer"), "e", F.explode(_touching_cells(e, finer, inside)).alias("c"))
+    return cells, touched.select("pid", F.col("finer").alias("level"), "c.cx", "c.cy", "e")
+
+
 def polygon_entries(
-    polygons: DataFrame, key: str, geom: str, attrs: tuple[str, ...] = ()
+    polygons: DataFrame, key: str, geom: str, attrs: tuple[str, ...] = (), max_edges: int = MAX_EDGES
 ) -> DataFrame:
-    """One row per polygon and covered cell; cells wholly outside are dropped."""
+    """One row per polygon and covered cell: ``level, cell, item, full, base, edges``; cells wholly outside are
+    dropped. Edges are rows until they are gathered in a cell that keeps at most ``max_edges`` of them (more only
+    at the finest level, where they cannot be told apart), so the largest row does not grow with a polygon.
+    ``base``: is the way from the reference point straight up, as far as the cell's own edges matter, even?"""
+    conf = polygons.sparkSession.conf.get("spark.sql.shuffle.partitions")
+    spread = polygons.repartition(max(int(conf), polygons.sparkSession.sparkContext.defaultParallelism), key)
     item = F.struct(F.col(key), *[F.col(a) for a in attrs])
-    base = polygons.select(item.alias("item"), G.polygon_edges(geom).alias("edges"))
+    base = spread.select(F.monotonically_increasing_id().alias("pid"), item.alias("item"), G.polygon_edges(geom).alias("edges"))
     # a polygon without edges has no box, hence no cells
-    base = base.withColumn("box", G.edges_envelope(F.col("edges")))
-    box, level = F.col("box"), F.col("level")
-    in_range = (
-        (box["min_x"] >= -180) & (box["max_x"] <= 180) & (box["min_y"] >= -90) & (box["max_y"] <= 90)
-    )
-    refused = F.raise_error(F.lit("polygon leaves the WGS84 range; split it at the antimeridian"))
-    filed = F.when(box.isNull(), F.lit(None).cast("int")).when(in_range, _level_of_box(box))
-    base = base.withColumn("level", filed.otherwise(refused.cast("int")))
-
-    def span(lo: Column, hi: Column, number) -> Column:
-        return F.explode(F.sequence(number(lo, level), number(hi, level)))
-
-    base = base.withColumn("cx", span(box["min_x"], box["max_x"], grid.quad_column))
-    base = base.withColumn("cy", span(box["min_y"], box["max_y"], grid.quad_row))
-    base = base.withColumn("size", F.lit(360.0) / F.pow(F.lit(2.0), level.cast("double")))
-    base = base.select(
-        "item",
-        "edges",
-        "level",
-        "size",
-        grid.pack(F.col("cx"), F.col("cy"), level).alias("cell"),
-        (F.col("cx") * F.col("size") - 180.0).alias("west"),
-        (F.col("cy") * F.col("size") - 90.0).alias("south"),
-    )
-    west, south = F.col("west") - _SLACK, F.col("south") - _SLACK
-    east, north = F.col("west") + F.col("size") + _SLACK, F.col("south") + F.col("size") + _SLACK
-
-    def in_rows(e):
-        return (F.least(e["y1"], e["y2"]) <= north) & (F.greatest(e["y1"], e["y2"]) >= south)
+    base = base.withColumn("box", G.edges_envelope(F.col("edges"))).where(F.col("box").isNotNull())
+    box = F.col("box")
+    in_range = (box["min_x"] >= -180) & (box["max_x"] <= 180) & (box["min_y"] >= -90) & (box["max_y"] <= 90)
+    refused = F.raise_error(F.lit("polygon leaves the WGS84 range; split it at the antimeridian")).cast("int")
+    base = materialize(base.withColumn("level", F.when(in_range, _level_of_box(box)).otherwise(refused)), "polygon-shapes")
+    shapes = base.select("pid", "item", "box", "level")
+    ranges = [grid.quad_column(box["min_x"], F.col("level")).alias("x0"), grid.quad_column(box["max_x"], F.col("level")).alias("x1"),
+              grid.quad_row(box["min_y"], F.col("level")).alias("y0"), grid.quad_row(box["max_y"], F.col("level")).alias("y1")]
+    edges = base.select("pid", "level", *ranges, F.explode("edges").alias("e"))
+    cells, local = _first_round(shapes, edges)
+    ends = []
+    while True:
+        local = materialize(local, "polygon-edges")
+        counted = local.groupBy(*_CELL).agg(F.count("*").alias("n"))
+        cells = materialize(cells.join(counted, _CELL, "left").withColumn("n", F.coalesce("n", F.lit(0))), "polygon-cells")
+        ends.append(cells.where((F.col("n") == 0) & F.col("odd")).select(
+            *_CELL, F.lit(True).alias("full"), F.lit(False).alias("base"), F.array().cast(base.schema["edges"].dataType).alias("edges")))
+        fine = (F.col("n") <= max_edges) | (F.col("level") + STEP > FINEST)
+        keep = cells.where((F.col("n") > 0) & fine)
+        ref_x, ref_y = _reference(F.col("cx"), F.col("cy"), F.col("level"))
+        up = G.crosses_up(F.col("e"), ref_x, ref_y)
+        kept_edges = local.join(keep.select(*_CELL), _CELL, "left_semi")
+        held = kept_edges.groupBy(*_CELL).agg(F.collect_list("e").alias("edges"), _odd(up).alias("up"))
+        ends.append(keep.join(held, _CELL).select(*_CELL, F.lit(False).alias("full"), (F.col("odd") != F.col("up")).alias("base"), "edges"))
+        heavy = cells.where((F.col("n") > 0) & ~fine)
+        if heavy.isEmpty():
+            break
+        cells, local = _next_round(heavy, local)
+    every = reduce(DataFrame.unionByName, ends).join(shapes.select("pid", "item"), "pid")
+    return every.select("level", grid.pack(F.col("cx"), F.col("cy"), F.col("level")).alias("cell"), "item", "full", "base", "edges")
+
+
+#: Changes with what an index holds, so that older ones are not opened.
+_FORMAT = 2
+_MANIFEST = "path string, key string, levels array<int>, rows long, bytes long, largest int, grouped boolean, schema string"
+
+
+def write_polygon_index(
+    polygons: DataFrame, path: str, *, key: str = "neighborhood_id", geom: str = "geometry", attrs: tuple[str, ...] = (),
+    max_edges: int = MAX_EDGES, content: str = "",
+) -> PolygonIndex:
+    """Write the index of a polygon table under ``path`` and open it.
+
+    ``entries`` is partitioned by level, ``dictionary`` (written if the whole fits a broadcast) has a row per
+    cell; the manifest with level list and sizes comes last, so an index that can be opened is whole."""
+    spark = polygons.sparkSession
+    made = polygon_entries(polygons, key, geom, attrs, max_edges)
+    made.write.partitionBy("level").parquet(f"{path}/entries")
+    entries = spark.read.schema(made.schema).parquet(f"{path}/entries")
+    # as nested rows take it in memory: headers, four numbers and a place per edge
+    width = F.lit(96) + F.size("edges") * 48 + F.length(F.to_json("item"))
+    row = entries.agg(
+        F.coalesce(F.sort_array(F.collect_set("level")), F.array().cast("array<int>")).alias("levels"), F.count("*").alias("rows"),
+        F.coalesce(F.sum(width), F.lit(0)).alias("bytes"), F.coalesce(F.max(F.size("edges")), F.lit(0)).alias("largest"),
+    ).first()
+    grouped = row["bytes"] <= MAX_BROADCAST_BYTES and bool(row["levels"])
+    if grouped:
+        entry = F.struct("item", "full", "base", "edges")
+        by_cell = entries.groupBy("level", "cell").agg(F.sort_array(F.collect_list(entry)).alias("entries"))
+        by_cell.write.partitionBy("level").parquet(f"{path}/dictionary")
+    facts = spark.createDataFrame([(path, content, row["levels"], row["rows"], row["bytes"], row["largest"], grouped, made.schema.json())], _MANIFEST)
+    facts.coalesce(1).write.parquet(f"{path}/manifest")
+    return open_polygon_index(spark, path)
+
+
+def open_polygon_index(spark: SparkSession, path: str, max_bytes: int | None = None) -> PolygonIndex:
+    """An index written before; ``max_bytes`` is the largest to be broadcast."""
+    facts = spark.read.schema(_MANIFEST).parquet(f"{path}/manifest").first()
+    limit = MAX_BROADCAST_BYTES if max_bytes is None else max_bytes
+    dictionary = spark.read.parquet(f"{path}/dictionary") if facts["grouped"] else None
+    entries = spark.read.schema(StructType.fromJson(json.loads(facts["schema"]))).parquet(f"{path}/entries")
+    return PolygonIndex(path, entries, dictionary, tuple(facts["levels"]), facts["rows"], facts["bytes"],
+                        facts["largest"], 0 < limit and facts["bytes"] <= limit)
 
-    def touches(e):
-        return in_rows(e) & (F.least(e["x1"], e["x2"]) <= east) & (F.greatest(e["x1"], e["x2"]) >= west)
 
-    mid_x, mid_y = F.col("west") + F.col("size") / 2, F.col("south") + F.col("size") / 2
-    state = F.when(F.exists("edges", touches), F.lit("partial")).otherwise(
-        F.when(G.edges_parity(F.col("edges"), mid_x, mid_y), F.lit("full")).otherwise(F.lit("none"))
-    )
-    reachable = F.filter("edges", lambda e: in_rows(e) & (F.greatest(e["x1"], e["x2"]) >= west))
-    return (
-        base.withColumn("state", state)
-        .where(F.col("state") != "none")
-        .select(
-            "level",
-            "cell",
-            "item",
-            (F.col("state") == "full").alias("full"),
-            F.when(F.col("state") == "full", F.slice("edges", 1, 0)).otherwise(reachable).alias("edges"),
-        )
-    )
+def _content_key(polygons: DataFrame, key: str, geom: str, attrs: tuple[str, ...]) -> str:
+    """Names the rows and columns an index is made of; equal for equal contents in any order."""
+    columns = [key, geom, *attrs]
+    digest = F.xxhash64(*columns)
+    row = polygons.agg(
+        F.count("*"), F.sum(digest.cast("decimal(38,0)")), F.bit_xor(digest), F.sum(F.xxhash64(F.lit(1), *columns).cast("decimal(38,0)"))).first()
+    kinds = [polygons.schema[c].dataType.simpleString() for c in columns]
+    return "-".join(map(str, [*columns, *kinds, *row, STEP, MAX_SPAN, MAX_EDGES]))
 
 
 def polygon_index(
@@ -125,56 +272,77 @@ def polygon_index(
     attrs: tuple[str, ...] = (),
     max_bytes: int | None = None,
 ) -> PolygonIndex:
-    """Build the index table and measure it: which levels occur, and does it fit a broadcast.
-
-    The table is written once under the shared folder, so measuring it, using it at
-    every level and running a lost task again never parse the geometry a second time.
-    """
-    # a polygon becomes up to hundreds of rows: spread them before, a small file is one partition
-    conf = polygons.sparkSession.conf.get("spark.sql.shuffle.partitions")
-    spread = polygons.repartition(max(int(conf), polygons.sparkSession.sparkContext.defaultParallelism), key)
-    entries = materialize(polygon_entries(spread, key, geom, attrs), "polygon-index")
-    width = F.lit(64) + F.size("edges") * 40 + F.length(F.to_json("item"))
-    row = entries.agg(
-        F.sort_array(F.collect_set("level")).alias("levels"),
-        F.coalesce(F.sum(width), F.lit(0)).alias("bytes"),
-    ).first()
-    limit = MAX_BROADCAST_BYTES if max_bytes is None else max_bytes
-    return PolygonIndex(entries, tuple(row["levels"]), limit > 0 and int(row["bytes"]) <= limit)
+    """The index of these polygons: opened if one of the same content lies in the shared folder, else
+    written there. One cheap aggregate over the polygons tells."""
+    spark = polygons.sparkSession
+    content = _content_key(polygons, key, geom, attrs)
+    known = f"{shared_folder(spark)}/polygon-indexes-{_FORMAT}"
+    try:
+        made = spark.read.schema(_MANIFEST).parquet(known).where(F.col("key") == content).agg(F.max("path")).first()[0]
+        if made is not None:
+            return open_polygon_index(spark, made, max_bytes)
+    except AnalysisException:  # nothing written there yet, or cleared since
+        pass
+    made = write_polygon_index(polygons, scratch(spark, "polygon-index"), key=key, geom=geom, attrs=attrs, content=content).path
+    spark.read.schema(_MANIFEST).parquet(f"{made}/manifest").coalesce(1).write.mode("append").parquet(known)
+    return open_polygon_index(spark, made, max_bytes)
 
 
 def _located(x: Column, y: Column) -> Column:
     return x.isNotNull() & y.isNotNull() & G.is_number(x) & G.is_number(y)
 
 
-def _hit(full: Column, edges: Column, x: Column, y: Column, predicate: str) -> Column:
-    test = {"within": G.edges_within, "intersects": G.edges_intersects}[predicate]
-    return full | test(edges, x, y)
+def _hit(e, x: Column, y: Column, level, predicate: str) -> Column:
+    """Does the polygon of an entry of the point's cell hold the point? ``e`` gives its columns."""
+    corner_x, _ = _reference(grid.quad_column(x, level), F.lit(0).cast("bigint"), level)
+    inside = F.aggregate(e["edges"], e["base"], lambda odd, edge: odd != _down_or_across(edge, x, y, corner_x))
+    on_edge = G.edges_boundary(e["edges"], x, y)
+    return e["full"] | ((inside & ~on_edge) if predicate == "within" else (inside | on_edge))
+
+
+def _found_in(entries: Column, x: Column, y: Column, level: int, predicate: str, want: str, item: str) -> Column:
+    """What ``_lookup`` wants from the entries of one level."""
 
+    def holds(e):
+        return _hit(e, x, y, level, predicate)
 
-def _lookup(points: DataFrame, index: PolygonIndex, lon: str, lat: str, predicate: str) -> DataFrame:
-    """Small index: add ``__hits``, the array of items whose polygon holds the point."""
+    def first(got, e):
+        return F.when(got.isNotNull(), got).when(holds(e), e["item"])
+
+    if want == "any":
+        return F.coalesce(F.exists(entries, holds), F.lit(False))
+    if want == "first":
+        return F.aggregate(entries, F.lit(None).cast(item), first)
+    return F.coalesce(F.transform(F.filter(entries, holds), lambda e: e["item"]), F.array().cast(f"array<{item}>"))
+
+
+def _at_level(index: PolygonIndex, level: int) -> DataFrame:
+    if index.dictionary is not None:
+        return index.dictionary.where(F.col("level") == level).select("cell", "entries")
+    entry = F.struct("item", "full", "base", "edges")
+    return index.entries.where(F.col("level") == level).groupBy("cell").agg(F.sort_array(F.collect_list(entry)).alias("entries"))
+
+
+def _lookup(points: DataFrame, index: PolygonIndex, lon: str, lat: str, predicate: str, want: str) -> DataFrame:
+    """Small index: add ``__found``. ``want``: ``any`` (is there a polygon that holds the point), ``first`` (the
+    smallest item; entries are sorted, so later ones are not tried) or ``all`` (an array of items)."""
     x, y = F.col(lon), F.col(lat)
+    item = index.entries.schema["item"].dataType.simpleString()
     out, found = points, []
     for level in index.levels:
-        at_level = index.entries.where(F.col("level") == level)
-        dictionary = at_level.groupBy(F.col("cell").alias(f"__cell_{level}")).agg(
-            F.collect_list(F.struct("item", "full", "edges")).alias(f"__entries_{level}")
-        )
+        dictionary = _at_level(index, level).toDF(f"__cell_{level}", f"__entries_{level}")
         probe = F.when(_located(x, y), grid.quad_cell(x, y, level))
-        out = out.withColumn(f"__cell_{level}", probe).join(
-            F.broadcast(dictionary), f"__cell_{level}", "left"
-        )
-        held = F.filter(
-            F.col(f"__entries_{level}"), lambda e: _hit(e["full"], e["edges"], x, y, predicate)
-        )
-        found.append(F.transform(held, lambda e: e["item"]))
-    if not found:
-        item = index.entries.schema["item"].dataType
-        return out.withColumn("__hits", F.array().cast(f"array<{item.simpleString()}>"))
-    hits = reduce(lambda a, b: F.concat(a, b), [F.coalesce(f, F.array()) for f in found])
-    out = out.withColumn("__hits", hits)
-    return out.drop(*[f"__{part}_{n}" for part in ("cell", "entries") for n in index.levels])
+        out = out.withColumn(f"__cell_{level}", probe).join(F.broadcast(dictionary), f"__cell_{level}", "left")
+        here = F.col(f"__entries_{level}")
+
+        found.append(_found_in(here, x, y, level, predicate, want, item))
+    if want == "any":
+        result = reduce(lambda a, b: a | b, found, F.lit(False))
+    elif want == "first":
+        result = F.least(*found) if len(found) > 1 else found[0] if found else F.lit(None).cast(item)
+    else:
+        result = reduce(lambda a, b: F.concat(a, b), found, F.array().cast(f"array<{item}>"))
+    return out.withColumn("__found", result).drop(*[f"__{part}_{n}" for part in ("cell", "entries") for n in index.levels])
 
 
 def _pairs(
@@ -189,7 +357,7 @@ def _pairs(
     )
     probing = places.withColumn("p", F.explode(probes)).select("__x", "__y", "p.level", "p.cell")
     joined = skew_join(probing, index.entries, ["level", "cell"], "inner", rows_per_task)
-    return joined.where(_hit(F.col("full"), F.col("edges"), x, y, predicate)).select(
+    return joined.where(_hit({c: F.col(c) for c in ("full", "base", "edges")}, x, y, F.col("level"), predicate)).select(
         F.col("__x").alias(lon), F.col("__y").alias(lat), "item"
     )
 
@@ -209,11 +377,12 @@ def land_mask(
 ) -> DataFrame:
     """Keep points inside at least one polygon; never multiplies rows.
 
-    ``index`` is one built before from these polygons, for callers that mask repeatedly.
+    ``index`` is an opened index of these polygons; without it the one of the same content in the
+    shared folder is opened, or written first. So for all joins with polygons.
     """
     index = index or polygon_index(polygons, key, geom, (), max_bytes)
     if index.small:
-        return _lookup(points, index, lon, lat, predicate).where(F.size("__hits") > 0).drop("__hits")
+        return _lookup(points, index, lon, lat, predicate, "any").where("__found").drop("__found")
     inside = _pairs(points, index, lon, lat, predicate, rows_per_task).select(lon, lat).distinct()
     return skew_join(points, inside, [lon, lat], "left_semi", rows_per_task).select(*points.columns)
 
@@ -229,11 +398,12 @@ def off_land(
     predicate: str = "within",
     max_bytes: int | None = None,
     rows_per_task: int = ROWS_PER_TASK,
+    index: PolygonIndex | None = None,
 ) -> DataFrame:
     """The points no polygon holds, those without coordinates included."""
-    index = polygon_index(polygons, key, geom, (), max_bytes)
+    index = index or polygon_index(polygons, key, geom, (), max_bytes)
     if index.small:
-        return _lookup(points, index, lon, lat, predicate).where(F.size("__hits") == 0).drop("__hits")
+        return _lookup(points, index, lon, lat, predicate, "any").where("not __found").drop("__found")
     inside = _pairs(points, index, lon, lat, predicate, rows_per_task).select(lon, lat).distinct()
     return skew_join(points, inside, [lon, lat], "left_anti", rows_per_task).select(*points.columns)
 
@@ -251,11 +421,12 @@ def land_mask_inner(
     prefix: str = "land_",
     max_bytes: int | None = None,
     rows_per_task: int = ROWS_PER_TASK,
+    index: PolygonIndex | None = None,
 ) -> DataFrame:
-    """One row per point and polygon that holds it, polygon columns prefixed."""
-    index = polygon_index(polygons, key, geom, attrs, max_bytes)
+    """One row per point and polygon that holds it, polygon columns prefixed. An ``index`` must hold ``attrs``."""
+    index = index or polygon_index(polygons, key, geom, attrs, max_bytes)
     if index.small:
-        hit = _lookup(points, index, lon, lat, predicate).withColumn("__item", F.explode("__hits"))
+        hit = _lookup(points, index, lon, lat, predicate, "all").withColumn("__item", F.explode("__found"))
     else:
         pairs = _pairs(points, index, lon, lat, predicate, rows_per_task)
         hit = skew_join(points, pairs.withColumnRenamed("item", "__item"), [lon, lat], "inner", rows_per_task)
@@ -275,11 +446,13 @@ def attach_polygon(
     predicate: str = "within",
     max_bytes: int | None = None,
     rows_per_task: int = ROWS_PER_TASK,
+    index: PolygonIndex | None = None,
 ) -> DataFrame:
-    """Left join point to polygon; overlaps go to the smallest key, so the grain stays."""
-    index = polygon_index(polygons, key, geom, attrs, max_bytes)
+    """Left join point to polygon; overlaps go to the smallest key, so the grain stays. An ``index`` must
+    hold ``attrs``."""
+    index = index or polygon_index(polygons, key, geom, attrs, max_bytes)
     if index.small:
-        joined = _lookup(points, index, lon, lat, predicate).withColumn("__item", F.array_min("__hits"))
+        joined = _lookup(points, index, lon, lat, predicate, "first").withColumnRenamed("__found", "__item")
     else:
         pairs = _pairs(points, index, lon, lat, predicate, rows_per_task)
         first = pairs.groupBy(lon, lat).agg(F.min("item").alias("__item"))
@@ -300,10 +473,12 @@ def _safe_radius(lat: Column, level: int) -> Column:
     return across * F.lit(G.EARTH_RADIUS_M * (1 - 1e-9)) - F.lit(0.001)
 
 
-def distinct_sites(facilities: DataFrame, key: str, lon: str, lat: str) -> DataFrame:
-    """Facilities at one location answer alike: keep the smallest id of each."""
-    located = facilities.where(_located(F.col(lon), F.col(lat)))
-    return located.groupBy(F.col(lon).alias("fx"), F.col(lat).alias("fy")).agg(F.min(key).alias("fid"))
+def distinct_sites(facilities: DataFrame, key: str, lon: str, lat: str, category: Column | None = None) -> DataFrame:
+    """Facilities of one category (``cat``, a small number) at one location answer alike: keep the smallest
+    id of each. Rows without a category are none of those asked for."""
+    cat = F.lit(0) if category is None else category
+    located = facilities.where(_located(F.col(lon), F.col(lat)) & cat.isNotNull())
+    return located.groupBy(F.col(lon).alias("fx"), F.col(lat).alias("fy"), cat.alias("cat")).agg(F.min(key).alias("fid"))
 
 
 #: Contenders are picked by cosine and then measured. The cut lies below the best cosine by
@@ -366,12 +541,13 @@ def _search_plan(sites: DataFrame) -> SearchPlan | None:
 
     The search starts at the coarsest level at which even the densest cell is small, so a
     crowded corner costs its callers no more than any other place. Levels at which the
-    sites occupy a handful of cells would show every site anyway and are left out.
+    sites occupy a handful of cells would show every site anyway and are left out. Cells are
+    counted once for each category in them.
     """
     cells = F.array(*[F.struct(F.lit(n).alias("n"), grid.quad_cell("fx", "fy", n).alias("c")) for n in NEAREST_LEVELS])
     occupied = (
-        sites.select(F.explode(cells).alias("at"), row_bytes(sites.columns).alias("w"))
-        .groupBy("at")
+        sites.select(F.explode(cells).alias("at"), "cat", row_bytes(sites.columns).alias("w"))
+        .groupBy("at", "cat")
         .agg(F.count(F.lit(1)).alias("k"), F.sum("w").alias("w"))
         .groupBy("at.n")
         .agg(F.max("k").alias("densest"), F.count(F.lit(1)).alias("cells"), F.sum("k").alias("sites"), F.sum("w").alias("bytes"))
@@ -402,20 +578,20 @@ def _centre(level: int) -> tuple[Column, Column]:
 
 
 def _boxes(sites: DataFrame, above: int, level: int, label: str, *sums: Column) -> DataFrame:
-    """``cell`` (at ``above``), ``inner`` (at ``level``), centre ``bx, by`` and ``r``, the metres
-    from there within which all its sites lie: a row per occupied inner cell."""
+    """``cat``, ``cell`` (at ``above``), ``inner`` (at ``level``), centre ``bx, by`` and ``r``, the metres
+    from there within which all its sites lie: a row per category and occupied inner cell."""
     bx, by = _centre(level)
     outer = F.lit(0).cast("bigint") if above == 0 else grid.quad_cell("fx", "fy", above)
     filed = sites.withColumns({"cell": outer, "inner": grid.quad_cell("fx", "fy", level), "bx": bx, "by": by})
     reach = F.max(G.haversine_m(F.col("bx"), F.col("by"), F.col("fx"), F.col("fy")))
-    return materialize(filed.groupBy("cell", "inner").agg(F.min("bx").alias("bx"), F.min("by").alias("by"), reach.alias("r"), *sums), label)
+    return materialize(filed.groupBy("cat", "cell", "inner").agg(F.min("bx").alias("bx"), F.min("by").alias("by"), reach.alias("r"), *sums), label)
 
 
 def _meet(asking: DataFrame, cells: DataFrame, max_bytes: int | None, rows_per_task: int) -> DataFrame:
-    """Inner join on ``cell``: look small tables up in place, else split hot cells of both sides."""
+    """Inner join on category and cell: look small tables up in place, else split hot cells of both sides."""
     if fits_broadcast(cells, max_bytes):
-        return asking.join(F.broadcast(cells), "cell")
-    return skew_join(materialize(asking, "asking"), cells, ["cell"], "inner", rows_per_task)
+        return asking.join(F.broadcast(cells), ["cat", "cell"])
+    return skew_join(materialize(asking, "asking"), cells, ["cat", "cell"], "inner", rows_per_task)
 
 
 def nearest_facility(
@@ -441,20 +617,53 @@ def nearest_facility(
     and lower bounds of distance, only cells that can hold the answer; no point ever meets
     all facilities.
     """
-    sites = materialize(_with_vectors(distinct_sites(facilities, key, f_lon, f_lat)), "sites")
+    best = _nearest(points, distinct_sites(facilities, key, f_lon, f_lat), 1, lon, lat, max_bytes, rows_per_task)
+    return best.select(
+        *points.columns, F.col("__best_0")["fid"].alias(out_id), F.col("__best_0")["m"].alias(out_m)
+    )
+
+
+def nearest_of_each(
+    points: DataFrame,
+    facilities: DataFrame,
+    categories: dict[str, tuple[str, str]],
+    *,
+    category: str = "facility_category",
+    key: str = "infrastructure_id",
+    lon: str = "longitude",
+    lat: str = "latitude",
+    f_lon: str = "longitude",
+    f_lat: str = "latitude",
+    max_bytes: int | None = None,
+    rows_per_task: int = ROWS_PER_TASK,
+) -> DataFrame:
+    """Nearest facility of every category, in one search: ``categories`` names for each the columns
+    of the id and of the metres.
+
+    One table of sites, in which the category is part of the cell key, answers for all: every point goes
+    through the levels once and keeps a best per category; it asks on while any of them is open.
+    """
+    number = F.lit(None).cast("int")
+    for i, name in enumerate(categories):
+        number = F.when(F.col(category) == name, i).otherwise(number)
+    sites = distinct_sites(facilities, key, f_lon, f_lat, number)
+    best = _nearest(points, sites, len(categories), lon, lat, max_bytes, rows_per_task)
+    found = [(F.col(f"__best_{i}"), names) for i, names in enumerate(categories.values())]
+    return best.select(*points.columns, *[c for b, (fid, m) in found for c in (b["fid"].alias(fid), b["m"].alias(m))])
+
+
+def _nearest(points, sites, count: int, lon, lat, max_bytes, rows_per_task) -> DataFrame:
+    """``points`` with ``__best_0`` ... : nearest of the sites of each category."""
+    sites = materialize(_with_vectors(sites), "sites")
     plan = _search_plan(sites)
     limit = MAX_BROADCAST_BYTES if max_bytes is None else max_bytes
     if plan is None:
         none = F.lit(None).cast(f"struct<m:double,fid:{sites.schema['fid'].dataType.simpleString()}>")
-        best = points.withColumn("__best", none)
+        return points.withColumns({f"__best_{i}": none for i in range(count)})
     # each facility is filed under nine cells per level and once under its coarse cell
-    elif limit > 0 and plan.size * 9 * (len(plan.levels) + 1) <= limit:
-        best = _nearest_small(points, sites, plan, lon, lat)
-    else:
-        best = _nearest_large(points, sites, plan, lon, lat, max_bytes, rows_per_task)
-    return best.select(
-        *points.columns, F.col("__best")["fid"].alias(out_id), F.col("__best")["m"].alias(out_m)
-    )
+    if limit > 0 and plan.size * 9 * (len(plan.levels) + 1) <= limit:
+        return _nearest_small(points, sites, plan, count, lon, lat)
+    return _nearest_large(points, sites, plan, count, lon, lat, max_bytes, rows_per_task)
 
 
 def _filed(sites: DataFrame, level: int) -> DataFrame:
@@ -462,12 +671,20 @@ def _filed(sites: DataFrame, level: int) -> DataFrame:
     return sites.withColumn("cell", F.explode(grid.quad_neighbourhood("fx", "fy", level)))
 
 
-def _nearest_small(points, sites, plan, lon, lat) -> DataFrame:
+def _nearest_small(points, sites, plan, count, lon, lat) -> DataFrame:
     x, y = F.col(lon), F.col(lat)
     id_type = sites.schema["fid"].dataType.simpleString()
-    out = points.withColumn("__best", F.lit(None).cast(f"struct<m:double,fid:{id_type}>"))
-    out = out.withColumn("__open", _located(x, y))
-    site = F.struct("fx", "fy", "fid", "ux", "uy", "uz")
+    numbers = range(count)
+    none = F.lit(None).cast(f"struct<m:double,fid:{id_type}>")
+    out = points.withColumns({f"__best_{i}": none for i in numbers} | {f"__open_{i}": _located(x, y) for i in numbers})
+    site = F.struct("fx", "fy", "fid", "ux", "uy", "uz", "cat")
+
+    def any_open() -> Column:
+        return reduce(lambda a, b: a | b, [F.col(f"__open_{i}") for i in numbers])
+
+    def of_category(sites_: Column, i: int) -> Column:
+        return sites_ if count == 1 else F.filter(sites_, lambda f: f["cat"] == i)
+
     for level in plan.levels:
         dictionary = (
             _filed(sites, level)
@@ -475,67 +692,76 @@ def _nearest_small(points, sites, plan, lon, lat) -> DataFrame:
             .agg(F.collect_list(site).alias("__near"))
         )
         # a settled point asks with a null key and so carries no candidates along
-        out = out.withColumn("__cell", F.when(F.col("__open"), grid.quad_cell(x, y, level)))
+        out = out.withColumn("__cell", F.when(any_open(), grid.quad_cell(x, y, level)))
         out = out.join(F.broadcast(dictionary), "__cell", "left")
-        here = _best_of(F.col("__near"), x, y)
-        out = out.withColumn("__best", F.when(F.col("__open"), here).otherwise(F.col("__best")))
-        settled = F.coalesce(F.col("__best")["m"] <= _safe_radius(y, level), F.lit(False))
-        out = out.withColumn("__open", F.col("__open") & ~settled).drop("__cell", "__near")
+        out = out.withColumns({
+            f"__best_{i}": F.when(F.col(f"__open_{i}"), _best_of(of_category(F.col("__near"), i), x, y)).otherwise(F.col(f"__best_{i}"))
+            for i in numbers})
+        out = out.withColumns({
+            f"__open_{i}": F.col(f"__open_{i}") & ~F.coalesce(F.col(f"__best_{i}")["m"] <= _safe_radius(y, level), F.lit(False))
+            for i in numbers}).drop("__cell", "__near")
     # the rest: one row of all occupied coarse cells with their sites; sites are looked at only in
     # cells not farther than the nearest cell surely is
     bx, by = _centre(plan.coarse)
-    boxes = sites.withColumns({"bx": bx, "by": by, "c": grid.quad_cell("fx", "fy", plan.coarse)}).groupBy("c").agg(
+    boxes = sites.withColumns({"bx": bx, "by": by, "c": grid.quad_cell("fx", "fy", plan.coarse)}).groupBy("c", "cat").agg(
         F.min("bx").alias("bx"), F.min("by").alias("by"), F.collect_list(site).alias("near"),
         F.max(G.haversine_m(F.col("bx"), F.col("by"), F.col("fx"), F.col("fy"))).alias("r"))
-    globe = boxes.groupBy(grid.quad_cell("bx", "by", 0).alias("__cell")).agg(F.collect_list(F.struct("bx", "by", "r", "near")).alias("__boxes"))
-    out = out.withColumn("__cell", F.when(F.col("__open"), grid.quad_cell(x, y, 0))).join(F.broadcast(globe), "__cell", "left")
+    globe = boxes.groupBy(grid.quad_cell("bx", "by", 0).alias("__cell")).agg(F.collect_list(F.struct("bx", "by", "r", "near", "cat")).alias("__boxes"))
+    out = out.withColumn("__cell", F.when(any_open(), grid.quad_cell(x, y, 0))).join(F.broadcast(globe), "__cell", "left")
 
     def away(b):
         return G.haversine_m(x, y, b["bx"], b["by"])
 
-    def inside(limit):
-        return F.flatten(F.transform(F.filter("__boxes", lambda b: away(b) - b["r"] <= limit), lambda b: b["near"]))
+    def far(boxes_: Column) -> Column:
+        def inside(limit):
+            return F.flatten(F.transform(F.filter(boxes_, lambda b: away(b) - b["r"] <= limit), lambda b: b["near"]))
+
+        nearest_cell = F.array_min(F.transform(boxes_, lambda b: away(b) + b["r"])) + F.lit(_BOUND_SLACK_M)
+        return _bind(_bind(nearest_cell, inside), lambda near: _best_of(near, x, y))
 
-    nearest_cell = F.array_min(F.transform("__boxes", lambda b: away(b) + b["r"])) + F.lit(_BOUND_SLACK_M)
-    far = _bind(_bind(nearest_cell, inside), lambda near: _best_of(near, x, y))
-    return out.withColumn("__best", F.when(F.col("__open"), far).otherwise(F.col("__best"))).drop("__cell", "__boxes", "__open")
+    out = out.withColumns({
+        f"__best_{i}": F.when(F.col(f"__open_{i}"), far(of_category(F.col("__boxes"), i))).otherwise(F.col(f"__best_{i}")) for i in numbers})
+    return out.drop("__cell", "__boxes", *[f"__open_{i}" for i in numbers])
 
 
-def _nearest_large(points, sites, plan, lon, lat, max_bytes, rows_per_task) -> DataFrame:
+def _nearest_large(points, sites, plan, count, lon, lat, max_bytes, rows_per_task) -> DataFrame:
     located = points.where(_located(F.col(lon), F.col(lat)))
     places = located.select(F.col(lon).alias("__x"), F.col(lat).alias("__y")).distinct()
-    answers = _nearest_of_places(materialize(places, "places"), sites, plan, max_bytes, rows_per_task)
-    answers = answers.select(F.col("__x").alias(lon), F.col("__y").alias(lat), "__best")
+    asked = places.withColumn("cat", F.explode(F.sequence(F.lit(0), F.lit(count - 1))))
+    answers = _nearest_of_places(materialize(asked, "places"), sites, plan, max_bytes, rows_per_task)
+    best = [F.max(F.when(F.col("cat") == i, F.col("__best"))).alias(f"__best_{i}") for i in range(count)]
+    answers = answers.groupBy(F.col("__x").alias(lon), F.col("__y").alias(lat)).agg(*best)
     return skew_join(points, answers, [lon, lat], "left", rows_per_task)
 
 
 def _nearest_of_places(places, sites, plan, max_bytes, rows_per_task) -> DataFrame:
-    """``__x, __y, __best`` of every place of a written table."""
+    """``__x, __y, cat, __best`` of every place and category of a written table."""
     x, y = F.col("__x"), F.col("__y")
+    place = ["__x", "__y", "cat"]
     metres = F.round(G.haversine_m(x, y, F.col("fx"), F.col("fy")), 3)
     best = F.min(F.struct(metres.alias("m"), F.col("fid"))).alias("__best")
     settled, still_open = [], places
     for level in plan.levels:
         probing = still_open.withColumn("cell", grid.quad_cell(x, y, level))
         found = (
-            skew_join(probing, _filed(sites, level), ["cell"], "inner", rows_per_task)
-            .groupBy("__x", "__y")
+            skew_join(probing, _filed(sites, level), ["cat", "cell"], "inner", rows_per_task)
+            .groupBy(*place)
             .agg(best)
             .where(F.col("__best")["m"] <= _safe_radius(y, level))
         )
         found = materialize(found, "settled")
         settled.append(found)
-        still_open = materialize(still_open.join(found.select("__x", "__y"), ["__x", "__y"], "left_anti"), "open")
+        still_open = materialize(still_open.join(found.select(*place), place, "left_anti"), "open")
     # the rest, from the globe down: a cell is kept while its lower bound is within the least upper bound
     candidates, above = still_open.withColumn("cell", F.lit(0).cast("bigint")), 0
     for level in sorted(range(plan.leaf, 0, -2)):
         met = _meet(candidates, _boxes(sites, above, level, "cells"), max_bytes, rows_per_task)
-        met = met.withColumn("d", G.haversine_m(x, y, F.col("bx"), F.col("by")))
-        met = met.withColumn("top", F.min(F.col("d") + F.col("r")).over(Window.partitionBy("__x", "__y")))
+        met = materialize(met.withColumn("d", G.haversine_m(x, y, F.col("bx"), F.col("by"))), "bounds")
+        top = met.groupBy(*place).agg(F.min(F.col("d") + F.col("r")).alias("top"))
         kept = F.col("d") - F.col("r") <= F.col("top") + F.lit(_BOUND_SLACK_M)
-        candidates, above = met.where(kept).select("__x", "__y", F.col("inner").alias("cell")), level
+        candidates, above = met.join(top, place).where(kept).select(*place, F.col("inner").alias("cell")), level
     at_leaf = sites.withColumn("cell", grid.quad_cell("fx", "fy", plan.leaf))
-    settled.append(_meet(candidates, at_leaf, max_bytes, rows_per_task).groupBy("__x", "__y").agg(best))
+    settled.append(_meet(candidates, at_leaf, max_bytes, rows_per_task).groupBy(*place).agg(best))
     return reduce(DataFrame.unionByName, settled)
 
 
@@ -591,7 +817,7 @@ def within_distance(
     """
     level = _disc_level(radius_m)
     located = facilities.where(_located(F.col(f_lon), F.col(f_lat)))
-    sites = located.groupBy(F.col(f_lon).alias("fx"), F.col(f_lat).alias("fy")).agg(
+    sites = located.groupBy(F.col(f_lon).alias("fx"), F.col(f_lat).alias("fy"), F.lit(0).alias("cat")).agg(
         F.min(key).alias("fid"), F.count(F.lit(1)).alias("k")
     )
     sites = materialize(_with_vectors(sites), "sites")
@@ -639,15 +865,16 @@ def _reach_of_places(places, sites, radius_m, level, max_bytes, rows_per_task) -
     if plan is None:
         none = sites.join(places, F.lit(False))
         return none.groupBy("__x", "__y").agg(F.sum("k").alias("__k"), F.min(F.struct(metres.alias("m"), "fid")).alias("__best"))
-    candidates, above, parts = places.withColumn("cell", F.explode(_disc_cells(x, y, radius_m, level))), level, []
+    reached = places.withColumns({"cat": F.lit(0), "cell": F.explode(_disc_cells(x, y, radius_m, level))})
+    candidates, above, parts = reached, level, []
     for inner in range(level + 2, plan.leaf + 1, 2):
         met = _meet(candidates, _boxes(sites, above, inner, "cells", F.sum("k").alias("k")), max_bytes, rows_per_task)
         met = materialize(met.withColumn("d", G.haversine_m(x, y, F.col("bx"), F.col("by"))).where(
             d - r <= radius_m + _BOUND_SLACK_M).withColumn("whole", d + r <= radius_m - _BOUND_SLACK_M), "reach")
         parts.append(met.where("whole").select("__x", "__y", "k"))
-        candidates, above = met.where("not whole").select("__x", "__y", F.col("inner").alias("cell")), inner
+        candidates, above = met.where("not whole").select("__x", "__y", "cat", F.col("inner").alias("cell")), inner
     rim = _meet(candidates, sites.withColumn("cell", grid.quad_cell("fx", "fy", above)), max_bytes, rows_per_task)
     parts.append(rim.where(metres <= radius_m).select("__x", "__y", "k"))
     counted = materialize(reduce(DataFrame.unionByName, parts).groupBy("__x", "__y").agg(F.sum("k").alias("__k")), "counts")
-    best = _nearest_of_places(counted.select("__x", "__y"), sites, plan, max_bytes, rows_per_task)
+    best = _nearest_of_places(counted.select("__x", "__y", F.lit(0).alias("cat")), sites, plan, max_bytes, rows_per_task)
     return counted.join(best, ["__x", "__y"])

@@ -82,6 +82,7 @@ def fact_hazard_events(
     neighborhoods: DataFrame | None = None,
     infrastructure: DataFrame | None = None,
     max_bytes: int | None = None,
+    index: S.PolygonIndex | None = None,
 ) -> DataFrame:
     """Union of the sources with a stable key, severity, neighborhood and nearest facilities.
 
@@ -98,17 +99,11 @@ def fact_hazard_events(
     )
     if neighborhoods is not None:
         fact = S.attach_polygon(
-            fact, neighborhoods, attrs=("neighborhood_name",), max_bytes=max_bytes
+            fact, neighborhoods, attrs=("neighborhood_name",), max_bytes=max_bytes, index=index
         )
     if infrastructure is not None:
-        for category in DIM_CATEGORIES:
-            of_kind = infrastructure.where(F.col("facility_category") == category)
-            fact = S.nearest_facility(
-                fact, of_kind,
-                out_id=f"nearest_{category}_id",
-                out_m=f"nearest_{category}_distance_meters",
-                max_bytes=max_bytes,
-            )
+        names = {c: (f"nearest_{c}_id", f"nearest_{c}_distance_meters") for c in DIM_CATEGORIES}
+        fact = S.nearest_of_each(fact, infrastructure, names, max_bytes=max_bytes)
     return fact
 
 

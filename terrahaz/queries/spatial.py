@@ -283,6 +283,18 @@ def nearest_facility(spark, sf):
     return found.select("ID", "nearest_id", "nearest_m")
 
 
+@query(
+    "nearest_of_each",
+    f"""SELECT h.ID AS ID, h.nearest_id AS hospital_id, h.nearest_m AS hospital_m, f.nearest_id AS fire_station_id, f.nearest_m AS fire_station_m
+    FROM ({_NEAREST.format(d=_HAV, kind="hospital")}) h JOIN ({_NEAREST.format(d=_HAV, kind="fire_station")}) f ON h.ID = f.ID""",
+)
+def nearest_of_each(spark, sf):
+    """Nearest hospital and nearest fire station from one search."""
+    dim = V.view(spark, sf, "fx_osm").withColumnsRenamed({"osm_id": "infrastructure_id", "facility_type": "facility_category"})
+    names = {c: (f"{c}_id", f"{c}_m") for c in gold.DIM_CATEGORIES}
+    return S.nearest_of_each(V.points(spark, sf), dim, names).select("ID", *[c for pair in names.values() for c in pair])
+
+
 @query(
     "near_facility",
     f"""SELECT ID, cast(count(*) as bigint) AS facilities_within, min(m) AS nearest_m FROM (

@@ -100,25 +100,28 @@ def stream_sessions(events: DataFrame, ts: str, key: str, gap: str) -> DataFrame
     )
 
 
-def stream_land_mask(points: DataFrame, polygons: DataFrame) -> DataFrame:
+def stream_land_mask(points: DataFrame, polygons: DataFrame, index: S.PolygonIndex | None = None) -> DataFrame:
     """Stream-static spatial join against a mask small enough to look up in place.
 
-    A larger mask needs a shuffle per batch, which ``drain_land_mask`` does.
+    The index is opened if it is written already. A larger mask needs a shuffle per batch, which
+    ``drain_land_mask`` does.
     """
-    index = S.polygon_index(polygons, "neighborhood_id", "geometry")
+    index = index or S.polygon_index(polygons, "neighborhood_id", "geometry")
     if not index.small:
         raise ValueError("this mask does not fit a broadcast: use drain_land_mask")
     return S.land_mask(points, polygons, index=index)
 
 
 def drain_land_mask(
-    points: DataFrame, polygons: DataFrame, path: str, checkpoint: str, max_bytes: int | None = None
+    points: DataFrame, polygons: DataFrame, path: str, checkpoint: str, max_bytes: int | None = None,
+    index: S.PolygonIndex | None = None,
 ):
     """Mask what is available, with a mask of any size: the batch join on every batch.
 
-    The index is built once. A batch overwrites its own ``batch=N`` directory.
+    The index is opened if it is written already, else written once, before the first batch; a restarted
+    query opens the same. A batch overwrites its own ``batch=N`` directory.
     """
-    index = S.polygon_index(polygons, "neighborhood_id", "geometry", (), max_bytes)
+    index = index or S.polygon_index(polygons, "neighborhood_id", "geometry", (), max_bytes)
 
     def write(batch: DataFrame, number: int) -> None:
         S.land_mask(batch, polygons, index=index).write.mode("overwrite").parquet(f"{path}/batch={number}")

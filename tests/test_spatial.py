@@ -1,5 +1,7 @@
 """Spatial joins: both ways of planning them against brute force, on awkward shapes."""
 
+import json
+import math
 import random
 
 import pytest
@@ -79,6 +81,63 @@ def test_index_uses_several_levels_and_full_cells(shapes):
     assert index.entries.where("full").count() > 0
 
 
+def _winding(n: int, seed: int, cx: float, cy: float, r: float) -> list[list[float]]:
+    """A closed ring of ``n`` corners that goes once around a centre, in and out as it likes."""
+    rng = random.Random(seed)
+    out = []
+    for i in range(n):
+        far, angle = r * rng.uniform(0.2, 1.0), 2 * math.pi * i / n
+        out.append([cx + far * math.cos(angle), cy + far * math.sin(angle)])
+    return [*out, out[0]]
+
+
+@BOTH
+def test_rings_of_many_corners(spark, max_bytes):
+    """Cells are divided until they keep few edges, and answer like the whole polygon."""
+    rings = {1: [_winding(3000, 1, -74.0, 41.0, 0.3)], 2: [_winding(400, 2, -73.9, 41.1, 1e-4)],
+             3: [_winding(500, 3, -73.5, 41.0, 0.4), [[-73.51, 40.99], [-73.49, 40.99], [-73.49, 41.01], [-73.51, 41.01], [-73.51, 40.99]]],
+             4: [[[-74, 41], [-73.5, 41], [-73.5, 41.25], [-74, 41.25], [-74, 41]]]}
+    text = [(i, json.dumps({"type": "Polygon", "coordinates": r})) for i, r in rings.items()]
+    many = spark.createDataFrame(text, "neighborhood_id int, t string").withColumn("geometry", G.polygon_from_geojson("t")).drop("t").cache()
+    rng = random.Random(9)
+    at = [(rng.uniform(-74.4, -73.0), rng.uniform(40.5, 41.5)) for _ in range(1500)]
+    at += [(rng.uniform(-73.9002, -73.8998), rng.uniform(41.0998, 41.1002)) for _ in range(300)]
+    at += [tuple(p) for r in rings.values() for p in r[0][::40]] + [(-74.0, 41.1), (-73.5, 41.2), (-73.75, 41.0), (-73.49, 41.0), (-73.5, 41.0)]
+    at += [((a[0] + b[0]) / 2, (a[1] + b[1]) / 2) for a, b in zip(rings[3][0][::7], rings[3][0][1::7])]
+    points = spark.createDataFrame([(i, float(x), float(y)) for i, (x, y) in enumerate(at)], "id int, longitude double, latitude double").cache()
+    index = S.polygon_index(many, "neighborhood_id", "geometry", (), max_bytes)
+    crowded = index.entries.where(F.size("edges") > S.MAX_EDGES)
+    assert len(index.levels) > 2 and index.largest < 40 and crowded.where(F.col("level") < S.FINEST).count() == 0
+    for predicate, test in (("within", G.st_within), ("intersects", G.st_intersects)):
+        got = S.land_mask_inner(points, many, predicate=predicate, max_bytes=max_bytes, index=index)
+        assert rows(got, "id", "land_neighborhood_id") == rows(_brute(points, many, test))
+
+
+def test_edges_that_meet_in_one_corner_share_a_cell(spark):
+    """Where no division helps, the finest level keeps them all."""
+    star = []
+    for i in range(60):
+        star += [[0.0, 0.0], [math.cos(i / 10), math.sin(i / 10)], [math.cos(i / 10 + 0.04), math.sin(i / 10 + 0.04)]]
+    text = json.dumps({"type": "Polygon", "coordinates": [[*star, star[0]]]})
+    df = spark.createDataFrame([(1, text)], "neighborhood_id int, t string").withColumn("geometry", G.polygon_from_geojson("t"))
+    index = S.polygon_index(df, "neighborhood_id", "geometry")
+    assert index.largest == 121 and max(index.levels) == S.FINEST
+
+
+def test_index_is_written_once_and_opened(spark, points, shapes, tmp_path):
+    first = S.polygon_index(shapes, "neighborhood_id", "geometry")
+    assert S.polygon_index(shapes.orderBy(F.rand(3)), "neighborhood_id", "geometry").path == first.path
+    fewer = S.polygon_index(shapes.where("neighborhood_id > 0"), "neighborhood_id", "geometry")
+    assert fewer.path != first.path
+    S.write_polygon_index(shapes, str(tmp_path / "own"))
+    opened = S.open_polygon_index(spark, str(tmp_path / "own"))
+    assert (opened.rows, opened.levels, opened.bytes) == (first.rows, first.levels, first.bytes) and opened.small
+    assert not S.open_polygon_index(spark, str(tmp_path / "own"), 10).small
+    none = shapes.where("false")
+    for op in (S.land_mask, S.off_land, S.land_mask_inner, S.attach_polygon):
+        assert op(points, none, index=opened).count() == op(points, shapes).count()
+
+
 def test_no_polygons(points, shapes):
     none = shapes.where("false")
     assert S.land_mask(points, none).count() == 0
