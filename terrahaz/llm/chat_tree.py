@@ -5,9 +5,9 @@ the first character of a control string (``<s>``, ``</s>``, ``[INST]``, ``[/INST
 ``\\3c`` or ``\\5b``, so no text can close or open a turn and every text comes back exactly.
 Marks and text are encoded apart, so the loss mask (the text of assistant turns) ends at token edges.
 
-Conversations that begin alike share the nodes of these turns. The key of a node is a pair of
-64-bit sums over (place, role, text) of all turns up to it. Conversations are sorted by their node
-keys, which is depth-first order: each node is first met in the least conversation that holds it,
+Conversations that begin alike share the nodes of these turns. The key of a node is a 127-bit hash
+of all turns up to it, carried from range to range (``prefix_trie.along``), so the turns of one
+conversation are spread over tasks. Conversations are sorted by their node keys, which is depth-first order: each node is first met in the least conversation that holds it,
 and nodes sorted by (that conversation, depth) are the tree in preorder. Token offsets are a
 running sum over that order, taken per range with the ranges' totals added. Per node:
 
@@ -17,7 +17,8 @@ running sum over that order, taken per range with the ranges' totals added. Per
   they are what its tokens attend to.
 
 Hot first turns and repeated conversations are aggregated with map-side combining; only a
-conversation's node keys (16 bytes a turn) must fit in a row.
+conversation's node keys (16 bytes a turn) must fit in a row. Texts and ids are taken up in slices of
+about a megabyte or one turn, so memory does not follow the length of turns times rows per batch.
 
 Defined cases: null text or role is empty; turns are ordered by turn, then role, then text (ties,
 repeated rows and null turns included, nulls first); a null conversation id is one conversation.
@@ -30,10 +31,10 @@ import re
 
 import numpy as np
 from pyspark import TaskContext
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from terrahaz.llm import tables
+from terrahaz.llm import prefix_trie, tables
 
 OPEN, CLOSE = "<s>[", "</s>"
 CONTROLS = ("<s>", "</s>", "[INST]", "[/INST]")
@@ -87,8 +88,8 @@ def _cumulated(df: DataFrame, length: str, label: str) -> DataFrame:
 
 
 class Forest:
-    """``nodes``: a row per node (node, parent, tree, depth, role, formatted, ids, start, n_tokens,
-    position, loss_from, loss_to, sees). ``turns``: (conv, depth, node), a row per turn."""
+    """``nodes``: a row per node (node, parent, tree, depth, role, ids as little-endian unsigned 32-bit, start,
+    n_tokens, position, loss_from, loss_to, sees). ``turns``: (conv, depth, node), a row per turn."""
 
     def __init__(self, nodes: DataFrame, turns: DataFrame):
         self.nodes, self.turns = nodes, turns
@@ -100,83 +101,75 @@ def build(df: DataFrame, encoder, ranges: int | None = None, conv_col: str = "co
     spark = df.sparkSession
     ranges = ranges or max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
     role, text = F.coalesce(F.col(role_col), F.lit("")), F.coalesce(F.col(text_col), F.lit(""))
-    order = Window.partitionBy("conv").orderBy(F.asc_nulls_first("turn"), "role", "text")
-    upto = order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    turns = df.select(F.col(conv_col).alias("conv"), F.col(turn_col).alias("turn"), role.alias("role"), text.alias("text"))
-    turns = turns.withColumn("depth", F.row_number().over(order))
-    # sums that wrap around: bit mixing makes any other set of turns miss both of them
-    for name, salt in (("k1", 0), ("k2", 1)):
-        h = F.xxhash64(F.lit(salt), "depth", "role", "text")
-        turns = turns.withColumn(name, F.sum(h.cast("decimal(38,0)")).over(upto))
-        turns = turns.withColumn(name, F.xxhash64(name, F.lit(salt)))
-    turns = turns.withColumn("node", F.struct("k1", "k2", "depth"))
-    turns = turns.withColumn("parent", F.lag("node").over(order))
-    turns = tables.staged(turns, "chat-turns")
+    said = df.select(
+        F.col(conv_col).alias("conv"), F.col(turn_col).alias("turn"), role.alias("role"), text.alias("text"),
+        F.unhex(F.md5(F.concat(F.octet_length(role).cast("string"), F.lit(":"), role, text))).alias("digest"))
+    keyed = prefix_trie.along(said, ("conv", "turn", "role", "text"), ())
+    turns = tables.staged(keyed.select("conv", "depth", F.col("key").alias("node"), "role", "text"), "chat-turns")
 
     # depth-first order of the conversations
-    paths = turns.groupBy("conv").agg(F.array_sort(F.collect_list(F.struct("depth", "k1", "k2"))).alias("path"))
-    leaves = paths.groupBy("path").agg(F.count("*").alias("copies"))
+    paths = turns.groupBy("conv").agg(F.array_sort(F.collect_list(F.struct("depth", "node"))).alias("path"))
+    leaves = paths.groupBy(F.transform("path", lambda p: p["node"]).alias("path")).agg(F.count("*").alias("copies"))
     ranked = tables.staged(
         leaves.repartitionByRange(ranges, "path").sortWithinPartitions("path")
         .withColumn("rank", F.monotonically_increasing_id()), "chat-paths")
-    first = ranked.select("rank", F.explode("path").alias("p")).select(
-        "rank", F.struct("p.k1", "p.k2", "p.depth").alias("node")).groupBy("node").agg(F.min("rank").alias("rank"))
-    content = turns.groupBy("node").agg(F.min(F.struct("role", "text")).alias("c"), F.min("parent").alias("parent"))
+    along = ranked.select("rank", "path", F.posexplode("path").alias("at", "node"))
+    first = along.select("rank", "node", (F.col("at") + 1).alias("depth"), F.get("path", F.col("at") - 1).alias("parent")).groupBy("node").agg(
+        F.min("rank").alias("rank"), F.min("depth").alias("depth"), F.min("parent").alias("parent"))
+    content = turns.groupBy("node").agg(F.min(F.struct("role", "text")).alias("c"))
     marked = content.select(
-        "node", "parent", F.col("c.role").alias("role"),
+        "node", F.col("c.role").alias("role"),
         F.concat(F.lit(OPEN), escape_role(F.col("c.role")), F.lit("]\n")).alias("head"), escape(F.col("c.text")).alias("body"))
     marked = marked.join(first, "node")
 
-    key = "struct<k1:bigint,k2:bigint,depth:int>"
-
     def encode(batches):
         enc = encoder()
-        for b in batches:
-            ids, cut, whole = [], [], []
-            for head, body in zip(b["head"].to_pylist(), b["body"].to_pylist(), strict=True):
-                h, t, c = enc(head), enc(body), enc(CLOSE)
-                ids.append([*h, *t, *c])
-                cut.append((len(h), len(h) + len(t)))
-                whole.append(head + body + CLOSE)
-            yield {"node": b["node"], "parent": b["parent"], "role": b["role"], "rank": b["rank"], "formatted": whole, "ids": ids,
-                   "n_tokens": [len(i) for i in ids], "loss_from": [c[0] for c in cut], "loss_to": [c[1] for c in cut]}
-
-    ddl = (f"node {key}, parent {key}, role string, rank long, formatted string, ids array<int>, n_tokens long, "
-           "loss_from int, loss_to int")
-    encoded = tables.map_batches(marked.select("node", "parent", "role", "rank", "head", "body"), ddl, encode)
+        close = np.array(enc(CLOSE), dtype="<u4").tobytes()
+        for batch in batches:
+            for b in tables.slices(batch, "body"):
+                out = {c: [] for c in ("ids", "n_tokens", "loss_from", "loss_to")}
+                for head, body in zip(b["head"].to_pylist(), b["body"].to_pylist(), strict=True):
+                    h, t = (np.array(enc(x), dtype="<u4").tobytes() for x in (head, body))
+                    ids = h + t + close
+                    for c, v in zip(out, (ids, len(ids) // 4, len(h) // 4, (len(h) + len(t)) // 4), strict=True):
+                        out[c].append(v)
+                yield {c: b[c] for c in ("node", "parent", "role", "rank", "depth")} | out
+
+    ddl = "node binary, parent binary, role string, rank long, depth int, ids binary, n_tokens long, loss_from int, loss_to int"
+    encoded = tables.map_batches(marked.select("node", "parent", "role", "rank", "depth", "head", "body"), ddl, encode)
     # staged before the ranges are drawn, so that drawing them does not encode again
-    encoded = tables.staged(encoded.withColumn("depth", F.col("node.depth")), "chat-nodes")
+    encoded = tables.staged(encoded, "chat-nodes")
     placed = _cumulated(encoded.repartitionByRange(ranges, "rank", "depth").sortWithinPartitions("rank", "depth"),
                         "n_tokens", "chat-order")
 
     # down each least conversation: positions and ancestors, in one streaming pass
     walk = (
-        ranked.select("rank", F.explode("path").alias("p")).select("rank", F.struct("p.k1", "p.k2", "p.depth").alias("node"))
-        .join(placed.select("node", "start", "n_tokens", F.col("rank").alias("own")), "node")
-        .select("rank", "node", "start", "n_tokens", "own", F.col("node.depth").alias("depth"))
+        ranked.select("rank", F.explode("path").alias("node"))
+        .join(placed.select("node", "start", "n_tokens", "depth", F.col("rank").alias("own")), "node")
         .repartition("rank").sortWithinPartitions("rank", "depth")
     )
 
     def descend(batches):
         now, position, tree, seen = None, 0, None, []
-        for b in batches:
-            out = {c: [] for c in ("node", "position", "tree", "sees")}
-            for rank, node, start, n, own in zip(*(b[c].to_pylist() for c in ("rank", "node", "start", "n_tokens", "own")), strict=True):
-                if rank != now:
-                    now, position, tree, seen = rank, 0, start, []
-                if own == rank:
-                    for c, v in zip(out, (node, position, tree, [{"from": a, "to": z} for a, z in seen]), strict=True):
-                        out[c].append(v)
-                position += n
-                if seen and seen[-1][1] == start:
-                    seen[-1] = (seen[-1][0], start + n)
-                else:
-                    seen = [*seen, (start, start + n)]
-            yield out
-
-    views = tables.map_batches(walk, f"node {key}, position long, tree long, sees array<struct<from:bigint,to:bigint>>", descend)
+        for batch in batches:
+            for b in tables.slices(batch, "node"):
+                out = {c: [] for c in ("node", "position", "tree", "sees")}
+                for rank, node, start, n, own in zip(*(b[c].to_pylist() for c in ("rank", "node", "start", "n_tokens", "own")), strict=True):
+                    if rank != now:
+                        now, position, tree, seen = rank, 0, start, []
+                    if own == rank:
+                        for c, v in zip(out, (node, position, tree, [{"from": a, "to": z} for a, z in seen]), strict=True):
+                            out[c].append(v)
+                    position += n
+                    if seen and seen[-1][1] == start:
+                        seen[-1] = (seen[-1][0], start + n)
+                    else:
+                        seen = [*seen, (start, start + n)]
+                yield out
+
+    views = tables.map_batches(walk, "node binary, position long, tree long, sees array<struct<from:bigint,to:bigint>>", descend)
     nodes = placed.join(views, "node").select(
-        "node", "parent", "tree", "depth", "role", "formatted", "ids", "start", "n_tokens", "position",
+        "node", "parent", "tree", "depth", "role", "ids", "start", "n_tokens", "position",
         F.when(F.col("role") == "assistant", F.col("loss_from")).alias("loss_from"),
         F.when(F.col("role") == "assistant", F.col("loss_to")).alias("loss_to"), "sees")
     return Forest(nodes, turns.select("conv", "depth", "node"))
@@ -198,21 +191,23 @@ def read_back(forest: Forest, decoder) -> DataFrame:
         def close():
             done.append((now[0], now[1], now[2].hexdigest(), now[3], now[4].hexdigest(), now[5]))
 
-        for b in batches:
-            for conv, ids, a, z in zip(*(b[c].to_pylist() for c in ("conv", "ids", "loss_from", "loss_to")), strict=True):
-                if now is None or conv != now[0]:
-                    if now is not None:
-                        close()
-                    now = [conv, 0, hashlib.sha256(), 0, hashlib.sha256(), 0]
-                formatted = decode(ids)
-                role, text = read_turn(formatted)
-                now[1] += 1
-                now[2].update(f"{role}\n{text}\n".encode())
-                now[5] += len(formatted)
-                if a is not None:
-                    said = unescape(decode(ids[a:z]))
-                    now[3] += len(said)
-                    now[4].update(said.encode())
+        for batch in batches:
+            for b in tables.slices(batch, "ids"):
+                for conv, raw, a, z in zip(*(b[c].to_pylist() for c in ("conv", "ids", "loss_from", "loss_to")), strict=True):
+                    if now is None or conv != now[0]:
+                        if now is not None:
+                            close()
+                        now = [conv, 0, hashlib.sha256(), 0, hashlib.sha256(), 0]
+                    ids = np.frombuffer(raw, "<u4")
+                    formatted = decode(ids.tolist())
+                    role, text = read_turn(formatted)
+                    now[1] += 1
+                    now[2].update(f"{role}\n{text}\n".encode())
+                    now[5] += len(formatted)
+                    if a is not None:
+                        said = unescape(decode(ids[a:z].tolist()))
+                        now[3] += len(said)
+                        now[4].update(said.encode())
             if len(done) >= 1000:
                 yield _columns(done)
                 done = []

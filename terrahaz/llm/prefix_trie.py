@@ -64,13 +64,12 @@ def turns_of(df: DataFrame, conv_col: str = "conv_id", turn_col: str = "turn", r
         F.regexp_count(text, F.lit(r"[^\x20\x09-\x0D]+")).cast("long").alias("words"))
 
 
-def along(turns: DataFrame) -> DataFrame:
-    """``turns`` in their order, with ``depth`` (from 1) and ``key`` of the turns of a conversation so far.
+def along(turns: DataFrame, order: tuple[str, ...] = ("conv", "turn", "digest"), keep: tuple[str, ...] = ("words",)) -> DataFrame:
+    """``turns`` in ``order`` (``conv`` first), with ``depth`` (from 1) and ``key`` of the digests of a conversation so far.
 
     Sorted ranges are scanned once; of each range its last conversation's state (one row) goes to the
     driver, and the rows that continue a conversation from an earlier range get theirs added."""
-    order = ["conv", "turn", "digest"]
-    names = ["conv", "turn", "digest", "words"]
+    names = list(dict.fromkeys([*order, "digest", *keep]))
     ddl = ", ".join(f"{c} {turns.schema[c].dataType.simpleString()}" for c in names)
 
     def scan(batches):

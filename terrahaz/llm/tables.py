@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
@@ -45,6 +47,18 @@ def map_batches(df: DataFrame, ddl: str | StructType, fn: Callable[[Iterator[dic
     return df.mapInArrow(run, fields)
 
 
+def slices(batch: dict, column: str, size: int = 1 << 20, rows: int = 1024) -> Iterator[dict]:
+    """Parts of a batch with about ``size`` bytes of a text or binary ``column`` and at most ``rows`` rows, so
+    that what is made of a part does not grow with rows per batch times length."""
+    ends = np.cumsum(pc.fill_null(pc.binary_length(batch[column]), 0).to_numpy(zero_copy_only=False))
+    at = 0
+    while at < len(ends):
+        before = int(ends[at - 1]) if at else 0
+        n = min(rows, max(1, int(np.searchsorted(ends, before + size, "right")) - at))
+        yield {c: v.slice(at, n) for c, v in batch.items()}
+        at += n
+
+
 def annotate(df: DataFrame, text_col: str, ddl: str, fn: Callable[[bytes], tuple], name: str) -> DataFrame:
     """``df`` with a struct column ``name`` of what ``fn`` makes of each text (null: empty); all
     other columns pass through as they are."""
