@@ -10,6 +10,7 @@ from terrahaz.functions.classify import lookup
 from terrahaz.operators import ordered as W
 from terrahaz.operators import spatial as S
 from terrahaz.operators.sizing import join_dim
+from terrahaz.operators.stations import nearest_reading
 from terrahaz.plans import flows, gold
 from terrahaz.queries import views as V
 from terrahaz.queries.registry import query
@@ -237,6 +238,24 @@ def sql_spatial_functions(spark, sf):
     )
 
 
+@query(
+    "sql_spatial_join",
+    f"SELECT a.ID AS ID, n.neighborhood_id AS neighborhood_id FROM fx_accidents a JOIN fx_nbhd n ON {_IN}",
+)
+def sql_spatial_join(spark, sf):
+    """A spatial join written in SQL: the cover of a polygon met by the cell of a point."""
+    flows.register_sql_functions(spark)
+    flows.sql_views({"sj_accidents": V.view(spark, sf, "fx_accidents"), "sj_shapes": V.neighborhoods(spark, sf)})
+    return spark.sql(
+        """WITH shapes AS (SELECT neighborhood_id, st_polygon(geometry) AS shape FROM sj_shapes),
+        covers AS (SELECT neighborhood_id, shape, st_cover(shape, 12) AS cells FROM shapes),
+        covered AS (SELECT neighborhood_id, shape, cell FROM covers LATERAL VIEW explode(cells) AS cell),
+        points AS (SELECT ID, st_point(Start_Lng, Start_Lat) AS place FROM sj_accidents)
+        SELECT p.ID, c.neighborhood_id FROM points p JOIN covered c
+        ON st_cell(p.place, 12) = c.cell AND st_within(p.place, c.shape)"""
+    )
+
+
 # ---------------------------------------------------------------------- joins
 
 
@@ -333,6 +352,49 @@ def flight_weather(spark, sf):
     return joined.select("flight_id", "borough", "temperature_f", "wind_speed_mph")
 
 
+V.SQL_VIEWS["fx_stations"] = (
+    f"SELECT s_suppkey AS station_id, {V._lat('s_suppkey', 61)} AS latitude, {V._lon('s_suppkey', 67)} AS longitude FROM supplier"
+)
+V.SQL_VIEWS["fx_readings"] = (
+    "SELECT cast(1+event_id%70 as bigint) AS station_id, ts, value AS temperature_f, event_id AS reading_id "
+    "FROM events WHERE event_type='signup'"
+)
+_SM = V.haversine_sql("f.longitude", "f.latitude", "s.longitude", "s.latitude")
+
+
+def _station_sql(fresh: str = "true") -> str:
+    return f"""WITH heard AS (
+      SELECT p.flight_id, p.station_id, p.m, p.ts, w.temperature_f, w.reading_id, w.ts AS heard_at
+      FROM (SELECT f.flight_id, f.ts, s.station_id, {_SM} AS m FROM fx_flights f CROSS JOIN fx_stations s) p
+      ASOF JOIN (SELECT station_id, ts, max(temperature_f) AS temperature_f, arg_max(reading_id, temperature_f) AS reading_id
+                 FROM fx_readings GROUP BY 1, 2) w ON p.station_id=w.station_id AND p.ts>=w.ts
+    ), ranked AS (
+      SELECT *, row_number() OVER (PARTITION BY flight_id ORDER BY m, station_id) AS r FROM heard WHERE {fresh}
+    ) SELECT f.flight_id AS flight_id, r.station_id AS station_id, r.m AS station_m, r.temperature_f AS temperature_f, r.reading_id AS reading_id
+    FROM fx_flights f LEFT JOIN (SELECT * FROM ranked WHERE r=1) r ON f.flight_id=r.flight_id"""
+
+
+def _with_station(spark, sf, max_age_s=None):
+    stations = V.table(spark, sf, "supplier").selectExpr(
+        "s_suppkey AS station_id", f"{V._lat('s_suppkey', 61)} AS latitude", f"{V._lon('s_suppkey', 67)} AS longitude")
+    readings = V.table(spark, sf, "events").where("event_type='signup'").selectExpr(
+        "cast(1+event_id%70 as bigint) AS station_id", "ts", "value AS temperature_f", "event_id AS reading_id")
+    found = nearest_reading(V.view(spark, sf, "fx_flights"), stations, readings, ["temperature_f", "reading_id"], max_age_s=max_age_s)
+    return found.select("flight_id", "station_id", "station_m", "temperature_f", "reading_id")
+
+
+@query("flight_weather_station", _station_sql())
+def flight_weather_station(spark, sf):
+    """Weather of the nearest station that has reported by then; most stations never do."""
+    return _with_station(spark, sf)
+
+
+@query("flight_weather_fresh", _station_sql("epoch_us(ts)-epoch_us(heard_at) <= 3600000000"))
+def flight_weather_fresh(spark, sf):
+    """The same with readings of at most an hour, so stations fall silent in between."""
+    return _with_station(spark, sf, 3600.0)
+
+
 @query(
     "lookup_map",
     """SELECT request_id, CASE upper(borough) WHEN 'MANHATTAN' THEN 0 WHEN 'BROOKLYN' THEN 1 WHEN 'QUEENS' THEN 2
