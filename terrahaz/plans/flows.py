@@ -88,7 +88,12 @@ def sql_views(tables: dict[str, DataFrame]) -> None:
 
 
 def register_sql_functions(spark: SparkSession) -> list[str]:
-    """Spatial functions for SQL text. They are SQL expressions, so Catalyst sees through them."""
+    """Spatial functions for SQL text. They are SQL expressions, so Catalyst sees through them.
+
+    ``st_cell(point, level)`` and ``st_cover(shape, level)`` make a spatial join in SQL an equi-join: explode the
+    cover of the shapes in a lateral view, equate it with the cell of the points and add the predicate. A
+    cell of level n is 360 / 2**n degrees wide; a cover has the cells of the shape's box.
+    """
     point = "STRUCT<lon: DOUBLE, lat: DOUBLE, srid: INT>"
     edges = "ARRAY<STRUCT<x1: DOUBLE, y1: DOUBLE, x2: DOUBLE, y2: DOUBLE>>"
     shape = "ARRAY<ARRAY<ARRAY<ARRAY<DOUBLE>>>>"
@@ -106,6 +111,14 @@ def register_sql_functions(spark: SparkSession) -> list[str]:
     radius = G.EARTH_RADIUS_M
     half = "pow(sin(radians(st_y(b) - st_y(a)) / 2), 2)"
     wide = "cos(radians(st_y(a))) * cos(radians(st_y(b))) * pow(sin(radians(st_x(b) - st_x(a)) / 2), 2)"
+    size = "(360D / pow(2D, n))"
+    column, row = f"cast(floor(({{x}} + 180D) / {size}) AS BIGINT)", f"cast(floor(({{y}} + 90D) / {size}) AS BIGINT)"
+    packed = "(shiftleft({row}, n) | pmod({column}, shiftleft(1L, n)))"
+    cell = packed.format(row=row.format(y="st_y(p)"), column=column.format(x="st_x(p)"))
+    ends = {f"{c}_{f}": f"array_{f}(transform(st_edges(g), e -> e.{c}1))" for c in "xy" for f in ("min", "max")}
+    columns = f"sequence({column.format(x=ends['x_min'])}, {column.format(x=ends['x_max'])})"
+    rows = f"sequence({row.format(y=ends['y_min'])}, {row.format(y=ends['y_max'])})"
+    cover = f"CASE WHEN size(st_edges(g)) > 0 THEN flatten(transform({columns}, c -> transform({rows}, r -> {packed.format(row='r', column='c')}))) END"
     bodies = {
         "st_point": ("lon DOUBLE, lat DOUBLE", point,
                      "CASE WHEN lon IS NOT NULL AND lat IS NOT NULL THEN struct(lon AS lon, lat AS lat, 4326 AS srid) END"),
@@ -117,6 +130,8 @@ def register_sql_functions(spark: SparkSession) -> list[str]:
                        "WHEN 'Polygon' THEN array(from_json(t, 'coordinates array<array<array<double>>>').coordinates) "
                        "WHEN 'MultiPolygon' THEN from_json(t, 'coordinates array<array<array<array<double>>>>').coordinates END"),
         "st_edges": (f"g {shape}", edges, f"flatten(transform(flatten(g), r -> {edge}))"),
+        "st_cell": (f"p {point}, n INT", "BIGINT", f"CASE WHEN NOT isnan(st_x(p)) AND NOT isnan(st_y(p)) THEN {cell} END"),
+        "st_cover": (f"g {shape}, n INT", "ARRAY<BIGINT>", cover),
         "st_within": (f"p {point}, g {shape}", "BOOLEAN", f"{parity} AND NOT exists(st_edges(g), e -> {on})"),
         "st_contains": (f"g {shape}, p {point}", "BOOLEAN", "st_within(p, g)"),
         "st_intersects": (f"p {point}, g {shape}", "BOOLEAN", f"{parity} OR exists(st_edges(g), e -> {on})"),

@@ -61,3 +61,9 @@ def test_columns_are_pruned(spark, sf):
 
 def test_top_k_is_not_a_full_sort(spark, sf):
     assert "TakeOrderedAndProject" in plan(A.latest_requests(V.view(spark, sf, "fx_311")))
+
+
+def test_spatial_join_in_sql_is_an_equi_join(spark, sf):
+    text = plan(QUERIES["sql_spatial_join"](spark, sf))
+    assert "CartesianProduct" not in text and "NestedLoopJoin" not in text
+    assert "HashJoin" in text or "SortMergeJoin" in text
