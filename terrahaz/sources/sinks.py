@@ -1,4 +1,4 @@
-"""Sinks: Parquet tables, versioned directories, GeoJSON, quarantine, run metrics."""
+"""Sinks: Parquet tables, versions as partitions, GeoJSON, quarantine, run metrics."""
 
 from __future__ import annotations
 
@@ -45,39 +45,35 @@ def _rows_at(spark: SparkSession, path: str) -> int:
         return 0
 
 
+#: Partition column that tells the versions of a table apart.
+VERSION = "table_version"
+
+
 def write_versioned(df: DataFrame, path: str, fmt: str = "parquet") -> int:
-    """Keep history. Formats with their own log (``delta``) are passed through; plain
-    Parquet gets one ``_v=N`` directory per version."""
+    """Keep history. Formats with their own log (``delta``) are passed through; a Parquet table gets
+    every version as a partition of ``table_version``, numbered one above the largest there is. A version
+    without rows leaves no trace. One writer at a time."""
     if fmt != "parquet":
         df.write.format(fmt).mode("overwrite").option("overwriteSchema", "true").save(path)
         return -1
-    versions = list_versions(df.sparkSession, path)
-    number = (versions[-1] + 1) if versions else 1
-    df.write.mode("errorifexists").parquet(f"{path}/_v={number}")
+    number = max(list_versions(df.sparkSession, path), default=0) + 1
+    df.withColumn(VERSION, F.lit(number)).write.mode("append").partitionBy(VERSION).parquet(path)
     return number
 
 
 def list_versions(spark: SparkSession, path: str) -> list[int]:
-    """Version numbers that were written completely (file names only, no data)."""
-    jvm = spark.sparkContext._jvm
-    root = jvm.org.apache.hadoop.fs.Path(path)
-    fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    if not fs.exists(root):
+    """The version numbers of a table, read off its partitions."""
+    if not _rows_at(spark, path):
         return []
-    found = []
-    for status in fs.listStatus(root):
-        name = status.getPath().getName()
-        if name.startswith("_v=") and fs.exists(jvm.org.apache.hadoop.fs.Path(f"{path}/{name}/_SUCCESS")):
-            found.append(int(name[3:]))
-    return sorted(found)
+    return sorted(r[0] for r in spark.read.parquet(path).select(VERSION).distinct().collect())
 
 
 def read_version(spark: SparkSession, path: str, version: int | None = None) -> DataFrame:
+    """One version (the latest), in the columns it was written with."""
     versions = list_versions(spark, path)
     if not versions:
         raise ValueError(f"no version under {path}")
-    wanted = versions[-1] if version is None else version
-    return spark.read.parquet(f"{path}/_v={wanted}")
+    return spark.read.parquet(f"{path}/{VERSION}={versions[-1] if version is None else version}")
 
 
 # -------------------------------------------------------------------- GeoJSON

@@ -27,10 +27,10 @@ NOW = datetime.datetime(2026, 4, 27, 12)
 
 
 def test_coordinate_bounds(spark):
-    df = spark.createDataFrame(
-        [(40.7128, -74.006), (91.0, -74.006), (40.758, -73.9855), (40.6782, -180.0)], "latitude double, longitude double"
-    )
-    assert P.valid_wgs84(df).count() == 3
+    inner = [(0.0, 0.0), (-33.5, 151.25), (64.1, -21.9), (12.5, 179.999)]
+    outer = [(-90.5, 151.25), (64.1, 200.0), (151.25, -33.5)]
+    df = spark.createDataFrame(inner + outer, "latitude double, longitude double")
+    assert rows(P.valid_wgs84(df)) == sorted(inner, key=repr)
     edge = [(90.0, 180.0), (-90.0, -180.0), (90.0001, 0.0), (0.0, -180.0001), (float("nan"), 0.0), (None, 0.0)]
     assert P.valid_wgs84(spark.createDataFrame(edge, "latitude double, longitude double")).count() == 2
 
@@ -48,8 +48,10 @@ def test_resolver():
 
 
 def test_drop_any_null(spark):
-    df = spark.createDataFrame([(1.0, "a"), (None, "b"), (2.0, None)], "col1 double, col2 string")
-    assert P.drop_missing(df, ["col1", "col2"]).count() == 1
+    kept = [(1, 2.5, "south"), (4, 0.0, "")]
+    df = spark.createDataFrame([*kept, (2, None, "north"), (3, 7.5, None), (5, None, None)], "id int, depth double, zone string")
+    assert rows(P.drop_missing(df, ["depth", "zone"])) == kept
+    assert P.drop_missing(df, ["id"]).count() == 5
 
 
 def test_canonical_accidents(spark):
