@@ -130,7 +130,7 @@ def crosses_up(e: Column, x: Column, y: Column) -> Column:
     return straddles & ((side(e, x, y) < 0) == (e["x2"] > e["x1"]))
 
 
-def _on_edge(e: Column, x: Column, y: Column) -> Column:
+def on_edge(e: Column, x: Column, y: Column) -> Column:
     return (
         (side(e, x, y) == 0)
         & x.between(F.least(e["x1"], e["x2"]), F.greatest(e["x1"], e["x2"]))
@@ -148,7 +148,7 @@ def edges_parity(edges: Column, x: Column, y: Column) -> Column:
 
 
 def edges_boundary(edges: Column, x: Column, y: Column) -> Column:
-    return F.exists(edges, lambda e: _on_edge(e, x, y))
+    return F.exists(edges, lambda e: on_edge(e, x, y))
 
 
 def edges_within(edges: Column, x: Column, y: Column) -> Column:

@@ -113,7 +113,7 @@ def _touching_cells(e: Column, level: Column, inside: tuple[Column, Column, Colu
     return F.when((x0 <= x1) & (y0 <= y1), F.filter(cells, touches)).otherwise(none)
 
 
-_CELL = ["pid", "level", "cx", "cy"]
+CELL = ["pid", "level", "cx", "cy"]
 
 
 def _odd(c: Column) -> Column:
@@ -137,8 +137,8 @@ def _first_round(shapes: DataFrame, edges: DataFrame) -> tuple[DataFrame, DataFr
     _, ref_y = _reference(F.lit(0).cast("bigint"), F.col("cy"), level)
     ray = ray.where((e["y1"] > ref_y) != (e["y2"] > ref_y)).select("pid", "level", "e", F.explode(columns).alias("cx"), "cy")
     ref_x, ref_y = _reference(F.col("cx"), F.col("cy"), level)
-    parity = ray.groupBy(*_CELL).agg(_odd(G.crosses_right(e, ref_x, ref_y)).alias("odd"))
-    cells = cells.join(parity, _CELL, "left").withColumn("odd", F.coalesce("odd", F.lit(False)))
+    parity = ray.groupBy(*CELL).agg(_odd(G.crosses_right(e, ref_x, ref_y)).alias("odd"))
+    cells = cells.join(parity, CELL, "left").withColumn("odd", F.coalesce("odd", F.lit(False)))
     inside = (F.col("x0"), F.col("x1"), F.col("y0"), F.col("y1"))
     local = edges.select("pid", "level", "e", F.explode(_touching_cells(e, level, inside)).alias("c")).select(
         "pid", "level", "c.cx", "c.cy", "e")
@@ -146,9 +146,9 @@ def _first_round(shapes: DataFrame, edges: DataFrame) -> tuple[DataFrame, DataFr
 
 
 def _next_round(heavy: DataFrame, local: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """The cells into which heavy cells (``_CELL, odd``) are divided, and the edges in them."""
+    """The cells into which heavy cells (``CELL, odd``) are divided, and the edges in them."""
     e, parts = F.col("e"), 1 << STEP
-    crowded = local.join(heavy.select(*_CELL), _CELL)
+    crowded = local.join(heavy.select(*CELL), CELL)
     finer = F.col("level") + STEP
     first_x, first_y = F.col("cx") * parts, F.col("cy") * parts
     steps = F.sequence(F.lit(0), F.lit(parts - 1))
@@ -162,12 +162,37 @@ def _next_round(heavy: DataFrame, local: DataFrame) -> tuple[DataFrame, DataFram
     changed = at.groupBy("pid", "level", F.col("c.cx").alias("cx"), F.col("c.cy").alias("cy")).agg(_odd(turned).alias("changed"))
     cells = heavy.select("pid", finer.alias("finer"), "odd", F.explode(children).alias("c")).select(
         "pid", F.col("finer").alias("level"), "c.cx", "c.cy", "odd")
-    cells = cells.join(changed, _CELL).withColumn("odd", F.col("odd") != F.col("changed")).drop("changed")
+    cells = cells.join(changed, CELL).withColumn("odd", F.col("odd") != F.col("changed")).drop("changed")
     inside = (first_x, first_x + (parts - 1), first_y, first_y + (parts - 1))
     touched = crowded.select("pid", finer.alias("finer"), "e", F.explode(_touching_cells(e, finer, inside)).alias("c"))
     return cells, touched.select("pid", F.col("finer").alias("level"), "c.cx", "c.cy", "e")
 
 
+def divided(shapes: DataFrame, edges: DataFrame, max_edges: int = MAX_EDGES):
+    """Round by round: all cells (``pid, level, cx, cy, odd, n``: is the reference point inside, how many edges)
+    and the edges (``e`` beside the cell) of those that need no further division. ``shapes`` has ``pid, box,
+    level``, ``edges`` a row per edge, from ``exploded_edges``; ``e`` may carry more than its four numbers."""
+    cells, local = _first_round(shapes, edges)
+    while True:
+        local = materialize(local, "polygon-edges")
+        counted = local.groupBy(*CELL).agg(F.count("*").alias("n"))
+        cells = materialize(cells.join(counted, CELL, "left").withColumn("n", F.coalesce("n", F.lit(0))), "polygon-cells")
+        fine = (F.col("n") <= max_edges) | (F.col("level") + STEP > FINEST)
+        yield cells, local.join(cells.where((F.col("n") > 0) & fine).select(*CELL), CELL, "left_semi")
+        heavy = cells.where((F.col("n") > 0) & ~fine)
+        if heavy.isEmpty():
+            return
+        cells, local = _next_round(heavy, local)
+
+
+def exploded_edges(shapes: DataFrame) -> DataFrame:
+    """A row per edge of ``shapes`` (``pid, box, level, edges``), beside the range of cells of the box."""
+    box, level = F.col("box"), F.col("level")
+    ranges = [grid.quad_column(box["min_x"], level).alias("x0"), grid.quad_column(box["max_x"], level).alias("x1"),
+              grid.quad_row(box["min_y"], level).alias("y0"), grid.quad_row(box["max_y"], level).alias("y1")]
+    return shapes.select("pid", "level", *ranges, F.explode("edges").alias("e"))
+
+
 def polygon_entries(
     polygons: DataFrame, key: str, geom: str, attrs: tuple[str, ...] = (), max_edges: int = MAX_EDGES
 ) -> DataFrame:
@@ -186,28 +211,16 @@ def polygon_entries(
     refused = F.raise_error(F.lit("polygon leaves the WGS84 range; split it at the antimeridian")).cast("int")
     base = materialize(base.withColumn("level", F.when(in_range, _level_of_box(box)).otherwise(refused)), "polygon-shapes")
     shapes = base.select("pid", "item", "box", "level")
-    ranges = [grid.quad_column(box["min_x"], F.col("level")).alias("x0"), grid.quad_column(box["max_x"], F.col("level")).alias("x1"),
-              grid.quad_row(box["min_y"], F.col("level")).alias("y0"), grid.quad_row(box["max_y"], F.col("level")).alias("y1")]
-    edges = base.select("pid", "level", *ranges, F.explode("edges").alias("e"))
-    cells, local = _first_round(shapes, edges)
+    edges = exploded_edges(base)
     ends = []
-    while True:
-        local = materialize(local, "polygon-edges")
-        counted = local.groupBy(*_CELL).agg(F.count("*").alias("n"))
-        cells = materialize(cells.join(counted, _CELL, "left").withColumn("n", F.coalesce("n", F.lit(0))), "polygon-cells")
+    for cells, held in divided(shapes, edges, max_edges):
         ends.append(cells.where((F.col("n") == 0) & F.col("odd")).select(
-            *_CELL, F.lit(True).alias("full"), F.lit(False).alias("base"), F.array().cast(base.schema["edges"].dataType).alias("edges")))
-        fine = (F.col("n") <= max_edges) | (F.col("level") + STEP > FINEST)
-        keep = cells.where((F.col("n") > 0) & fine)
+            *CELL, F.lit(True).alias("full"), F.lit(False).alias("base"), F.array().cast(base.schema["edges"].dataType).alias("edges")))
         ref_x, ref_y = _reference(F.col("cx"), F.col("cy"), F.col("level"))
-        up = G.crosses_up(F.col("e"), ref_x, ref_y)
-        kept_edges = local.join(keep.select(*_CELL), _CELL, "left_semi")
-        held = kept_edges.groupBy(*_CELL).agg(F.collect_list("e").alias("edges"), _odd(up).alias("up"))
-        ends.append(keep.join(held, _CELL).select(*_CELL, F.lit(False).alias("full"), (F.col("odd") != F.col("up")).alias("base"), "edges"))
-        heavy = cells.where((F.col("n") > 0) & ~fine)
-        if heavy.isEmpty():
-            break
-        cells, local = _next_round(heavy, local)
+        gathered = held.groupBy(*CELL).agg(
+            F.collect_list("e").alias("edges"), _odd(G.crosses_up(F.col("e"), ref_x, ref_y)).alias("up"))
+        ends.append(gathered.join(cells.select(*CELL, "odd"), CELL).select(
+            *CELL, F.lit(False).alias("full"), (F.col("odd") != F.col("up")).alias("base"), "edges"))
     every = reduce(DataFrame.unionByName, ends).join(shapes.select("pid", "item"), "pid")
     return every.select("level", grid.pack(F.col("cx"), F.col("cy"), F.col("level")).alias("cell"), "item", "full", "base", "edges")
 
@@ -522,7 +535,7 @@ def _with_vectors(sites: DataFrame) -> DataFrame:
 
 
 #: A search starts where no cell holds more sites than this.
-MAX_SITES_PER_CELL = 4
+MAX_SITES_PERCELL = 4
 
 
 @dataclass(frozen=True)
@@ -556,7 +569,7 @@ def _search_plan(sites: DataFrame) -> SearchPlan | None:
     if not occupied:
         return None
     seen = {r["n"]: r for r in occupied}
-    calm = [n for n in NEAREST_LEVELS if seen[n]["densest"] <= MAX_SITES_PER_CELL]
+    calm = [n for n in NEAREST_LEVELS if seen[n]["densest"] <= MAX_SITES_PERCELL]
     leaf = min(calm, default=NEAREST_LEVELS[0])
     levels = [n for n in range(leaf, 0, -2) if seen[n]["cells"] > 4 * 9]
     coarse = min(NEAREST_LEVELS, key=lambda n: (abs(seen[n]["cells"] ** 2 - seen[n]["sites"]), n))

@@ -11,6 +11,7 @@ from terrahaz.operators import ordered as W
 from terrahaz.operators import spatial as S
 from terrahaz.operators.sizing import join_dim
 from terrahaz.operators.stations import nearest_reading
+from terrahaz.operators.validity import validity
 from terrahaz.plans import flows, gold
 from terrahaz.queries import views as V
 from terrahaz.queries.registry import query
@@ -189,6 +190,48 @@ def st_is_valid(spark, sf):
     return V.land(spark, sf).select("neighborhood_id", G.st_is_valid("geometry").alias("is_valid"))
 
 
+#: Four corners strewn about a place, so that some rings cross themselves, and a small square hole.
+_CORNERS = [(31, 57), (83, 19), (45, 97), (11, 71)]
+
+
+def _strewn(k: str) -> list[tuple[str, str]]:
+    return [(f"({V._d(-74)}+(({k}*{7919 * a})%100003)/{V._d(1000000)})", f"({V._d(40.7)}+(({k}*{6007 * b})%99991)/{V._d(1000000)})") for a, b in _CORNERS]
+
+
+def _validity_sql() -> str:
+    corners = ", ".join(f"{x} AS x{i}, {y} AS y{i}" for i, (x, y) in enumerate(_strewn("p_partkey")))
+    half = V._d(0.002)
+
+    def side(a, b, x, y):
+        return f"((x{b}-x{a})*({y}-y{a})-({x}-x{a})*(y{b}-y{a}))"
+
+    def apart(a, b, c, d):
+        s = [side(a, b, f"x{c}", f"y{c}"), side(a, b, f"x{d}", f"y{d}"), side(c, d, f"x{a}", f"y{a}"), side(c, d, f"x{b}", f"y{b}")]
+        return f"NOT (({s[0]}>0)!=({s[1]}>0) AND ({s[2]}>0)!=({s[3]}>0))"
+
+    def inside(x, y):
+        rays = [f"CAST((y{i}>{y})!=(y{(i + 1) % 4}>{y}) AND ({side(i, (i + 1) % 4, x, y)}>0)=(y{(i + 1) % 4}>y{i}) AS INT)" for i in range(4)]
+        return f"(({'+'.join(rays)})%2=1)"
+
+    held = " AND ".join(inside(f"(hx{a}{half})", f"(hy{b}{half})") for a in "-+" for b in "-+")
+    clear = " AND ".join(f"NOT (abs(x{i}-hx)<={half} AND abs(y{i}-hy)<={half})" for i in range(4))
+    return f"""WITH c AS (SELECT p_partkey, {corners} FROM part),
+    h AS (SELECT *, (x0+x2)/2 AS hx, (y0+y2)/2 AS hy FROM c)
+    SELECT p_partkey AS shape_id, {apart(0, 1, 2, 3)} AND {apart(1, 2, 3, 0)} AND {held} AND {clear} AS is_valid FROM h"""
+
+
+@query("polygon_validity", _validity_sql())
+def polygon_validity(spark, sf):
+    """Rings that cross themselves, holes that leave their shell."""
+    corners = [F.array(F.expr(x), F.expr(y)) for x, y in _strewn("p_partkey")]
+    c = [F.col("c")[i] for i in range(4)]
+    hx, hy = (c[0][0] + c[2][0]) / 2, (c[0][1] + c[2][1]) / 2
+    hole = [F.array(hx + dx * 0.002, hy + dy * 0.002) for dx, dy in ((-1, -1), (1, -1), (1, 1), (-1, 1))]
+    shapes = V.table(spark, sf, "part").select(F.col("p_partkey").alias("shape_id"), F.array(*corners).alias("c"))
+    shape = F.array(F.array(F.array(*c, c[0]), F.array(*hole, hole[0])))
+    return validity(shapes.select("shape_id", shape.alias("shape")), "shape_id", "shape").select("shape_id", "is_valid")
+
+
 @query(
     "st_envelope",
     "SELECT neighborhood_id, x0 AS min_x, y0 AS min_y, x0+cast(0.05 as double)*sz AS max_x, y0+cast(0.04 as double)*sz AS max_y FROM fx_nbhd",
