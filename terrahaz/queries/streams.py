@@ -86,6 +86,21 @@ def stream_sessions(spark, sf):
     return _ntz(_drain(spark, rows, "stream-sessions"), "session_start", "session_end")
 
 
+_QUIET_MS = 12 * 3600 * 1000
+
+
+@query(
+    "stream_no_data",
+    f"""WITH g AS (SELECT user_id, epoch_us(ts)//1000 AS t, lead(epoch_us(ts)//1000) OVER (PARTITION BY user_id ORDER BY ts) AS b FROM events)
+    SELECT user_id, make_timestamp(t*1000) AS since, make_timestamp((t+{_QUIET_MS})*1000) AS fired_at FROM g
+    WHERE (b IS NULL OR b-t > {_QUIET_MS}) AND t+{_QUIET_MS} < (SELECT epoch_us(max(ts))//1000-600000 FROM events)""",
+)
+def stream_no_data(spark, sf):
+    """Twelve hours of silence, told by a timer and not by the next event."""
+    alerts = jobs.stream_no_data(_events(spark, sf), "user_id", _QUIET_MS / 1000)
+    return _ntz(_drain(spark, alerts, "stream-no-data"), "since", "fired_at")
+
+
 @query("stream_land_mask", "SELECT request_id, borough FROM fx_311 WHERE request_id IN (SELECT request_id FROM fx_hits_311)")
 def stream_land_mask(spark, sf):
     points = _derive(_events(spark, sf), "fx_311")

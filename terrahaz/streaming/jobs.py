@@ -9,8 +9,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from terrahaz.operators import clean as P
 from terrahaz.operators import spatial as S
@@ -100,6 +102,48 @@ def stream_sessions(events: DataFrame, ts: str, key: str, gap: str) -> DataFrame
     )
 
 
+def stream_no_data(events: DataFrame, key: str, quiet_s: float, ts: str = "ts") -> DataFrame:
+    """Alerts of keys that fell silent: ``key, since, fired_at``, one per absence of more than ``quiet_s`` seconds.
+
+    ``events`` has a watermark. A timer per key fires when the watermark passes the end of the quiet time, so an
+    absence is told whether or not anything follows; an event that comes late, but within the watermark,
+    still prevents it. State: the runs of events that are not decided yet, a start and an end each, so it is
+    bounded by the watermark's delay and not by the number of events. Events without a time are left out.
+    """
+    quiet = round(quiet_s * 1000)
+    kind = events.schema[key].dataType.simpleString()
+    timed = events.where(F.col(ts).isNotNull()).select(key, ts, F.unix_millis(ts).alias("ms"))
+
+    def watch(name, batches, state: GroupState):
+        starts, ends = state.get if state.exists else ([], [])
+        runs = sorted(zip(starts, ends, strict=True))
+        if not state.hasTimedOut:
+            for b in batches:
+                runs += [(t, t) for t in set(b["ms"].tolist())]
+            runs.sort()
+        joined: list[tuple[int, int]] = []
+        for a, z in runs:
+            if joined and a <= joined[-1][1] + quiet:
+                joined[-1] = (joined[-1][0], max(z, joined[-1][1]))
+            else:
+                joined.append((a, z))
+        now = state.getCurrentWatermarkMs()
+        silent = []
+        while joined and joined[0][1] + quiet < now:
+            silent.append(joined.pop(0)[1])
+        if joined:
+            state.update(([a for a, _ in joined], [z for _, z in joined]))
+            state.setTimeoutTimestamp(joined[0][1] + quiet)
+        elif state.exists:
+            state.remove()
+        if silent:
+            yield pd.DataFrame({key: [name[0]] * len(silent), "since": silent, "fired_at": [t + quiet for t in silent]})
+
+    told = timed.groupBy(key).applyInPandasWithState(
+        watch, f"{key} {kind}, since long, fired_at long", "starts array<long>, ends array<long>", "append", GroupStateTimeout.EventTimeTimeout)
+    return told.select(key, F.timestamp_millis("since").alias("since"), F.timestamp_millis("fired_at").alias("fired_at"))
+
+
 def stream_land_mask(points: DataFrame, polygons: DataFrame, index: S.PolygonIndex | None = None) -> DataFrame:
     """Stream-static spatial join against a mask small enough to look up in place.
 

@@ -85,3 +85,23 @@ def test_land_mask_of_any_size(spark, sf, max_bytes):
     jobs.drain_land_mask(points, land, out, scratch(spark, "t-check"), max_bytes)
     want = rows(spatial.land_mask(batch, land), "request_id")
     assert want and rows(spark.read.parquet(out), "request_id") == want
+
+
+def test_silence_is_told_over_a_restart(spark):
+    """A timer set in one run fires in the next, when the others' events move the watermark; an event that
+    comes late, but in time, prevents an alert."""
+    folder, out, check = scratch(spark, "t-in"), scratch(spark, "t-alerts"), scratch(spark, "t-check")
+
+    def run(events):
+        _file(spark, folder, [(i, f"2024-01-01 {t}:00", layer, 1, 0) for i, (layer, t) in enumerate(events)])
+        stream = jobs.with_event_time(jobs.file_stream(spark, folder, SCHEMA), delay="10 minutes")
+        jobs.run_available(jobs.stream_no_data(stream, "layer", 1800.0), out, check)
+        return [(layer, str(since)[11:16], str(fired)[11:16]) for layer, since, fired in rows(spark.read.parquet(out), "layer", "since", "fired_at")]
+
+    # the watermark is 10:10: nobody has been silent for half an hour by then
+    assert run([("a", "10:00"), ("b", "10:00"), ("c", "09:55"), ("c", "10:20")]) == []
+    # b's gap is filled late, a's never: at 10:35 only a has fallen silent
+    assert run([("b", "10:15"), ("c", "10:45")]) == [("a", "10:00", "10:30")]
+    # nothing comes from a or b any more, and yet b is told too; c goes on
+    assert run([("c", "11:10"), ("c", "11:35")]) == [("a", "10:00", "10:30"), ("b", "10:15", "10:45")]
+    assert run([("a", "11:30"), ("c", "12:30")]) == [("a", "10:00", "10:30"), ("a", "11:30", "12:00"), ("b", "10:15", "10:45"), ("c", "11:35", "12:05")]
