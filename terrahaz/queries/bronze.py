@@ -76,6 +76,16 @@ def scan_geojson(spark, sf):
     )
 
 
+@query("scan_geojson_split", "SELECT osm_id AS id, longitude FROM fx_osm")
+def scan_geojson_split(spark, sf):
+    """Three documents written, each read back in as many pieces as it has splits."""
+    path = scratch(spark, "geojsonsplit")
+    text = sinks.feature_json(G.st_point("longitude", "latitude"), {"id": F.col("osm_id")})
+    sinks.export_collections(V.view(spark, sf, "fx_osm").select(text.alias("value")), path, files=3)
+    rows = readers.read_layer(spark, "geojsonsplit", path)
+    return rows.select(F.col("properties")["id"].cast("bigint").alias("id"), G.point_from_geojson("geometry")["lon"].alias("longitude"))
+
+
 @query("scan_geojson_seq", "SELECT cast(neighborhood_id as varchar) AS id, 'Polygon' AS geometry_type FROM fx_nbhd")
 def scan_geojson_seq(spark, sf):
     path = scratch(spark, "geojsonseq")

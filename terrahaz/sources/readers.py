@@ -40,6 +40,26 @@ def scan_geojson(spark: SparkSession, path: str) -> DataFrame:
     return docs.select(F.explode("features").alias("f")).select(*_feature_columns("f"))
 
 
+def scan_geojson_split(spark: SparkSession, path: str) -> DataFrame:
+    """FeatureCollection files of any size, one row per feature, each file read by as many tasks as it has splits.
+
+    The member that opens a feature, ``"type": "Feature"`` in the spacing of the first one, is taken as the line
+    separator of a text file, so Spark cuts the document at feature borders wherever a split ends. Every feature
+    must begin with that member, as writers have it; a file that does not keep to this is an error and not a
+    loss, and ``scan_geojson`` reads it. White space and line breaks do not matter.
+    """
+    head = spark.read.option("lineSep", '"Feature"').text(path).select(
+        F.regexp_extract("value", r'("type"\s*:\s*)$', 1).alias("opens")).where("opens <> ''").first()
+    opens = '"type":' if head is None else head["opens"]
+    pieces = spark.read.option("lineSep", f'{opens}"Feature"').text(path).withColumn("text", F.rtrim(F.regexp_replace("value", r"\s+$", "")))
+    first = F.col("text").rlike(r'^\s*\{[^{}\[]*"type"\s*:\s*"FeatureCollection"') | (F.col("text") == "")
+    refused = F.raise_error(F.lit("features do not all begin with the same member: use scan_geojson")).cast("string")
+    strange = F.col("text").rlike(r'"type"\s*:\s*"Feature"') | ~F.col("text").rlike(r"[{}]$")
+    feature = F.when(first, F.lit(None)).when(strange, refused).otherwise(F.concat(F.lit('{"type":"Feature"'), "text"))
+    parsed = pieces.select(F.from_json(feature, _FEATURE[7:-1]).alias("f"))
+    return parsed.where(F.col("f.type") == "Feature").select(*_feature_columns("f"))
+
+
 def scan_geojson_seq(spark: SparkSession, path: str) -> DataFrame:
     """One feature per line, so large files split."""
     lines = spark.read.text(path).select(F.from_json("value", _FEATURE[7:-1]).alias("f"))
@@ -68,6 +88,7 @@ READERS = {
     "csv": scan_csv,
     "json": scan_json,
     "geojson": scan_geojson,
+    "geojsonsplit": scan_geojson_split,
     "geojsonseq": scan_geojson_seq,
     "parquet": scan_parquet,
 }

@@ -135,21 +135,27 @@ def export_geojson(features: DataFrame, path: str, mode: str = "overwrite") -> N
     features.select("value").write.mode(mode).text(path)
 
 
-def export_collections(features: DataFrame, path: str, mode: str = "overwrite") -> None:
-    """Self-contained FeatureCollection files: each Arrow batch becomes one document.
+def export_collections(features: DataFrame, path: str, mode: str = "overwrite", files: int | None = None) -> None:
+    """``files`` FeatureCollection documents (one per partition as they are, if not stated).
 
-    A document holds at most ``spark.sql.execution.arrow.maxRecordsPerBatch`` features;
-    nothing is gathered in one task.
-    """
+    A task writes its document feature by feature as its rows come by, so neither a document nor a batch is ever
+    held as one text; nothing is gathered in one task unless one file is asked for. Spark's own text writer commits
+    or drops them."""
     import pandas as pd
 
-    def wrap(batches):
+    def document(batches):
+        yield pd.DataFrame({"value": ['{"type":"FeatureCollection","features":[']})
+        lead = ""
         for batch in batches:
-            body = ",".join(batch["value"])
-            yield pd.DataFrame({"value": [f'{{"type":"FeatureCollection","features":[{body}]}}']})
-
-    documents = features.select("value").mapInPandas(wrap, "value string")
-    documents.write.mode(mode).option("maxRecordsPerFile", 1).text(path)
+            lines = batch["value"].dropna().tolist()
+            for i, line in enumerate(lines):
+                lines[i] = lead + line
+                lead = ","
+            yield pd.DataFrame({"value": lines}, dtype=object)
+        yield pd.DataFrame({"value": ["]}"]})
+
+    rows = features.select("value")
+    (rows if files is None else rows.repartition(files)).mapInPandas(document, "value string").write.mode(mode).text(path)
 
 
 # ----------------------------------------------------- quarantine and metrics

@@ -329,3 +329,40 @@ def test_numeric_columns(spark):
     df = spark.createDataFrame([(1, 2.0, "x")], "a int, b double, c string")
     assert P.numeric_columns(df, ["zz"]) == ["a", "b"]
     assert P.numeric_columns(df, ["a", "b"], minimum=2) == ["a", "b"]
+
+
+@pytest.mark.parametrize("indent,separators", [(None, (",", ":")), (None, (", ", ": ")), (2, None)])
+def test_collection_in_several_tasks(spark, tmp_path, indent, separators):
+    """One document, whatever its spacing, cut at feature borders by several tasks."""
+    features = [{"type": "Feature", "properties": {"id": i, "note": 'a "Feature" { [' if i % 7 == 0 else None}, "geometry": None if i % 5 == 0 else
+                 {"type": "Point", "coordinates": [i / 10, -i / 10]}} for i in range(3000)]
+    document = {"type": "FeatureCollection", "name": "all", "features": features}
+    (tmp_path / "all.json").write_text(json.dumps(document, indent=indent, separators=separators))
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "40000")
+    try:
+        got = readers.scan_geojson_split(spark, str(tmp_path)).select(
+            F.col("properties")["id"].cast("int").alias("id"), F.col("properties")["note"].alias("note"), "geometry_type",
+            F.spark_partition_id().alias("part")).collect()
+        assert len({r.part for r in got}) > 3
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    assert sorted(r.id for r in got) == list(range(3000))
+    assert all((r.note is not None) == (r.id % 7 == 0) and (r.geometry_type == "Point") == (r.id % 5 > 0) for r in got)
+
+
+def test_collection_with_late_type_is_refused(spark, tmp_path):
+    text = '{"type":"FeatureCollection","features":[{"type":"Feature","properties":{},"geometry":null},{"id":1,"type":"Feature","geometry":null}]}'
+    (tmp_path / "odd.json").write_text(text)
+    with pytest.raises(Exception, match="same member"):
+        readers.scan_geojson_split(spark, str(tmp_path)).collect()
+    assert readers.scan_geojson(spark, str(tmp_path)).count() == 2
+
+
+def test_collections_in_a_stated_number_of_files(spark, tmp_path):
+    rows_ = spark.range(500).select(sinks.feature_json(G.st_point(F.col("id") * 0.1, F.lit(1.0)), {"id": F.col("id")}).alias("value"))
+    sinks.export_collections(rows_, str(tmp_path / "out"), files=4)
+    made = [json.loads(p.read_text()) for p in (tmp_path / "out").glob("part-*")]
+    assert len(made) == 4 and sum(len(m["features"]) for m in made) == 500
+    sinks.export_collections(rows_.limit(0), str(tmp_path / "none"), files=2)
+    assert readers.scan_geojson(spark, str(tmp_path / "none")).count() == 0
