@@ -6,6 +6,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from terrahaz.functions import grid
 from terrahaz.operators.ordered import hash_bucket
@@ -166,6 +167,39 @@ def dataset_profile(df: DataFrame, columns: list[str] | None = None, exact: bool
     return joined.withColumn("n_distinct", F.coalesce("n_distinct", F.lit(0)))
 
 
+#: Sizes of the sketches: distinct counts are then off by about 0.8 % (one standard deviation), ranks by 0.7 %.
+HLL_BITS, KLL_K = 14, 400
+
+
+def profile_parts(df: DataFrame, part: Column, columns: list[str]) -> DataFrame:
+    """``part, column, n_rows, n_null, distinct, numbers, min_value, max_value``: a profile per part (a day, say)
+    that can be merged. ``distinct`` is a HyperLogLog sketch of the values as text, ``numbers`` a KLL sketch of
+    their size (null for a column that is no number). One pass; a part's row count does not matter to its size."""
+    numeric = {f.name for f in df.schema if isinstance(f.dataType, T.NumericType)}
+    rows = []
+    for c in columns:
+        value = F.col(c).cast("double")
+        finite = F.when(value.isNotNull() & ~F.isnan(value), value) if c in numeric else F.lit(None).cast("double")
+        rows.append(F.struct(
+            F.lit(c).alias("column"), F.count(F.lit(1)).alias("n_rows"), F.count_if(F.col(c).isNull()).alias("n_null"),
+            F.hll_sketch_agg(F.col(c).cast("string"), HLL_BITS).alias("distinct"),
+            (F.kll_sketch_agg_double(finite, KLL_K) if c in numeric else F.lit(None).cast("binary")).alias("numbers"),
+            F.min(F.col(c).cast("string")).alias("min_value"), F.max(F.col(c).cast("string")).alias("max_value")))
+    return df.groupBy(part.alias("part")).agg(F.array(*rows).alias("p")).select("part", F.inline("p"))
+
+
+def merge_profiles(parts: DataFrame, quantiles: tuple[float, ...] = (0.5,)) -> DataFrame:
+    """One row per column from any number of parts, or of profiles of parts: ``column, n_rows, n_null, n_distinct,
+    quantiles, min_value, max_value`` (as text, so in the order of text). The data are not read again."""
+    merged = parts.groupBy("column").agg(
+        F.sum("n_rows").alias("n_rows"), F.sum("n_null").alias("n_null"), F.hll_sketch_estimate(F.hll_union_agg("distinct")).alias("n_distinct"),
+        F.kll_merge_agg_double("numbers").alias("numbers"), F.max(F.col("numbers").isNotNull()).alias("numeric"), F.min("min_value").alias("min_value"), F.max("max_value").alias("max_value"))
+    # a column that is no number, or holds none, has no quantiles
+    held = F.when(F.col("numeric"), F.kll_sketch_get_n_double("numbers") > 0)
+    asked = F.array(*[F.kll_sketch_get_quantile_double("numbers", F.lit(q)) for q in quantiles])
+    return merged.select("column", "n_rows", "n_null", "n_distinct", F.when(held, asked).alias("quantiles"), "min_value", "max_value")
+
+
 def spatial_density(
     df: DataFrame, size: float, ts: str, lon: str = "longitude", lat: str = "latitude",
     max_bytes: int | None = None,
