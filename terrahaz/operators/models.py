@@ -191,6 +191,64 @@ def feature_importance(spark: SparkSession, trained: Trained) -> DataFrame:
     return A.rank_features(spark.createDataFrame(rows, "feature string, importance double"))
 
 
+def node_table(spark: SparkSession, trained: Trained, path: str) -> DataFrame:
+    """The fitted ensemble as a table: ``tree, node, feature`` (null in a leaf)``, threshold, left_child, right_child,
+    prediction`` (of the node)``, share`` (of the positive class, for forests)``, gain, n`` (training rows) and
+    ``tree_weight``. Read off the saved model, so it goes on working without it."""
+    ensemble = trained.model.stages[-1]
+    ensemble.write().overwrite().save(path)
+    names = F.array(*map(F.lit, trained.spec.features))
+    node = F.col("nodeData")
+    inner = node["leftChild"] >= 0
+    weights = spark.read.parquet(f"{path}/treesMetadata").toDF("treeID", "_metadata", "tree_weight").select("treeID", "tree_weight")
+    stats = node["impurityStats"]
+    share = F.when(F.size(stats) == 2, F.get(stats, 1) / (F.get(stats, 0) + F.get(stats, 1)))
+    return spark.read.parquet(f"{path}/data").join(F.broadcast(weights), "treeID").select(  # a row per tree
+        F.col("treeID").alias("tree"), node["id"].alias("node"), F.when(inner, F.get(names, node["split"]["featureIndex"])).alias("feature"),
+        F.when(inner, F.get(node["split"]["leftCategoriesOrThreshold"], 0)).alias("threshold"),
+        F.when(inner, node["leftChild"]).alias("left_child"), F.when(inner, node["rightChild"]).alias("right_child"),
+        node["prediction"].alias("prediction"), share.alias("share"), node["gain"].alias("gain"), node["rawCount"].alias("n"), "tree_weight")
+
+
+def score_nodes(nodes: DataFrame, df: DataFrame, features: list[str], depth: int, boosted: bool, classify: bool) -> DataFrame:
+    """``df`` with ``score`` from a node table alone: every tree is walked down by native expressions over a small array of
+    its nodes (as many as the model has, whatever the rows). A boosted classifier's score is the probability of
+    its margin, a forest's the mean share, a regressor's the mean or the weighted sum."""
+    entry = F.struct("node", "feature", "threshold", "left_child", "right_child", "prediction", "share")
+    trees = nodes.groupBy("tree", "tree_weight").agg(F.array_sort(F.collect_list(entry)).alias("nodes"))
+    model = trees.agg(F.array_sort(F.collect_list(F.struct("tree", "tree_weight", "nodes"))).alias("__trees"))
+    values = F.create_map(*[x for f in features for x in (F.lit(f), F.coalesce(F.col(f).cast("double"), F.lit(0.0)))])
+
+    def leaf(tree):
+        def down(at, _):
+            n = F.get(tree["nodes"], at)
+            goes = F.when(n["feature"].isNull(), at).when(values[n["feature"]] <= n["threshold"], n["left_child"]).otherwise(n["right_child"])
+            return goes.cast("int")
+
+        at = F.aggregate(F.sequence(F.lit(1), F.lit(max(1, depth))), F.lit(0), down)
+        end = F.get(tree["nodes"], at)
+        told = end["share"] if classify and not boosted else end["prediction"]
+        return told * tree["tree_weight"] if boosted else told
+
+    # one row of the whole model, of a size that the model's parameters bound
+    asked = df.crossJoin(F.broadcast(model))
+    total = F.aggregate(F.transform("__trees", leaf), F.lit(0.0), lambda s, x: s + x)
+    score = total if boosted else total / F.size("__trees")
+    return asked.withColumn("score", 1 / (1 + F.exp(-2 * score)) if boosted and classify else score).drop("__trees")
+
+
+def importance_of_nodes(nodes: DataFrame, boosted: bool) -> DataFrame:
+    """``feature, importance`` from the gains in a node table, weighted by rows: a forest's trees count alike, a boosted
+    ensemble's by what they gain. Importances add up to one; features that no node asks for are left out."""
+    gains = nodes.where("feature is not null").groupBy("tree", "feature").agg(F.sum(F.col("gain") * F.col("n")).alias("g"))
+    if not boosted:
+        whole = gains.groupBy("tree").agg(F.sum("g").alias("whole"))
+        gains = gains.join(F.broadcast(whole), "tree").where("whole > 0").withColumn("g", F.col("g") / F.col("whole"))
+    by_feature = gains.groupBy("feature").agg(F.sum("g").alias("g"))
+    total = by_feature.agg(F.sum("g").alias("total"))
+    return by_feature.crossJoin(F.broadcast(total)).select("feature", (F.col("g") / F.col("total")).alias("importance"))  # one row
+
+
 def run_log(spark: SparkSession, trained: Trained, path: str, model_path: str | None = None) -> DataFrame:
     """Append the run's parameters and metrics as rows; optionally save the model."""
     if model_path is not None:

@@ -200,6 +200,42 @@ def feature_importance(spark, sf):
     return T.feature_importance(spark, T.train(T.DELAY, delay_table(spark, sf), "flight_id"))
 
 
+@query(
+    "score_nodes",
+    """SELECT f.flight_id AS flight_id, 'boosted' AS model, true AS as_fitted FROM fx_flights f
+    UNION ALL SELECT flight_id, 'forest', true FROM fx_flights""",
+)
+def score_nodes(spark, sf):
+    """Every flight scored from the written node tables of a boosted model and of a forest, by expressions, beside the
+    fitted models."""
+    table = delay_table(spark, sf).fillna(0, subset=M.DELAY_FEATURES)
+    out = None
+    for name, spec in (("boosted", T.DELAY), ("forest", T.Spec("delay_forest", "RandomForestClassifier", T.DELAY.label, 20, 5, T.DELAY.features))):
+        trained = T.train(spec, table, "flight_id", trees=20)
+        path = scratch(spark, "nodes")
+        T.node_table(spark, trained, scratch(spark, "ensemble")).write.parquet(path)
+        fitted = T.predict(spec, trained.model, table).select("flight_id", "probability")
+        scored = T.score_nodes(spark.read.parquet(path), table, list(spec.features), spec.depth, name == "boosted", True)
+        both = scored.select("flight_id", "score").join(fitted, "flight_id")
+        part = both.select("flight_id", F.lit(name).alias("model"), (F.abs(F.col("score") - F.col("probability")) < 1e-9).alias("as_fitted"))
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
+@query("importance_of_nodes", "SELECT 'boosted' AS model, 1.0::double AS total, true AS as_fitted UNION ALL SELECT 'forest', 1.0::double, true")
+def importance_of_nodes(spark, sf):
+    """Importances from the gains in the node tables, beside those of the fitted models."""
+    table, out = delay_table(spark, sf).fillna(0, subset=M.DELAY_FEATURES), None
+    for name, spec in (("boosted", T.DELAY), ("forest", T.Spec("delay_forest", "RandomForestClassifier", T.DELAY.label, 20, 5, T.DELAY.features))):
+        trained = T.train(spec, table, "flight_id", trees=20)
+        own = T.importance_of_nodes(T.node_table(spark, trained, scratch(spark, "ensemble")), name == "boosted")
+        both = T.feature_importance(spark, trained).withColumnRenamed("importance", "fitted").join(own, "feature", "left").fillna(0.0, subset=["importance"])
+        part = both.agg(F.round(F.sum("importance"), 9).alias("total"), (F.max(F.abs(F.col("importance") - F.col("fitted"))) < 1e-9).alias("as_fitted"))
+        part = part.select(F.lit(name).alias("model"), "total", "as_fitted")
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
 @query("run_log")
 def run_log(spark, sf):
     path, model_path = scratch(spark, "runs"), scratch(spark, "model")
