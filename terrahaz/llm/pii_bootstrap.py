@@ -1,6 +1,7 @@
 """Personal data: fixed patterns as seeds, then bootstrapped contextual extraction.
 
-The fixed patterns (email, ip, card, phone) give seed entities. What stands before a seed, its
+The fixed patterns (email, ip, card, phone) give seed entities, and so do keys: 32 or more hexadecimal
+digits, letters and digits among them, which are spans of kind ``secret``. What stands before a seed, its
 last two words in lower case or the signs right before it with the word before those, is a lexical pattern; the same pattern before another identifier-like
 token (with a digit) makes that token an instance. On the graph of patterns and instances Spark
 alternates two scores:
@@ -13,10 +14,11 @@ A pattern counts once it has ``min_instances`` different instances with a score;
 ``confidence`` or more mark every instance they precede with a span of kind ``context``. Ordinary
 phrases such as "of the" are followed by something else nearly always and stay far below.
 
-Spans are (kind, start, end) in code points, end exclusive. Discovered spans never touch base ones.
+Spans are (kind, start, end) in code points, end exclusive. Discovered spans and keys never touch base ones.
 
 Defined cases: null text is empty: no spans; a failing match (part above 255, wrong number of
-digits, wrong check digit) is dropped and not tried again; repeated rows each get their row.
+digits, wrong check digit) is dropped and not tried again; repeated rows each get their row; a null id stays
+null; an empty table gives no rows; other columns are ignored, whatever their names.
 """
 
 from __future__ import annotations
@@ -29,7 +31,7 @@ from pyspark.sql import functions as F
 from terrahaz.llm import tables
 
 KINDS = ("email", "ip", "card", "phone")
-CONTEXT = "context"
+SECRET, CONTEXT = "secret", "context"
 ROUNDS = 3
 MIN_INSTANCES = 3
 CONFIDENCE = 0.6
@@ -43,6 +45,7 @@ _CARD = re.compile(r"[0-9](?:[ -]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
 #: Runs of identifier characters with a digit; tried at the first character of a run only.
 _RUN = re.compile(r"(?<![A-Za-z0-9_.-])[A-Za-z_.-]*+[0-9][A-Za-z0-9_.-]*+")
+_KEY = re.compile(r"(?<![A-Za-z0-9_.-])(?=[0-9]*+[A-Fa-f])(?=[A-Fa-f]*+[0-9])[0-9A-Fa-f]{32,}+(?![A-Za-z0-9_-])")
 _BLANKS = " \t\n\x0b\x0c\r"
 #: Signs in front of a letter or digit of the same word, and what stands before them there.
 _CUE = re.compile(rb"(?:(?<![a-z0-9])([a-z0-9]++)|\A)([^a-z0-9 \t\n\x0b\x0c\r]++)(?=[a-z0-9])")
@@ -89,6 +92,11 @@ def base_spans(text: str) -> list[tuple[str, int, int]]:
     return [(KINDS[k], a, b) for k, a, b in found]
 
 
+def keys(text: str, spans) -> list[tuple[str, int, int]]:
+    """Keys that touch none of the spans."""
+    return [(SECRET, *m.span()) for m in _KEY.finditer(text) if not any(a < m.end() and m.start() < b for _, a, b in spans)]
+
+
 def _small(part: str) -> bool:
     part = part.lstrip("0")
     return len(part) < 4 and int(part or 0) <= 255
@@ -241,17 +249,20 @@ def extract(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", round
 
     def find(batches):
         for b in batches:
-            base, occ = [], []
+            base, secret, occ = [], [], []
             for body in b["body"].to_pylist():
                 text = body.decode("utf-8", "replace")
                 spans = base_spans(text)
-                base.append([{"kind": k, "start": s, "end": e} for k, s, e in spans])
+                more = keys(text, spans)
+                for c, found in ((base, spans), (secret, more)):
+                    c.append([{"kind": k, "start": s, "end": e} for k, s, e in found])
+                spans = sorted([*spans, *more], key=lambda s: s[1])
                 occ.append([dict(zip(("pattern", "instance", "seed", "start", "end"), o, strict=True)) for o in occurrences(text, spans)])
-            yield {"id": b["id"], "base": base, "seen": occ}
+            yield {"id": b["id"], "base": base, "secret": secret, "seen": occ}
 
     # without the texts
     first = tables.staged(
-        tables.map_batches(rows, f"id {id_type}, base {span}, seen {seen}", find).withColumn("row", F.monotonically_increasing_id()), "pii-spans")
+        tables.map_batches(rows, f"id {id_type}, base {span}, secret {span}, seen {seen}", find).withColumn("row", F.monotonically_increasing_id()), "pii-spans")
     each = first.select("row", F.explode("seen").alias("o")).select("row", "o.*")
     edges = each.groupBy("pattern", "instance").agg(F.count("*").alias("n"), F.max("seed").alias("seed"))
     supported = edges.groupBy("pattern").agg(F.count("*").alias("k"), F.max("seed").alias("seed")).where(
@@ -265,9 +276,9 @@ def extract(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", round
         .groupBy("row").agg(F.array_sort(F.array_distinct(F.collect_list(F.struct(
             F.lit(CONTEXT).alias("kind"), "start", "end")))).alias("more"))
     )
-    every = F.concat("base", F.coalesce("more", F.array().cast(span)))
+    every = F.concat("base", "secret", F.coalesce("more", F.array().cast(span)))
     ranked = F.array_sort(F.transform(every, lambda s: F.struct(
-        s["start"].alias("start"), F.array_position(F.array(*map(F.lit, [*KINDS, CONTEXT])), s["kind"]).alias("at"),
+        s["start"].alias("start"), F.array_position(F.array(*map(F.lit, [*KINDS, SECRET, CONTEXT])), s["kind"]).alias("at"),
         s["end"].alias("end"), s["kind"].alias("kind"))))
     return first.join(found, "row", "left").select(
         F.col("id").alias(id_col), "base",
