@@ -9,12 +9,13 @@ included, are ranked by the measure itself.
 
 The inverted files are cut by vector into shards of bounded size; blocks of queries meet shards in
 a cogroup, so every query sees every shard and no task holds more than one shard and one block.
-``share`` of each shard is ranked (at least ``floor`` vectors): with that share fixed the recall
-does not fall as the table grows.
+Of ``n`` vectors ``reach * sqrt(n)`` are ranked for a query (at least ``floor`` in a shard), in equal
+shares from all shards: a share that falls as the table grows, at a recall that does not.
 
-Defined cases: vectors that are null, all zero, of another length than the pivots, or with null or
-non-finite components take no part; repeated rows are candidates of each other; ties go to the
-smaller id; no usable vector gives no rows.
+Defined cases: vectors that are null, all zero, of another length than most, or with null or
+non-finite components take no part, nor do rows without an id; repeated rows are candidates of each
+other; ties go to the smaller id; no usable vector gives no rows; other columns are ignored. The result
+is written to the shared folder, so what is read of it later does not search again.
 """
 
 from __future__ import annotations
@@ -28,17 +29,18 @@ from terrahaz.llm import tables
 
 PIVOTS = 256
 PREFIX = 64
-SHARE = 0.2
+REACH = 12.0
 FLOOR = 500
 SHARD = 16384
-BLOCK = 4096
+BLOCK = 16384
 
 
 def usable(df: DataFrame, id_col: str, vector_col: str) -> DataFrame:
     """``row, id, vec``: vectors fit for search, as doubles, with a number of their own."""
     vec = F.col(vector_col).cast("array<double>")
     fit = vec.isNotNull() & (F.size(vec) > 0) & ~F.exists(vec, lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf")))
-    return df.select(F.col(id_col).alias("id"), vec.alias("vec")).where(fit & F.exists("vec", lambda x: x != 0)).withColumn(
+    return df.select(F.col(id_col).alias("id"), vec.alias("vec")).where(
+        fit & F.exists("vec", lambda x: x != 0) & F.col("id").isNotNull()).withColumn(
         "row", F.monotonically_increasing_id())
 
 
@@ -104,21 +106,24 @@ def _search(queries: pa.Table, vectors: pa.Table, n_pivots: int, k: int, share:
 
 
 def nearest(df: DataFrame, queries, k: int = 20, id_col: str = "vec_id", vector_col: str = "embedding",
-            n_pivots: int = PIVOTS, prefix: int = PREFIX, share: float = SHARE, floor: int = FLOOR,
+            n_pivots: int = PIVOTS, prefix: int = PREFIX, reach: float = REACH, floor: int = FLOOR,
             shard: int = SHARD, block: int = BLOCK) -> DataFrame:
     """``query_id, rank, <id_col>, score``: the ``k`` rows of largest inner product with each
     query row; ``queries`` is a condition on ``df``'s id (a column named ``id``)."""
     spark = df.sparkSession
     rows = tables.staged(usable(df, id_col, vector_col).withColumn("id", F.col("id").cast("long")), "vectors")
-    # the pivots: a sample of at most n_pivots rows, small whatever the table
-    sample = rows.select("vec", F.xxhash64("vec", "id").alias("h")).orderBy("h", "vec").limit(n_pivots).collect()
     empty = spark.createDataFrame([], f"query_id long, rank int, {id_col} long, score double")
-    if not sample:
+    width = rows.groupBy(F.size("vec").alias("w")).count().orderBy(F.desc("count"), "w").first()
+    if width is None:
         return empty
-    width = len(sample[0]["vec"])
-    pivots = np.array([r["vec"] for r in sample if len(r["vec"]) == width])
+    width = width["w"]
+    rows = rows.where(F.size("vec") == width)
+    # the pivots: a sample of at most n_pivots rows, small whatever the table
+    sample = rows.select("vec", F.xxhash64("vec", "id").alias("h")).orderBy("h", "vec").limit(n_pivots).collect()
+    pivots = np.array([r["vec"] for r in sample])
     prefix = min(prefix, len(pivots))
-    sizes = rows.where(F.size("vec") == width).agg(F.count("*").alias("n"), F.count(F.when(queries, 1)).alias("q")).first()
+    sizes = rows.agg(F.count("*").alias("n"), F.count(F.when(queries, 1)).alias("q")).first()
+    share = min(1.0, reach / sizes["n"] ** 0.5)
     shards, blocks = -(-sizes["n"] // shard), max(1, -(-sizes["q"] // block))
 
     def represent(batches):
@@ -126,15 +131,15 @@ def nearest(df: DataFrame, queries, k: int = 20, id_col: str = "vec_id", vector_
             p = permutations(matrix(b["vec"], width), pivots, prefix)
             yield dict(b) | {"perm": list(p)}
 
-    posted = tables.map_batches(rows.where(F.size("vec") == width).select("row", "id", "vec"),
-                                "row long, id long, vec array<double>, perm array<int>", represent)
+    posted = tables.staged(tables.map_batches(
+        rows.select("row", "id", "vec"), "row long, id long, vec array<double>, perm array<int>", represent), "postings")
     vectors = posted.withColumn("shard", F.pmod(F.xxhash64("row"), F.lit(shards)).cast("int")).withColumn(
         "block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
     asked = posted.where(queries).withColumn("block", F.pmod(F.xxhash64("row", F.lit(1)), F.lit(blocks)).cast("int")).withColumn(
         "shard", F.explode(F.sequence(F.lit(0), F.lit(shards - 1))))
     n = len(pivots)
-    found = asked.groupBy("shard", "block").cogroup(vectors.groupBy("shard", "block")).applyInArrow(
-        lambda q, v: _search(q, v, n, k, share, floor, width), "query_row long, query_id long, id long, score double")
+    found = tables.staged(asked.groupBy("shard", "block").cogroup(vectors.groupBy("shard", "block")).applyInArrow(
+        lambda q, v: _search(q, v, n, k, share, floor, width), "query_row long, query_id long, id long, score double"), "neighbours")
     best = Window.partitionBy("query_row").orderBy(F.desc("score"), F.asc("id"))
     return (
         found.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
