@@ -191,3 +191,49 @@ def trie(conversations: dict):
         ends = sorted(c for c in m if c is not None and len(conversations[c]) == len(k))
         out[k] = (least[k], least[k[:-1]] if k else None, len(m), len(kids), leaves, saved, ends)
     return out
+
+
+def cumulative_link(rows, grades, steps=400, rate=0.5, decay=1e-6):
+    """Weights and thresholds of ``rows`` (buckets, values, grade) by plain descent on the whole loss; returns a
+    function from (buckets, values) to the probabilities of the grades."""
+    place = {b: i for i, b in enumerate(sorted({int(b) for at, _, _ in rows for b in at}))}
+    x, y = np.zeros((len(rows), len(place))), np.array([g for _, _, g in rows])
+    for i, (at, value, _) in enumerate(rows):
+        x[i, [place[int(b)] for b in at]] = value
+    w, t = np.zeros(x.shape[1]), np.linspace(-1, 1, grades - 1)
+    sq_w, sq_t = np.full(len(w), 1e-8), np.full(len(t), 1e-8)
+
+    def sigmoid(v):
+        return 1 / (1 + np.exp(-np.clip(v, -35, 35)))
+
+    for _ in range(steps):
+        s = x @ w
+        edges = np.concatenate([np.zeros((len(s), 1)), sigmoid(t[None, :] - s[:, None]), np.ones((len(s), 1))], axis=1)
+        low, high = edges[np.arange(len(s)), y], edges[np.arange(len(s)), y + 1]
+        p = np.maximum(high - low, 1e-9)
+        g_w = x.T @ (1 - high - low) / len(s) + decay * w
+        g_t = np.array([(np.where(y == k + 1, low * (1 - low), 0) / p - np.where(y == k, high * (1 - high), 0) / p).mean() for k in range(grades - 1)])
+        sq_w, sq_t = sq_w + g_w**2, sq_t + g_t**2
+        w, t = w - rate * g_w / np.sqrt(sq_w), np.maximum.accumulate(t - 0.1 * g_t / np.sqrt(sq_t))
+
+    def judge(at, value):
+        score = sum(w[place[int(b)]] * v for b, v in zip(at, value) if int(b) in place)
+        return np.diff(np.concatenate([[0.0], sigmoid(t - score), [1.0]]))
+
+    return judge
+
+
+def near_components(texts: dict, similarity=0.8, shingle=5):
+    """id -> smallest id reachable over Jaccard similarity of word shingles."""
+    sets = {}
+    for d, t in texts.items():
+        w = WORD.findall(lower_ascii(t))
+        sets[d] = frozenset(tuple(w[i : i + shingle]) for i in range(max(1, len(w) - shingle + 1))) if w else frozenset()
+    root, ids = {d: d for d in texts}, sorted(texts)
+    for i, a in enumerate(ids):
+        for b in ids[i + 1 :]:
+            x, y = sets[a], sets[b]
+            if x == y or (x and y and len(x & y) >= similarity * len(x | y) - 1e-12):
+                low, high = sorted((root[a], root[b]))
+                root = {d: low if r == high else r for d, r in root.items()}
+    return root

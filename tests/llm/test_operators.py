@@ -2,6 +2,7 @@
 
 import base64
 import collections
+import random
 from functools import partial
 
 import numpy as np
@@ -108,6 +109,18 @@ def test_pii_discovers_context(spark, lookup):
     assert not any(got[200 + i] for i in range(4))
 
 
+def test_pii_keys_teach_their_context(spark):
+    """Hexadecimal keys are found by form; what else stands behind the same cue is found by the cue."""
+    key = [f"{i}a{'%032x' % (i * 7919**9)}"[:40] for i in range(12)]
+    rows = [(i, f'as {i % 3} said token = "{k}" and more') for i, k in enumerate(key)]
+    rows += [(100, 'so token = "ZK-1177-Q" was'), (101, "f" * 40 + " and " + "1" * 40 + " are none"), (102, f"x{key[1]} nor {key[1]}_2"), (103, f"end {key[2]}.")]
+    got = {r["doc_id"]: [tuple(s) for s in r["spans"]] for r in plain(pii_bootstrap.extract(spark.createDataFrame(rows, "doc_id long, text string")))}
+    text = dict(rows)
+    assert all(got[i] == [("secret", text[i].index(k), text[i].index(k) + len(k))] for i, k in enumerate(key))
+    assert got[100] == [("context", 12, 21)] and got[101] == [] and got[102] == []
+    assert got[103] == [("secret", 4, 4 + len(key[2]))]
+
+
 @pytest.mark.parametrize("lookup", [1 << 20, 0])
 def test_pii_discovers_behind_signs_and_long(spark, lookup):
     """Quoted, bracketed and key=value identifiers, and ones of 65 and 5,000 characters."""
@@ -149,13 +162,15 @@ def test_chat_tree(spark):
     assert len(nodes) == len({tuple(t[: i + 1]) for t in talks.values() for i in range(len(t))})
     stream = [None] * sum(n["n_tokens"] for n in nodes)
     for n in nodes:
+        n["ids"] = np.frombuffer(n["ids"], "<u4").tolist()
+        n["node"] = bytes(n["node"])
         stream[n["start"] : n["start"] + n["n_tokens"]] = n["ids"]
     assert None not in stream
     by_node = {n["node"]: n for n in nodes}
     decode = queries._decode_with(RANKS, PATTERN)
     whole = collections.defaultdict(list)
     for t in sorted(plain(forest.turns), key=lambda t: t["depth"]):
-        whole[t["conv"]].append(t["node"])
+        whole[t["conv"]].append(bytes(t["node"]))
     for conv, path in whole.items():
         leaf = by_node[path[-1]]
         seen = [i for s in leaf["sees"] for i in stream[s["from"] : s["to"]]]
@@ -166,6 +181,20 @@ def test_chat_tree(spark):
     assert forest_of(spark, rows[:0]).nodes.count() == 0
 
 
+def test_chat_tree_long_turns_and_a_long_conversation(spark):
+    """Turns of 20 kB, one conversation over many ranges, a hundred copies of another."""
+    rng = random.Random(4)
+    said = [("user" if k % 2 == 0 else "assistant", " ".join(rng.choice(["alpha", "be ta", "\n", "</s>", "ga\\mma"]) for _ in range(4000))) for k in range(40)]
+    talks = {1: said + [("user", str(k)) for k in range(600)]} | {c: said[:3] for c in range(10, 110)}
+    rows = [(c, k, r, t) for c, turns in talks.items() for k, (r, t) in enumerate(turns)]
+    forest = forest_of(spark, rows)
+    got = {r["conv"]: r for r in plain(chat_tree.read_back(forest, partial(queries._decode_with, RANKS, PATTERN)))}
+    assert set(got) == set(talks) and forest.nodes.count() == 640
+    for c in (1, 10, 109):
+        assert got[c]["turns_sha256"] == brute.sha("".join(f"{r}\n{t}\n" for r, t in talks[c]))
+        assert got[c]["loss_sha256"] == brute.sha("".join(t for r, t in talks[c] if r == "assistant"))
+
+
 # licenses
 
 
@@ -226,8 +255,8 @@ def test_simhash_links_are_complete(spark, bucket):
     assert got == {(a, b) for a in signed for b in signed if a < b and ((a ^ b) & mask).bit_count() <= 3}
 
 
-@pytest.mark.parametrize("sample,often", [(20_000, 500_000), (10, 3)])
-def test_near_copies_are_complete(spark, sample, often):
+@pytest.mark.parametrize("sample,often,crowded", [(20_000, 500_000, 20_000), (10, 3, 5)])
+def test_near_copies_are_complete(spark, sample, often, crowded):
     """Copies with a few words replaced, among texts that share a passage, against all pairs."""
     rng = np.random.default_rng(8)
     passage, rows = [f"p{i}" for i in range(60)], []
@@ -248,7 +277,7 @@ def test_near_copies_are_complete(spark, sample, often):
     for _ in range(5):
         for a, b in linked:
             root[a] = root[b] = min(root[a], root[b])
-    got = near_copies.near_copies(spark.createDataFrame(rows, "doc_id long, text string"), sample=sample, often=often)
+    got = near_copies.near_copies(spark.createDataFrame(rows, "doc_id long, text string"), sample=sample, often=often, crowded=crowded)
     assert {r["doc_id"]: r["component_id"] for r in plain(got)} == root
     fp = {d: brute.fingerprint(t) for d, t in rows}
     assert sum((fp[a] ^ fp[b]).bit_count() > 3 for a, b in linked) > 10  # what a link at three bits would lose
@@ -344,6 +373,19 @@ def test_permutation_recall(spark):
     assert permutation_index.nearest(df.limit(0), F.col("id") % 20 == 0).count() == 0
 
 
+def test_permutation_odd_rows(spark):
+    """Many vectors of other lengths, one of which may hash lowest, rows without id, repeated ids; parts of the result."""
+    rng = np.random.default_rng(5)
+    x = rng.normal(size=(300, 8))
+    rows = [(i, v.tolist()) for i, v in enumerate(x)] + [(1000 + i, [float(i), 1.0]) for i in range(250)] + [(None, x[0].tolist()), (40, x[40].tolist())]
+    found = permutation_index.nearest(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), F.col("id") % 20 == 0)
+    assert found.count() == 20 * 16 == found.select("vec_id").count() and {r["vec_id"] for r in found.select("vec_id").collect()} <= set(range(300))
+    s = x @ x[20]
+    s[20] = -np.inf
+    best = [r["vec_id"] for r in found.where("query_id = 20").orderBy("rank").collect()]
+    assert best == sorted([*range(300), 40], key=lambda v: (-s[v], v))[:20]
+
+
 # byte-level BPE
 
 
