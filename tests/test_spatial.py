@@ -243,3 +243,47 @@ def test_within_distance(callers, facilities, radius, max_bytes):
     want = rows(near.groupBy("id").agg(F.count("*").alias("k"), F.min("m").alias("m")))
     got = S.within_distance(callers, facilities, radius, max_bytes=max_bytes, rows_per_task=20)
     assert rows(got, "id", "facilities_within", "nearest_m") == want
+
+
+def test_polygons_over_one_another_leave_few_entries(spark, points, monkeypatch):
+    """An index too large to broadcast keeps, for joins that want any polygon or the first, what can decide."""
+    monkeypatch.setattr(S, "MAX_BROADCAST_BYTES", 10_000)
+    rng = random.Random(8)
+    data = []
+    for i in range(120):
+        x, y = -75.5 + rng.uniform(0, 2), 39 + rng.uniform(0, 2)
+        data.append((i, json.dumps({"type": "Polygon", "coordinates": [[[x, y], [x + 4, y], [x + 4, y + 4], [x, y + 4], [x, y]]]})))
+    stack = spark.createDataFrame(data, "neighborhood_id int, t string").select("neighborhood_id", G.polygon_from_geojson("t").alias("geometry"))
+    index = S.polygon_index(stack, "neighborhood_id", "geometry")
+    assert index.dictionary is None and index.deciding.rows * 3 < index.rows
+    pairs = rows(_brute(points, stack, G.st_within))
+    first = {}
+    for point, polygon in pairs:
+        first[point] = min(polygon, first.get(point, polygon))
+    placed = {r.id: r.neighborhood_id for r in S.attach_polygon(points, stack).collect()}
+    assert {k: v for k, v in placed.items() if v is not None} == first and len(placed) == points.select("id").distinct().count()
+    assert {r.id for r in S.land_mask(points, stack).collect()} == set(first)
+    assert not {r.id for r in S.off_land(points, stack).collect()} & set(first)
+    inner = S.land_mask_inner(points, stack, predicate="within").select("id", "land_neighborhood_id")
+    assert sorted(rows(inner)) == sorted(pairs)
+
+
+def test_polygons_of_few_edges_are_indexed_in_place(spark, shapes, monkeypatch):
+    """Without a shuffled round, and to the same entries as with them."""
+
+    def entries():
+        made = S.polygon_entries(shapes, "neighborhood_id", "geometry")
+        edge = F.array_sort(F.transform("edges", lambda e: F.struct(e["x1"], e["y1"], e["x2"], e["y2"])))
+        return sorted(map(str, rows(made.select("level", "cell", "item.neighborhood_id", "full", "base", edge.alias("edges")))))
+
+    rounds, whole = [], S.divided
+    monkeypatch.setattr(S, "divided", lambda *a: rounds.append(1) or whole(*a))
+    placed = entries()
+    assert not rounds
+    # as if every polygon had too many edges for it, while a cell keeps as many as before
+    many = shapes.select("neighborhood_id", "geometry", G.polygon_edges("geometry").alias("edges")).where(F.size("edges") > 0)
+    many = many.select(F.monotonically_increasing_id().alias("pid"), "neighborhood_id", "edges", G.edges_envelope(F.col("edges")).alias("box"))
+    many = many.withColumn("level", S._level_of_box(F.col("box"))).cache()
+    cells, held = next(whole(many.select("pid", "box", "level"), S.exploded_edges(many)))
+    assert len(placed) == cells.where("n > 0 or odd").count()
+    assert sum(len(x) for x in (r.edges for r in S.polygon_entries(shapes, "neighborhood_id", "geometry").collect())) == held.count()
