@@ -1,11 +1,15 @@
 """Plans: no nested-loop or cartesian joins, no Python on the row path, filters in the scan."""
 
 import pytest
+from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
+from terrahaz.functions import geometry as G
 from terrahaz.operators import aggregate as A
 from terrahaz.operators import clean as P
+from terrahaz.operators import ordered as W
 from terrahaz.operators import spatial as S
+from terrahaz.plans import flows
 from terrahaz.queries import views as V
 
 QUERIES = entry.queries()
@@ -67,3 +71,28 @@ def test_spatial_join_in_sql_is_an_equi_join(spark, sf):
     text = plan(QUERIES["sql_spatial_join"](spark, sf))
     assert "CartesianProduct" not in text and "NestedLoopJoin" not in text
     assert "HashJoin" in text or "SortMergeJoin" in text
+
+
+def test_cover_in_sql_has_cells_of_the_shape_s_size(spark):
+    """However many shapes there are, a point meets those near it."""
+    flows.register_sql_functions(spark)
+    text = '{"type":"Polygon","coordinates":[[[-74,40.7],[-73.995,40.7],[-73.995,40.704],[-74,40.704],[-74,40.7]]]}'
+    row = spark.sql(f"""WITH s AS (SELECT st_polygon('{text}') AS g)
+        SELECT st_level(g) AS level, size(st_cover(g, st_level(g))) AS cells, st_levels() AS levels FROM s""").first()
+    assert row.level == 18 and row.cells <= 64 and row.level in row.levels
+
+
+def test_collections_have_a_bounded_size(spark, tmp_path):
+    from terrahaz.sources import readers, sinks
+
+    features = spark.range(1000, numPartitions=1).select(sinks.feature_json(G.st_point(F.lit(1.0), F.lit(2.0)), {"id": F.col("id")}).alias("value"))
+    sinks.export_collections(features, str(tmp_path / "many"), per_document=300)
+    assert len(list((tmp_path / "many").glob("part-*"))) == 4
+    got = readers.scan_geojson(spark, str(tmp_path / "many")).select(F.col("properties")["id"].cast("int")).collect()
+    assert sorted(r[0] for r in got) == list(range(1000))
+
+
+def test_a_range_takes_few_rows(spark):
+    """What one task has to sort stays a small part of its memory."""
+    ranged, several = W.assign_ranges(spark.range(4_500_000).withColumn("k", F.lit(1)), ["k"], ["id"])
+    assert several and ranged.groupBy(W.RANGE).count().agg(F.max("count")).first()[0] <= 4_000_000
