@@ -135,8 +135,15 @@ def export_geojson(features: DataFrame, path: str, mode: str = "overwrite") -> N
     features.select("value").write.mode(mode).text(path)
 
 
-def export_collections(features: DataFrame, path: str, mode: str = "overwrite", files: int | None = None) -> None:
-    """``files`` FeatureCollection documents (one per partition as they are, if not stated).
+#: Features of one document at most, unless the number of documents is stated: a reader takes each whole.
+FEATURES_PER_DOCUMENT = 100_000
+
+
+def export_collections(
+    features: DataFrame, path: str, mode: str = "overwrite", files: int | None = None, per_document: int = FEATURES_PER_DOCUMENT
+) -> None:
+    """``files`` FeatureCollection documents; if not stated, one per partition as they are, or as many as
+    ``per_document`` features each ask for if there are more features than that.
 
     A task writes its document feature by feature as its rows come by, so neither a document nor a batch is ever
     held as one text; nothing is gathered in one task unless one file is asked for. Spark's own text writer commits
@@ -155,6 +162,9 @@ def export_collections(features: DataFrame, path: str, mode: str = "overwrite",
         yield pd.DataFrame({"value": ["]}"]})
 
     rows = features.select("value")
+    if files is None:
+        count = rows.count()
+        files = -(-count // per_document) if count > per_document else None
     (rows if files is None else rows.repartition(files)).mapInPandas(document, "value string").write.mode(mode).text(path)
 
 
