@@ -76,13 +76,18 @@ def _clash(a: Column, b: Column) -> Column:
 
 
 def _crossings(base: DataFrame) -> DataFrame:
-    """``pid, reason`` from edges that share a cell."""
+    """``pid, reason`` from edges that share a cell; a shape of no more edges than a cell may hold is one cell."""
+    few = F.size("edges") <= S.MAX_EDGES
+    order = F.struct("a.part", "a.ring", "a.i") < F.struct("b.part", "b.ring", "b.i")
+    one = base.where(few).select("pid", "edges", F.explode("edges").alias("a")).select("pid", "a", F.explode("edges").alias("b"))
+    clash = one.where(order).select("pid", _clash(F.col("a"), F.col("b")).alias("reason"))
+    found, base = [clash.where("reason is not null").distinct()], base.where(~few)
+    if base.isEmpty():
+        return found[0]
     shapes = base.select("pid", "box", "level")
-    found = []
     for _, held in S.divided(shapes, S.exploded_edges(base)):
         held = materialize(held, "validity-cells")
         a, b = held.withColumnRenamed("e", "a"), held.withColumnRenamed("e", "b")
-        order = F.struct("a.part", "a.ring", "a.i") < F.struct("b.part", "b.ring", "b.i")
         pairs = a.join(b, S.CELL).where(order).select("pid", _clash(F.col("a"), F.col("b")).alias("reason"))
         found.append(pairs.where("reason is not null").distinct())
     return reduce(DataFrame.unionByName, found)
@@ -107,6 +112,21 @@ def _located(points: DataFrame, shapes: DataFrame, predicate: str, other: bool)
     return named.join(inside, ["pid", "part", "x", "y"], "left").withColumn("inside", F.coalesce("inside", F.lit(False)))
 
 
+def _misplaced(sound: DataFrame) -> DataFrame:
+    """``pid, reason`` from holes and parts of shapes of few edges: vertices against edges, row by row."""
+    parts = sound.select("pid", "shape", F.posexplode("shape").alias("part", "rings"))
+    shell, holes = F.array(F.array(F.get("rings", 0))), F.flatten(F.slice("rings", 2, F.size("rings") - 1))
+    hole = parts.where(F.size("rings") > 1).select("pid", shell.alias("own"), holes.alias("holes")).select(
+        "pid", G.polygon_edges("own").alias("edges"), "holes").select("pid", "edges", F.explode("holes").alias("v"))
+    x, y = F.get("v", 0), F.get("v", 1)
+    outside = hole.where(~G.edges_intersects(F.col("edges"), x, y)).select("pid", F.lit(REASONS[3]).alias("reason"))
+    met = parts.where(F.size("shape") > 1).select("pid", "part", F.get("rings", 0).alias("vertices"), F.posexplode("shape").alias("other", "rings"))
+    met = met.where("other <> part").select("pid", F.array("rings").alias("own"), "vertices").select(
+        "pid", G.polygon_edges("own").alias("edges"), "vertices").select("pid", "edges", F.explode("vertices").alias("v"))
+    over = met.where(G.edges_within(F.col("edges"), x, y)).select("pid", F.lit(REASONS[4]).alias("reason"))
+    return outside.unionByName(over)
+
+
 def validity(polygons: DataFrame, key: str, geom: str) -> DataFrame:
     """``key, is_valid, reasons`` (sorted) of every row."""
     shapes = materialize(polygons.select(
@@ -116,7 +136,21 @@ def validity(polygons: DataFrame, key: str, geom: str) -> DataFrame:
     rings = materialize(_rings(sound), "validity-rings")
     base = _edges_of(rings).withColumn("box", G.edges_envelope(F.col("edges")))
     base = materialize(base.withColumn("level", S._level_of_box(F.col("box"))), "validity-edges")
-    vertex = F.explode("at")
+    reasons = [shapes.where("not sound").select("pid", F.lit(REASONS[0]).alias("reason")), _crossings(base)]
+    few = F.size(F.flatten(F.flatten("shape"))) <= S.MAX_EDGES
+    reasons.append(_misplaced(sound.where(few)))
+    sound = sound.where(~few)
+    if not sound.isEmpty():
+        reasons.append(_misplaced_far(sound, rings))
+    found = reduce(DataFrame.unionByName, reasons).groupBy("pid").agg(F.array_sort(F.collect_set("reason")).alias("reasons"))
+    return shapes.join(found, "pid", "left").select(
+        F.col("key").alias(key), F.col("reasons").isNull().alias("is_valid"),
+        F.coalesce("reasons", F.array().cast("array<string>")).alias("reasons"))
+
+
+def _misplaced_far(sound: DataFrame, rings: DataFrame) -> DataFrame:
+    """As ``_misplaced``, for shapes of any number of edges: vertices against the cells of shells and parts."""
+    rings, vertex = rings.join(sound.select("pid"), "pid", "left_semi"), F.explode("at")
     vertices = rings.select("pid", "part", "ring", vertex.alias("v")).select("pid", "part", "ring", F.get("v", 0).alias("x"), F.get("v", 1).alias("y"))
     parts = sound.select("pid", F.posexplode("shape").alias("part", "rings"))
     holed = parts.where(F.size("rings") > 1).select("pid", "part", F.array(F.array(F.get("rings", 0))).alias("shape"))
@@ -124,10 +158,4 @@ def validity(polygons: DataFrame, key: str, geom: str) -> DataFrame:
     outside = _located(vertices.where("ring > 0").select("pid", "part", "x", "y"), holed, "intersects", False).where("not inside")
     shells = vertices.where("ring = 0").join(several.select("pid").distinct(), "pid").select("pid", "part", "x", "y")
     over = _located(shells, several, "within", True).where("inside")
-    reasons = reduce(DataFrame.unionByName, [
-        shapes.where("not sound").select("pid", F.lit(REASONS[0]).alias("reason")), _crossings(base),
-        outside.select("pid", F.lit(REASONS[3]).alias("reason")), over.select("pid", F.lit(REASONS[4]).alias("reason"))])
-    found = reasons.groupBy("pid").agg(F.array_sort(F.collect_set("reason")).alias("reasons"))
-    return shapes.join(found, "pid", "left").select(
-        F.col("key").alias(key), F.col("reasons").isNull().alias("is_valid"),
-        F.coalesce("reasons", F.array().cast("array<string>")).alias("reasons"))
+    return outside.select("pid", F.lit(REASONS[3]).alias("reason")).unionByName(over.select("pid", F.lit(REASONS[4]).alias("reason")))
