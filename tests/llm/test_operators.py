@@ -283,6 +283,31 @@ def test_near_copies_are_complete(spark, sample, often, crowded):
     assert sum((fp[a] ^ fp[b]).bit_count() > 3 for a, b in linked) > 10  # what a link at three bits would lose
 
 
+def test_near_copies_pairs_grow_with_the_group(spark, monkeypatch):
+    """Copies alike to one text but hardly to each other: few pairs a copy are asked, and groups come by SimHash first."""
+    rng, made, grouped = np.random.default_rng(4), [], []
+    pairs, group = near_copies._verified, simhash_variants.near_duplicates
+    monkeypatch.setattr(near_copies, "_verified", lambda asked, *a: made.append(asked.count()) or pairs(asked, *a))
+    monkeypatch.setattr(simhash_variants, "near_duplicates", lambda df, *a: grouped.append(df.count()) or group(df, *a))
+    base = [f"w{x}" for x in range(200)]
+    rows = [(0, " ".join(base))]
+    for i in range(1, 200):
+        copy = list(base)
+        for at in rng.choice(200, int(rng.integers(3, 6)), replace=False):
+            copy[at] = f"x{i}y{at}"
+        rows.append((i, " ".join(copy)))
+    rows += [(1000 + i, " ".join(f"z{i}q{k}" for k in range(50))) for i in range(50)]
+    got = {r["doc_id"]: r["component_id"] for r in plain(near_copies.near_copies(spark.createDataFrame(rows, "doc_id long, text string")))}
+    sets = {d: {tuple(t.split()[k : k + 5]) for k in range(len(t.split()) - 4)} for d, t in rows}
+    root, ids = {d: d for d in sets}, sorted(sets)
+    linked = [(a, b) for a in ids for b in ids if a < b and 5 * len(sets[a] & sets[b]) >= 4 * len(sets[a] | sets[b])]
+    for _ in range(5):
+        for a, b in linked:
+            root[a] = root[b] = min(root[a], root[b])
+    assert got == root and 20 < len(linked) < 199 * 198 / 2
+    assert grouped and max(grouped) <= 200 and sum(made) < 20 * 200  # texts without a link are left out before
+
+
 def test_components(spark):
     rng = np.random.default_rng(2)
     edges = [(i, i + 1) for i in range(40)] + [(100, 100 + i) for i in range(1, 50)] + [tuple(map(int, rng.integers(200, 260, 2))) for _ in range(40)]
