@@ -21,6 +21,8 @@ import os
 from functools import lru_cache
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -38,16 +40,18 @@ PACKED = 1 << 61
 _PIECES = "seq long, id {id}, start long, doc_tokens long, whole boolean, ids binary"
 
 
-#: Stretches remembered per worker before the memory is emptied.
-REMEMBERED = 1 << 19
+#: Bytes of text that are encoded at a time.
+STRETCH = 1 << 24
+#: Texts that are encoded at a time, at most.
+SLICE = 10_000
 
 
 class Encoder:
     """Ids of ``tokenizer_file`` as little-endian unsigned 32-bit bytes. Where the same vocabulary is
     also given as ranks with its split pattern, texts without special tokens are encoded by those:
     the same ids, sooner. Merges never cross a place between a visible character and a space
-    (``bpe_monoid``), so a text is the concatenation of the stretches between such places, and
-    stretches seen before are looked up."""
+    (``bpe_monoid``), so a text is the concatenation of the stretches between such places: ``many``
+    encodes each different stretch of several texts once."""
 
     def __init__(self, tokenizer_file: str, ranks_file: str | None = None, pattern: str | None = None):
         from tokenizers import Tokenizer
@@ -56,34 +60,49 @@ class Encoder:
         self.slow = Tokenizer.from_file(tokenizer_file)
         self.special = [t.content for t in self.slow.get_added_tokens_decoder().values()]
         self.size = self.slow.get_vocab_size()
-        self.fast = codec(ranks_file, pattern).encode_ordinary if ranks_file else None
-        self.known: dict[str, bytes] = {}
-
-    def _stretch(self, word: str) -> bytes:
-        """Ids of a blank and ``word``; LookupError where the next blank may be part of a piece."""
-        if not word or word[-1].isspace():
-            raise LookupError
-        if len(self.known) >= REMEMBERED:
-            self.known.clear()
-        ids = np.array(self.fast(" " + word), dtype="<u4").tobytes()
-        if len(word) < 64:
-            self.known[word] = ids
-        return ids
+        self.fast = None
+        if ranks_file:
+            ranks = codec(ranks_file, pattern)
+            self.fast = ranks.encode_ordinary
+            self.bytes = np.zeros(ranks.n_vocab, dtype=np.int64)  # of each id
+            for token in ranks.token_byte_values():
+                self.bytes[ranks.encode_single_token(token)] = len(token)
 
     def __call__(self, text: str) -> bytes:
         if self.fast is None or any(s in text for s in self.special):
             return np.array(self.slow.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
-        first, *words = text.split(" ")
-        if words and first and not first[-1].isspace():
-            get, make, last = self.known.get, self._stretch, words.pop()  # what ends the text may end in blanks
-            try:
-                middle = [get(w) or make(w) for w in words]
-                ends = [np.array(self.fast(x), dtype="<u4").tobytes() for x in (first, " " + last)]
-                return b"".join([ends[0], *middle, ends[1]])
-            except LookupError:
-                pass
         return np.array(self.fast(text), dtype="<u4").tobytes()
 
+    def many(self, texts: pa.Array) -> list[bytes]:
+        """What the encoder makes of each text."""
+        if self.fast is None:
+            return [self(t) for t in texts.to_pylist()]
+        cut = pc.split_pattern(texts, " ")
+        size = pc.list_value_length(cut).to_numpy(zero_copy_only=False).astype(np.int64)
+        first = np.cumsum(size) - size
+        words = cut.flatten().dictionary_encode()
+        at, words = words.indices.to_numpy(zero_copy_only=False), words.dictionary
+        n_bytes = pc.binary_length(words).to_numpy(zero_copy_only=False).astype(np.int64)
+        visible = pc.binary_length(pc.utf8_rtrim_whitespace(words)).to_numpy(zero_copy_only=False)
+        # behind a blank the next one may be part of a piece: such texts are encoded as they are
+        whole = np.logical_or.reduceat(((visible < n_bytes) | (n_bytes == 0))[at], first)
+        for s in self.special:
+            whole |= pc.match_substring(texts, s).to_numpy(zero_copy_only=False)
+        asked = np.unique(at[np.repeat(~whole, size)])
+        ids = np.array(self.fast("".join(" " + w for w in words.take(pa.array(asked)).to_pylist())), dtype="<u4")
+        ends = np.zeros(len(words) + 1, dtype=np.int64)
+        ends[asked + 1] = np.diff(np.searchsorted(np.cumsum(self.bytes[ids]), np.cumsum(n_bytes[asked] + 1), "right"), prepend=0)
+        # a text is its first stretch, which has no blank before it, and the others; or it is one
+        own = [self(t) if entire else np.array(self.fast(words[i].as_py()), dtype="<u4").tobytes()
+               for t, entire, i in zip(texts.to_pylist(), whole.tolist(), at[first].tolist(), strict=True)]
+        ends = np.concatenate([4 * np.cumsum(ends), 4 * int(ends.sum()) + np.cumsum([*map(len, own), 0])])
+        pool = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(ends) - 1, [None, pa.py_buffer(ends), pa.py_buffer(ids.tobytes() + b"".join(own))])
+        part = np.where(np.repeat(whole, size), len(ends) - 2, at)
+        part[first] = len(words) + np.arange(len(own))
+        made = pool.take(pa.array(part))
+        upto, raw = np.frombuffer(made.buffers()[1], dtype=np.int64)[: len(part) + 1], made.buffers()[2]
+        return [raw[i:j].to_pybytes() for i, j in zip(upto[first].tolist(), upto[first + size].tolist(), strict=True)]
+
 
 def sort_ranks(df: np.ndarray, idf: np.ndarray, end_id: int) -> np.ndarray:
     """A rank per token for weighted min-hashing: the smallest of exponential clocks whose rates are
@@ -115,10 +134,12 @@ def pieces(df: DataFrame, encoder, id_col: str, text_col: str, window: int, end_
 
     def run(batches):
         encode, n, closing = encoder(), TaskContext.get().partitionId() << 33, end_id.to_bytes(4, "little")
-        for b in batches:
+        for b in (x for batch in batches for x in tables.slices(batch, "body", STRETCH, SLICE)):
             out = {c: [] for c in ("seq", "id", "start", "doc_tokens", "whole", "ids")}
-            for key, body in zip(b["id"].to_pylist(), b["body"].to_pylist(), strict=True):
-                ids = np.frombuffer(encode(body.decode("utf-8", "replace")) + closing, dtype="<u4")
+            texts = pa.array([x.decode("utf-8", "replace") for x in b["body"].to_pylist()], pa.large_string())
+            made = encode.many(texts) if isinstance(encode, Encoder) else map(encode, texts.to_pylist())
+            for key, raw in zip(b["id"].to_pylist(), made, strict=True):
+                ids = np.frombuffer(raw + closing, dtype="<u4")
                 for start in range(0, len(ids), window):
                     part = ids[start : start + window]
                     whole = len(part) == window

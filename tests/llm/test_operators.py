@@ -339,6 +339,19 @@ def test_packing_encoder_equals_tokenizer(docs):
         assert fast(t) == slow(t)
 
 
+def test_packing_encodes_each_stretch_once(docs, monkeypatch):
+    encoder = retrieval_pack.Encoder(TOKENIZER, RANKS, PATTERN)
+    odd = ["a  b", "a \n b", "x<|endoftext|> y", " lead", "trail ", "a b\x1c c", "tab\t next", "", " ", "x", "é ü ", "a\n\nb c", "a b  c", "don't 's"]
+    texts, said, fast = [*odd, *docs.values(), "one more of these words"], [], encoder.fast
+    want = [encoder(t) for t in texts]
+    monkeypatch.setattr(encoder, "fast", lambda x: said.append(len(x)) or fast(x))
+    assert encoder.many(pa.array(texts, pa.large_string())) == want
+    assert encoder.many(pa.array([" "], pa.large_string())) == [encoder(" ")]
+    said.clear()
+    encoder.many(pa.array(["again and again"] * 1000, pa.large_string()))
+    assert sum(said) < 1000 * len("again and") and max(said) < 100
+
+
 def test_packing_prefers_alike_units():
     rng = np.random.default_rng(0)
     a, b = (rng.choice(np.arange(i, i + 300), (8, 128)).astype("<u4") for i in (0, 5000))
