@@ -2,8 +2,12 @@
 
 import datetime
 import json
+import random
 
+import numpy as np
 import pytest
+from pyspark.ml import Pipeline
+from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import Row
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -366,3 +370,60 @@ def test_collections_in_a_stated_number_of_files(spark, tmp_path):
     assert len(made) == 4 and sum(len(m["features"]) for m in made) == 500
     sinks.export_collections(rows_.limit(0), str(tmp_path / "none"), files=2)
     assert readers.scan_geojson(spark, str(tmp_path / "none")).count() == 0
+
+
+# -------------------------------------------------------------------- training
+
+
+def _points(spark):
+    rng = random.Random(5)
+    data = [(i, rng.choice([0.0, 1.0, 2.5]), rng.gauss(0, 3), float(rng.randint(0, 60)), rng.random()) for i in range(3000)]
+    df = spark.createDataFrame(data, "k long, a double, b double, c double, u double")
+    noisy = F.col("a") + F.sin("b") * 2 + F.col("c") / 20
+    return df.withColumn("y", noisy + F.col("u")).withColumn("hit", (noisy + F.col("u") * 2 > 4).cast("int")).drop("u").cache()
+
+
+@pytest.mark.parametrize("kind, label", [("GBTRegressor", "y"), ("GBTClassifier", "hit")])
+def test_boosted_fit_to_cells_is_fit_to_rows(spark, kind, label):
+    """The same thresholds, node sizes and predictions as Spark ML's fit to the rows themselves."""
+    spec, df = M.Spec("m", kind, label, 3, 4, ("a", "b", "c")), _points(spark)
+    model = M.fit(spec, df)
+    assert model.stages[-1].getWeightCol() == "__weight"
+    rows_fit = Pipeline(stages=[VectorAssembler(inputCols=["a", "b", "c"], outputCol="features"), M.estimator(spec)]).fit(df)
+    want = {r["k"]: r["prediction"] for r in rows_fit.transform(df).collect()}
+    got = {r["k"]: r["prediction"] for r in M.predict(spec, model, df).collect()}
+    assert got == pytest.approx(want, abs=1e-9)
+    nodes = [M.node_table(spark, M.Trained(spec, m, None, None), scratch(spark, "ensemble")) for m in (model, rows_fit)]
+    columns = ("tree", "node", "feature", "threshold", "left_child", "right_child")
+    assert rows(nodes[0], *columns) == rows(nodes[1], *columns)
+
+
+def test_cells_keep_every_row(spark):
+    spec, df = M.Spec("m", "GBTClassifier", "hit", 2, 2, ("a", "b", "c")), _points(spark)
+    twenty = df.withColumn("_", F.explode(F.sequence(F.lit(1), F.lit(20)))).drop("_")
+    n = [M.cells(spec, x, M.binning(spec, df, 3000)) for x in (df, twenty)]
+    assert n[0].count() == n[1].count() <= 3000  # no more rows to go through for twenty times the input
+    for most in (None, 500, 9000, 60000):
+        slices = M.in_slices(n[1], 60000, most)
+        assert slices.agg(F.sum("__weight")).first()[0] == pytest.approx(60000)
+        assert slices.count() <= (most or 0) + 2 * n[1].count()
+    assert M.in_slices(n[1], 60000, 60000).where("__weight <> 1").isEmpty()
+
+
+def test_forest_of_slices(spark, monkeypatch):
+    """Beyond ``BAG_ROWS`` a forest is fitted to slices; it tells the classes about as well."""
+    spec, df = M.Spec("m", "RandomForestClassifier", "hit", 20, 5, ("a", "b", "c")), _points(spark)
+    share = []
+    for most in (10_000, 1_000):
+        monkeypatch.setattr(M, "BAG_ROWS", most)
+        model = M.fit(spec, df)
+        assert len(model.stages[-1].trees) == 20 and len(model.stages) == (2 if most == 10_000 else 3)
+        share.append(M.predict(spec, model, df).where("prediction = hit").count() / 3000)
+    assert min(share) > 0.85 and abs(share[0] - share[1]) < 0.05
+
+
+def test_bin_edges():
+    assert M.bin_edges(np.array([3.0, 1.0, 1.0, 2.0])) == [1.5, 2.5] and M.bin_edges(np.array([4.0, 4.0])) == []
+    many = M.bin_edges(np.arange(3200.0))
+    assert len(many) == 31 and many[0] == 99.5 and set(np.diff(many)) == {100.0}
+    assert len(M.bin_edges(np.concatenate([np.zeros(5000), np.arange(100.0)]))) <= 31
