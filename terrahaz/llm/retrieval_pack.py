@@ -7,7 +7,7 @@ weighted min-hash of their tokens, in which rare shared tokens decide, so alike
 units. The first unused unit is the seed; the index returns the shard's unused neighbours by falling
 BM25 score, and they fill the seed's window greedily. The one that does not fit is cut, and its rest
 seeds the next window, so a shard pads one sequence at most. Used units are left out of the index
-whenever they are over half of it.
+whenever they are over three tenths of it.
 
 Nothing is collected but one number per vocabulary entry. Encoded pieces are staged once.
 
@@ -18,7 +18,7 @@ as they come; strings of special tokens follow the tokenizer file; no rows give
 from __future__ import annotations
 
 import os
-from functools import lru_cache
+from functools import lru_cache, partial
 
 import numpy as np
 import pyarrow as pa
@@ -32,7 +32,9 @@ from terrahaz.llm.bpe_monoid import codec
 
 WINDOW = 1024
 #: A token of one in so many units is kept as a row of the matrix.
-DENSE = 8
+DENSE = 12
+#: An index is laid anew once used units are over this share of it.
+USED = 0.3
 SHARD_TOKENS = 4_000_000
 K1, B = 1.2, 0.75
 #: Sequences of packed units are numbered from here on, whole windows below.
@@ -60,10 +62,10 @@ class Encoder:
         self.slow = Tokenizer.from_file(tokenizer_file)
         self.special = [t.content for t in self.slow.get_added_tokens_decoder().values()]
         self.size = self.slow.get_vocab_size()
-        self.fast = None
+        self.fast = self.numbers = None
         if ranks_file:
             ranks = codec(ranks_file, pattern)
-            self.fast = ranks.encode_ordinary
+            self.fast, self.numbers = ranks.encode_ordinary, partial(ranks.encode_to_numpy, disallowed_special=())
             self.bytes = np.zeros(ranks.n_vocab, dtype=np.int64)  # of each id
             for token in ranks.token_byte_values():
                 self.bytes[ranks.encode_single_token(token)] = len(token)
@@ -88,8 +90,12 @@ class Encoder:
         whole = np.logical_or.reduceat(((visible < n_bytes) | (n_bytes == 0))[at], first)
         for s in self.special:
             whole |= pc.match_substring(texts, s).to_numpy(zero_copy_only=False)
-        asked = np.unique(at[np.repeat(~whole, size)])
-        ids = np.array(self.fast("".join(" " + w for w in words.take(pa.array(asked)).to_pylist())), dtype="<u4")
+        used = np.zeros(len(words), dtype=bool)
+        used[at[np.repeat(~whole, size)]] = True
+        asked = np.flatnonzero(used)
+        # an empty string before them gives the first its blank
+        text = pa.LargeListArray.from_arrays([0, len(asked) + 1], pa.concat_arrays([pa.array([""], words.type), words.take(pa.array(asked))]))
+        ids = self.numbers(pc.binary_join(text, pa.scalar(" ", words.type))[0].as_py()).astype("<u4", copy=False)
         ends = np.zeros(len(words) + 1, dtype=np.int64)
         ends[asked + 1] = np.diff(np.searchsorted(np.cumsum(self.bytes[ids]), np.cumsum(n_bytes[asked] + 1), "right"), prepend=0)
         # a text is its first stretch, which has no blank before it, and the others; or it is one
@@ -260,7 +266,7 @@ class Packer:
 
     def _ranked(self, index: Index, unused: np.ndarray):
         """The unused units by falling score for the seed, then by number; sorted as far as asked."""
-        if 2 * int(unused[index.alive].sum()) < index.n:
+        if int(unused[index.alive].sum()) < (1 - USED) * index.n:
             index.drop(unused)
         live = unused[index.alive]
         scores, alive = index.scores(self.seed)[live], index.alive[live]

@@ -352,6 +352,17 @@ def test_packing_encodes_each_stretch_once(docs, monkeypatch):
     assert sum(said) < 1000 * len("again and") and max(said) < 100
 
 
+def test_packing_joins_stretches_once(monkeypatch):
+    """One call for all stretches of a batch, each once, and none for an empty batch of them."""
+    encoder, said = retrieval_pack.Encoder(TOKENIZER, RANKS, PATTERN), []
+    numbers = encoder.numbers
+    monkeypatch.setattr(encoder, "numbers", lambda x: said.append(x) or numbers(x))
+    texts = ["a b c d", "b c", "d <|endoftext|> e", "x\u00e9 b d"]
+    assert encoder.many(pa.array(texts, pa.large_string())) == [encoder(t) for t in texts]
+    assert len(said) == 1 and sorted(said[0].split()) == ["a", "b", "c", "d", "x\u00e9"]
+    assert encoder.many(pa.array(["a  b"], pa.large_string())) == [encoder("a  b")] and said[1] == ""
+
+
 def test_packing_prefers_alike_units():
     rng = np.random.default_rng(0)
     a, b = (rng.choice(np.arange(i, i + 300), (8, 128)).astype("<u4") for i in (0, 5000))
