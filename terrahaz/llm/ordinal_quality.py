@@ -35,8 +35,8 @@ EPOCHS = 2
 RATE = 0.5
 DECAY = 1e-5
 CUT = 0.5
-#: Words remembered per task before the memory is emptied.
-REMEMBERED = 1 << 20
+#: Words remembered per task before the memory is emptied: about 260 bytes each.
+REMEMBERED = 1 << 16
 _LETTERS, _DIGITS = re.compile(r"[^\W\d_]+"), re.compile(r"[0-9]+")
 
 
@@ -111,6 +111,12 @@ def _pass(rows, weights, squares, thresholds, epochs, rate, decay, seed):
             np.maximum.accumulate(thresholds, out=thresholds)
 
 
+def _lists(column) -> list[np.ndarray]:
+    """The rows of a list column as views of its numbers: no object per number."""
+    ends, numbers = column.offsets.to_numpy(), column.values.to_numpy(zero_copy_only=False)
+    return [numbers[i:j] for i, j in zip(ends[:-1].tolist(), ends[1:].tolist(), strict=True)]
+
+
 class Model:
     def __init__(self, weights: np.ndarray, thresholds: np.ndarray, buckets: int):
         self.weights, self.thresholds, self.buckets = weights, thresholds, buckets
@@ -126,7 +132,7 @@ def fit(rated: DataFrame, grades: int, id_col: str = "doc_id", text_col: str = "
 
     def featurize(batches):
         make = Features(buckets)
-        for b in batches:
+        for b in (x for batch in batches for x in tables.slices(batch, "body")):
             got = [make(x) for x in b["body"].to_pylist()]
             yield {"h": b["h"], "grade": b["grade"], "at": [a for a, _ in got], "value": [v for _, v in got]}
 
@@ -147,8 +153,7 @@ def fit(rated: DataFrame, grades: int, id_col: str = "doc_id", text_col: str = "
         def learn(batches, state=state, turn=turn):
             parts = []
             for b in batches:
-                parts += zip(b["h"].to_pylist(), b["grade"].to_pylist(),
-                             map(np.asarray, b["at"].to_pylist()), map(np.asarray, b["value"].to_pylist()), strict=True)
+                parts += zip(b["h"].to_pylist(), b["grade"].to_pylist(), _lists(b["at"]), _lists(b["value"]), strict=True)
             if parts:
                 parts.sort(key=lambda r: r[0])
                 w, s, t = (x.copy() for x in state.value)

@@ -70,7 +70,8 @@ def annotate(df: DataFrame, text_col: str, ddl: str, fn: Callable[[bytes], tuple
     def run(batches):
         for b in batches:
             if b.num_rows:
-                rows = [fn(x or b"") for x in b.column(at).cast(pa.binary()).to_pylist()]
+                bodies = slices({"body": b.column(at).cast(pa.binary())}, "body")
+                rows = [fn(x or b"") for part in bodies for x in part["body"].to_pylist()]
                 parts = [pa.array(c, type=f.type) for c, f in zip(zip(*rows, strict=True), types, strict=True)]
                 yield pa.RecordBatch.from_arrays(
                     [*b.columns, pa.StructArray.from_arrays(parts, fields=types)], schema=to_arrow_schema(fields))

@@ -3,6 +3,7 @@
 import base64
 import collections
 import random
+import tracemalloc
 from functools import partial
 
 import numpy as np
@@ -487,6 +488,25 @@ def test_ordinal_order_and_held_out(spark, odd):
 # WARC
 
 
+def test_ordinal_memory_is_bounded():
+    tracemalloc.start()
+    make = ordinal_quality.Features()
+    for i in range(30):
+        make(b" ".join(b"w%d" % x for x in range(10_000 * i, 10_000 * (i + 1))))
+    held = tracemalloc.get_traced_memory()[0]
+    tracemalloc.stop()
+    assert held < 32 << 20
+    column = pa.array([[5], [1, 2], [], [3]], pa.list_(pa.int64()))[1:]
+    got = ordinal_quality._lists(column)
+    assert [x.tolist() for x in got] == [[1, 2], [], [3]] and all(x.dtype == np.int64 and x.base is not None for x in got)
+
+
+def test_ordinal_rated_empty_text(spark):
+    rows = [(i, t, g) for i, (t, g) in enumerate([("good text", 2), ("bad text", 0), ("", 1), (None, 0)] * 5)]
+    model = ordinal_quality.fit(spark.createDataFrame(rows, "doc_id long, text string, grade int"), 3)
+    assert np.isfinite(model.weights).all() and np.isfinite(model.thresholds).all()
+
+
 def test_warc_splitting():
     record = b"WARC/1.1\r\nContent-Length: 9\r\n\r\n\r\n\r\nab\r\nc\r\n\r\n"
     assert len(record.split(b"\r\n\r\n", 1)[1]) == 13
