@@ -398,6 +398,35 @@ def test_boosted_fit_to_cells_is_fit_to_rows(spark, kind, label):
     assert rows(nodes[0], *columns) == rows(nodes[1], *columns)
 
 
+@pytest.mark.parametrize("kind, label", [("GBTRegressor", "y"), ("GBTClassifier", "hit")])
+def test_boosted_rounds_read_each_cell_once(spark, monkeypatch, kind, label):
+    """Cells of many rows are one row of a round, and nodes, importances and small leaves are those of the rows."""
+    spec, seen = M.Spec("m", kind, label, 3, 6, ("a", "c")), []
+    df = _points(spark).where("c > 10 or k % 40 = 0")  # leaves of one row would be worth splitting off
+    if kind == "GBTRegressor":
+        df = df.withColumn("y", F.col("a") + F.col("c").cast("int") / 7)
+    assembled = VectorAssembler.transform
+    monkeypatch.setattr(VectorAssembler, "transform", lambda self, x, *a: (seen.append(x), assembled(self, x, *a))[1])
+    model = M.fit(spec, df)
+    names = ["__bin_0", "__bin_1", *([label] if spec.is_classifier else [])]
+    assert seen[0].count() == seen[0].select(*names).distinct().count() < df.count() / 4
+    rows_fit = Pipeline(stages=[VectorAssembler(inputCols=["a", "c"], outputCol="features"), M.estimator(spec)]).fit(df)
+    nodes = [M.node_table(spark, M.Trained(spec, m, None, None), scratch(spark, "ensemble")) for m in (model, rows_fit)]
+    columns = ("tree", "node", "feature", "threshold", "left_child", "right_child", "n")
+    assert rows(nodes[0], *columns) == rows(nodes[1], *columns)
+    assert nodes[0].agg(F.min("n")).first()[0] >= M.MIN_PER_LEAF
+    got = {r["feature"]: r["importance"] for r in M.importance_of_nodes(nodes[0], True).collect()}
+    weights = model.stages[-1].featureImportances.toArray()
+    assert got == pytest.approx({f: w for f, w in zip(("a", "c"), weights) if w}, abs=1e-9)
+
+
+@pytest.mark.parametrize("n", [1, 2, 3, 4])
+def test_boosted_fit_to_very_few_rows(spark, n):
+    spec = M.Spec("m", "GBTRegressor", "y", 2, 3, ("a",))
+    df = spark.createDataFrame([(float(i), 10.0 * i) for i in range(n)], "a double, y double")
+    assert M.fit(spec, df).stages[-1].trees[0].numNodes == (3 if n == 4 else 1)
+
+
 def test_cells_keep_every_row(spark):
     spec, df = M.Spec("m", "GBTClassifier", "hit", 2, 2, ("a", "b", "c")), _points(spark)
     twenty = df.withColumn("_", F.explode(F.sequence(F.lit(1), F.lit(20)))).drop("_")
