@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from tests.llm import brute
-from terrahaz.llm import compression_bands, ordinal_quality, pii_bootstrap, queries, tables
+from terrahaz.llm import compression_bands, near_copies, ordinal_quality, pii_bootstrap, queries, simhash_variants, tables
 from terrahaz.session import scratch
 
 LARGER = "/root/testdata/sf0.01"
@@ -58,6 +58,27 @@ def test_near_dedup_stage(stages):
     assert all(after[d] == before[d] for d in after)
 
 
+def test_near_dedup_groups_every_row(spark, sf, monkeypatch):
+    """op5 takes all rows, also those whose text can have no link, and its groups are checked on the whole sets."""
+    line = "w1 w2 w3"
+    often = [f"{' '.join([line] * 400)} {' '.join(f't{k}x{i}' for i in range(60))}" for k in range(3)]  # one fingerprint, few shingles alike
+    base = [f"v{i}" for i in range(200)]
+    near = [" ".join(base), " ".join([*base[:-1], "other"])]
+    apart = [" ".join(f"a{k}b{i}" for i in range(30)) for k in range(5)]
+    rows = [(5, often[0]), (6, often[1]), (7, often[2]), (8, near[0]), (None, near[1]), (4, near[1]), (None, apart[0]), (4, apart[1]),
+            (9, apart[2]), (10, apart[3]), (11, apart[4]), (12, apart[4]), (13, None), (14, "")]
+    fp = {simhash_variants.fingerprint(t.encode()) for t in often}
+    assert all(((a ^ b) % (1 << 64)).bit_count() <= simhash_variants.MAX_DISTANCE for a in fp for b in fp)
+    grouped, asked = [], []
+    group, verify = simhash_variants.near_duplicates, near_copies._verified
+    monkeypatch.setattr(simhash_variants, "near_duplicates", lambda df, *a: grouped.append(df.count()) or group(df, *a))
+    monkeypatch.setattr(near_copies, "_verified", lambda pairs, *a: asked.append(pairs.count()) or verify(pairs, *a))
+    got = corpus_pipeline.near_dedup(spark, spark.createDataFrame(rows, "doc_id long, text string"), sf).collect()
+    assert grouped == [len(rows)] and asked[0] >= 3
+    want = [(None, apart[0]), (4, apart[1]), (4, near[1]), (5, often[0]), (6, often[1]), (7, often[2]), (9, apart[2]), (10, apart[3]), (11, apart[4]), (13, None)]
+    assert sorted(map(repr, map(tuple, got))) == sorted(map(repr, want))
+
+
 def test_personal_data_stage(spark, stages):
     before, after = of(stages, 3), of(stages, 4)
     assert set(after) == set(before)
