@@ -1,18 +1,18 @@
 """As-of join in space and time: the reading of the nearest station that has one.
 
 The nearest station of an event may be silent at its time, and the next one too. So stations are
-met level by level as in the nearest search (candidates by an equi-join on the cell), every
-candidate is asked for its latest reading by an as-of join on the station, and the nearest that answers
-wins once it is no farther than the radius the cells surely cover. Events still open go on to
-coarser cells. Stations that had not begun to report by the time of an event, or had stopped before its oldest
-acceptable reading, never become candidates, so an event without any reading meets none.
+met level by level as in the nearest search (candidates by an equi-join on the cell), and the nearest that
+has a reading wins once it is no farther than the radius the cells surely cover. Events still open go on to
+coarser cells. Whether a station has one is told without its readings: time is cut into blocks as long as a reading
+lasts, the block is part of the join's key, and two times a station and block say when it is heard. Only the
+winner is asked for its latest reading, by one as-of join on the station.
 """
 
 from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from terrahaz.functions import geometry as G
@@ -22,6 +22,24 @@ from terrahaz.operators import spatial as S
 from terrahaz.operators.sizing import ROWS_PER_TASK, materialize, skew_join
 
 
+def _block(micros: Column, age: int | None) -> Column:
+    """Begin of the stretch of time, as long as a reading lasts, in which an event falls; one for all where readings last."""
+    return F.lit(0).cast("bigint") if age is None else micros - F.pmod(micros, F.lit(max(age, 1)).cast("bigint"))
+
+
+def _heard(told: DataFrame, age: int | None) -> DataFrame:
+    """``fid, block, since, upto`` of readings (``fid, r``): at a time in a block, a station has a reading of at most
+    ``age`` microseconds if the time is not before ``since`` or not after ``upto``. The former is its first reading of the
+    block, the latter the end of its last one of the block before; no other reading lasts into the block."""
+    if age is None:
+        ends = told.select("fid", _block(F.col("r"), age).alias("block"), F.col("r").alias("since"), F.lit(None).cast("bigint").alias("upto"))
+    else:
+        begun = F.struct(_block(F.col("r"), age).alias("block"), F.col("r").alias("since"), F.lit(None).cast("bigint").alias("upto"))
+        lasting = F.struct((_block(F.col("r"), age) + max(age, 1)).alias("block"), F.lit(None).cast("bigint").alias("since"), (F.col("r") + age).alias("upto"))
+        ends = told.select("fid", F.inline(F.array(begun, lasting)))
+    return ends.groupBy("fid", "block").agg(F.min("since").alias("since"), F.max("upto").alias("upto"))
+
+
 def nearest_reading(
     events: DataFrame,
     stations: DataFrame,
@@ -46,43 +64,43 @@ def nearest_reading(
     Of a station's readings at one time the largest value tuple counts; of several places of a station the
     smallest.
     """
-    micros = F.unix_micros(F.col(r_ts).cast("timestamp"))
     told = readings.dropna(subset=[station, r_ts])
-    spans = told.groupBy(station).agg(F.min(micros).alias("since"), F.max(micros).alias("until"))
-    placed = stations.where(S._located(F.col(s_lon), F.col(s_lat))).groupBy(station).agg(
+    age = None if max_age_s is None else round(max_age_s * 1e6)
+    heard = materialize(_heard(told.select(F.col(station).alias("fid"), F.unix_micros(F.col(r_ts).cast("timestamp")).alias("r")), age), "station-heard")
+    placed = stations.where(S._located(F.col(s_lon), F.col(s_lat))).groupBy(F.col(station).alias("fid")).agg(
         F.min(F.struct(F.col(s_lon).alias("fx"), F.col(s_lat).alias("fy"))).alias("at"))
-    sites = materialize(placed.join(spans, station).select(
-        F.col(station).alias("fid"), "at.fx", "at.fy", "since", "until", F.lit(0).alias("cat")), "stations")
+    sites = materialize(placed.join(heard.select("fid").distinct(), "fid").select("fid", "at.fx", "at.fy", F.lit(0).alias("cat")), "stations")
     plan = S._search_plan(sites)
+    asking = materialize(skew_join(heard, sites.drop("cat"), ["fid"], "inner", rows_per_task), "station-sites")
     rows = materialize(events.withColumn("__row", F.monotonically_increasing_id()), "station-events")
-    carried = F.struct(F.col(r_ts).alias("at"), *values)
-    told = told.select(F.col(station).alias("fid"), F.col(r_ts).alias("__rt"), carried.alias("reading"))
-    age = F.lit(None).cast("long") if max_age_s is None else F.lit(round(max_age_s * 1e6))
     time = F.unix_micros(F.col(ts).cast("timestamp"))
     still_open = rows.where(S._located(F.col(lon), F.col(lat)) & F.col(ts).isNotNull()).select(
-        "__row", F.col(lon).alias("__x"), F.col(lat).alias("__y"), F.col(ts).alias("__at"), time.alias("__t"))
+        "__row", F.col(lon).alias("__x"), F.col(lat).alias("__y"), F.col(ts).alias("__at"), time.alias("__t"), _block(time, age).alias("block"))
     x, y = F.col("__x"), F.col("__y")
+    metres = F.round(G.haversine_m(x, y, F.col("fx"), F.col("fy")), 3)
+    alive = (F.col("since") <= F.col("__t")) | (F.col("upto") >= F.col("__t"))
     answers = []
     levels = [] if plan is None else [*plan.levels, 0]
     for level in levels:
         probing = still_open.withColumn("cell", grid.quad_cell(x, y, level))
-        met = skew_join(probing, S._filed(sites, level), ["cell"], "inner", rows_per_task)
-        alive = (F.col("since") <= F.col("__t")) & F.coalesce(F.col("until") >= F.col("__t") - age, F.lit(True))
-        metres = F.round(G.haversine_m(x, y, F.col("fx"), F.col("fy")), 3)
-        asked = met.where(alive).select("__row", "fid", "__at", "__t", "__y", metres.alias("m"))
-        heard = W.asof_join(asked, told, ["fid"], "__at", "__rt", ["reading"], rows_per_range).where(F.col("reading").isNotNull())
-        fresh = F.coalesce(F.unix_micros(F.col("reading.at").cast("timestamp")) >= F.col("__t") - age, F.lit(True))
-        best = heard.where(fresh).groupBy("__row").agg(
-            F.min(F.struct("m", "fid", "reading")).alias("best"), F.first("__y").alias("__y"))
-        sure = F.lit(True) if level == 0 else F.col("best.m") <= S._safe_radius(F.col("__y"), level)
-        found = materialize(best.where(sure).select("__row", "best"), "station-answers")
+        # at level 0 every cell is a neighbour of every other
+        filed = S._filed(asking, level) if level else asking.withColumn("cell", F.lit(0).cast("bigint"))
+        met = skew_join(probing, filed, ["cell", "block"], "inner", rows_per_task)
+        best = met.where(alive).groupBy("__row").agg(
+            F.min(F.struct(metres.alias("m"), F.col("fid"))).alias("best"), F.first("__y").alias("__y"), F.first("__at").alias("__at"))
+        sure = F.lit(True) if level == 0 else F.col("best.m") <= S._safe_radius(y, level)
+        found = materialize(best.where(sure).select("__row", "__at", "best.m", "best.fid"), "station-answers")
         answers.append(found)
         if level:
             still_open = materialize(still_open.join(found.select("__row"), "__row", "left_anti"), "station-open")
             if still_open.isEmpty():
                 break
+    carried = F.struct(F.col(r_ts).alias("at"), *values)
+    told = told.select(F.col(station).alias("fid"), F.col(r_ts).alias("__rt"), carried.alias("reading"))
     if answers:
-        out = rows.join(reduce(DataFrame.unionByName, answers), "__row", "left")
+        nearest = reduce(DataFrame.unionByName, answers)
+        read = W.asof_join(nearest, told, ["fid"], "__at", "__rt", ["reading"], rows_per_range)
+        out = rows.join(read.select("__row", F.struct("m", "fid", "reading").alias("best")), "__row", "left")
     else:
         kind = f"struct<m:double,fid:{readings.schema[station].dataType.simpleString()},reading:{told.schema['reading'].dataType.simpleString()}>"
         out = rows.withColumn("best", F.lit(None).cast(kind))

@@ -61,3 +61,17 @@ def test_no_readings(spark):
     r = spark.createDataFrame([], "station_id int, ts timestamp, value double")
     e = spark.createDataFrame([(1, 0.0, 0.0, 5)], "id int, longitude double, latitude double, s long").selectExpr("*", "timestamp_seconds(s) AS ts")
     assert [x.value for x in T.nearest_reading(e, s, r, ["value"]).collect()] == [None]
+
+
+@pytest.mark.parametrize("max_age", [None, 2 * HOUR])
+def test_only_the_winner_is_asked_for_its_readings(spark, monkeypatch, max_age):
+    """As-of rows do not grow with the stations an event meets."""
+    asked, join = [], T.W.asof_join
+    monkeypatch.setattr(T.W, "asof_join", lambda left, *a: asked.append(left.count()) or join(left, *a))
+    s = spark.createDataFrame([(i, -74 + i / 1000, 41.0) for i in range(40)], "station_id int, longitude double, latitude double")
+    r = spark.createDataFrame([(i, 100 * i, float(i)) for i in range(40)], "station_id int, s long, value double").selectExpr("*", "timestamp_seconds(s) AS ts")
+    e = spark.createDataFrame([(i, -74.1, 41.0, 200 * i) for i in range(30)], "id int, longitude double, latitude double, s long").selectExpr("*", "timestamp_seconds(s) AS ts")
+    got = T.nearest_reading(e, s, r, ["value"], max_age_s=max_age)
+    heard = {t: [i for i in range(40) if 100 * i <= t and (max_age is None or t - 100 * i <= max_age)] for t in range(0, 6000, 200)}
+    assert {x.s: x.station_id for x in got.select("s", "station_id").collect()} == {t: min(h, default=None) for t, h in heard.items()}
+    assert sum(asked) <= 30
