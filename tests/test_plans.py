@@ -96,3 +96,10 @@ def test_a_range_takes_few_rows(spark):
     """What one task has to sort stays a small part of its memory."""
     ranged, several = W.assign_ranges(spark.range(4_500_000).withColumn("k", F.lit(1)), ["k"], ["id"])
     assert several and ranged.groupBy(W.RANGE).count().agg(F.max("count")).first()[0] <= 4_000_000
+
+
+def test_spatial_join_in_sql_makes_each_cover_once(spark, sf):
+    """The functions' arguments are not written into every use, and covers, far larger than the texts, are not broadcast."""
+    df = QUERIES["sql_spatial_join"](spark, sf)
+    assert df._jdf.queryExecution().optimizedPlan().toString().count("from_json") <= 12
+    assert "SortMergeJoin" in plan(df) and "BroadcastHashJoin" not in plan(df)
